@@ -72,3 +72,54 @@ FROM status_all
 def q_trip_status(spark, sf):
     live, sch = _inputs(spark, sf)
     return P.trip_status(live, sch, AS_OF, thresholds=TH)
+
+
+# ------------------------------------------------------------------ P-2, P-3, P-4
+@register("trip_delay_by_status", STATUS_CTE + f""",
+st AS (SELECT DISTINCT trip_id, status FROM status_all WHERE status IN ('COMPLETED', 'LIVE')),
+pp AS (SELECT p.trip_id, p.trip_delay, p.license_plate, st.status FROM v_pings p JOIN st USING (trip_id)),
+med AS (SELECT trip_id, status, quantile_disc(trip_delay, 0.5) AS trip_delay FROM pp GROUP BY trip_id, status)
+SELECT cast(trip_id AS varchar) AS trip_id, med.trip_delay, pl.license_plate,
+       cast(trip_id AS varchar) || '{AS_OF}' AS primary_key, {OBS_US} AS observe_time, status
+FROM (SELECT DISTINCT trip_id, status, license_plate FROM pp) pl JOIN med USING (trip_id, status)
+""")
+def q_trip_delay(spark, sf):
+    from pyspark.sql import functions as F
+    live, _ = _inputs(spark, sf)
+    st = P.status_rows(_run(spark, sf), AS_OF)
+    parts = [P.trip_delay(st, live, s, AS_OF).withColumn("status", F.lit(s)) for s in ("COMPLETED", "LIVE")]
+    return parts[0].unionByName(parts[1])
+
+
+@register("trip_deviation_by_status", STATUS_CTE + f"""
+SELECT DISTINCT cast(trip_id AS varchar) AS trip_id,
+       '[' || array_to_string(eta_stops, ', ') || ']' AS eta_stops,
+       '[' || array_to_string(sch_stops, ', ') || ']' AS sch_stops,
+       '[' || array_to_string(common_stops, ', ') || ']' AS common_stops,
+       eta_stops_count, sch_stops_count, common_stops_count, {OBS_US} AS observe_time, license_plate,
+       cast(trip_id AS varchar) || '{AS_OF}' AS primary_key, status
+FROM classified WHERE status IN ('COMPLETED', 'LIVE') AND eta_stops_count <> common_stops_count
+""")
+def q_trip_deviation(spark, sf):
+    from pyspark.sql import functions as F
+    run = _run(spark, sf)
+    parts = [P.trip_deviation(run, s, AS_OF).withColumn("status", F.lit(s)) for s in ("COMPLETED", "LIVE")]
+    return parts[0].unionByName(parts[1])
+
+
+@register("scheduled_terminals", duckdb_with("v_schedule") + f""",
+w AS (SELECT *, max(arrival_epoch) OVER (PARTITION BY trip_id) AS end_time,
+             min(departure_epoch) OVER (PARTITION BY trip_id) AS start_time FROM v_schedule),
+ext AS (SELECT * FROM w WHERE arrival_epoch = end_time OR departure_epoch = start_time),
+t AS (SELECT trip_id, list(stop_id ORDER BY stop_sequence, stop_id)[1] AS start_stop,
+             CASE WHEN count(*) > 1 THEN list(stop_id ORDER BY stop_sequence DESC, stop_id DESC)[1] END AS end_stop,
+             min(start_time) AS start_time, min(end_time) AS end_time
+      FROM ext GROUP BY trip_id)
+SELECT cast(trip_id AS varchar) AS trip_id, cast(start_stop AS varchar) AS start_stop, cast(end_stop AS varchar) AS end_stop,
+       start_time * 1000000 AS start_time, end_time * 1000000 AS end_time,
+       cast(trip_id AS varchar) || '{DAY_TXT}' AS primary_key, {OBS_US} AS observed_time
+FROM t
+""")
+def q_scheduled_terminals(spark, sf):
+    _, sch = _inputs(spark, sf)
+    return P.scheduled_terminals(sch, AS_OF)
