@@ -9,4 +9,5 @@ from citylens.catalog.registry import ORACLES, QUERIES, register  # noqa: F401
 from citylens.catalog import (  # noqa: F401  (modules register on import)
     q_trips,
     q_basic,
+    q_spatial,
 )
