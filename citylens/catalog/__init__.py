@@ -10,4 +10,5 @@ from citylens.catalog import (  # noqa: F401  (modules register on import)
     q_trips,
     q_basic,
     q_spatial,
+    q_products,
 )

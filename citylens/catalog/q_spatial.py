@@ -114,8 +114,8 @@ SELECT route_id, vseq, latitude, longitude FROM rbv""")
 def q_read_region(spark, sf):
     from citylens.sources.ingest import read_region, write_geojson_rings
     rings = SP.bbox_rings(v(spark, sf, "v_routes"), "route_id")
-    path = write_geojson_rings(spark, rings, "route_id")
-    return read_region(spark, path).select("route_id", "vseq", "latitude", "longitude")
+    path = write_geojson_rings(spark, rings, "route_id", "route_id")
+    return read_region(spark, path, "route_id", multi_line=False).select("route_id", "vseq", "latitude", "longitude")
 
 
 # ------------------------------------------------------------------ counts, region cells
