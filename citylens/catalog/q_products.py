@@ -55,7 +55,7 @@ def _r6(df, *cols):
 SELECT ping_id, cell, max(obs_epoch) OVER g - min(obs_epoch) OVER g AS dwell_time
 FROM (SELECT *, {cell_sql('latitude', 'longitude', CO)} AS cell FROM v_pings) WINDOW g AS (PARTITION BY trip_id, route_id, cell)""")
 def q_dwell_in_cell(spark, sf):
-    p = v(spark, sf, "v_pings").withColumn("cell", H.hex_cell("latitude", "longitude", CO))
+    p = H.with_cell(v(spark, sf, "v_pings"), "latitude", "longitude", "cell", CO)
     return W.span_over(p, D.DWELL_KEYS, "obs_epoch").select("ping_id", "cell", "dwell_time")
 
 
@@ -216,7 +216,8 @@ SELECT segment_id, vseq, {cell_sql('latitude', 'longitude', FI)} AS cell FROM v_
 def q_explode_segments(spark, sf):
     vt = SG.segment_table(v(spark, sf, "v_segment_vertices"))
     ex = vt.select("segment_id", F.posexplode("coords").alias("vseq", "pt"))
-    return ex.select("segment_id", "vseq", H.hex_cell(F.col("pt")[1], F.col("pt")[0], FI).alias("cell"))
+    ex = ex.select("segment_id", "vseq", F.col("pt")[1].alias("latitude"), F.col("pt")[0].alias("longitude"))
+    return H.with_cell(ex, "latitude", "longitude", "cell", FI).select("segment_id", "vseq", "cell")
 
 
 @register("join_nearest_segment", with_("v_pings", "v_segment_vertices", extra=SNAP_SQL) + """

@@ -75,23 +75,23 @@ SELECT ping_id, {cell_sql('latitude', 'longitude', CO)} AS cell, {cell_sql('lati
        {cell_sql('latitude', 'longitude', FI)} AS cell_fine FROM v_pings""")
 def q_geo_cell(spark, sf):
     p = v(spark, sf, "v_pings")
-    return p.select("ping_id", H.hex_cell("latitude", "longitude", CO).alias("cell"),
-                    H.hex_cell("latitude", "longitude", ME).alias("cell_medium"),
-                    H.hex_cell("latitude", "longitude", FI).alias("cell_fine"))
+    p = H.with_cell(p.select("ping_id", "latitude", "longitude"), "latitude", "longitude", "cell", CO)
+    p = H.with_cell(p, "latitude", "longitude", "cell_medium", ME)
+    return H.with_cell(p, "latitude", "longitude", "cell_fine", FI).select("ping_id", "cell", "cell_medium", "cell_fine")
 
 
 @register("geo_cell_boundary", with_("v_pings", extra=PC) + f"""
 SELECT cell, {ring_text_sql('cell', CO)} AS ring FROM (SELECT DISTINCT cell FROM pc)""")
 def q_boundary(spark, sf):
-    c = v(spark, sf, "v_pings").select(H.hex_cell("latitude", "longitude", CO).alias("cell")).distinct()
-    return c.select("cell", S.ring_text(H.hex_boundary("cell", CO)).alias("ring"))
+    c = H.with_cell(v(spark, sf, "v_pings"), "latitude", "longitude", "cell", CO).select("cell").distinct()
+    return H.with_boundary(c, "cell", "r", CO).select("cell", S.ring_text("r").alias("ring"))
 
 
 @register("geo_disk", with_("v_pings", extra=PC) + f"""
 SELECT c.cell, c.cell + dq * {H.STRIDE} + dr AS nb, greatest(abs(dq), abs(dr), abs(dq + dr)) AS ring
 FROM (SELECT DISTINCT cell FROM pc) c, range(-2, 3) t1(dq), range(-2, 3) t2(dr) WHERE abs(dq + dr) <= 2""")
 def q_disk(spark, sf):
-    c = v(spark, sf, "v_pings").select(H.hex_cell("latitude", "longitude", CO).alias("cell")).distinct()
+    c = H.with_cell(v(spark, sf, "v_pings"), "latitude", "longitude", "cell", CO).select("cell").distinct()
     return SP.disk(c, 2)
 
 
@@ -121,14 +121,14 @@ def q_read_region(spark, sf):
 # ------------------------------------------------------------------ counts, region cells
 @register("agg_count_by_cell", with_("v_pings", extra=PC) + "SELECT cell, count(*) AS count FROM pc GROUP BY cell")
 def q_count_cell(spark, sf):
-    p = v(spark, sf, "v_pings").select(H.hex_cell("latitude", "longitude", CO).alias("cell"))
+    p = H.with_cell(v(spark, sf, "v_pings"), "latitude", "longitude", "cell", CO).select("cell")
     return AG.count_by(p, ["cell"])
 
 
 @register("set_difference_cells", with_("v_pings", "v_region", extra=PC + "," + REGION_CELLS) + """
 SELECT cell FROM regc WHERE cell NOT IN (SELECT cell FROM pc)""")
 def q_diff_cells(spark, sf):
-    seen = v(spark, sf, "v_pings").select(H.hex_cell("latitude", "longitude", CO).alias("cell"))
+    seen = H.with_cell(v(spark, sf, "v_pings"), "latitude", "longitude", "cell", CO).select("cell")
     return difference(_region_cells(spark, sf), seen, ["cell"])
 
 
@@ -136,7 +136,7 @@ def q_diff_cells(spark, sf):
 SELECT coalesce(a.cell, b.cell) AS cell, coalesce(b.count, 0) AS count FROM (SELECT cell FROM regc) a
 FULL OUTER JOIN (SELECT cell, count(*) AS count FROM pc GROUP BY cell) b ON a.cell = b.cell""")
 def q_zero_fill(spark, sf):
-    p = v(spark, sf, "v_pings").select(H.hex_cell("latitude", "longitude", CO).alias("cell"))
+    p = H.with_cell(v(spark, sf, "v_pings"), "latitude", "longitude", "cell", CO).select("cell")
     return zero_fill(AG.count_by(p, ["cell"]), _region_cells(spark, sf), ["cell"], "count")
 
 
@@ -153,8 +153,8 @@ def q_density(spark, sf):
 @register("json_polygon_text", with_("v_pings", extra=PC) + f"""
 SELECT cell, {polygon_json_sql('cell', CO)} AS geojson FROM (SELECT DISTINCT cell FROM pc)""")
 def q_polyjson(spark, sf):
-    c = v(spark, sf, "v_pings").select(H.hex_cell("latitude", "longitude", CO).alias("cell")).distinct()
-    return c.select("cell", S.polygon_json(H.hex_boundary("cell", CO)).alias("geojson"))
+    c = H.with_cell(v(spark, sf, "v_pings"), "latitude", "longitude", "cell", CO).select("cell").distinct()
+    return H.with_boundary(c, "cell", "r", CO).select("cell", S.polygon_json("r").alias("geojson"))
 
 
 @register("str_brackets", with_("v_routes") + """
@@ -177,8 +177,8 @@ dark AS (SELECT * FROM rcell WHERE cell NOT IN (SELECT cell FROM dpc))"""
 def _dark(spark, sf):
     done = Q.completed_trips(v(spark, sf, "v_status_history"))
     p = v(spark, sf, "v_pings").join(done, "trip_id", "left_semi")
-    seen = p.select(H.hex_cell("latitude", "longitude", CO).alias("cell"))
-    r = v(spark, sf, "v_routes").withColumn("cell", H.hex_cell("latitude", "longitude", CO))
+    seen = H.with_cell(p, "latitude", "longitude", "cell", CO).select("cell")
+    r = H.with_cell(v(spark, sf, "v_routes"), "latitude", "longitude", "cell", CO)
     return unmatched(r, seen, "cell")
 
 
@@ -191,7 +191,7 @@ def q_anti_cells(spark, sf):
 @register("win_count_weight", with_("v_routes", extra=RC) + """
 SELECT point_id, cell, count(route_id) OVER (PARTITION BY cell) AS weight FROM rcell""")
 def q_count_weight(spark, sf):
-    r = v(spark, sf, "v_routes").withColumn("cell", H.hex_cell("latitude", "longitude", CO))
+    r = H.with_cell(v(spark, sf, "v_routes"), "latitude", "longitude", "cell", CO)
     return W.count_over(r, ["cell"], "route_id").select("point_id", "cell", "weight")
 
 
@@ -201,7 +201,7 @@ mm AS (SELECT min(w) AS lo, max(w) AS hi FROM wt)
 SELECT point_id, coalesce(cast(floor(4e0 * (w - lo) / CASE WHEN hi = lo THEN NULL ELSE hi - lo END) + 1 AS integer), 1) AS weight
 FROM wt, mm""")
 def q_bucket(spark, sf):
-    r = v(spark, sf, "v_routes").withColumn("cell", H.hex_cell("latitude", "longitude", CO))
+    r = H.with_cell(v(spark, sf, "v_routes"), "latitude", "longitude", "cell", CO)
     r = W.count_over(r, ["cell"], "route_id", "w")
     r = AG.attach_one_row(r, AG.global_minmax(r, "w"))
     return r.select("point_id", S.minmax_bucket("w", "lo", "hi").alias("weight"))
@@ -210,7 +210,7 @@ def q_bucket(spark, sf):
 @register("agg_global_minmax_weight", with_("v_routes", extra=RC) + """
 SELECT min(w) AS lo, max(w) AS hi FROM (SELECT count(*) AS w FROM rcell GROUP BY cell)""")
 def q_minmax_weight(spark, sf):
-    r = v(spark, sf, "v_routes").select(H.hex_cell("latitude", "longitude", CO).alias("cell"))
+    r = H.with_cell(v(spark, sf, "v_routes"), "latitude", "longitude", "cell", CO).select("cell")
     return AG.global_minmax(AG.count_by(r, ["cell"], "w"), "w")
 
 

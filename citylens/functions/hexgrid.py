@@ -170,3 +170,63 @@ def disk_cells(cell, k: int) -> Column:
 def cell_text(cell) -> Column:
     """Human readable id ``q_r``."""
     return F.concat_ws("_", cell_q(cell).cast("string"), cell_r(cell).cast("string"))
+
+
+# ---------------------------------------------------------------- staged DataFrame forms
+# The column forms above expand to large expression trees when nested (the
+# fractional coordinates are referenced many times).  The transforms below
+# stage the computation over successive projections; Catalyst does not
+# inline a non-trivial expression that is referenced more than once
+# (CollapseProject), so each intermediate is computed once and generated
+# code stays small.
+
+def with_cell(df: DataFrame, lat: str, lon: str, out: str = "cell", grid: HexGrid = COARSE) -> DataFrame:
+    """Add the packed cell of (lat, lon) as column ``out``."""
+    cols = df.columns
+    d = df.withColumns({
+        "_hqf": F.col(lon) * F.lit(grid.cqx) - F.col(lat) * F.lit(grid.cqy),
+        "_hrf": F.col(lat) * F.lit(grid.cry),
+    })
+    d = d.withColumns({"_hsf": -F.col("_hqf") - F.col("_hrf")})
+    d = d.withColumns({
+        "_hrq": _round_half_up(F.col("_hqf")),
+        "_hrr": _round_half_up(F.col("_hrf")),
+        "_hrs": _round_half_up(F.col("_hsf")),
+    })
+    d = d.withColumns({
+        "_hdq": F.abs(F.col("_hrq") - F.col("_hqf")),
+        "_hdr": F.abs(F.col("_hrr") - F.col("_hrf")),
+        "_hds": F.abs(F.col("_hrs") - F.col("_hsf")),
+    })
+    d = d.withColumns({"_hfq": (F.col("_hdq") > F.col("_hdr")) & (F.col("_hdq") > F.col("_hds"))})
+    q = F.when(F.col("_hfq"), -F.col("_hrr") - F.col("_hrs")).otherwise(F.col("_hrq"))
+    r = F.when(~F.col("_hfq") & ~(F.col("_hds") > F.col("_hdr")), -F.col("_hrq") - F.col("_hrs")).otherwise(F.col("_hrr"))
+    return d.select(*[F.col(c) for c in cols if c != out], pack(q.cast("long"), r.cast("long")).alias(out))
+
+
+def with_boundary(df: DataFrame, cell: str = "cell", out: str = "ring", grid: HexGrid = COARSE,
+                  digits: int = 6) -> DataFrame:
+    """Add the closed boundary ring (array of [lon, lat]) of ``cell``."""
+    cols = df.columns
+    d = df.withColumns({"_bq": cell_q(cell), "_br": cell_r(cell)})
+    d = d.withColumns({"_blon": (F.col("_bq") + F.col("_br") / F.lit(2.0)) * F.lit(grid.clon),
+                       "_blat": F.col("_br") * F.lit(grid.clat)})
+    pts = [F.array(F.round(F.col("_blon") + F.lit(dx), digits), F.round(F.col("_blat") + F.lit(dy), digits))
+           for dx, dy in grid.corner_offsets()]
+    return d.select(*[F.col(c) for c in cols if c != out], F.array(*pts, pts[0]).alias(out))
+
+
+def explode_disk(df: DataFrame, k: int, cell: str = "cell", out: str = "nb", ring: str = "ring") -> DataFrame:
+    """One row per cell of the filled k-disk around ``cell`` (SP-3).
+
+    Two ``sequence`` generators over axial offsets; the row count per input
+    row is fixed by ``k`` (3k(k+1)+1).
+    """
+    cols = df.columns
+    d = df.select("*", F.explode(F.sequence(F.lit(-k), F.lit(k))).alias("_dq"))
+    lo = F.greatest(F.lit(-k), -F.col("_dq") - F.lit(k))
+    hi = F.least(F.lit(k), -F.col("_dq") + F.lit(k))
+    d = d.select("*", F.explode(F.sequence(lo, hi)).alias("_dr"))
+    nb = F.col(cell) + F.col("_dq").cast("long") * F.lit(STRIDE) + F.col("_dr").cast("long")
+    rg = F.greatest(F.abs("_dq"), F.abs("_dr"), F.abs(F.col("_dq") + F.col("_dr")))
+    return d.select(*[F.col(c) for c in cols], nb.alias(out), rg.alias(ring))

@@ -72,8 +72,7 @@ def bbox_rings(points: DataFrame, key: str, lat: str = "latitude", lon: str = "l
 # ------------------------------------------------------------------ SP-3 / JN-10 neighbours
 def disk(cells: DataFrame, k: int, cell: str = "cell") -> DataFrame:
     """(cell, nb, ring) for the filled k-disk around each cell (SP-3)."""
-    return cells.select(F.col(cell).alias("_c"), F.inline(H.disk_cells(F.col(cell), k))).select(
-        F.col("_c").alias(cell), F.col("cell").alias("nb"), "ring")
+    return H.explode_disk(cells.select(cell), k, cell, "nb", "ring")
 
 
 def present_neighbours(cells: DataFrame, k: int = 1, cell: str = "cell") -> DataFrame:
@@ -111,10 +110,10 @@ def sensor_pairs(points: DataFrame, sensors: DataFrame, radius_deg: float,
     of both tables.
     """
     g = H.HexGrid(edge_m=radius_deg * H.EARTH_RADIUS_M * math.pi / 180.0 / 2.0, lat0=0.0)
-    sb = sensors.select(sid, F.col("longitude").alias("sx"), F.col("latitude").alias("sy"),
-                        H.hex_cell("latitude", "longitude", g).alias("_b"))
-    sb = sb.select(sid, "sx", "sy", F.inline(H.disk_cells(F.col("_b"), 2))).drop("ring")
-    pb = points.withColumn("cell", H.hex_cell(F.col(py), F.col(px), g))
+    sb = H.with_cell(sensors.select(sid, F.col("longitude").alias("sx"), F.col("latitude").alias("sy")),
+                     "sy", "sx", "_b", g)
+    sb = H.explode_disk(sb, 2, "_b", "cell", "_ring").drop("_b", "_ring")
+    pb = H.with_cell(points, py, px, "cell", g)
     pairs = pb.join(sb, "cell").drop("cell")
     d = S.euclid(px, py, "sx", "sy")
     return pairs.withColumn("dist", d).where(F.col("dist") <= F.lit(radius_deg))
@@ -162,7 +161,7 @@ def unpivot_measures(df: DataFrame, ids: list[str], measures: list[str],
 # ------------------------------------------------------------------ JN-8 nearest segment
 def segment_cells(vertices: DataFrame, grid: H.HexGrid = H.FINE) -> DataFrame:
     """Segment vertices with their cell; (cell, segment) pairs (SRC-9)."""
-    return vertices.withColumn("cell", H.hex_cell("latitude", "longitude", grid))
+    return H.with_cell(vertices, "latitude", "longitude", "cell", grid)
 
 
 def snap_to_segment(points: DataFrame, vertices: DataFrame, key: str = "ping_id",
@@ -176,9 +175,8 @@ def snap_to_segment(points: DataFrame, vertices: DataFrame, key: str = "ping_id"
        by (distance, segment id).
     """
     cover = segment_cells(vertices, grid).select("cell", "segment_id").distinct()
-    p = points.select(key, "latitude", "longitude",
-                      H.hex_cell("latitude", "longitude", grid).alias("_pc"))
-    cand = p.select(key, "latitude", "longitude", F.inline(H.disk_cells(F.col("_pc"), max_ring)))
+    p = H.with_cell(points.select(key, "latitude", "longitude"), "latitude", "longitude", "_pc", grid)
+    cand = H.explode_disk(p, max_ring, "_pc", "cell", "ring").drop("_pc")
     cand = cand.join(cover, "cell")
     first_ring = F.min("ring").over(Window.partitionBy(key))      # one point's candidates only
     cand = cand.withColumn("_r0", first_ring).where(F.col("ring") == F.col("_r0"))

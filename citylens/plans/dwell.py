@@ -26,7 +26,7 @@ def cell_dwell_rows(pings: DataFrame, window=(None, None), grid: H.HexGrid = H.C
     p = p.select(*cols)
     if dropna:
         p = drop_null_rows(p)
-    p = p.withColumn("cell", H.hex_cell("latitude", "longitude", grid))
+    p = H.with_cell(p, "latitude", "longitude", "cell", grid)
     p = span_over(p, DWELL_KEYS, "obs_epoch", "dwell_time")
     p = drop_latest(p, DWELL_KEYS, ["obs_epoch", "ping_id"])
     return p.withColumn("time_slot", hour_of_week("obs_epoch"))
@@ -72,7 +72,7 @@ def score(rows: DataFrame, model: DataFrame) -> DataFrame:
 def cell_delay(pings: DataFrame, model: DataFrame, as_of: int, window=(None, None),
                grid: H.HexGrid = H.COARSE) -> DataFrame:
     """P-5: dwell per ping's (trip, route, cell), model prediction and delay."""
-    rows = score(cell_dwell_rows(pings, window, grid), model)
+    rows = H.with_boundary(score(cell_dwell_rows(pings, window, grid), model), "cell", "ring", grid)
     return rows.select(
         F.col("ping_id").cast("string").alias("primary_key"),
         epoch_micros("obs_epoch").alias("observationDateTime"),
@@ -80,7 +80,7 @@ def cell_delay(pings: DataFrame, model: DataFrame, as_of: int, window=(None, Non
         "route_id", "trip_direction", "cell", "license_plate",
         F.col("dwell_time").cast("double").alias("dwell_time"),
         F.col("time_slot").cast("string").alias("time_slot"),
-        S.polygon_json(H.hex_boundary("cell", grid)).alias("geojson"),
+        S.polygon_json("ring").alias("geojson"),
         "predicted_dwell_time",
         (F.col("dwell_time") - F.col("predicted_dwell_time")).alias("delay"),
     )

@@ -31,19 +31,19 @@ def network_black_spots(routes: DataFrame, pings: DataFrame, status: DataFrame,
     done = completed_trips(status, status_window)
     p = existing(scan_window(pings, "obs_epoch", *ping_window), done)
     p = drop_null_rows(p.select("trip_id", "obs_epoch", "route_id", "latitude", "longitude"))
-    seen = p.select(H.hex_cell("latitude", "longitude", grid).alias("cell"))
+    seen = H.with_cell(p, "latitude", "longitude", "cell", grid).select("cell")
     r = drop_null_rows(routes.select("point_id", "route_id", "latitude", "longitude"))
-    r = r.withColumn("cell", H.hex_cell("latitude", "longitude", grid))
+    r = H.with_cell(r, "latitude", "longitude", "cell", grid)
     dark = unmatched(r, seen, "cell")
     dark = count_over(dark, ["cell"], "route_id", "raw_weight")
     dark = attach_one_row(dark, global_minmax(dark, "raw_weight", "wmin", "wmax"))
-    ring = H.hex_boundary("cell", grid)
+    dark = H.with_boundary(dark, "cell", "ring", grid)
     return dark.select(
         "cell", "route_id", "latitude", "longitude",
         S.minmax_bucket("raw_weight", "wmin", "wmax").alias("weight"),
         surrogate_key("cell", "point_id", F.lit(int(as_of))).alias("primary_key"),
-        S.ring_text(ring).alias("polygon"),
-        S.polygon_json(ring).alias("coordinates"),
+        S.ring_text("ring").alias("polygon"),
+        S.polygon_json("ring").alias("coordinates"),
         observe_time_micros(as_of, offset_minutes).alias("observe_time"),
     )
 

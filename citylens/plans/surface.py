@@ -32,11 +32,11 @@ def ping_density_map(pings: DataFrame, region: DataFrame, as_of: int, days: int
     window = (as_of - days * 86400, as_of) if days else (None, None)
     p = drop_null_rows(scan_window(pings, "obs_epoch", *window).select(
         "ping_id", "trip_id", "route_id", "license_plate", "obs_epoch", "latitude", "longitude"))
-    counts = count_by(p.select(H.hex_cell("latitude", "longitude", grid).alias("cell")), ["cell"])
-    filled = zero_fill(counts, region_cells(region, grid), ["cell"], "count")
+    counts = count_by(H.with_cell(p, "latitude", "longitude", "cell", grid).select("cell"), ["cell"])
+    filled = H.with_boundary(zero_fill(counts, region_cells(region, grid), ["cell"], "count"), "cell", "ring", grid)
     return filled.select(
         "cell", F.col("count").cast("int").alias("count"),
-        S.polygon_json(H.hex_boundary("cell", grid)).alias("coordinates"),
+        S.polygon_json("ring").alias("coordinates"),
         observe_time_micros(as_of, offset_minutes).alias("observationDateTime"),
     )
 
@@ -71,11 +71,10 @@ def air_quality_surface(readings: DataFrame, sensors: DataFrame, as_of: int, res
     z = SP.idw(pairs, values, ["i", "j"], by=["pollutant"], power=power)
     fl = F.create_map(*[x for k, v in floors.items() for x in (F.lit(k), F.lit(float(v)))])
     z = z.withColumn("weight", S.clamp_floor("value", fl[F.col("pollutant")]))
-    z = z.join(m, ["i", "j"])
-    cell = H.hex_cell("my", "mx", grid)
+    z = H.with_boundary(H.with_cell(z.join(m, ["i", "j"]), "my", "mx", "cell", grid), "cell", "ring", grid)
     return z.select(
         "pollutant", "i", "j", "weight",
-        S.polygon_json(H.hex_boundary(cell, grid)).alias("coodinates"),
+        S.polygon_json("ring").alias("coodinates"),
         surrogate_key("pollutant", "i", "j", F.lit(int(as_of))).alias("primary_key"),
         observe_time_micros(as_of, offset_minutes).alias("observationDateTime"),
     )
