@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 EARTH_RADIUS_M = 6371008.8
 OFFSET = 1 << 21          # axial coordinates kept within +-2^21
 STRIDE = 1 << 22          # packed id = (q + OFFSET) * STRIDE + (r + OFFSET)
+NO_CELL = -1              # cell of a point without coordinates (valid ids are > 0)
 
 # Edge lengths standing for the three resolutions used.
 EDGE_COARSE_M = 460.0     # city cells (dwell, density, black spots)
@@ -180,28 +181,36 @@ def cell_text(cell) -> Column:
 # (CollapseProject), so each intermediate is computed once and generated
 # code stays small.
 
+def _sql_lit(x: float) -> str:
+    r = repr(float(x))
+    return r if ("e" in r or "inf" in r or "nan" in r) else r + "D"
+
+
 def with_cell(df: DataFrame, lat: str, lon: str, out: str = "cell", grid: HexGrid = COARSE) -> DataFrame:
-    """Add the packed cell of (lat, lon) as column ``out``."""
-    cols = df.columns
-    d = df.withColumns({
-        "_hqf": F.col(lon) * F.lit(grid.cqx) - F.col(lat) * F.lit(grid.cqy),
-        "_hrf": F.col(lat) * F.lit(grid.cry),
-    })
-    d = d.withColumns({"_hsf": -F.col("_hqf") - F.col("_hrf")})
-    d = d.withColumns({
-        "_hrq": _round_half_up(F.col("_hqf")),
-        "_hrr": _round_half_up(F.col("_hrf")),
-        "_hrs": _round_half_up(F.col("_hsf")),
-    })
-    d = d.withColumns({
-        "_hdq": F.abs(F.col("_hrq") - F.col("_hqf")),
-        "_hdr": F.abs(F.col("_hrr") - F.col("_hrf")),
-        "_hds": F.abs(F.col("_hrs") - F.col("_hsf")),
-    })
-    d = d.withColumns({"_hfq": (F.col("_hdq") > F.col("_hdr")) & (F.col("_hdq") > F.col("_hds"))})
-    q = F.when(F.col("_hfq"), -F.col("_hrr") - F.col("_hrs")).otherwise(F.col("_hrq"))
-    r = F.when(~F.col("_hfq") & ~(F.col("_hds") > F.col("_hdr")), -F.col("_hrq") - F.col("_hrs")).otherwise(F.col("_hrr"))
-    return d.select(*[F.col(c) for c in cols if c != out], pack(q.cast("long"), r.cast("long")).alias(out))
+    """Add the packed cell of (lat, lon) as column ``out``.
+
+    One Spark SQL statement with nested projections (a single analysis call
+    instead of dozens of Column round trips).
+    """
+    keep = ", ".join(f"`{c}`" for c in df.columns if c != out)
+    keep = keep + ", " if keep else ""
+    la, lo = f"`{lat}`", f"`{lon}`"
+    text = f"""
+SELECT {keep}coalesce(((CASE WHEN _hfq THEN -_hrr - _hrs ELSE _hrq END) + {OFFSET}) * {STRIDE}
+                      + ((CASE WHEN NOT _hfq AND NOT (_hds > _hdr) THEN -_hrq - _hrs ELSE _hrr END) + {OFFSET}),
+                      CAST({NO_CELL} AS BIGINT)) AS `{out}`
+FROM (SELECT *, (_hdq > _hdr) AND (_hdq > _hds) AS _hfq
+      FROM (SELECT *, abs(_hrq - _hqf) AS _hdq, abs(_hrr - _hrf) AS _hdr, abs(_hrs - _hsf) AS _hds
+            FROM (SELECT *, floor(_hqf + 0.5D) AS _hrq, floor(_hrf + 0.5D) AS _hrr, floor(_hsf + 0.5D) AS _hrs
+                  FROM (SELECT *, -_hqf - _hrf AS _hsf
+                        FROM (SELECT *, {lo} * {_sql_lit(grid.cqx)} - {la} * {_sql_lit(grid.cqy)} AS _hqf,
+                                        {la} * {_sql_lit(grid.cry)} AS _hrf
+                              FROM {{src}})))))"""
+    # Non-nullable on purpose: a NULL-able key expression would make Catalyst
+    # infer ``isnotnull(cell)`` for joins and push the whole expression into
+    # the scan filter.  Points without coordinates share the NO_CELL id, the
+    # same grouping a NULL key gets in an aggregate.
+    return df.sparkSession.sql(text, src=df)
 
 
 def with_boundary(df: DataFrame, cell: str = "cell", out: str = "ring", grid: HexGrid = COARSE,
