@@ -11,4 +11,5 @@ from citylens.catalog import (  # noqa: F401  (modules register on import)
     q_basic,
     q_spatial,
     q_products,
+    q_ingest,
 )
