@@ -12,4 +12,5 @@ from citylens.catalog import (  # noqa: F401  (modules register on import)
     q_spatial,
     q_products,
     q_ingest,
+    q_stream,
 )
