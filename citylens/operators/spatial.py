@@ -99,7 +99,7 @@ def mesh(points: DataFrame, res: int = 100, lat: str = "latitude", lon: str = "l
 
 # ------------------------------------------------------------------ SP-6/7 local neighbourhood, hull, IDW
 def sensor_pairs(points: DataFrame, sensors: DataFrame, radius_deg: float,
-                 px: str = "mx", py: str = "my", sid: str = "sensor_id") -> DataFrame:
+                 px: str = "mx", py: str = "my", sid: str = "sensor_id", carry: list[str] | None = None) -> DataFrame:
     """(point, sensor) pairs with planar distance <= radius (JN-9, re-aimed).
 
     Points and sensors are bucketed on a square-metric hex grid whose edge
@@ -110,8 +110,8 @@ def sensor_pairs(points: DataFrame, sensors: DataFrame, radius_deg: float,
     of both tables.
     """
     g = H.HexGrid(edge_m=radius_deg * H.EARTH_RADIUS_M * math.pi / 180.0 / 2.0, lat0=0.0)
-    sb = H.with_cell(sensors.select(sid, F.col("longitude").alias("sx"), F.col("latitude").alias("sy")),
-                     "sy", "sx", "_b", g)
+    sb = H.with_cell(sensors.select(sid, F.col("longitude").alias("sx"), F.col("latitude").alias("sy"),
+                                    *(carry or [])), "sy", "sx", "_b", g)
     sb = H.explode_disk(sb, 2, "_b", "cell", "_ring").drop("_b", "_ring")
     pb = H.with_cell(points, py, px, "cell", g)
     pairs = pb.join(sb, "cell").drop("cell")
@@ -152,6 +152,32 @@ def idw(pairs: DataFrame, values: DataFrame, keys: list[str], sid: str = "sensor
     return g.select(*keys, *by, F.coalesce("_exact", F.col("_wz") / F.col("_w")).alias(value))
 
 
+def hull_idw(pairs: DataFrame, keys: list[str], measures: list[str], power: float = 2.0,
+             px: str = "mx", py: str = "my") -> DataFrame:
+    """Hull test and inverse-distance weights for several measures in one pass.
+
+    ``pairs`` carries the sensor position (sx, sy), ``dist`` and one column
+    per measure; a single aggregation per point computes the bearings for
+    the hull test (SP-6) and the weighted sums of every measure (SP-7).
+    Points outside the hull are dropped.
+    """
+    b = F.atan2(F.col("sy") - F.col(py), F.col("sx") - F.col(px))
+    w = F.when(F.col("dist") > 0, F.lit(1.0) / F.pow(F.col("dist"), F.lit(power)))
+    aggs = [F.array_sort(F.collect_list(F.when(F.col("dist") > 0, b))).alias("bs"), F.min("dist").alias("dmin"),
+            F.sum(w).alias("_w")]
+    for m in measures:
+        aggs += [F.sum(w * F.col(m)).alias(f"_wz_{m}"),
+                 F.min(F.when(F.col("dist") == 0, F.struct(F.col("sensor_id"), F.col(m))))[m].alias(f"_ex_{m}")]
+    g = pairs.groupBy(*keys).agg(*aggs)
+    n = F.size("bs")
+    gaps = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
+                       lambda i: F.when(i < n, F.col("bs")[i] - F.col("bs")[i - 1]))
+    wrap = F.col("bs")[0] + F.lit(2 * math.pi) - F.col("bs")[n - 1]
+    inside = (F.col("dmin") == 0) | ((n >= 3) & (F.greatest(F.array_max(gaps), wrap) <= F.lit(math.pi)))
+    return g.where(inside).select(*keys, *[F.coalesce(f"_ex_{m}", F.col(f"_wz_{m}") / F.col("_w")).alias(m)
+                                           for m in measures])
+
+
 def unpivot_measures(df: DataFrame, ids: list[str], measures: list[str],
                      name: str = "pollutant", value: str = "value") -> DataFrame:
     """One row per (id, measure) (SP-8)."""

@@ -10,7 +10,7 @@ from citylens.functions import scalar as S
 from citylens.functions.timeutil import epoch_micros, hour_of_week, observe_time_micros
 from citylens.operators import spatial as SP
 from citylens.operators.clean import drop_null_rows
-from citylens.operators.windows import drop_latest, span_over, surrogate_key
+from citylens.operators.windows import surrogate_key
 from citylens.sources.scans import scan_window
 
 DWELL_KEYS = ["trip_id", "route_id", "cell"]
@@ -19,7 +19,13 @@ DWELL_KEYS = ["trip_id", "route_id", "cell"]
 def cell_dwell_rows(pings: DataFrame, window=(None, None), grid: H.HexGrid = H.COARSE,
                     dropna: bool = False) -> DataFrame:
     """Pings with their cell, dwell of (trip, route, cell) and hour-of-week,
-    the newest ping of every group removed (W-7, W-3, SC-9)."""
+    the newest ping of every group removed (W-7, W-3, SC-9).
+
+    One partially aggregated ``groupBy`` yields both the group span and the
+    newest (obs_epoch, ping_id); one join back attaches the span and drops
+    the newest row.  A hot group is combined map-side and the join's large
+    side can be split by AQE, unlike a window over the whole group.
+    """
     p = scan_window(pings, "obs_epoch", *window)
     cols = ["ping_id", "obs_epoch", "trip_id", "route_id", "trip_direction", "license_plate",
             "latitude", "longitude"]
@@ -27,9 +33,11 @@ def cell_dwell_rows(pings: DataFrame, window=(None, None), grid: H.HexGrid = H.C
     if dropna:
         p = drop_null_rows(p)
     p = H.with_cell(p, "latitude", "longitude", "cell", grid)
-    p = span_over(p, DWELL_KEYS, "obs_epoch", "dwell_time")
-    p = drop_latest(p, DWELL_KEYS, ["obs_epoch", "ping_id"])
-    return p.withColumn("time_slot", hour_of_week("obs_epoch"))
+    g = p.groupBy(*DWELL_KEYS).agg((F.max("obs_epoch") - F.min("obs_epoch")).alias("dwell_time"),
+                                   F.max(F.struct("obs_epoch", "ping_id")).alias("_newest"))
+    j = p.join(g, DWELL_KEYS)
+    j = j.where((F.col("obs_epoch") != F.col("_newest.obs_epoch")) | (F.col("ping_id") != F.col("_newest.ping_id")))
+    return j.drop("_newest").withColumn("time_slot", hour_of_week("obs_epoch"))
 
 
 def slot_means(rows: DataFrame) -> DataFrame:

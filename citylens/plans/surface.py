@@ -61,17 +61,19 @@ def air_quality_surface(readings: DataFrame, sensors: DataFrame, as_of: int, res
     -> inverse-distance weights -> floor clamp -> cell polygon per point.
     """
     floors = floors or POLLUTANT_FLOORS
+    measures = list(floors.keys())
     latest = latest_readings(readings, order)
-    located = latest.join(sensors.select("sensor_id", "latitude", "longitude"), "sensor_id")
-    values = SP.unpivot_measures(located.select("sensor_id", *floors.keys()), ["sensor_id"], list(floors.keys()))
+    # one row per sensor: small by nature, materialised once so the three
+    # uses below (box, pairs, values) do not rescan the readings
+    located = latest.join(sensors.select("sensor_id", "latitude", "longitude"), "sensor_id") \
+        .select("sensor_id", "latitude", "longitude", *measures).checkpoint(eager=True)
     m = SP.mesh(located, res)
-    pairs = SP.sensor_pairs(m, located.select("sensor_id", "latitude", "longitude"), radius_deg)
-    inside = SP.in_hull(pairs, ["i", "j"])
-    pairs = pairs.join(inside, ["i", "j"], "left_semi")
-    z = SP.idw(pairs, values, ["i", "j"], by=["pollutant"], power=power)
+    pairs = SP.sensor_pairs(m, located, radius_deg, carry=measures)
+    wide = SP.hull_idw(pairs, ["i", "j", "mx", "my"], measures, power)
+    z = SP.unpivot_measures(wide, ["i", "j", "mx", "my"], measures)
     fl = F.create_map(*[x for k, v in floors.items() for x in (F.lit(k), F.lit(float(v)))])
     z = z.withColumn("weight", S.clamp_floor("value", fl[F.col("pollutant")]))
-    z = H.with_boundary(H.with_cell(z.join(m, ["i", "j"]), "my", "mx", "cell", grid), "cell", "ring", grid)
+    z = H.with_boundary(H.with_cell(z, "my", "mx", "cell", grid), "cell", "ring", grid)
     return z.select(
         "pollutant", "i", "j", "weight",
         S.polygon_json("ring").alias("coodinates"),

@@ -88,7 +88,22 @@ def duckdb_text(view: str) -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has cores.
+
+    A table stored as one Parquet row group is read by a single task, and
+    every narrow operator after it (JSON parsing, cell math) would run on
+    one core until the first shuffle.  Large tables already have at least
+    that many splits and are returned unchanged (no extra shuffle).
+    Filters and column pruning still reach the scan through the exchange.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
