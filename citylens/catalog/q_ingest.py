@@ -186,8 +186,13 @@ def q_upsert(spark, sf):
 @register("udf_grouped_map", PINGS + """
 SELECT trip_id, min(obs_epoch) AS first_ping, max(obs_epoch) AS last_ping, count(*) AS n_pings FROM v_pings GROUP BY trip_id""")
 def q_grouped(spark, sf):
-    p = view(spark, sf, "v_pings").select("trip_id", "obs_epoch")
-    return U.apply_grouped(p, ["trip_id"], U.trip_span, U.TRIP_SPAN_SCHEMA)
+    # groups are (trip, week bucket) so no trip reaches pandas whole; the
+    # per-bucket partials are merged natively
+    p = view(spark, sf, "v_pings").select("trip_id", "obs_epoch",
+                                          F.floor(F.col("obs_epoch") / (7 * 86400)).alias("bucket"))
+    part = U.apply_grouped(p, ["trip_id", "bucket"], U.trip_span, U.TRIP_SPAN_SCHEMA)
+    return part.groupBy("trip_id").agg(F.min("first_ping").alias("first_ping"), F.max("last_ping").alias("last_ping"),
+                                       F.sum("n_pings").alias("n_pings"))
 
 
 @register("udf_scalar_vectorised", PINGS + """

@@ -87,8 +87,7 @@ def q_trip_delay(spark, sf):
     from pyspark.sql import functions as F
     live, _ = _inputs(spark, sf)
     st = P.status_rows(_run(spark, sf), AS_OF)
-    parts = [P.trip_delay(st, live, s, AS_OF).withColumn("status", F.lit(s)) for s in ("COMPLETED", "LIVE")]
-    return parts[0].unionByName(parts[1])
+    return P.trip_delay(st, live, ["COMPLETED", "LIVE"], AS_OF)
 
 
 @register("trip_deviation_by_status", STATUS_CTE + f"""
@@ -103,8 +102,7 @@ FROM classified WHERE status IN ('COMPLETED', 'LIVE') AND eta_stops_count <> com
 def q_trip_deviation(spark, sf):
     from pyspark.sql import functions as F
     run = _run(spark, sf)
-    parts = [P.trip_deviation(run, s, AS_OF).withColumn("status", F.lit(s)) for s in ("COMPLETED", "LIVE")]
-    return parts[0].unionByName(parts[1])
+    return P.trip_deviation(run, ["COMPLETED", "LIVE"], AS_OF)
 
 
 @register("scheduled_terminals", duckdb_with("v_schedule") + f""",

@@ -33,16 +33,17 @@ def vectorised(fn: Callable[..., pd.Series], return_type: T.DataType | str) -> C
 # ---- small ready-made functions used in the examples and tests
 
 def trip_span(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Per-group first/last epoch and row count."""
+    """Per-group first/last epoch and row count (groups are (trip, bucket))."""
     return pd.DataFrame({
         "trip_id": [pdf["trip_id"].iloc[0]],
+        "bucket": [pdf["bucket"].iloc[0]],
         "first_ping": [int(pdf["obs_epoch"].min())],
         "last_ping": [int(pdf["obs_epoch"].max())],
         "n_pings": [int(len(pdf))],
     })
 
 
-TRIP_SPAN_SCHEMA = "trip_id long, first_ping long, last_ping long, n_pings long"
+TRIP_SPAN_SCHEMA = "trip_id long, bucket long, first_ping long, last_ping long, n_pings long"
 
 
 def hour_of_week_pd(epoch: pd.Series) -> pd.Series:

@@ -51,7 +51,7 @@ def drop_latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def gap_seconds(df: DataFrame, keys: list[str], ts: str, tiebreak: str | None = None,
-                bucket_s: int | None = 86400, out: str = "gap") -> DataFrame:
+                bucket_s: int | None = 3600, out: str = "gap") -> DataFrame:
     """Seconds since the previous row of the same key (W-4); NULL for the first.
 
     With ``bucket_s`` the window is partitioned by (keys, time bucket) so a

@@ -13,6 +13,7 @@ from citylens.operators.aggregates import count_by
 from citylens.operators.clean import drop_null_rows
 from citylens.operators.sets import zero_fill
 from citylens.operators.windows import latest_per_key, surrogate_key
+from citylens.session import ensure_checkpoint_dir
 from citylens.sources.scans import scan_window
 
 
@@ -62,6 +63,7 @@ def air_quality_surface(readings: DataFrame, sensors: DataFrame, as_of: int, res
     """
     floors = floors or POLLUTANT_FLOORS
     measures = list(floors.keys())
+    ensure_checkpoint_dir(readings.sparkSession)
     latest = latest_readings(readings, order)
     # one row per sensor: small by nature, materialised once so the three
     # uses below (box, pairs, values) do not rescan the readings

@@ -129,29 +129,42 @@ def status_rows(run: TripRun, as_of: int, offset_minutes: int = 330) -> DataFram
     )
 
 
-def trip_delay(status_df: DataFrame, live: DataFrame, status: str, as_of: int,
+def _statuses(status) -> list[str]:
+    return [status] if isinstance(status, str) else list(status)
+
+
+def trip_delay(status_df: DataFrame, live: DataFrame, status, as_of: int,
                offset_minutes: int = 330) -> DataFrame:
-    """P-2: approximate median ping delay of trips with one status, per plate (AG-11)."""
-    trips = status_df.where(F.col("status") == status).select(F.col("trip_id").cast("long").alias("trip_id"))
-    pings = live.join(trips, "trip_id", "left_semi")
+    """P-2: approximate median ping delay per trip for one or several
+    statuses, one row per (trip, plate) (AG-11).
+
+    The status table is reduced to distinct (trip, status) first; pings are
+    restricted by a semi join (no fan-out) and the median is a partially
+    aggregated ``percentile_approx`` per trip.
+    """
+    trips = status_df.where(F.col("status").isin(*_statuses(status))).select(
+        F.col("trip_id").cast("long").alias("trip_id"), "status").distinct()
+    pings = live.join(trips.select("trip_id"), "trip_id", "left_semi")
     med = pings.groupBy("trip_id").agg(F.percentile_approx("trip_delay", 0.5).alias("trip_delay"))
     plates = pings.select("trip_id", "license_plate").distinct()
-    return plates.join(med, "trip_id").select(
+    return plates.join(med, "trip_id").join(trips, "trip_id").select(
         F.col("trip_id").cast("string").alias("trip_id"),
         "trip_delay",
         "license_plate",
         S.run_key("trip_id", as_of).alias("primary_key"),
         observe_time_micros(as_of, offset_minutes).alias("observe_time"),
+        "status",
     )
 
 
-def trip_deviation(run: TripRun, status: str, as_of: int, offset_minutes: int = 330) -> DataFrame:
-    """P-3: trips with one status whose visited stops leave the timetable (SC-20).
+def trip_deviation(run: TripRun, status, as_of: int, offset_minutes: int = 330) -> DataFrame:
+    """P-3: trips with the given status(es) whose visited stops leave the
+    timetable (SC-20).
 
     One row per (trip, plate): the reference's plate-by-plate fan-out is
     collapsed (B10).
     """
-    c = run.classified.where(F.col("status") == status)
+    c = run.classified.where(F.col("status").isin(*_statuses(status)))
     c = c.where(S.deviates("eta_stops_count", "common_stops_count") == 1)
     return c.select(
         F.col("trip_id").cast("string").alias("trip_id"),
@@ -162,6 +175,7 @@ def trip_deviation(run: TripRun, status: str, as_of: int, offset_minutes: int =
         observe_time_micros(as_of, offset_minutes).alias("observe_time"),
         "license_plate",
         S.run_key("trip_id", as_of).alias("primary_key"),
+        "status",
     )
 
 
@@ -189,3 +203,50 @@ def scheduled_terminals(sch: DataFrame, as_of: int, day_window=(None, None),
         S.daily_key("trip_id", as_of).alias("primary_key"),
         observe_time_micros(as_of, offset_minutes).alias("observed_time"),
     )
+
+
+def trip_status_job(live: DataFrame, sch: DataFrame, as_of: int, out_dir: str,
+                    live_window=(None, None), sch_window=(None, None),
+                    thresholds: TripThresholds = TripThresholds(), recent_minutes: int = 15,
+                    offset_minutes: int = 330) -> dict[str, str]:
+    """The whole status run: six outputs from one computation of P-1.
+
+    The classified per-trip table is checkpointed once (reliable checkpoint
+    under ``spark.checkpoint.dir``) and every output reads it, instead of
+    re-deriving the lineage per write.  Outputs are Parquet folders under
+    ``out_dir``: the recent-status history (append, run key), the daily
+    status table (upsert by daily key), delays and deviations for completed
+    and live trips.  Returns name -> path.
+    """
+    from citylens.functions.timeutil import date_text
+    from citylens.operators.clean import recent
+    from citylens.sources.sinks import upsert_by_key, write_upserted
+
+    from citylens.session import ensure_checkpoint_dir
+
+    spark = live.sparkSession
+    ensure_checkpoint_dir(spark)
+    run = trip_run(live, sch, as_of, live_window, sch_window, thresholds)
+    run = TripRun(run.envelope, run.plates, run.classified.checkpoint(eager=True))
+    status = status_rows(run, as_of, offset_minutes)
+    paths = {name: f"{out_dir.rstrip('/')}/{name}" for name in (
+        "trip_status", "trip_status_live", "completed_trip_with_delay", "live_trip_with_delay",
+        "completed_trip_with_deviation", "live_trip_with_deviation")}
+    hist = recent(status, "observationDateTime", as_of, recent_minutes).withColumn(
+        "primary_key", S.run_key("trip_id", as_of))
+    hist.withColumn("run_date", F.lit(date_text(as_of))).write.mode("append") \
+        .partitionBy("run_date").parquet(paths["trip_status"])
+    daily = status.withColumn("run_date", F.lit(date_text(as_of)))
+    try:
+        old = spark.read.parquet(paths["trip_status_live"]).where(F.col("run_date") == date_text(as_of))
+        daily = upsert_by_key(old, daily, ["primary_key", "license_plate"], ["observe_time"])
+        daily = daily.checkpoint(eager=True)          # never overwrite the folder being read
+    except Exception:  # noqa: BLE001  (first run of the day: nothing stored yet)
+        pass
+    write_upserted(spark, daily, paths["trip_status_live"], ["run_date"])
+    for st, kind in (("COMPLETED", "completed"), ("LIVE", "live")):
+        trip_delay(status, live, st, as_of, offset_minutes).write.mode("append") \
+            .parquet(paths[f"{kind}_trip_with_delay"])
+        trip_deviation(run, st, as_of, offset_minutes).write.mode("append") \
+            .parquet(paths[f"{kind}_trip_with_deviation"])
+    return paths

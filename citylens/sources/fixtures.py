@@ -100,10 +100,12 @@ def spread(df: DataFrame) -> DataFrame:
     that many splits and are returned unchanged (no extra shuffle).
     Filters and column pruning still reach the scan through the exchange.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (e.g. a Connect session without RDD access)
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

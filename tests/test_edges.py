@@ -174,3 +174,19 @@ def test_timetable_malformed_ids(spark):
     r = I.flatten_timetable(df, "2024-01-16").collect()[0]
     assert r.trip_id is None and r.stop_id == 5
     assert r.arrival_time == (1705363200 + 6 * 3600) * 1_000_000
+
+
+def test_trip_status_job_writes_six_outputs(spark):
+    from citylens.session import scratch_path
+    from citylens.sources.fixtures import view
+    sf = "/root/testdata/sf0.001"
+    out = scratch_path(spark, "job")
+    live, sch = view(spark, sf, "v_pings"), view(spark, sf, "v_schedule")
+    th = P.TripThresholds(late_s=432000)
+    paths = P.trip_status_job(live, sch, 1705363200, out, thresholds=th, recent_minutes=10 * 24 * 60)
+    assert len(paths) == 6
+    n_status = P.trip_status(live, sch, 1705363200, thresholds=th).count()
+    assert spark.read.parquet(paths["trip_status_live"]).count() == n_status
+    # a rerun the same day replaces the daily rows instead of duplicating them
+    P.trip_status_job(live, sch, 1705363200 + 900, out, thresholds=th)
+    assert spark.read.parquet(paths["trip_status_live"]).count() == n_status
