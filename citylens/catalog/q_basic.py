@@ -171,7 +171,7 @@ def q_semi(spark, sf):
 
 # ------------------------------------------------------------------ aggregates
 @register("agg_collect_stops", SCH + """
-SELECT trip_id, len(list(DISTINCT stop_id)) AS n_stops,
+SELECT trip_id, cast(len(list(DISTINCT stop_id)) AS INTEGER) AS n_stops,
        '[' || array_to_string(list_sort(list(DISTINCT stop_id)), ', ') || ']' AS stops
 FROM v_schedule GROUP BY trip_id""")
 def q_collect(spark, sf):
@@ -246,8 +246,8 @@ def _progress(spark, sf):
 
 
 @register("agg_common_stop_ratio", PS + f""", {PROGRESS_SQL}
-SELECT trip_id, len(sch_stops) AS sch_stops_count, len(eta_stops) AS eta_stops_count,
-       len(common_stops) AS common_stops_count, len(common_stops) / len(sch_stops) AS percent FROM prog""")
+SELECT trip_id, cast(len(sch_stops) AS INTEGER) AS sch_stops_count, cast(len(eta_stops) AS INTEGER) AS eta_stops_count,
+       cast(len(common_stops) AS INTEGER) AS common_stops_count, len(common_stops) / len(sch_stops) AS percent FROM prog""")
 def q_progress(spark, sf):
     return _progress(spark, sf).select("trip_id", "sch_stops_count", "eta_stops_count", "common_stops_count", "percent")
 
@@ -275,7 +275,7 @@ def q_arr_text(spark, sf):
 
 @register("arr_size_get", SCH + """,
 ss AS (SELECT trip_id, list_sort(list(DISTINCT stop_id)) AS s FROM v_schedule GROUP BY trip_id)
-SELECT trip_id, len(s) AS n_stops, s[1] AS first_stop, s[2] AS second_stop, s[101] AS stop_100 FROM ss""")
+SELECT trip_id, cast(len(s) AS INTEGER) AS n_stops, s[1] AS first_stop, s[2] AS second_stop, s[101] AS stop_100 FROM ss""")
 def q_size_get(spark, sf):
     st = AG.collect_sorted_set(_sch(spark, sf), ["trip_id"], "stop_id", "s")
     return st.select("trip_id", F.size("s").alias("n_stops"), S.element("s", 0).alias("first_stop"),

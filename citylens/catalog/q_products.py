@@ -266,7 +266,8 @@ loc AS (SELECT l.*, s.latitude, s.longitude FROM latest l JOIN v_sensors s USING
 vals AS (UNPIVOT (SELECT sensor_id, co2, co, no2, so2, pm10, pm2p5 FROM loc)
          ON co2, co, no2, so2, pm10, pm2p5 INTO NAME pollutant VALUE value),
 bb AS (SELECT min(longitude) AS x0, max(longitude) AS x1, min(latitude) AS y0, max(latitude) AS y1 FROM loc),
-m AS (SELECT i, j, x0 + (x1 - x0) * j / {float(RES - 1)!r}e0 AS mx, y0 + (y1 - y0) * i / {float(RES - 1)!r}e0 AS my
+m AS (SELECT cast(i AS INTEGER) AS i, cast(j AS INTEGER) AS j, x0 + (x1 - x0) * j / {float(RES - 1)!r}e0 AS mx,
+             y0 + (y1 - y0) * i / {float(RES - 1)!r}e0 AS my
       FROM bb, range({RES}) t(i), range({RES}) u(j)),
 pr AS (SELECT * FROM (SELECT m.i, m.j, m.mx, m.my, loc.sensor_id, loc.longitude AS sx, loc.latitude AS sy,
                              sqrt(pow(m.mx - loc.longitude, 2) + pow(m.my - loc.latitude, 2)) AS dist FROM m, loc)
@@ -314,7 +315,8 @@ def q_clamp(spark, sf):
 
 
 @register("geo_mesh", with_("v_sensors") + f"""
-SELECT i, j, x0 + (x1 - x0) * j / {float(RES - 1)!r}e0 AS mx, y0 + (y1 - y0) * i / {float(RES - 1)!r}e0 AS my
+SELECT cast(i AS INTEGER) AS i, cast(j AS INTEGER) AS j, x0 + (x1 - x0) * j / {float(RES - 1)!r}e0 AS mx,
+       y0 + (y1 - y0) * i / {float(RES - 1)!r}e0 AS my
 FROM (SELECT min(longitude) AS x0, max(longitude) AS x1, min(latitude) AS y0, max(latitude) AS y1 FROM v_sensors),
      range({RES}) t(i), range({RES}) u(j)""")
 def q_mesh(spark, sf):

@@ -88,7 +88,7 @@ def q_boundary(spark, sf):
 
 
 @register("geo_disk", with_("v_pings", extra=PC) + f"""
-SELECT c.cell, c.cell + dq * {H.STRIDE} + dr AS nb, greatest(abs(dq), abs(dr), abs(dq + dr)) AS ring
+SELECT c.cell, c.cell + dq * {H.STRIDE} + dr AS nb, cast(greatest(abs(dq), abs(dr), abs(dq + dr)) AS INTEGER) AS ring
 FROM (SELECT DISTINCT cell FROM pc) c, range(-2, 3) t1(dq), range(-2, 3) t2(dr) WHERE abs(dq + dr) <= 2""")
 def q_disk(spark, sf):
     c = H.with_cell(v(spark, sf, "v_pings"), "latitude", "longitude", "cell", CO).select("cell").distinct()

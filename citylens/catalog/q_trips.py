@@ -37,8 +37,9 @@ eta_stops AS (SELECT p.trip_id, list_sort(list(DISTINCT p.last_stop_id)) AS eta_
               WHERE EXISTS (SELECT 1 FROM sch s WHERE s.trip_id = p.trip_id) GROUP BY p.trip_id),
 prog AS (SELECT e.trip_id, e.eta_stops, s.sch_stops, list_sort(list_intersect(e.eta_stops, s.sch_stops)) AS common_stops
          FROM eta_stops e JOIN sch_stops s USING (trip_id)),
-prog2 AS (SELECT *, len(sch_stops) AS sch_stops_count, len(eta_stops) AS eta_stops_count,
-                 len(common_stops) AS common_stops_count, len(common_stops) / len(sch_stops) AS percent FROM prog),
+prog2 AS (SELECT *, cast(len(sch_stops) AS INTEGER) AS sch_stops_count, cast(len(eta_stops) AS INTEGER) AS eta_stops_count,
+                 cast(len(common_stops) AS INTEGER) AS common_stops_count, len(common_stops) / len(sch_stops) AS percent
+          FROM prog),
 merged AS (SELECT env.trip_id, env.start_time, env.end_time, eta_env.license_plate, eta_env.mn, eta_env.mx,
                   eta_env.mlat, eta_env.mlon, prog2.*  EXCLUDE (trip_id),
                   abs(CASE WHEN env.end_time = env.start_time THEN NULL
