@@ -11,6 +11,7 @@ from citylens.functions.timeutil import epoch_micros, hour_of_week, observe_time
 from citylens.operators import spatial as SP
 from citylens.operators.clean import drop_null_rows
 from citylens.operators.windows import surrogate_key
+from citylens.session import ensure_checkpoint_dir
 from citylens.sources.scans import scan_window
 
 DWELL_KEYS = ["trip_id", "route_id", "cell"]
@@ -159,7 +160,10 @@ def cell_dwell_forecast(dwell: DataFrame, cells: DataFrame, as_of: int, slots: i
     here the graph filter is applied as a join/aggregate and the temporal
     part is a fixed weighted sum of the lags, then unscaled and cleaned.
     """
-    panel = hourly_panel(dwell, cells, as_of, slots, slot_s, cap)
+    # the dense panel is bounded by region cells x directions x slots and is
+    # read three times by the smoothing -> materialise it once
+    ensure_checkpoint_dir(dwell.sparkSession)
+    panel = hourly_panel(dwell, cells, as_of, slots, slot_s, cap).checkpoint(eager=True)
     scaled = panel.withColumn("mean_dwell", S.scale("mean_dwell"))
     sm = graph_smooth(scaled)
     wexpr = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.col("slot") + 1)

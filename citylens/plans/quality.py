@@ -12,6 +12,7 @@ from citylens.operators.aggregates import attach_one_row, global_minmax
 from citylens.operators.clean import drop_null_rows
 from citylens.operators.joins import existing, unmatched
 from citylens.operators.windows import count_over, gap_seconds, surrogate_key
+from citylens.session import ensure_checkpoint_dir
 from citylens.sources.scans import scan_status, scan_window
 
 
@@ -34,7 +35,10 @@ def network_black_spots(routes: DataFrame, pings: DataFrame, status: DataFrame,
     seen = H.with_cell(p, "latitude", "longitude", "cell", grid).select("cell")
     r = drop_null_rows(routes.select("point_id", "route_id", "latitude", "longitude"))
     r = H.with_cell(r, "latitude", "longitude", "cell", grid)
-    dark = unmatched(r, seen, "cell")
+    # route points in dark cells: bounded by the route network, used three
+    # times below (weights, global range, output) -> computed once
+    ensure_checkpoint_dir(routes.sparkSession)
+    dark = unmatched(r, seen, "cell").checkpoint(eager=True)
     dark = count_over(dark, ["cell"], "route_id", "raw_weight")
     dark = attach_one_row(dark, global_minmax(dark, "raw_weight", "wmin", "wmax"))
     dark = H.with_boundary(dark, "cell", "ring", grid)
