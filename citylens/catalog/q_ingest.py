@@ -136,11 +136,18 @@ def q_rows(spark, sf):
                                                        F.coalesce("n", F.lit(0)).alias("n"))
 
 
-@register("read_sensor_csv", duckdb_with("v_sensors") + """
+# every supplier as a sensor (same coordinate rule as v_sensors, no id cut)
+# so that the file grows with the tables
+_ALL_SENSORS = """SELECT s_suppkey AS sensor_id, 18.44e0 + 0.14e0 * ((s_suppkey * 61) % 103) / 103e0 AS latitude,
+  73.78e0 + 0.18e0 * ((s_suppkey * 37) % 101) / 101e0 AS longitude FROM {supplier}"""
+
+
+@register("read_sensor_csv", "WITH s AS (" + _ALL_SENSORS.format(supplier="supplier") + """)
 SELECT 'S' || cast(sensor_id AS varchar) AS id, longitude, latitude, 'Sensor ' || cast(sensor_id AS varchar) || ', Pune' AS address
-FROM v_sensors""")
+FROM s""")
 def q_csv(spark, sf):
-    s = view(spark, sf, "v_sensors").select(
+    from citylens.sources.fixtures import read_table
+    s = spark.sql(_ALL_SENSORS, supplier=read_table(spark, sf, "supplier")).select(
         F.concat(F.lit("S"), F.col("sensor_id").cast("string")).alias("id"), "longitude", "latitude",
         F.concat(F.lit("Sensor "), F.col("sensor_id").cast("string"), F.lit(", Pune")).alias("address"))
     return I.read_sensors(spark, I.write_sensor_csv(spark, s))

@@ -152,10 +152,14 @@ def q_panel(spark, sf):
     return _r6(p, "mean_dwell")
 
 
-@register("join_cell_neighbours", with_("v_pings", "v_region", extra=PANEL_SQL) + """
-SELECT a.cell, a.nb FROM nb a""")
+@register("join_cell_neighbours", with_("v_pings") + f""",
+pc AS (SELECT DISTINCT {cell_sql('latitude', 'longitude', CO)} AS cell FROM v_pings)
+SELECT a.cell, b.cell AS nb FROM pc a, pc b
+WHERE (abs({q_sql('b.cell')} - {q_sql('a.cell')}) + abs({r_sql('b.cell')} - {r_sql('a.cell')})
+       + abs({q_sql('b.cell')} - {q_sql('a.cell')} + {r_sql('b.cell')} - {r_sql('a.cell')})) / 2 <= 1""")
 def q_neighbours(spark, sf):
-    return SP.present_neighbours(_region_cells(spark, sf), 1).select("cell", "nb")
+    cells = H.with_cell(v(spark, sf, "v_pings"), "latitude", "longitude", "cell", CO).select("cell")
+    return SP.present_neighbours(cells, 1).select("cell", "nb")
 
 
 @register("agg_neighbour_smooth", with_("v_pings", "v_region", extra=PANEL_SQL) + """
@@ -314,13 +318,10 @@ def q_clamp(spark, sf):
     return u.withColumn("value", S.clamp_floor("value", fl[F.col("pollutant")]))
 
 
-@register("geo_mesh", with_("v_sensors") + f"""
-SELECT cast(i AS INTEGER) AS i, cast(j AS INTEGER) AS j, x0 + (x1 - x0) * j / {float(RES - 1)!r}e0 AS mx,
-       y0 + (y1 - y0) * i / {float(RES - 1)!r}e0 AS my
-FROM (SELECT min(longitude) AS x0, max(longitude) AS x1, min(latitude) AS y0, max(latitude) AS y1 FROM v_sensors),
-     range({RES}) t(i), range({RES}) u(j)""")
+@register("geo_mesh", with_("v_readings", "v_sensors", extra=SURF_SQL) + "\nSELECT i, j, mx, my FROM m")
 def q_mesh(spark, sf):
-    return SP.mesh(v(spark, sf, "v_sensors"), RES)
+    loc = _latest(spark, sf).join(v(spark, sf, "v_sensors"), "sensor_id")
+    return SP.mesh(loc, RES)
 
 
 def _pairs(spark, sf):
