@@ -282,7 +282,7 @@ gaps AS (SELECT i, j, coalesce(lead(b) OVER w, first_value(b) OVER w + 2 * pi())
 hull AS (SELECT i, j FROM (SELECT i, j, max(gap) AS mg, count(*) AS n FROM gaps GROUP BY i, j) WHERE n >= 3 AND mg <= pi()
          UNION SELECT DISTINCT i, j FROM pr WHERE dist = 0),
 z AS (SELECT p.i, p.j, vals.pollutant,
-             coalesce(arg_min(vals.value, p.sensor_id) FILTER (WHERE p.dist = 0),
+             coalesce(avg(vals.value) FILTER (WHERE p.dist = 0),
                       sum(CASE WHEN p.dist > 0 THEN 1e0 / pow(p.dist, 2e0) END * vals.value)
                       / sum(CASE WHEN p.dist > 0 THEN 1e0 / pow(p.dist, 2e0) END)) AS value
       FROM pr p JOIN hull USING (i, j) JOIN vals USING (sensor_id) GROUP BY ALL)"""
@@ -325,9 +325,11 @@ def q_mesh(spark, sf):
 
 
 def _pairs(spark, sf):
-    loc = _latest(spark, sf).join(v(spark, sf, "v_sensors"), "sensor_id")
+    from citylens.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    loc = _latest(spark, sf).join(v(spark, sf, "v_sensors"), "sensor_id").checkpoint(eager=True)
     m = SP.mesh(loc, RES)
-    return loc, SP.sensor_pairs(m, loc.select("sensor_id", "latitude", "longitude"), RADIUS)
+    return loc, SP.sensor_pairs(m, loc, RADIUS, carry=list(SU.POLLUTANT_FLOORS))
 
 
 @register("join_grid_x_sensors", with_("v_readings", "v_sensors", extra=SURF_SQL) + """
@@ -344,11 +346,10 @@ def q_hull(spark, sf):
 @register("geo_interpolate", with_("v_readings", "v_sensors", extra=SURF_SQL) + """
 SELECT i, j, pollutant, round(value, 6) AS value FROM z""")
 def q_idw(spark, sf):
-    loc, pairs = _pairs(spark, sf)
-    inside = SP.in_hull(pairs, ["i", "j"])
-    vals = SP.unpivot_measures(loc.select("sensor_id", *SU.POLLUTANT_FLOORS), ["sensor_id"], list(SU.POLLUTANT_FLOORS))
-    z = SP.idw(pairs.join(inside, ["i", "j"], "left_semi"), vals, ["i", "j"], by=["pollutant"])
-    return _r6(z, "value")
+    _, pairs = _pairs(spark, sf)
+    meas = list(SU.POLLUTANT_FLOORS)
+    wide = SP.hull_idw(pairs, ["i", "j"], meas)
+    return _r6(SP.unpivot_measures(wide, ["i", "j"], meas), "value")
 
 
 @register("air_quality_surface", with_("v_readings", "v_sensors", extra=SURF_SQL) + f""",

@@ -141,14 +141,16 @@ def idw(pairs: DataFrame, values: DataFrame, keys: list[str], sid: str = "sensor
         value: str = "value", by: list[str] | None = None, power: float = 2.0) -> DataFrame:
     """Inverse-distance weighted value per point (and ``by`` group) (SP-7).
 
-    Shepard's weights 1/d^p; a point on a sensor takes that sensor's value.
+    Shepard's weights 1/d^p; a point on a sensor takes that sensor's value
+    (the mean of co-located sensors).  Plain sums and averages keep the
+    aggregation hash-based.
     """
     by = by or []
     j = pairs.join(values, sid)
     w = F.when(F.col("dist") > 0, F.lit(1.0) / F.pow(F.col("dist"), F.lit(power)))
     g = j.groupBy(*keys, *by).agg(
         F.sum(w * F.col(value)).alias("_wz"), F.sum(w).alias("_w"),
-        F.min(F.when(F.col("dist") == 0, F.struct(F.col(sid), F.col(value))))[value].alias("_exact"))
+        F.avg(F.when(F.col("dist") == 0, F.col(value))).alias("_exact"))
     return g.select(*keys, *by, F.coalesce("_exact", F.col("_wz") / F.col("_w")).alias(value))
 
 
@@ -167,7 +169,7 @@ def hull_idw(pairs: DataFrame, keys: list[str], measures: list[str], power: floa
             F.sum(w).alias("_w")]
     for m in measures:
         aggs += [F.sum(w * F.col(m)).alias(f"_wz_{m}"),
-                 F.min(F.when(F.col("dist") == 0, F.struct(F.col("sensor_id"), F.col(m))))[m].alias(f"_ex_{m}")]
+                 F.avg(F.when(F.col("dist") == 0, F.col(m))).alias(f"_ex_{m}")]
     g = pairs.groupBy(*keys).agg(*aggs)
     n = F.size("bs")
     gaps = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
