@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from citylens.functions import scalar as S
 from citylens.functions.timeutil import epoch_micros, observe_time_micros
-from citylens.operators.clean import drop_null_rows, extreme_rows
+from citylens.operators.clean import drop_null_rows
 from citylens.sources.scans import scan_window
 
 
@@ -183,8 +183,14 @@ def scheduled_terminals(sch: DataFrame, as_of: int, day_window=(None, None),
                         single_stop_end_null: bool = True, offset_minutes: int = 330) -> DataFrame:
     """P-4: first and last scheduled stop and times per trip (AG-4)."""
     sch = scan_window(sch, "arrival_epoch", *day_window, closed=False)
-    ext = extreme_rows(sch, ["trip_id"], {"end_time": ("max", "arrival_epoch"),
-                                           "start_time": ("min", "departure_epoch")})
+    # A timetable partition is one trip's stops (bounded), so a window is
+    # cheap here, and the following groupBy on the same key reuses its
+    # hash partitioning: one shuffle in total.
+    w = Window.partitionBy("trip_id")
+    ext = sch.select("trip_id", "stop_sequence", "stop_id", "arrival_epoch", "departure_epoch",
+                     F.max("arrival_epoch").over(w).alias("end_time"),
+                     F.min("departure_epoch").over(w).alias("start_time"))
+    ext = ext.where((F.col("arrival_epoch") == F.col("end_time")) | (F.col("departure_epoch") == F.col("start_time")))
     seq_stop = F.struct("stop_sequence", "stop_id")
     term = ext.groupBy("trip_id").agg(
         F.min(seq_stop)["stop_id"].alias("start_stop"),
