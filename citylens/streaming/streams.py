@@ -58,9 +58,9 @@ def run_available_now(df: DataFrame, name: str, mode: str = "append", path: str
 
 
 def run_foreach_batch(df: DataFrame, name: str, fn: Callable[[DataFrame, int], None],
-                      timeout_s: int = 600) -> None:
+                      timeout_s: int = 600, checkpoint: str | None = None) -> None:
     spark = df.sparkSession
-    ck = scratch_path(spark, f"stream-{name}-ckpt")
+    ck = checkpoint or scratch_path(spark, f"stream-{name}-ckpt")
     q = df.writeStream.foreachBatch(fn).option("checkpointLocation", ck).trigger(availableNow=True).start()
     q.awaitTermination(timeout_s)
     if q.isActive:
@@ -103,29 +103,37 @@ def sessions(pings: DataFrame, gap: str, watermark: str = "1 hour",
                       "n_messages", "first_epoch", "last_epoch")
 
 
-def stream_latest(readings: DataFrame, keys: list[str], order: list[str], name: str = "latest") -> str:
+def stream_latest(readings: DataFrame, keys: list[str], order: list[str], name: str = "latest",
+                  path: str | None = None) -> str | None:
     """Newest row per key kept across micro-batches (ST-4).
 
-    Each micro-batch merges into the previous version (SNK-2 upsert) and
-    writes a new version folder; the previous version is only read, never
-    overwritten.  Returns the folder holding the current version pointer
-    layout ``<base>/v=<batch_id>``.
+    Every micro-batch merges into the previous version (SNK-2 upsert) and
+    writes ``<path>/v=<batch_id>``; a version is only ever read by the next
+    batch, never overwritten while read.  Batch ids are consecutive and a
+    restarted query re-runs its last batch with the same id, so the chain is
+    rebuilt exactly from ``v=<batch_id - 1>``.  Returns the version written
+    by this run (``None`` when there was nothing new to process).
     """
     spark = readings.sparkSession
-    base = scratch_path(spark, f"stream-{name}")
-    state = {"last": None}
+    base = path or scratch_path(spark, f"stream-{name}")
+    written: list[str] = []
+
+    def version(batch_id: int) -> str:
+        return f"{base}/v={batch_id}"
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         fresh = latest_per_key(batch, keys, order)
-        if state["last"] is not None:
-            prev = spark.read.parquet(state["last"])
-            fresh = latest_per_key(prev.unionByName(fresh), keys, order)
-        target = f"{base}/v={batch_id}"
-        fresh.write.mode("overwrite").parquet(target)
-        state["last"] = target
-
-    run_foreach_batch(readings, name, merge)
-    return state["last"]
+        if batch_id > 0:
+            try:
+                prev = spark.read.parquet(version(batch_id - 1))
+                fresh = latest_per_key(prev.unionByName(fresh), keys, order)
+            except Exception:  # noqa: BLE001  (no earlier version: first batch of this table)
+                pass
+        fresh.write.mode("overwrite").parquet(version(batch_id))
+        written.append(version(batch_id))
+
+    run_foreach_batch(readings, name, merge, checkpoint=f"{base}-ckpt")
+    return written[-1] if written else None     # None: no new data in this run
 
 
 def dedup_stream(src: DataFrame, key: str, ts: str = "obs_ts", watermark: str = "1 hour") -> DataFrame:

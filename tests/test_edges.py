@@ -190,3 +190,21 @@ def test_trip_status_job_writes_six_outputs(spark):
     # a rerun the same day replaces the daily rows instead of duplicating them
     P.trip_status_job(live, sch, 1705363200 + 900, out, thresholds=th)
     assert spark.read.parquet(paths["trip_status_live"]).count() == n_status
+
+
+def test_stream_latest_matches_batch_and_restarts(spark):
+    from citylens.session import scratch_path
+    from citylens.plans.surface import latest_readings
+    from citylens.sources.fixtures import view
+    from citylens.streaming import streams as ST
+    sf = "/root/testdata/sf0.001"
+    base = scratch_path(spark, "latest-test")
+    src = ST.stream_view(spark, sf, "v_readings").na.drop()
+    order = ["obs_ts", "k1", "k2", "k3"]
+    last = ST.stream_latest(src, ["sensor_id"], order, path=base)
+    got = {r.sensor_id: (r.k1, r.k2, r.k3) for r in spark.read.parquet(last).collect()}
+    want = {r.sensor_id: (r.k1, r.k2, r.k3) for r in latest_readings(view(spark, sf, "v_readings")).collect()}
+    assert got == want
+    # restart on the same checkpoint: nothing new, nothing rewritten
+    again = ST.stream_latest(ST.stream_view(spark, sf, "v_readings").na.drop(), ["sensor_id"], order, path=base)
+    assert again is None
