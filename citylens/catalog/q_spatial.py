@@ -203,8 +203,8 @@ FROM wt, mm""")
 def q_bucket(spark, sf):
     r = H.with_cell(v(spark, sf, "v_routes"), "latitude", "longitude", "cell", CO)
     r = W.count_over(r, ["cell"], "route_id", "w")
-    r = AG.attach_one_row(r, AG.global_minmax(r, "w"))
-    return r.select("point_id", S.minmax_bucket("w", "lo", "hi").alias("weight"))
+    lo, hi = AG.global_bounds(r, "w")
+    return r.select("point_id", S.minmax_bucket("w", lo, hi).alias("weight"))
 
 
 @register("agg_global_minmax_weight", with_("v_routes", extra=RC) + """

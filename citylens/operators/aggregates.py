@@ -29,14 +29,17 @@ def conditional_counts(df: DataFrame, keys: list[str], conds: dict[str, Column])
 
 
 def global_minmax(df: DataFrame, column: str, lo: str = "lo", hi: str = "hi") -> DataFrame:
-    """One-row min/max (AG-6).  Attach with a broadcast join of that one row
-    (size 1, so the broadcast is bounded) instead of collecting it."""
+    """One-row min/max (AG-6)."""
     return df.agg(F.min(column).alias(lo), F.max(column).alias(hi))
 
 
-def attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach a single-row frame to every row (bounded broadcast)."""
-    return df.crossJoin(F.broadcast(one_row))
+def global_bounds(df: DataFrame, column: str) -> tuple[Column, Column]:
+    """min/max of a column as scalar subqueries, usable in any expression.
+
+    Spark runs them once (merged into one subquery) and inlines the values:
+    no collect to the driver and no join to attach them.
+    """
+    return df.agg(F.min(column)).scalar(), df.agg(F.max(column)).scalar()
 
 
 def dedup_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

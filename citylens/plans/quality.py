@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from citylens.functions import hexgrid as H
 from citylens.functions import scalar as S
 from citylens.functions.timeutil import observe_time_micros
-from citylens.operators.aggregates import attach_one_row, global_minmax
+from citylens.operators.aggregates import global_bounds
 from citylens.operators.clean import drop_null_rows
 from citylens.operators.joins import existing, unmatched
 from citylens.operators.windows import count_over, gap_seconds, surrogate_key
@@ -40,11 +40,11 @@ def network_black_spots(routes: DataFrame, pings: DataFrame, status: DataFrame,
     ensure_checkpoint_dir(routes.sparkSession)
     dark = unmatched(r, seen, "cell").checkpoint(eager=True)
     dark = count_over(dark, ["cell"], "route_id", "raw_weight")
-    dark = attach_one_row(dark, global_minmax(dark, "raw_weight", "wmin", "wmax"))
+    wmin, wmax = global_bounds(dark, "raw_weight")
     dark = H.with_boundary(dark, "cell", "ring", grid)
     return dark.select(
         "cell", "route_id", "latitude", "longitude",
-        S.minmax_bucket("raw_weight", "wmin", "wmax").alias("weight"),
+        S.minmax_bucket("raw_weight", wmin, wmax).alias("weight"),
         surrogate_key("cell", "point_id", F.lit(int(as_of))).alias("primary_key"),
         S.ring_text("ring").alias("polygon"),
         S.polygon_json("ring").alias("coordinates"),
