@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from citylens.catalog.q_trips import DAY_TXT, OBS_US, STATUS_CTE, TH, _inputs, _run
+from citylens.catalog.q_trips import DAY_TXT, STATUS_CTE, _inputs, _run
 from citylens.catalog.registry import AS_OF, OFFSET_MIN, WEEK_S, register
 from citylens.functions import scalar as S
 from citylens.functions import timeutil as TU

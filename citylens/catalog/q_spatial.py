@@ -3,23 +3,18 @@ W-2/3/5/7, SET-2/4, SC-3/12/14/18/19/21/24/26, PRJ-7, SRC-9, P-5 .. P-12)."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import functions as F
 
-from citylens.catalog.hexsql import cell_sql, lit, polygon_json_sql, q_sql, r_sql, ring_text_sql
+from citylens.catalog.hexsql import cell_sql, lit, polygon_json_sql, ring_text_sql
 from citylens.catalog.registry import AS_OF, GAP_S, OFFSET_MIN, WEEK_S, register
 from citylens.functions import hexgrid as H
 from citylens.functions import scalar as S
-from citylens.functions.timeutil import hour_of_week
 from citylens.operators import aggregates as AG
 from citylens.operators import spatial as SP
 from citylens.operators import windows as W
 from citylens.operators.joins import unmatched
 from citylens.operators.sets import difference, zero_fill
-from citylens.plans import dwell as D
 from citylens.plans import quality as Q
-from citylens.plans import segments as SG
 from citylens.plans import surface as SU
 from citylens.sources.fixtures import duckdb_with, view
 

@@ -85,7 +85,6 @@ SELECT cast(trip_id AS varchar) AS trip_id, med.trip_delay, pl.license_plate,
 FROM (SELECT DISTINCT trip_id, status, license_plate FROM pp) pl JOIN med USING (trip_id, status)
 """)
 def q_trip_delay(spark, sf):
-    from pyspark.sql import functions as F
     live, _ = _inputs(spark, sf)
     st = P.status_rows(_run(spark, sf), AS_OF)
     return P.trip_delay(st, live, ["COMPLETED", "LIVE"], AS_OF)
@@ -101,7 +100,6 @@ SELECT DISTINCT cast(trip_id AS varchar) AS trip_id,
 FROM classified WHERE status IN ('COMPLETED', 'LIVE') AND eta_stops_count <> common_stops_count
 """)
 def q_trip_deviation(spark, sf):
-    from pyspark.sql import functions as F
     run = _run(spark, sf)
     return P.trip_deviation(run, ["COMPLETED", "LIVE"], AS_OF)
 
