@@ -192,23 +192,33 @@ def segment_cells(vertices: DataFrame, grid: H.HexGrid = H.FINE) -> DataFrame:
     return H.with_cell(vertices, "latitude", "longitude", "cell", grid)
 
 
+def segment_reach(vertices: DataFrame, max_ring: int = 4, grid: H.HexGrid = H.FINE) -> DataFrame:
+    """For every cell within ``max_ring`` of the road network: the segments
+    whose vertex cells are nearest to it (smallest ring).  Built from the
+    segment table only, so its size is bounded by the network, not by the
+    number of points snapped to it."""
+    cover = segment_cells(vertices, grid).select("cell", "segment_id").distinct()
+    near = H.explode_disk(cover, max_ring, "cell", "target", "ring")
+    first = F.min("ring").over(Window.partitionBy("target"))      # segments near one cell only
+    near = near.withColumn("_r0", first).where(F.col("ring") == F.col("_r0"))
+    return near.select(F.col("target").alias("cell"), "segment_id").distinct()
+
+
 def snap_to_segment(points: DataFrame, vertices: DataFrame, key: str = "ping_id",
                     max_ring: int = 4, grid: H.HexGrid = H.FINE) -> DataFrame:
     """Nearest road segment per point, NULL when none within ``max_ring`` (JN-8).
 
-    1. explode the point's cell into its filled disk (fixed 3k(k+1)+1 offsets)
-       and equi-join with the populated (cell, segment) table;
-    2. keep candidates at the smallest ring (first populated ring);
-    3. distance to a segment = min over all its vertices; pick the minimum
-       by (distance, segment id).
+    1. :func:`segment_reach` expands the (cell, segment) cover of the road
+       network into every cell of its k-disk and keeps, per cell, the
+       segments at the smallest ring;
+    2. each point joins that table once on its own cell (no per-point
+       explode);
+    3. distance to a segment = min over all its vertices; the minimum by
+       (distance, segment id) wins.
     """
-    cover = segment_cells(vertices, grid).select("cell", "segment_id").distinct()
-    p = H.with_cell(points.select(key, "latitude", "longitude"), "latitude", "longitude", "_pc", grid)
-    cand = H.explode_disk(p, max_ring, "_pc", "cell", "ring").drop("_pc")
-    cand = cand.join(cover, "cell")
-    first_ring = F.min("ring").over(Window.partitionBy(key))      # one point's candidates only
-    cand = cand.withColumn("_r0", first_ring).where(F.col("ring") == F.col("_r0"))
-    cand = cand.select(key, "latitude", "longitude", "segment_id").distinct()
+    reach = segment_reach(vertices, max_ring, grid)
+    p = H.with_cell(points.select(key, "latitude", "longitude"), "latitude", "longitude", "cell", grid)
+    cand = p.join(reach, "cell").select(key, "latitude", "longitude", "segment_id")
     v = vertices.select("segment_id", F.col("latitude").alias("vy"), F.col("longitude").alias("vx"))
     dist = S.euclid("vx", "vy", "longitude", "latitude")
     pick = cand.join(v, "segment_id").groupBy(key).agg(
