@@ -208,3 +208,20 @@ def test_stream_latest_matches_batch_and_restarts(spark):
     # restart on the same checkpoint: nothing new, nothing rewritten
     again = ST.stream_latest(ST.stream_view(spark, sf, "v_readings").na.drop(), ["sensor_id"], order, path=base)
     assert again is None
+
+
+def test_scan_window_prunes_date_partitions(spark):
+    from citylens.session import scratch_path
+    from citylens.sources.scans import scan_window
+    from citylens.sources.sinks import append_history
+    path = scratch_path(spark, "pruning")
+    day = 86400
+    rows = spark.createDataFrame([(i, 1705363200 + i * 3600) for i in range(72)], "id long, obs_epoch long")
+    for d in range(3):
+        part = rows.where((F.col("obs_epoch") >= 1705363200 + d * day) & (F.col("obs_epoch") < 1705363200 + (d + 1) * day))
+        append_history(part, path, 1705363200 + d * day)
+    back = spark.read.parquet(path)
+    got = scan_window(back, "obs_epoch", 1705363200 + day, 1705363200 + 2 * day - 1, partition_col="run_date")
+    assert got.count() == 24
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_date" in plan
