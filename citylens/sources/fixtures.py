@@ -87,8 +87,25 @@ def duckdb_text(view: str) -> str:
     return text.replace("{{", "{").replace("}}", "}")
 
 
+# The generated tables are read-only, so one DataFrame per (session, table)
+# is reused: the file listing, footer reads and split decision happen once.
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+_VIEWS: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _session_id(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId + ":" + str(id(spark))
+    except Exception:  # noqa: BLE001
+        return str(id(spark))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (_session_id(spark), path)
+    if key not in _TABLES:
+        _TABLES[key] = spread(spark.read.parquet(path))
+    return _TABLES[key]
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -111,8 +128,11 @@ def spread(df: DataFrame) -> DataFrame:
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One stand-in view as a DataFrame (lazy; scans stay prunable)."""
     use_utc(spark)
-    tables = {t: read_table(spark, sf_dir, t) for t in tables_of(name)}
-    return spark.sql(spark_text(name), **tables)
+    key = (_session_id(spark), sf_dir.rstrip("/"), name)
+    if key not in _VIEWS:
+        tables = {t: read_table(spark, sf_dir, t) for t in tables_of(name)}
+        _VIEWS[key] = spark.sql(spark_text(name), **tables)
+    return _VIEWS[key]
 
 
 def duckdb_with(*views: str) -> str:
