@@ -108,21 +108,27 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _TABLES[key]
 
 
+# A single row group holds at most a few million rows; more tasks than this
+# would only add scheduling overhead on a large cluster.
+SPREAD_MAX = 64
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin a scan that yields fewer splits than the cluster has cores.
 
     A table stored as one Parquet row group is read by a single task, and
     every narrow operator after it (JSON parsing, cell math) would run on
     one core until the first shuffle.  Large tables already have at least
-    that many splits and are returned unchanged (no extra shuffle).
+    that many splits and are returned unchanged (no extra shuffle); the
+    target is capped at ``SPREAD_MAX`` tasks.
     Filters and column pruning still reach the scan through the exchange.
     """
     try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
+        target = min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_MAX)
         splits = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001  (e.g. a Connect session without RDD access)
         return df
-    return df.repartition(cores) if splits < cores else df
+    return df.repartition(target) if splits < target else df
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
