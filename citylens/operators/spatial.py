@@ -155,18 +155,20 @@ def idw(pairs: DataFrame, values: DataFrame, keys: list[str], sid: str = "sensor
 
 
 def hull_idw(pairs: DataFrame, keys: list[str], measures: list[str], power: float = 2.0,
-             px: str = "mx", py: str = "my") -> DataFrame:
+             px: str = "mx", py: str = "my", carry: tuple[str, ...] = ()) -> DataFrame:
     """Hull test and inverse-distance weights for several measures in one pass.
 
     ``pairs`` carries the sensor position (sx, sy), ``dist`` and one column
     per measure; a single aggregation per point computes the bearings for
     the hull test (SP-6) and the weighted sums of every measure (SP-7).
-    Points outside the hull are dropped.
+    Points outside the hull are dropped.  ``carry`` columns are functionally
+    dependent on the keys (e.g. the point's coordinates) and ride along as
+    ``min`` aggregates instead of widening the grouping key.
     """
     b = F.atan2(F.col("sy") - F.col(py), F.col("sx") - F.col(px))
     w = F.when(F.col("dist") > 0, F.lit(1.0) / F.pow(F.col("dist"), F.lit(power)))
     aggs = [F.array_sort(F.collect_list(F.when(F.col("dist") > 0, b))).alias("bs"), F.min("dist").alias("dmin"),
-            F.sum(w).alias("_w")]
+            F.sum(w).alias("_w")] + [F.min(c).alias(c) for c in carry]
     for m in measures:
         aggs += [F.sum(w * F.col(m)).alias(f"_wz_{m}"),
                  F.avg(F.when(F.col("dist") == 0, F.col(m))).alias(f"_ex_{m}")]
@@ -176,8 +178,8 @@ def hull_idw(pairs: DataFrame, keys: list[str], measures: list[str], power: floa
                        lambda i: F.when(i < n, F.col("bs")[i] - F.col("bs")[i - 1]))
     wrap = F.col("bs")[0] + F.lit(2 * math.pi) - F.col("bs")[n - 1]
     inside = (F.col("dmin") == 0) | ((n >= 3) & (F.greatest(F.array_max(gaps), wrap) <= F.lit(math.pi)))
-    return g.where(inside).select(*keys, *[F.coalesce(f"_ex_{m}", F.col(f"_wz_{m}") / F.col("_w")).alias(m)
-                                           for m in measures])
+    return g.where(inside).select(*keys, *carry, *[F.coalesce(f"_ex_{m}", F.col(f"_wz_{m}") / F.col("_w")).alias(m)
+                                                   for m in measures])
 
 
 def unpivot_measures(df: DataFrame, ids: list[str], measures: list[str],

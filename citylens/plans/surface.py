@@ -71,7 +71,7 @@ def air_quality_surface(readings: DataFrame, sensors: DataFrame, as_of: int, res
         .select("sensor_id", "latitude", "longitude", *measures).checkpoint(eager=True)
     m = SP.mesh(located, res)
     pairs = SP.sensor_pairs(m, located, radius_deg, carry=measures)
-    wide = SP.hull_idw(pairs, ["i", "j", "mx", "my"], measures, power)
+    wide = SP.hull_idw(pairs, ["i", "j"], measures, power, carry=("mx", "my"))
     z = SP.unpivot_measures(wide, ["i", "j", "mx", "my"], measures)
     fl = F.create_map(*[x for k, v in floors.items() for x in (F.lit(k), F.lit(float(v)))])
     z = z.withColumn("weight", S.clamp_floor("value", fl[F.col("pollutant")]))
