@@ -123,6 +123,14 @@ def hourly_panel(dwell: DataFrame, cells: DataFrame, as_of: int, slots: int = 4,
         "mean_dwell", F.coalesce("mean_dwell", F.lit(-1.0)))
 
 
+def panel_lags(panel: DataFrame, slots: int = 4, value: str = "mean_dwell") -> DataFrame:
+    """Wide form of the panel: one row per (cell, direction) with one column
+    per slot (``lag_0`` oldest ... ``lag_{slots-1}`` newest), via ``pivot``
+    with the slot values listed up front (no extra pass to discover them)."""
+    wide = panel.groupBy("cell", "trip_direction").pivot("slot", list(range(slots))).agg(F.first(value))
+    return wide.select("cell", "trip_direction", *[F.col(str(i)).alias(f"lag_{i}") for i in range(slots)])
+
+
 def graph_smooth(panel: DataFrame, extra_self: bool = True) -> DataFrame:
     """Symmetric-normalised adjacency times features (AG-16).
 

@@ -242,3 +242,11 @@ def test_stream_equals_batch_on_final_windows(spark):
     batch = ST.stream_dwell(batch_src, f"{delay} seconds", "1 day").where(F.col("window_end") <= wm)
     assert streamed == {tuple(r) for r in batch.collect()}
     assert streamed
+
+
+def test_panel_lags_pivot(spark):
+    from citylens.plans.dwell import panel_lags
+    rows = [(7, "UP", s, float(s)) for s in range(4)] + [(7, "DN", s, -1.0) for s in range(4)]
+    panel = spark.createDataFrame(rows, "cell long, trip_direction string, slot int, mean_dwell double")
+    got = {r.trip_direction: (r.lag_0, r.lag_3) for r in panel_lags(panel).collect()}
+    assert got == {"UP": (0.0, 3.0), "DN": (-1.0, -1.0)}
