@@ -38,3 +38,18 @@ def existing(left: DataFrame, right: DataFrame, on: str | list[str] = "trip_id")
     """Left rows that have a match, without fan-out on duplicate right keys (JN-6)."""
     keys = [on] if isinstance(on, str) else on
     return left.join(right.select(*keys), keys, "left_semi")
+
+
+def join_back(df: DataFrame, agg: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join per-key aggregates back onto their rows with NULL-safe key
+    equality, so a NULL key forms one group as it does in ``groupBy`` and in
+    window partitions.  Still planned as a hash / sort-merge equi-join."""
+    renamed = agg
+    for k in keys:
+        renamed = renamed.withColumnRenamed(k, f"_jb_{k}")
+    cond = None
+    for k in keys:
+        c = df[k].eqNullSafe(renamed[f"_jb_{k}"])
+        cond = c if cond is None else cond & c
+    out = df.join(renamed, cond, how)
+    return out if how in ("left_anti", "left_semi") else out.drop(*[f"_jb_{k}" for k in keys])

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from citylens.operators.joins import join_back
+
 
 def partition_minmax(df: DataFrame, keys: list[str], aggs: dict[str, tuple[str, str]]) -> DataFrame:
     """Per-partition max/min kept on every row (W-1).
@@ -20,7 +22,7 @@ def partition_minmax(df: DataFrame, keys: list[str], aggs: dict[str, tuple[str,
     ``groupBy`` + equi-join back on the keys.
     """
     ext = df.groupBy(*keys).agg(*[getattr(F, a)(F.col(c)).alias(n) for n, (a, c) in aggs.items()])
-    return df.join(ext, keys, "inner")
+    return join_back(df, ext, keys)
 
 
 def _order_struct(order: list[str]) -> Column:
@@ -47,7 +49,7 @@ def drop_latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """
     newest = df.groupBy(*keys).agg(F.max(_order_struct(order)).alias("_top"))
     newest = newest.select(*keys, *[F.col(f"_top.{c}").alias(c) for c in order])
-    return df.join(newest, keys + order, "left_anti")
+    return join_back(df, newest, keys + order, "left_anti")
 
 
 def gap_seconds(df: DataFrame, keys: list[str], ts: str, tiebreak: str | None = None,
@@ -70,7 +72,7 @@ def gap_seconds(df: DataFrame, keys: list[str], ts: str, tiebreak: str | None =
     summary = d.groupBy(*keys, "_bucket").agg(F.max(ts).alias("_last"))
     ws = Window.partitionBy(*keys).orderBy("_bucket")
     summary = summary.select(*keys, "_bucket", F.lag("_last", 1).over(ws).alias("_carry"))
-    d = d.join(summary, keys + ["_bucket"], "left")
+    d = join_back(d, summary, keys + ["_bucket"], "left")
     return d.withColumn(out, F.col(ts) - F.coalesce(F.col("_prev"), F.col("_carry"))).drop(
         "_bucket", "_prev", "_carry")
 
@@ -78,20 +80,20 @@ def gap_seconds(df: DataFrame, keys: list[str], ts: str, tiebreak: str | None =
 def count_over(df: DataFrame, keys: list[str], column: str, out: str = "weight") -> DataFrame:
     """count(column) per key kept on every row (W-5)."""
     cnt = df.groupBy(*keys).agg(F.count(column).alias(out))
-    return df.join(cnt, keys, "inner")
+    return join_back(df, cnt, keys)
 
 
 def percentile_over(df: DataFrame, keys: list[str], column: str, q: float = 0.5,
                     out: str = "median") -> DataFrame:
     """Approximate percentile per key on every row (W-6)."""
     med = df.groupBy(*keys).agg(F.percentile_approx(column, q).alias(out))
-    return df.join(med, keys, "inner")
+    return join_back(df, med, keys)
 
 
 def span_over(df: DataFrame, keys: list[str], ts: str, out: str = "dwell_time") -> DataFrame:
     """max(ts) - min(ts) per key on every row (W-7)."""
     sp = df.groupBy(*keys).agg((F.max(ts) - F.min(ts)).alias(out))
-    return df.join(sp, keys, "inner")
+    return join_back(df, sp, keys)
 
 
 def surrogate_key(*cols) -> Column:

@@ -250,3 +250,10 @@ def test_panel_lags_pivot(spark):
     panel = spark.createDataFrame(rows, "cell long, trip_direction string, slot int, mean_dwell double")
     got = {r.trip_direction: (r.lag_0, r.lag_3) for r in panel_lags(panel).collect()}
     assert got == {"UP": (0.0, 3.0), "DN": (-1.0, -1.0)}
+
+
+def test_join_back_keeps_null_keys_like_a_window(spark):
+    df = spark.createDataFrame([(1, None, 10), (2, None, 30), (3, "a", 5)], "id long, k string, t long")
+    got = {r.id: r.dwell_time for r in W.span_over(df, ["k"], "t").collect()}
+    assert got == {1: 20, 2: 20, 3: 0}
+    assert sorted(r.id for r in W.drop_latest(df, ["k"], ["t", "id"]).collect()) == [1]
