@@ -5,50 +5,70 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from citylens.llm import op4_exact_dedup, op7_simhash, op9_decontaminate
-from citylens.llm.common import table
+from citylens.llm import (
+    op1_licenses, op2_langid, op3_mixing, op4_exact_dedup, op5_quality, op6_urls, op7_simhash, op8_secrets, op9_decontaminate,
+    op10_html,
+)
+from citylens.llm.common import materialise, table
+from citylens.llm.oracles import ORACLES  # noqa: F401  (re-exported with QUERIES)
+
+
+def op1_licenses_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1_licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op2_langid_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op3_mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts are read once for their token counts; the mix itself runs on a narrow table."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", op3_mixing.n_tokens().alias("n_tokens"))
+    mixed = op3_mixing.mix(materialise(docs, "mix-tokens"), op3_mixing.document_levels(), op3_mixing.WEIGHTS)
+    return mixed.select("doc_id", F.col("mix_domain").alias("domain"), F.col("mix_lang").alias("lang"),
+                        F.col("mix_source").alias("source"), "epoch", "n_tokens", "take_tokens")
 
 
 def op4_exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5_quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_urls_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return op6_urls.judge(pages, op6_urls.default_rules(spark), op6_urls.pages_of_listed_labels(pages))
+
+
 def op7_simhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_secrets_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_html_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_html.main_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_licenses": op1_licenses_query,
+    "op2_langid": op2_langid_query,
+    "op3_mixing": op3_mixing_query,
     "op4_exact_dedup": op4_exact_dedup_query,
+    "op5_quality": op5_quality_query,
+    "op6_urls": op6_urls_query,
     "op7_simhash": op7_simhash_query,
+    "op8_secrets": op8_secrets_query,
     "op9_decontaminate": op9_decontaminate_query,
-}
-
-_ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-_WORDS = rf"regexp_extract_all({_ASCII_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
-
-ORACLES: dict[str, str] = {
-    "op4_exact_dedup": """
-select doc_id, max(doc_id) over (partition by coalesce(text, '')) as keep_id,
-  count(*) over (partition by coalesce(text, '')) as group_size,
-  row_number() over (partition by coalesce(text, '') order by doc_id desc nulls last) = 1 as kept,
-  sha256(coalesce(text, '')) as text_sha256
-from documents""",
-    "op9_decontaminate": rf"""
-with d as (select row_number() over () as r, doc_id, {_WORDS} as w from documents),
-i as (select coalesce(cast(item_id as varchar), '') as item, {_WORDS} as w from benchmark where text is not null),
-g as (select distinct item, n, array_to_string(w[k:k + n - 1], ' ') as g
-  from (select item, w, least(10, len(w)) as n, unnest(range(1, len(w) - least(10, len(w)) + 2)) as k from i where len(w) > 0)),
-dw as (select r, n, k, array_to_string(w[k:k + n - 1], ' ') as g
-  from (select r, w, n, unnest(range(1, len(w) - n + 2)) as k from d cross join (select distinct n from g) where len(w) >= n)),
-hit as (select r, k, n, item from dw join g using (n, g)),
-pos as (select r, count(distinct p) as n_hit from (select r, unnest(range(k, k + n)) as p from hit) group by r),
-its as (select r, count(distinct item) as n_items, string_agg(distinct item, ',' order by item) as ids from hit group by r)
-select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
-  sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
-from d left join pos using (r) left join its using (r)""",
+    "op10_html": op10_html_query,
 }

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citylens.llm import op4_exact_dedup, op7_simhash, op9_decontaminate
+from citylens.llm import op2_langid, op3_mixing, op4_exact_dedup, op7_simhash, op9_decontaminate
 from citylens.llm.common import materialise, table
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without an identified language go (no letters, or no language with a majority)."""
+    return op2_langid.keep_identified(docs)
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest id stays."""
     return op4_exact_dedup.drop_exact_duplicates(docs)
@@ -23,7 +28,13 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return op9_decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("exact_dedup", exact_dedup), ("simhash", near_dedup), ("decontaminate", decontaminate)]
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows selected to the target weights, once per epoch, with ``epoch`` and ``take_tokens``."""
+    return op3_mixing.mix_documents(docs)
+
+
+STAGES = [("language_id", language_id), ("exact_dedup", exact_dedup), ("simhash", near_dedup),
+          ("decontaminate", decontaminate), ("mix", mix)]
 
 #: Language ID learns a model and SimHash links transitively: SQL cannot express these stages.
 ORACLE_SQL = None
