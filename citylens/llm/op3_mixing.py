@@ -88,11 +88,14 @@ def allocate(leaves: DataFrame, levels: list[str], budget: Column, weights: Mapp
 def mix(docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[str, int], budget_tokens: int | None = None,
         max_epochs: int = MAX_EPOCHS, seed: int = SEED, id_col: str = "doc_id", tokens_col: str = "n_tokens") -> DataFrame:
     """Selected rows of ``docs``, once per epoch: all columns, the levels as ``mix_<name>``,
-    ``epoch`` (from 0) and ``take_tokens`` (the document's first tokens that count).
+    ``mix_epoch`` (from 0) and ``mix_take_tokens`` (the document's first tokens that count).
+    Names that begin with ``mix_`` are the operator's own: such columns of ``docs`` are replaced.
 
     ``docs`` has its token count in ``tokens_col``; ``budget_tokens`` defaults to all its tokens.
     """
     names = [f"mix_{n}" for n in levels]
+    own = [c for c in docs.columns if c.startswith("mix_") and c != tokens_col]
+    docs = docs.drop(*own)
     placed = docs.withColumns({f"mix_{n}": F.coalesce(c.cast("string"), F.lit("(none)")) for n, c in levels.items()}
                               ).where(F.col(tokens_col) > 0)
     leaves = placed.groupBy(*names).agg(F.count("*").alias("rows"), F.sum(tokens_col).alias("tokens"))
@@ -101,32 +104,31 @@ def mix(docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[str, int
         leaves = leaves.withColumn("budget", F.sum("tokens").over(Window.partitionBy(F.lit(0))))
         total = materialise(leaves, "mix-leaves")
         leaves, budget = total.drop("budget"), F.lit((total.agg(F.max("budget")).first() or [0])[0] or 0).cast("bigint")
-    plan = allocate(leaves, names, budget, weights, max_epochs).withColumns({
-        "full": F.expr("share div tokens"), "rest": F.expr("share % tokens"),
-        "bits": F.least(F.lit(30), F.ceil(F.log2(F.sqrt("rows")))).cast("int")})
-    plan = materialise(plan.select(*names, "full", "rest", "bits"), "mix-plan")
+    plan = allocate(leaves, names, budget, weights, max_epochs).select(
+        *names, F.expr("share div tokens").alias("mix_full"), F.expr("share % tokens").alias("mix_rest"),
+        F.least(F.lit(30), F.ceil(F.log2(F.sqrt("rows")))).cast("int").alias("mix_bits"))
+    plan = materialise(plan, "mix-plan")
 
-    ahead = F.md5(F.concat_ws(":", F.lit(str(seed)), F.concat_ws("/", *names), F.col("full").cast("string"),
+    ahead = F.md5(F.concat_ws(":", F.lit(str(seed)), F.concat_ws("/", *names), F.col("mix_full").cast("string"),
                               F.coalesce(F.col(id_col).cast("string"), F.lit(""))).cast("binary"))
     top = F.conv(F.substring("mix_hash", 1, HASH_BITS // 4), 16, 10).cast("bigint")
     ranged = (placed.join(plan, names).withColumn("mix_hash", ahead)
-              .withColumn("mix_range", F.call_function("shiftright", top, F.lit(HASH_BITS) - F.col("bits"))))
-    ranges = ranged.where("rest > 0").groupBy(*names, "rest", "mix_range").agg(F.sum(tokens_col).alias("t"))
+              .withColumn("mix_range", F.call_function("shiftright", top, F.lit(HASH_BITS) - F.col("mix_bits"))))
+    ranges = ranged.where("mix_rest > 0").groupBy(*names, "mix_rest", "mix_range").agg(F.sum(tokens_col).alias("t"))
     until = F.sum("t").over(Window.partitionBy(*names).orderBy("mix_range").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ends = (ranges.withColumn("until", until).where((F.col("until") - F.col("t") < F.col("rest")) & (F.col("until") >= F.col("rest")))
-            .select(*names, F.col("mix_range").alias("end_range"), (F.col("rest") - (F.col("until") - F.col("t"))).alias("end_left")))
-    ends = materialise(ends, "mix-ends")
-    cut = ranged.join(ends, names, "left")
-
-    out = [*docs.columns, *names, "epoch", "take_tokens"]
-    epochs = F.when(F.col("mix_range") < F.col("end_range"), F.col("full")).otherwise(F.col("full") - 1)
-    whole = (cut.withColumn("last", epochs).where("last >= 0")
-             .withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("last"))))
-             .withColumn("take_tokens", F.col(tokens_col)))
+    ends = (ranges.withColumn("until", until).where("until - t < mix_rest and until >= mix_rest")
+            .select(*names, F.col("mix_range").alias("mix_end"), F.expr("mix_rest - (until - t)").alias("mix_end_rest")))
+    cut = ranged.join(materialise(ends, "mix-ends"), names, "left")
+
+    out = [*docs.columns, *names, "mix_epoch", "mix_take_tokens"]
+    last = F.when(F.col("mix_range") < F.col("mix_end"), F.col("mix_full")).otherwise(F.col("mix_full") - 1)
+    whole = (cut.withColumn("mix_last", last).where("mix_last >= 0")
+             .withColumn("mix_epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("mix_last"))))
+             .withColumn("mix_take_tokens", F.col(tokens_col)))
     in_order = Window.partitionBy(*names).orderBy("mix_hash", id_col, tokens_col).rowsBetween(Window.unboundedPreceding, -1)
-    edge = (cut.where(F.col("mix_range") == F.col("end_range"))
-            .withColumn("left", F.col("end_left") - F.coalesce(F.sum(tokens_col).over(in_order), F.lit(0))).where("left > 0")
-            .withColumn("epoch", F.col("full")).withColumn("take_tokens", F.least(tokens_col, "left")))
+    left = F.col("mix_end_rest") - F.coalesce(F.sum(tokens_col).over(in_order), F.lit(0))
+    edge = (cut.where("mix_range = mix_end").withColumn("mix_left", left).where("mix_left > 0")
+            .withColumn("mix_epoch", F.col("mix_full")).withColumn("mix_take_tokens", F.least(tokens_col, "mix_left")))
     return whole.select(*out).unionByName(edge.select(*out))
 
 
@@ -136,7 +138,7 @@ def document_levels() -> dict[str, Column]:
 
 
 def mix_documents(docs: DataFrame, weights: Mapping[str, int] = WEIGHTS) -> DataFrame:
-    """Pipeline form: ``documents`` columns of the selected rows, with ``epoch`` and ``take_tokens``."""
+    """Pipeline form: ``documents`` columns of the selected rows, with ``mix_epoch`` and ``mix_take_tokens``."""
     counted = docs.withColumn("mix_n_tokens", n_tokens())
     got = mix(counted, document_levels(), weights, tokens_col="mix_n_tokens")
-    return got.select(*docs.columns, "epoch", "take_tokens")
+    return got.select(*[c for c in docs.columns if not c.startswith("mix_")], "mix_epoch", "mix_take_tokens")

@@ -33,9 +33,9 @@ HEX = r"[0-9a-f]{16,}"
 KINDS = ["assign", "access", "hex", "login", "weak", "endpoint"]
 
 # The weak parts.
-LOGIN = r"""(?i:\b(user(name)?|login|account|client_?id|access_?key(_?id)?))["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{3,}"""
-WEAK = r"""(?i:\b(password|passwd|pwd|passphrase|secret|token|api_?key|auth|credentials?))["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{6,}"""
-ENDPOINT = r"""(?i:\b(https?|ftp|ssh|s3|jdbc:[a-z]+|postgres(ql)?|mysql|mongodb|redis|amqps?)://[^\x00-\x20"'<>]+|\b(host|hostname|server|endpoint)["']?\x20*[:=]\x20*["']?[A-Za-z0-9][A-Za-z0-9.-]+)"""
+LOGIN = r"""(?i:(user(name)?|login|account|client_?id|access_?key(_?id)?))["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{3,}"""
+WEAK = r"""(?i:(password|passwd|pwd|passphrase|secret|token|api_?key|auth|credentials?))["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{6,}"""
+ENDPOINT = r"""(?i:(https?|ftp|ssh|s3|jdbc:[a-z]+|postgres(ql)?|mysql|mongodb|redis|amqps?)://[^\x00-\x20"'<>]+|(host|hostname|server|endpoint)["']?\x20*[:=]\x20*["']?[A-Za-z0-9][A-Za-z0-9.-]+)"""
 SCOPE = 200
 
 _SPANS = "array<struct<s:int,k:int,e:int>>"

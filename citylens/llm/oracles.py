@@ -7,7 +7,7 @@ held-out labels.
 
 from __future__ import annotations
 
-from citylens.llm import op3_mixing, op6_urls
+from citylens.llm import op3_mixing, op6_urls, op8_secrets
 
 _ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_ASCII_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -87,9 +87,45 @@ union all
 select doc_id, domain, lang, source, full_epochs as epoch, n_tokens, cast(least(n_tokens, left_over) as bigint) as take_tokens
 from c where left_over > 0"""
 
+
+def _spans_of(kind: str, pattern: str, group: int = 0, least: int = 0) -> str:
+    """Spans of one kind: the pieces before a match and the matches before it add up to its start."""
+    p = "'" + pattern.replace("'", "''") + "'"
+    size = "list_sum(list_transform({}, lambda x: length(x)))"
+    return f"""select r, {op8_secrets.KINDS.index(kind)} as k,
+    cast({size.format("p[1:i]")} + coalesce({size.format("m[1:i - 1]")}, 0) as bigint) as s, length(m[i]) as n, length(g[i]) as gn
+  from (select *, unnest(range(1, len(m) + 1)) as i from (select r, regexp_extract_all(t, {p}) as m,
+    regexp_extract_all(t, {p}, {group}) as g, string_split_regex(t, {p}) as p from d)) where length(g[i]) >= {least}"""
+
+
+_WRITTEN = "string_agg(name || ':' || s || ':' || (s + n), ',' order by s, k, n)"
+_SECRETS = f"""
+with d as (select row_number() over () as r, doc_id, coalesce(text, '') as t from documents),
+base as ({_spans_of("assign", op8_secrets.ASSIGN, 2, op8_secrets.ASSIGN_VALUE)}
+  union all {_spans_of("access", op8_secrets.ACCESS, 0, op8_secrets.ACCESS_LENGTH)}
+  union all {_spans_of("hex", op8_secrets.HEX)}),
+weak as ({_spans_of("login", op8_secrets.LOGIN)}
+  union all (select w.* from ({_spans_of("weak", op8_secrets.WEAK)}) w
+    where not exists (select 1 from base b where b.r = w.r and b.k = 0 and b.s = w.s))
+  union all {_spans_of("endpoint", op8_secrets.ENDPOINT)}),
+part as (select *, case when k in (1, 3) then 'id' when k = 5 then 'endpoint' else 'secret' end as role
+  from (select * from base where k <= 1 union all select * from weak)),
+told as (select w.r, w.k, w.s, w.n, w.role, bool_or(o.role = 'id') as with_id, bool_or(o.role = 'secret') as with_secret
+  from part w join part o on o.r = w.r and abs(o.s - w.s) <= {op8_secrets.SCOPE} where w.k >= 3 group by all),
+added as (select r, k, s, n from told where (role = 'secret' and with_id) or (role = 'id' and with_secret)
+  or (role = 'endpoint' and with_id and with_secret)),
+kinds(k, name) as (values {", ".join(f"({i}, '{k}')" for i, k in enumerate(op8_secrets.KINDS))}),
+b as (select r, count(*) filter (k = 0) as n_assign, count(*) filter (k = 1) as n_access, count(*) filter (k = 2) as n_hex,
+  {_WRITTEN} as written from base join kinds using (k) group by r),
+a as (select r, {_WRITTEN} as written from (select r, k, s, n from base union all from added) join kinds using (k) group by r)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+  sha256(coalesce(b.written, '')) as base_sha256, coalesce(a.written, '') as spans
+from d left join b using (r) left join a using (r)"""
+
 ORACLES: dict[str, str] = {
     "op3_mixing": _MIXING,
     "op4_exact_dedup": _EXACT,
     "op6_urls": _URLS,
+    "op8_secrets": _SECRETS,
     "op9_decontaminate": _CONTAMINATION,
 }

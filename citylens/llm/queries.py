@@ -28,7 +28,8 @@ def op3_mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", op3_mixing.n_tokens().alias("n_tokens"))
     mixed = op3_mixing.mix(materialise(docs, "mix-tokens"), op3_mixing.document_levels(), op3_mixing.WEIGHTS)
     return mixed.select("doc_id", F.col("mix_domain").alias("domain"), F.col("mix_lang").alias("lang"),
-                        F.col("mix_source").alias("source"), "epoch", "n_tokens", "take_tokens")
+                        F.col("mix_source").alias("source"), F.col("mix_epoch").alias("epoch"), "n_tokens",
+                        F.col("mix_take_tokens").alias("take_tokens"))
 
 
 def op4_exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows selected to the target weights, once per epoch, with ``epoch`` and ``take_tokens``."""
+    """Rows selected to the target weights, once per epoch, with ``mix_epoch`` and ``mix_take_tokens``."""
     return op3_mixing.mix_documents(docs)
 
 
