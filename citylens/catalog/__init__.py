@@ -13,4 +13,5 @@ from citylens.catalog import (  # noqa: F401  (modules register on import)
     q_products,
     q_ingest,
     q_stream,
+    q_chains,
 )

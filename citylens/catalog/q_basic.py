@@ -79,7 +79,7 @@ def q_swap(spark, sf):
 SELECT ping_id, TRY_CAST(substr(route_id, 2) AS INTEGER) AS route_no, TRY_CAST(license_plate AS INTEGER) AS plate_no,
        TRY_CAST(vehicle_label AS BIGINT) AS vehicle_no FROM v_pings""")
 def q_cast(spark, sf):
-    df = _pings(spark, sf).select("ping_id", F.substring("route_id", 2, 100).alias("route_no"),
+    df = _pings(spark, sf).select("ping_id", F.expr("substring(route_id, 2)").alias("route_no"),
                                   F.col("license_plate").alias("plate_no"), F.col("vehicle_label").alias("vehicle_no"))
     return C.cast_cols(df, {"route_no": "int", "plate_no": "int", "vehicle_no": "bigint"})
 
@@ -121,10 +121,12 @@ def q_extreme(spark, sf):
 ENV_SQL = """env AS (SELECT trip_id, min(departure_epoch) AS start_time, max(arrival_epoch) AS end_time
                      FROM v_schedule GROUP BY trip_id)"""
 PLATES_SQL = """eta_w AS (SELECT *, min(obs_epoch) OVER w AS first_ping, max(obs_epoch) OVER w AS last_ping,
-                 max(latitude) OVER w AS max_latitude, min(longitude) OVER w AS min_longitude
+                 max(latitude) OVER w AS max_latitude, min(longitude) OVER w AS min_longitude,
+                 min(actual_start_epoch) OVER w AS actual_start
                  FROM v_pings WINDOW w AS (PARTITION BY trip_id)),
-plates AS (SELECT DISTINCT trip_id, license_plate, first_ping, last_ping, max_latitude, min_longitude FROM eta_w
-           WHERE obs_epoch = first_ping OR obs_epoch = last_ping OR latitude = max_latitude OR longitude = min_longitude)"""
+plates AS (SELECT DISTINCT trip_id, license_plate, first_ping, last_ping, max_latitude, min_longitude, actual_start FROM eta_w
+           WHERE obs_epoch = first_ping OR obs_epoch = last_ping OR latitude = max_latitude OR longitude = min_longitude
+              OR actual_start_epoch = actual_start)"""
 
 
 @register("join_inner_chain", PS + f""", {ENV_SQL}, {PLATES_SQL}

@@ -10,7 +10,7 @@ from citylens.catalog.registry import AS_OF, register
 from citylens.functions import scalar as S
 from citylens.functions.timeutil import date_text, epoch_seconds
 from citylens.operators import udf as U
-from citylens.operators.windows import surrogate_key
+from citylens.plans import feeds as FE
 from citylens.sources import ingest as I
 from citylens.sources import sinks as K
 from citylens.sources.fixtures import duckdb_with, view
@@ -50,9 +50,12 @@ def q_service_dt(spark, sf):
 SELECT *, sha256(concat_ws(chr(1), cast(trip_id AS varchar), cast(stop_sequence AS varchar),
                            cast(arrival_time AS varchar))) AS primary_key FROM tt""")
 def q_tt_load(spark, sf):
-    t = _tt(spark, sf).withColumn("primary_key", surrogate_key("trip_id", "stop_sequence", "arrival_time"))
+    return _stored_timetable(spark, sf).drop("run_date")
+
+
+def _stored_timetable(spark, sf):
     path = scratch_path(spark, "timetable")
-    t.write.mode("append").parquet(path)
+    FE.timetable_load(view(spark, sf, "v_timetable_json"), path, AS_OF)
     return spark.read.parquet(path)
 
 
@@ -93,9 +96,8 @@ def q_inc(spark, sf):
 @register("str_epoch_text", INC + f"""
 SELECT "incidentId", start - {SHIFT_US} AS start_us FROM inc""")
 def q_epoch_text(spark, sf):
-    r = view(spark, sf, "v_incident_json").select(
-        F.get_json_object("rec", "$.resourceSets[0].resources[0].incidentId").cast("long").alias("incidentId"),
-        F.get_json_object("rec", "$.resourceSets[0].resources[0].start").alias("t"))
+    r = view(spark, sf, "v_incident_json").select(F.from_json("rec", I.INCIDENT_SCHEMA).alias("p"))
+    r = r.select(F.inline(F.get(F.col("p.resourceSets"), 0)["resources"])).select("incidentId", F.col("start").alias("t"))
     return r.select("incidentId", S.parse_epoch_text("t").alias("start_us"))
 
 
@@ -114,10 +116,9 @@ def q_fill_text(spark, sf):
 @register("incident_load", INC + """
 SELECT *, sha256(concat_ws(chr(1), cast("incidentId" AS varchar), cast(start AS varchar))) AS primary_key FROM inc""")
 def q_inc_load(spark, sf):
-    t = _inc(spark, sf).withColumn("primary_key", surrogate_key("incidentId", "start"))
     path = scratch_path(spark, "incidents")
-    t.write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    FE.incident_load(view(spark, sf, "v_incident_json"), path, AS_OF)
+    return spark.read.parquet(path).drop("run_date")
 
 
 _TYPE_ROWS = " UNION ALL ".join(f"SELECT {k} AS type_int, '{v}' AS type_string" for k, v in S.INCIDENT_TYPES.items())
@@ -136,20 +137,17 @@ def q_rows(spark, sf):
                                                        F.coalesce("n", F.lit(0)).alias("n"))
 
 
-# every supplier as a sensor (same coordinate rule as v_sensors, no id cut)
-# so that the file grows with the tables
-_ALL_SENSORS = """SELECT s_suppkey AS sensor_id, 18.44e0 + 0.14e0 * ((s_suppkey * 61) % 103) / 103e0 AS latitude,
-  73.78e0 + 0.18e0 * ((s_suppkey * 37) % 101) / 101e0 AS longitude FROM {supplier}"""
+@register("read_sensor_csv", duckdb_with("v_sensors") + """
+SELECT 'S' || cast(sensor_id AS varchar) AS sensor_id, longitude, latitude,
+       'Sensor ' || cast(sensor_id AS varchar) || ', Main Road' AS address FROM v_sensors""")
+def q_csv(spark, sf):
+    return _sensors_from_csv(spark, sf)
 
 
-@register("read_sensor_csv", "WITH s AS (" + _ALL_SENSORS.format(supplier="supplier") + """)
-SELECT 'S' || cast(sensor_id AS varchar) AS id, longitude, latitude, 'Sensor ' || cast(sensor_id AS varchar) || ', Pune' AS address
-FROM s""")
-def q_csv(spark, sf):
-    from citylens.sources.fixtures import read_table
-    s = spark.sql(_ALL_SENSORS, supplier=read_table(spark, sf, "supplier")).select(
+def _sensors_from_csv(spark, sf):
+    s = view(spark, sf, "v_sensors").select(
         F.concat(F.lit("S"), F.col("sensor_id").cast("string")).alias("id"), "longitude", "latitude",
-        F.concat(F.lit("Sensor "), F.col("sensor_id").cast("string"), F.lit(", Pune")).alias("address"))
+        F.concat(F.lit("Sensor "), F.col("sensor_id").cast("string"), F.lit(", Main Road")).alias("address"))
     return I.read_sensors(spark, I.write_sensor_csv(spark, s))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from citylens.catalog.hexsql import cell_sql, polygon_json_sql, q_sql, r_sql
-from citylens.catalog.q_spatial import REGION_CELLS, TRAIN, SLOT_S, RES, RADIUS, v, with_, _region_cells
+from citylens.catalog.q_spatial import NEAREST, REGION_CELLS, RES, SLOT_S, TRAIN, v, with_, _region_cells
 from citylens.catalog.registry import AS_OF, OFFSET_MIN, register
 from citylens.functions import hexgrid as H
 from citylens.functions import scalar as S
@@ -14,6 +14,7 @@ from citylens.operators import windows as W
 from citylens.plans import dwell as D
 from citylens.plans import segments as SG
 from citylens.plans import surface as SU
+from citylens.session import ensure_checkpoint_dir
 
 CO, ME, FI = H.COARSE, H.MEDIUM, H.FINE
 OBS_US = (AS_OF + OFFSET_MIN * 60) * 1_000_000
@@ -180,8 +181,15 @@ def q_forecast(spark, sf):
 
 
 # ------------------------------------------------------------------ segments (P-8)
-SNAP_SQL = f"""sv AS (SELECT *, {cell_sql('latitude', 'longitude', FI)} AS vcell FROM v_segment_vertices),
-cov AS (SELECT DISTINCT vcell, segment_id FROM sv),
+COVER_SQL = f"""sl AS (SELECT *, lead(latitude) OVER w AS la, lead(longitude) OVER w AS lo FROM v_segment_vertices
+       WINDOW w AS (PARTITION BY segment_id ORDER BY vseq)),
+sn AS (SELECT *, coalesce(greatest(cast(ceil(greatest(abs(la - latitude) * {FI.ky!r}, abs(lo - longitude) * {FI.kx!r}) / {FI.edge_m / 2.0!r}) AS integer), 1), 1)
+         AS n FROM sl),
+sk AS (SELECT *, unnest(range(0, n)) AS k FROM sn),
+sv AS (SELECT segment_id, coalesce(latitude + (la - latitude) * k / n, latitude) AS latitude,
+              coalesce(longitude + (lo - longitude) * k / n, longitude) AS longitude FROM sk),
+cov AS (SELECT DISTINCT {cell_sql('latitude', 'longitude', FI)} AS vcell, segment_id FROM sv)"""
+SNAP_SQL = COVER_SQL + f""",
 pp AS (SELECT ping_id, latitude, longitude, {cell_sql('latitude', 'longitude', FI)} AS pcell FROM v_pings),
 pd AS (SELECT pp.ping_id, pp.latitude, pp.longitude, cov.segment_id,
               {q_sql('cov.vcell')} - {q_sql('pp.pcell')} AS dq, {r_sql('cov.vcell')} - {r_sql('pp.pcell')} AS dr FROM pp, cov),
@@ -221,7 +229,13 @@ def q_explode_segments(spark, sf):
     vt = SG.segment_table(v(spark, sf, "v_segment_vertices"))
     ex = vt.select("segment_id", F.posexplode("coords").alias("vseq", "pt"))
     ex = ex.select("segment_id", "vseq", F.col("pt")[1].alias("latitude"), F.col("pt")[0].alias("longitude"))
-    return H.with_cell(ex, "latitude", "longitude", "cell", FI).select("segment_id", "vseq", "cell")
+    return SP.segment_cells(ex, FI).select("segment_id", "vseq", "cell")
+
+
+@register("segment_cover_cells", with_("v_segment_vertices", extra=COVER_SQL) + """
+SELECT vcell AS cell, segment_id FROM cov""")
+def q_cover(spark, sf):
+    return SP.segment_cover(v(spark, sf, "v_segment_vertices"))
 
 
 @register("join_nearest_segment", with_("v_pings", "v_segment_vertices", extra=SNAP_SQL) + """
@@ -273,14 +287,16 @@ bb AS (SELECT min(longitude) AS x0, max(longitude) AS x1, min(latitude) AS y0, m
 m AS (SELECT cast(i AS INTEGER) AS i, cast(j AS INTEGER) AS j, x0 + (x1 - x0) * j / {float(RES - 1)!r}e0 AS mx,
              y0 + (y1 - y0) * i / {float(RES - 1)!r}e0 AS my
       FROM bb, range({RES}) t(i), range({RES}) u(j)),
-pr AS (SELECT * FROM (SELECT m.i, m.j, m.mx, m.my, loc.sensor_id, loc.longitude AS sx, loc.latitude AS sy,
-                             sqrt(pow(m.mx - loc.longitude, 2) + pow(m.my - loc.latitude, 2)) AS dist FROM m, loc)
-       WHERE dist <= {RADIUS}),
-bear AS (SELECT i, j, atan2(sy - my, sx - mx) AS b FROM pr WHERE dist > 0),
-gaps AS (SELECT i, j, coalesce(lead(b) OVER w, first_value(b) OVER w + 2 * pi()) - b AS gap
-         FROM bear WINDOW w AS (PARTITION BY i, j ORDER BY b)),
-hull AS (SELECT i, j FROM (SELECT i, j, max(gap) AS mg, count(*) AS n FROM gaps GROUP BY i, j) WHERE n >= 3 AND mg <= pi()
-         UNION SELECT DISTINCT i, j FROM pr WHERE dist = 0),
+pr AS (SELECT * EXCLUDE (rn) FROM (SELECT m.i, m.j, m.mx, m.my, loc.sensor_id,
+         sqrt(pow(m.mx - loc.longitude, 2) + pow(m.my - loc.latitude, 2)) AS dist,
+         row_number() OVER (PARTITION BY m.i, m.j ORDER BY sqrt(pow(m.mx - loc.longitude, 2) + pow(m.my - loc.latitude, 2)), loc.sensor_id) AS rn
+       FROM m, loc) WHERE rn <= {NEAREST}),
+rows AS (SELECT i, min(my) AS y FROM m GROUP BY i),
+ch AS (SELECT r.i, CASE WHEN b.latitude - a.latitude <= 1e-9 THEN [least(a.longitude, b.longitude), greatest(a.longitude, b.longitude)]
+                        ELSE [a.longitude + (r.y - a.latitude) * (b.longitude - a.longitude) / (b.latitude - a.latitude)] END AS xs
+       FROM rows r, loc a, loc b WHERE a.latitude <= b.latitude AND a.latitude - 1e-9 <= r.y AND r.y <= b.latitude + 1e-9),
+ext AS (SELECT i, min(list_min(xs)) AS xa, max(list_max(xs)) AS xb FROM ch GROUP BY i),
+hull AS (SELECT m.i, m.j FROM m JOIN ext USING (i) WHERE m.mx >= xa - 1e-9 AND m.mx <= xb + 1e-9),
 z AS (SELECT p.i, p.j, vals.pollutant,
              coalesce(avg(vals.value) FILTER (WHERE p.dist = 0),
                       sum(CASE WHEN p.dist > 0 THEN 1e0 / pow(p.dist, 2e0) END * vals.value)
@@ -324,31 +340,34 @@ def q_mesh(spark, sf):
     return SP.mesh(loc, RES)
 
 
-def _pairs(spark, sf):
-    from citylens.session import ensure_checkpoint_dir
+def _located(spark, sf):
     ensure_checkpoint_dir(spark)
-    loc = _latest(spark, sf).join(v(spark, sf, "v_sensors"), "sensor_id").checkpoint(eager=True)
-    m = SP.mesh(loc, RES)
-    return loc, SP.sensor_pairs(m, loc, RADIUS, carry=list(SU.POLLUTANT_FLOORS))
+    return _latest(spark, sf).join(v(spark, sf, "v_sensors"), "sensor_id").checkpoint(eager=True)
+
+
+def _pairs(loc, grid):
+    return SP.nearest_sensors(grid, loc, NEAREST, ["i", "j"], carry=list(SU.POLLUTANT_FLOORS))
 
 
 @register("join_grid_x_sensors", with_("v_readings", "v_sensors", extra=SURF_SQL) + """
 SELECT i, j, sensor_id FROM pr""")
 def q_grid_pairs(spark, sf):
-    return _pairs(spark, sf)[1].select("i", "j", "sensor_id")
+    loc = _located(spark, sf)
+    return _pairs(loc, SP.mesh(loc, RES)).select("i", "j", "sensor_id")
 
 
 @register("geo_in_hull", with_("v_readings", "v_sensors", extra=SURF_SQL) + "\nSELECT i, j FROM hull")
 def q_hull(spark, sf):
-    return SP.in_hull(_pairs(spark, sf)[1], ["i", "j"])
+    loc = _located(spark, sf)
+    return SP.in_hull(SP.mesh(loc, RES), SP.convex_hull(loc)).select("i", "j")
 
 
 @register("geo_interpolate", with_("v_readings", "v_sensors", extra=SURF_SQL) + """
 SELECT i, j, pollutant, round(value, 6) AS value FROM z""")
 def q_idw(spark, sf):
-    _, pairs = _pairs(spark, sf)
-    meas = list(SU.POLLUTANT_FLOORS)
-    wide = SP.hull_idw(pairs, ["i", "j"], meas)
+    loc, meas = _located(spark, sf), list(SU.POLLUTANT_FLOORS)
+    grid = SP.in_hull(SP.mesh(loc, RES), SP.convex_hull(loc))
+    wide = SP.idw(_pairs(loc, grid), ["i", "j"], meas)
     return _r6(SP.unpivot_measures(wide, ["i", "j"], meas), "value")
 
 
@@ -360,6 +379,5 @@ SELECT pollutant, i, j, round(weight, 6) AS weight,
        sha256(concat_ws(chr(1), pollutant, cast(i AS varchar), cast(j AS varchar), '{AS_OF}')) AS primary_key,
        {OBS_US} AS "observationDateTime" FROM zc""")
 def q_surface(spark, sf):
-    out = SU.air_quality_surface(v(spark, sf, "v_readings"), v(spark, sf, "v_sensors"), AS_OF, RES,
-                                 radius_deg=RADIUS)
+    out = SU.air_quality_surface(v(spark, sf, "v_readings"), v(spark, sf, "v_sensors"), AS_OF, RES, nearest=NEAREST)
     return _r6(out, "weight")

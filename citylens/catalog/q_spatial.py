@@ -21,7 +21,7 @@ from citylens.sources.fixtures import duckdb_with, view
 CO, ME, FI = H.COARSE, H.MEDIUM, H.FINE
 OBS_US = (AS_OF + OFFSET_MIN * 60) * 1_000_000
 RES = 100
-RADIUS = 0.5
+NEAREST = 8               # sensors per mesh point
 SLOT_S = 86400            # daily slots fit the sparse test pings
 TRAIN = (AS_OF - WEEK_S, AS_OF)
 
@@ -110,7 +110,7 @@ def q_read_region(spark, sf):
     from citylens.sources.ingest import read_region, write_geojson_rings
     rings = SP.bbox_rings(v(spark, sf, "v_routes"), "route_id")
     path = write_geojson_rings(spark, rings, "route_id", "route_id")
-    return read_region(spark, path, "route_id", multi_line=False).select("route_id", "vseq", "latitude", "longitude")
+    return read_region(spark, path, "route_id", multi_line=False, id_col="route_id").select("route_id", "vseq", "latitude", "longitude")
 
 
 # ------------------------------------------------------------------ counts, region cells

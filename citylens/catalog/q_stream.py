@@ -65,8 +65,7 @@ def q_stream_sessions(spark, sf):
 SELECT sensor_id, cast(floor(epoch(obs_ts)) AS bigint) AS obs_epoch, k1, k2, k3, co2, co, no2, so2, pm10, pm2p5 FROM latest""")
 def q_stream_latest(spark, sf):
     src = ST.stream_view(spark, sf, "v_readings").na.drop()
-    last = ST.stream_latest(src, ["sensor_id"], ["obs_ts", "k1", "k2", "k3"])
-    out = spark.read.parquet(last)
+    out = ST.read_latest(spark, ST.stream_latest(src, ["sensor_id"], ["obs_ts", "k1", "k2", "k3"]), src.schema)
     return out.withColumn("obs_epoch", F.unix_timestamp("obs_ts")).drop("obs_ts")
 
 

@@ -29,10 +29,11 @@ sch AS (SELECT * FROM v_schedule WHERE trip_id IS NOT NULL AND stop_sequence IS
 env AS (SELECT trip_id, min(departure_epoch) AS start_time, max(arrival_epoch) AS end_time FROM sch GROUP BY trip_id),
 sch_stops AS (SELECT trip_id, list_sort(list(DISTINCT stop_id)) AS sch_stops FROM sch GROUP BY trip_id),
 eta_w AS (SELECT *, min(obs_epoch) OVER w AS mn, max(obs_epoch) OVER w AS mx, max(latitude) OVER w AS mlat,
-                 min(longitude) OVER w AS mlon
+                 min(longitude) OVER w AS mlon, min(actual_start_epoch) OVER w AS mst
           FROM v_pings WINDOW w AS (PARTITION BY trip_id)),
 eta_env AS (SELECT DISTINCT trip_id, license_plate, mn, mx, mlat, mlon FROM eta_w
-            WHERE obs_epoch = mn OR obs_epoch = mx OR latitude = mlat OR longitude = mlon),
+            WHERE obs_epoch = mn OR obs_epoch = mx OR latitude = mlat OR longitude = mlon
+              OR actual_start_epoch = mst),
 eta_stops AS (SELECT p.trip_id, list_sort(list(DISTINCT p.last_stop_id)) AS eta_stops FROM v_pings p
               WHERE EXISTS (SELECT 1 FROM sch s WHERE s.trip_id = p.trip_id) GROUP BY p.trip_id),
 prog AS (SELECT e.trip_id, e.eta_stops, s.sch_stops, list_sort(list_intersect(e.eta_stops, s.sch_stops)) AS common_stops

@@ -196,14 +196,16 @@ FROM (SELECT *, (_hdq > _hdr) AND (_hdq > _hds) AS _hfq
 
 def with_boundary(df: DataFrame, cell: str = "cell", out: str = "ring", grid: HexGrid = COARSE,
                   digits: int = 6) -> DataFrame:
-    """Add the closed boundary ring (array of [lon, lat]) of ``cell``."""
+    """Add the closed boundary ring (array of [lon, lat]) of ``cell``; NULL for
+    the cell of a point without coordinates."""
     cols = df.columns
     d = df.withColumns({"_bq": cell_q(cell), "_br": cell_r(cell)})
     d = d.withColumns({"_blon": (F.col("_bq") + F.col("_br") / F.lit(2.0)) * F.lit(grid.clon),
                        "_blat": F.col("_br") * F.lit(grid.clat)})
     pts = [F.array(F.round(F.col("_blon") + F.lit(dx), digits), F.round(F.col("_blat") + F.lit(dy), digits))
            for dx, dy in grid.corner_offsets()]
-    return d.select(*[F.col(c) for c in cols if c != out], F.array(*pts, pts[0]).alias(out))
+    ring = F.when(F.col(cell) != F.lit(NO_CELL), F.array(*pts, pts[0]))
+    return d.select(*[F.col(c) for c in cols if c != out], ring.alias(out))
 
 
 def explode_disk(df: DataFrame, k: int, cell: str = "cell", out: str = "nb", ring: str = "ring") -> DataFrame:

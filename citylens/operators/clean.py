@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from citylens.operators.joins import join_back
+
 
 def normalise_pings(df: DataFrame, cols: list[str] | None = None, swapped: bool = True,
                     lat: str = "latitude", lon: str = "longitude") -> DataFrame:
@@ -50,7 +52,7 @@ def extreme_rows(df: DataFrame, keys: list[str], extremes: dict[str, tuple[str,
     for name, (_, c) in extremes.items():
         cond = F.col(c) == F.col(name)
         hit = cond if hit is None else (hit | cond)
-    return df.join(ext, keys, "inner").where(hit)
+    return join_back(df, ext, keys).where(hit)
 
 
 def drop_sentinel(df: DataFrame, column: str, sentinel=-1) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def inner_chain(first: DataFrame, *others: DataFrame, on: str | list[str] = "trip_id") -> DataFrame:
@@ -19,9 +20,11 @@ def inner_chain(first: DataFrame, *others: DataFrame, on: str | list[str] = "tri
 
 def unmatched(left: DataFrame, right: DataFrame, on: str | list[str] = "trip_id") -> DataFrame:
     """Left rows with no right match (JN-2, JN-5): a left-anti join, not
-    left-join-then-IS-NULL (Catalyst does not rewrite the latter)."""
+    left-join-then-IS-NULL (Catalyst does not rewrite the latter).  The right
+    keys are made distinct first: that combines map-side, so a key with very
+    many right rows shuffles as one row per task."""
     keys = [on] if isinstance(on, str) else on
-    return left.join(right.select(*keys), keys, "left_anti")
+    return left.join(right.select(*keys).distinct(), keys, "left_anti")
 
 
 def enrich(left: DataFrame, right: DataFrame, on: str | list[str] = "trip_id") -> DataFrame:
@@ -37,19 +40,19 @@ def merge_outer(left: DataFrame, right: DataFrame, on: str | list[str] = "trip_i
 def existing(left: DataFrame, right: DataFrame, on: str | list[str] = "trip_id") -> DataFrame:
     """Left rows that have a match, without fan-out on duplicate right keys (JN-6)."""
     keys = [on] if isinstance(on, str) else on
-    return left.join(right.select(*keys), keys, "left_semi")
+    return left.join(right.select(*keys).distinct(), keys, "left_semi")
+
+
+def keyed(df: DataFrame, keys: list[str], out: str = "_key") -> DataFrame:
+    """Add the key columns as one struct.  Structs with NULL fields compare
+    equal field by field, so grouping by, windowing over and joining on the
+    struct treat a NULL key as one group, and all of them share one hash
+    partitioning."""
+    return df.withColumn(out, F.struct(*keys))
 
 
 def join_back(df: DataFrame, agg: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Join per-key aggregates back onto their rows with NULL-safe key
-    equality, so a NULL key forms one group as it does in ``groupBy`` and in
-    window partitions.  Still planned as a hash / sort-merge equi-join."""
-    renamed = agg
-    for k in keys:
-        renamed = renamed.withColumnRenamed(k, f"_jb_{k}")
-    cond = None
-    for k in keys:
-        c = df[k].eqNullSafe(renamed[f"_jb_{k}"])
-        cond = c if cond is None else cond & c
-    out = df.join(renamed, cond, how)
-    return out if how in ("left_anti", "left_semi") else out.drop(*[f"_jb_{k}" for k in keys])
+    """Join per-key values back onto their rows; NULL keys form one group as
+    they do in ``groupBy`` and in window partitions (see :func:`keyed`)."""
+    out = keyed(df, keys).join(keyed(agg, keys).drop(*keys), "_key", how)
+    return out.drop("_key")

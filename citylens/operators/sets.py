@@ -14,8 +14,9 @@ def union_all(*dfs: DataFrame) -> DataFrame:
 
 
 def difference(domain: DataFrame, present: DataFrame, keys: list[str]) -> DataFrame:
-    """Domain rows with no match in ``present`` (SET-2), as a left-anti join."""
-    return domain.join(present.select(*keys), keys, "left_anti")
+    """Domain rows with no match in ``present`` (SET-2): a left-anti join on
+    the distinct present keys (combined map-side before they shuffle)."""
+    return domain.join(present.select(*keys).distinct(), keys, "left_anti")
 
 
 def zero_fill(counts: DataFrame, domain: DataFrame, keys: list[str], value: str = "count",

@@ -7,22 +7,28 @@ ids; nothing pairs every row with every other row.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citylens.functions import hexgrid as H
 from citylens.functions import scalar as S
+from citylens.session import ensure_checkpoint_dir
 
 
 # ------------------------------------------------------------------ SP-4 polyfill
 def ring_edges(vertices: DataFrame, poly: str = "region_id", ring: str = "ring_id",
                seq: str = "vseq") -> DataFrame:
-    """Closed rings (one row per vertex, last = first) -> one row per edge."""
+    """Rings (one row per vertex) -> one row per edge; a ring whose last vertex
+    is not its first is closed."""
     w = Window.partitionBy(poly, ring).orderBy(seq)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    nxt = lambda c: F.coalesce(F.lead(c).over(w), F.first(c).over(whole))
     e = vertices.select(poly, ring, seq, F.col("longitude").alias("x1"), F.col("latitude").alias("y1"),
-                        F.lead("longitude").over(w).alias("x2"), F.lead("latitude").over(w).alias("y2"))
-    return e.where(F.col("x2").isNotNull())
+                        nxt("longitude").alias("x2"), nxt("latitude").alias("y2"))
+    return e.where((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2")))
 
 
 def polyfill(vertices: DataFrame, grid: H.HexGrid = H.COARSE, poly: str = "region_id",
@@ -43,12 +49,14 @@ def polyfill(vertices: DataFrame, grid: H.HexGrid = H.COARSE, poly: str = "regio
     yc = F.col("r") * F.lit(clat)
     e = e.where((F.col("y1") > yc) != (F.col("y2") > yc))
     xi = F.col("x1") + (yc - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
-    c = e.select(poly, "r", xi.alias("xi"))
+    # dealt by row: the runs and cells of one region spread over many tasks
+    c = e.select(poly, "r", xi.alias("xi")).repartition(poly, "r")
     wr = Window.partitionBy(poly, "r").orderBy("xi")
     c = c.withColumn("pair", F.floor((F.row_number().over(wr) - 1) / 2))
     runs = c.groupBy(poly, "r", "pair").agg(F.min("xi").alias("xa"), F.max("xi").alias("xb"),
                                              F.count(F.lit(1)).alias("n"))
-    runs = runs.where(F.col("n") == 2)
+    paired = F.when(F.col("n") == 2, F.col("xa")).otherwise(F.raise_error(F.lit("odd number of ring crossings in a cell row")))
+    runs = runs.withColumn("xa", paired)
     half = F.col("r") / F.lit(2.0)
     qs = F.sequence(F.floor(F.col("xa") / F.lit(clon) - half).cast("long") - 1,
                     F.ceil(F.col("xb") / F.lit(clon) - half).cast("long") + 1)
@@ -82,104 +90,153 @@ def present_neighbours(cells: DataFrame, k: int = 1, cell: str = "cell") -> Data
 
 
 # ------------------------------------------------------------------ SP-5 mesh
+def box(points: DataFrame, lat: str = "latitude", lon: str = "longitude") -> dict[str, Column]:
+    """Bounds of the points as scalar subqueries x0, x1, y0, y1 (no collect, no join)."""
+    return {n: points.agg(f(c)).scalar() for n, f, c in
+            (("x0", F.min, lon), ("x1", F.max, lon), ("y0", F.min, lat), ("y1", F.max, lat))}
+
+
 def mesh(points: DataFrame, res: int = 100, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
     """res x res grid over the points' bounding box, both ends included (SP-5).
 
-    One-row bounds aggregate, then two explodes of ``sequence(0, res-1)``:
-    no join, size fixed by ``res``.
+    A partitioned ``range`` of res * res rows against scalar bounds; no point
+    gives no grid.
     """
-    b = points.agg(F.min(lon).alias("x0"), F.max(lon).alias("x1"), F.min(lat).alias("y0"), F.max(lat).alias("y1"))
+    b = box(points, lat, lon)
     step = F.lit(float(max(res - 1, 1)))
-    m = b.select("*", F.explode(F.sequence(F.lit(0), F.lit(res - 1))).alias("i"))
-    m = m.select("*", F.explode(F.sequence(F.lit(0), F.lit(res - 1))).alias("j"))
-    x = F.col("x0") + (F.col("x1") - F.col("x0")) * F.col("j") / step
-    y = F.col("y0") + (F.col("y1") - F.col("y0")) * F.col("i") / step
-    return m.select("i", "j", x.alias("mx"), y.alias("my"))
-
-
-# ------------------------------------------------------------------ SP-6/7 local neighbourhood, hull, IDW
-def sensor_pairs(points: DataFrame, sensors: DataFrame, radius_deg: float,
-                 px: str = "mx", py: str = "my", sid: str = "sensor_id", carry: list[str] | None = None) -> DataFrame:
-    """(point, sensor) pairs with planar distance <= radius (JN-9, re-aimed).
-
-    Points and sensors are bucketed on a square-metric hex grid whose edge
-    is half the radius; each sensor is exploded into the 2-disk of its
-    bucket (19 buckets), which covers every point within the radius, and
-    joined to points on the bucket id.  Pairs are only produced for nearby
-    sensors, so the cost is bounded by sensor density, not by the product
-    of both tables.
+    m = points.sparkSession.range(res * res).select(
+        F.expr(f"id div {res}").cast("int").alias("i"), F.expr(f"id % {res}").cast("int").alias("j"))
+    x = b["x0"] + (b["x1"] - b["x0"]) * F.col("j") / step
+    y = b["y0"] + (b["y1"] - b["y0"]) * F.col("i") / step
+    return m.select("i", "j", x.alias("mx"), y.alias("my")).where("mx is not null and my is not null")
+
+
+# ------------------------------------------------------------------ JN-9 nearest sensors
+def nearest_sensors(points: DataFrame, sensors: DataFrame, k: int, keys: list[str], px: str = "mx", py: str = "my",
+                    sid: str = "sensor_id", carry: list[str] | None = None, per_bucket: int = 4) -> DataFrame:
+    """The k nearest sensors of every point (planar distance, ties by id), all
+    sensors if there are fewer: ``(keys, px, py, sid, sx, sy, carry, dist)``.
+
+    Square buckets sized by density (``per_bucket`` sensors on average over
+    the box).  A point meets the sensors of its own and the eight adjacent
+    buckets; what lies within one bucket edge is then complete, so a point
+    with k sensors that near is done.  The others, in thin areas, go on with
+    buckets of twice the edge, up to one bucket for the whole box.  No step
+    pairs all points with all sensors unless the box holds that few.
     """
-    g = H.HexGrid(edge_m=radius_deg * H.EARTH_RADIUS_M * math.pi / 180.0 / 2.0, lat0=0.0)
-    sb = H.with_cell(sensors.select(sid, F.col("longitude").alias("sx"), F.col("latitude").alias("sy"),
-                                    *(carry or [])), "sy", "sx", "_b", g)
-    sb = H.explode_disk(sb, 2, "_b", "cell", "_ring").drop("_b", "_ring")
-    pb = H.with_cell(points, py, px, "cell", g)
-    pairs = pb.join(sb, "cell").drop("cell")
-    d = S.euclid(px, py, "sx", "sy")
-    return pairs.withColumn("dist", d).where(F.col("dist") <= F.lit(radius_deg))
+    spark = sensors.sparkSession
+    ensure_checkpoint_dir(spark)
+    placed = sensors.select(sid, F.col("longitude").alias("sx"), F.col("latitude").alias("sy"), *(carry or [])) \
+        .where("sx is not null and sy is not null").checkpoint(eager=True)
+    extent = placed.agg(F.count("*"), F.min("sx"), F.max("sx"), F.min("sy"), F.max("sy")).first()
+    n, x0, x1, y0, y1 = extent
+    if not n:
+        return points.select(*keys, px, py).crossJoin(placed).where("false").withColumn("dist", F.lit(0.0))
+    width = max(x1 - x0, y1 - y0, 1e-9)
+    area = max(x1 - x0, width * 1e-3) * max(y1 - y0, width * 1e-3)
+    edge = min(width, math.sqrt(area * per_bucket / n))
+    todo, done = points.select(*keys, px, py), []
+    order = Window.partitionBy(*keys).orderBy("dist", sid)
+    while True:
+        last = edge >= width                              # two buckets a side reach every sensor
+        at = lambda x, y: [F.floor((F.col(x) - x0) / edge).alias("_bx"), F.floor((F.col(y) - y0) / edge).alias("_by")]  # noqa: B023, E731
+        around = F.array(*[F.lit(d) for d in (-1, 0, 1)])
+        near = placed.select("*", *at("sx", "sy")).withColumn("_dx", F.explode(around)).withColumn("_dy", F.explode(around))
+        near = near.withColumns({"_bx": F.col("_bx") + F.col("_dx"), "_by": F.col("_by") + F.col("_dy")}).drop("_dx", "_dy")
+        met = todo.select("*", *at(px, py)).join(near, ["_bx", "_by"]).drop("_bx", "_by").withColumn("dist", S.euclid(px, py, "sx", "sy"))
+        best = met.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= k)
+        if last:
+            done.append(best.drop("_rn"))
+            break
+        best = best.checkpoint(eager=True)
+        sure = best.where((F.col("_rn") == k) & (F.col("dist") <= edge)).select(*keys)
+        done.append(best.drop("_rn").join(sure, keys, "left_semi"))
+        todo = todo.join(sure, keys, "left_anti").checkpoint(eager=True)
+        if todo.isEmpty():
+            break
+        edge *= 2
+    return reduce(DataFrame.unionByName, done)
+
+
+# ------------------------------------------------------------------ SP-6 hull
+def _hull_of(points) -> list[tuple[float, float]]:
+    """Corners of the convex hull, by monotone chain (a small helper per task)."""
+    pts = sorted(set(points))
+    if len(pts) < 3:
+        return pts
+
+    def chain(seq):
+        out: list[tuple[float, float]] = []
+        for p in seq:
+            while len(out) > 1 and ((out[-1][0] - out[-2][0]) * (p[1] - out[-2][1])
+                                    - (out[-1][1] - out[-2][1]) * (p[0] - out[-2][0])) <= 0:
+                out.pop()
+            out.append(p)
+        return out[:-1]
+
+    return chain(pts) + chain(pts[::-1])
+
+
+def convex_hull(points: DataFrame, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
+    """Edges ``(x1, y1, x2, y2)`` of the convex hull (one degenerate edge for one point).
+
+    Every task reduces its points to their own hull; the corners of those few
+    hulls, and only they, meet in one task.
+    """
+    xy = points.select(F.col(lon).cast("double").alias("x"), F.col(lat).cast("double").alias("y")).where("x is not null and y is not null")
 
+    def corners(batches):
+        found: list[tuple[float, float]] = []
+        for b in batches:
+            found = _hull_of([*found, *zip(b.column("x").to_pylist(), b.column("y").to_pylist())])
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.float64()) for i in (0, 1)], names=["x", "y"])
 
-def in_hull(pairs: DataFrame, keys: list[str], px: str = "mx", py: str = "my") -> DataFrame:
-    """Points inside the convex hull of their paired sensors (SP-6).
+    def edges(batches):
+        found = _hull_of([p for b in batches for p in zip(b.column("x").to_pylist(), b.column("y").to_pylist())])
+        rows = list(zip(found, found[1:] + found[:1]))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array([r[i][j] for r in rows], pa.float64()) for i in (0, 1) for j in (0, 1)],
+                                             names=["x1", "y1", "x2", "y2"])
 
-    Inside (or on the hull) iff the largest angular gap between bearings to
-    the sensors is at most pi, or the point coincides with a sensor.
-    """
-    b = F.atan2(F.col("sy") - F.col(py), F.col("sx") - F.col(px))
-    g = pairs.groupBy(*keys).agg(F.array_sort(F.collect_list(F.when(F.col("dist") > 0, b))).alias("bs"),
-                                 F.min("dist").alias("dmin"))
-    n = F.size("bs")
-    gaps = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
-                       lambda i: F.when(i < n, F.col("bs")[i] - F.col("bs")[i - 1]))
-    wrap = F.col("bs")[0] + F.lit(2 * math.pi) - F.col("bs")[n - 1]
-    maxgap = F.greatest(F.array_max(gaps), wrap)
-    inside = (F.col("dmin") == 0) | ((n >= 3) & (maxgap <= F.lit(math.pi)))
-    return g.where(inside).select(*keys)
-
-
-def idw(pairs: DataFrame, values: DataFrame, keys: list[str], sid: str = "sensor_id",
-        value: str = "value", by: list[str] | None = None, power: float = 2.0) -> DataFrame:
-    """Inverse-distance weighted value per point (and ``by`` group) (SP-7).
-
-    Shepard's weights 1/d^p; a point on a sensor takes that sensor's value
-    (the mean of co-located sensors).  Plain sums and averages keep the
-    aggregation hash-based.
+    return xy.mapInArrow(corners, "x double, y double").coalesce(1).mapInArrow(edges, "x1 double, y1 double, x2 double, y2 double")
+
+
+# Fixed value: slack of the hull test, in degrees (points on an edge count as inside).
+HULL_SLACK = 1e-9
+
+
+def in_hull(grid: DataFrame, hull: DataFrame, row: str = "i", px: str = "mx", py: str = "my") -> DataFrame:
+    """Grid points inside or on the hull (SP-6).
+
+    By grid row: the hull's extent at the row's latitude comes from the edges
+    that span it; the points of the row join that one interval.
     """
-    by = by or []
-    j = pairs.join(values, sid)
-    w = F.when(F.col("dist") > 0, F.lit(1.0) / F.pow(F.col("dist"), F.lit(power)))
-    g = j.groupBy(*keys, *by).agg(
-        F.sum(w * F.col(value)).alias("_wz"), F.sum(w).alias("_w"),
-        F.avg(F.when(F.col("dist") == 0, F.col(value))).alias("_exact"))
-    return g.select(*keys, *by, F.coalesce("_exact", F.col("_wz") / F.col("_w")).alias(value))
-
-
-def hull_idw(pairs: DataFrame, keys: list[str], measures: list[str], power: float = 2.0,
-             px: str = "mx", py: str = "my", carry: tuple[str, ...] = ()) -> DataFrame:
-    """Hull test and inverse-distance weights for several measures in one pass.
-
-    ``pairs`` carries the sensor position (sx, sy), ``dist`` and one column
-    per measure; a single aggregation per point computes the bearings for
-    the hull test (SP-6) and the weighted sums of every measure (SP-7).
-    Points outside the hull are dropped.  ``carry`` columns are functionally
-    dependent on the keys (e.g. the point's coordinates) and ride along as
-    ``min`` aggregates instead of widening the grouping key.
+    rows = grid.groupBy(row).agg(F.min(py).alias("_y"))
+    e = hull.select(F.when(F.col("y1") <= F.col("y2"), F.struct("x1", "y1", "x2", "y2")).otherwise(
+        F.struct(F.col("x2").alias("x1"), F.col("y2").alias("y1"), F.col("x1").alias("x2"), F.col("y1").alias("y2"))).alias("e")).select("e.*")
+    met = rows.join(F.broadcast(e), (F.col("y1") - HULL_SLACK <= F.col("_y")) & (F.col("_y") <= F.col("y2") + HULL_SLACK))
+    flat = F.col("y2") - F.col("y1") <= HULL_SLACK
+    xi = F.col("x1") + (F.col("_y") - F.col("y1")) * (F.col("x2") - F.col("x1")) / F.when(~flat, F.col("y2") - F.col("y1"))
+    span = met.groupBy(row).agg(F.min(F.when(flat, F.least("x1", "x2")).otherwise(xi)).alias("_xa"),
+                                F.max(F.when(flat, F.greatest("x1", "x2")).otherwise(xi)).alias("_xb"))
+    return grid.join(span, row).where((F.col(px) >= F.col("_xa") - HULL_SLACK) & (F.col(px) <= F.col("_xb") + HULL_SLACK)) \
+        .drop("_xa", "_xb")
+
+
+# ------------------------------------------------------------------ SP-7 interpolation
+def idw(pairs: DataFrame, keys: list[str], measures: list[str], power: float = 2.0, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Inverse-distance weighted measures per point over its paired sensors (SP-7).
+
+    Shepard's weights 1/d^p; a point on a sensor takes that sensor's values
+    (the mean of co-located sensors).  ``carry`` columns depend on the keys.
     """
-    b = F.atan2(F.col("sy") - F.col(py), F.col("sx") - F.col(px))
     w = F.when(F.col("dist") > 0, F.lit(1.0) / F.pow(F.col("dist"), F.lit(power)))
-    aggs = [F.array_sort(F.collect_list(F.when(F.col("dist") > 0, b))).alias("bs"), F.min("dist").alias("dmin"),
-            F.sum(w).alias("_w")] + [F.min(c).alias(c) for c in carry]
+    aggs = [F.sum(w).alias("_w")] + [F.min(c).alias(c) for c in carry]
     for m in measures:
-        aggs += [F.sum(w * F.col(m)).alias(f"_wz_{m}"),
-                 F.avg(F.when(F.col("dist") == 0, F.col(m))).alias(f"_ex_{m}")]
+        aggs += [F.sum(w * F.col(m)).alias(f"_wz_{m}"), F.avg(F.when(F.col("dist") == 0, F.col(m))).alias(f"_ex_{m}")]
     g = pairs.groupBy(*keys).agg(*aggs)
-    n = F.size("bs")
-    gaps = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
-                       lambda i: F.when(i < n, F.col("bs")[i] - F.col("bs")[i - 1]))
-    wrap = F.col("bs")[0] + F.lit(2 * math.pi) - F.col("bs")[n - 1]
-    inside = (F.col("dmin") == 0) | ((n >= 3) & (F.greatest(F.array_max(gaps), wrap) <= F.lit(math.pi)))
-    return g.where(inside).select(*keys, *carry, *[F.coalesce(f"_ex_{m}", F.col(f"_wz_{m}") / F.col("_w")).alias(m)
-                                                   for m in measures])
+    return g.select(*keys, *carry, *[F.coalesce(f"_ex_{m}", F.col(f"_wz_{m}") / F.col("_w")).alias(m) for m in measures])
 
 
 def unpivot_measures(df: DataFrame, ids: list[str], measures: list[str],
@@ -190,40 +247,54 @@ def unpivot_measures(df: DataFrame, ids: list[str], measures: list[str],
 
 # ------------------------------------------------------------------ JN-8 nearest segment
 def segment_cells(vertices: DataFrame, grid: H.HexGrid = H.FINE) -> DataFrame:
-    """Segment vertices with their cell; (cell, segment) pairs (SRC-9)."""
+    """Segment vertices with their cell (SRC-9)."""
     return H.with_cell(vertices, "latitude", "longitude", "cell", grid)
 
 
+def segment_cover(vertices: DataFrame, grid: H.HexGrid = H.FINE) -> DataFrame:
+    """Distinct (cell, segment_id) that a segment's line passes (SRC-9).
+
+    Every stretch between consecutive vertices is walked in steps of at most
+    half a cell edge along each axis; the last vertex stands for itself.
+    """
+    w = Window.partitionBy("segment_id").orderBy("vseq")              # the vertices of one segment
+    v = vertices.select("segment_id", "latitude", "longitude", F.lead("latitude").over(w).alias("_la"),
+                        F.lead("longitude").over(w).alias("_lo"))
+    dy, dx = F.col("_la") - F.col("latitude"), F.col("_lo") - F.col("longitude")
+    n = F.greatest(F.ceil(F.greatest(F.abs(dy) * grid.ky, F.abs(dx) * grid.kx) / F.lit(grid.edge_m / 2.0)), F.lit(1)).cast("int")
+    v = v.withColumn("_n", F.coalesce(n, F.lit(1))).withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    at = lambda c, to: F.coalesce(F.col(c) + (F.col(to) - F.col(c)) * F.col("_k") / F.col("_n"), F.col(c))
+    steps = v.select("segment_id", at("latitude", "_la").alias("latitude"), at("longitude", "_lo").alias("longitude"))
+    return H.with_cell(steps, "latitude", "longitude", "cell", grid).select("cell", "segment_id").distinct()
+
+
 def segment_reach(vertices: DataFrame, max_ring: int = 4, grid: H.HexGrid = H.FINE) -> DataFrame:
     """For every cell within ``max_ring`` of the road network: the segments
-    whose vertex cells are nearest to it (smallest ring).  Built from the
-    segment table only, so its size is bounded by the network, not by the
-    number of points snapped to it."""
-    cover = segment_cells(vertices, grid).select("cell", "segment_id").distinct()
-    near = H.explode_disk(cover, max_ring, "cell", "target", "ring")
-    first = F.min("ring").over(Window.partitionBy("target"))      # segments near one cell only
-    near = near.withColumn("_r0", first).where(F.col("ring") == F.col("_r0"))
-    return near.select(F.col("target").alias("cell"), "segment_id").distinct()
-
-
-def snap_to_segment(points: DataFrame, vertices: DataFrame, key: str = "ping_id",
-                    max_ring: int = 4, grid: H.HexGrid = H.FINE) -> DataFrame:
-    """Nearest road segment per point, NULL when none within ``max_ring`` (JN-8).
-
-    1. :func:`segment_reach` expands the (cell, segment) cover of the road
-       network into every cell of its k-disk and keeps, per cell, the
-       segments at the smallest ring;
-    2. each point joins that table once on its own cell (no per-point
-       explode);
-    3. distance to a segment = min over all its vertices; the minimum by
-       (distance, segment id) wins.
+    that pass nearest to it (smallest ring), with their vertices, as one array
+    per cell.  Built from the segment table only, so its size is bounded by
+    the network, not by the number of points snapped to it."""
+    near = H.explode_disk(segment_cover(vertices, grid), max_ring, "cell", "target", "ring")
+    near = near.groupBy("target", "segment_id").agg(F.min("ring").alias("ring"))
+    first = F.min("ring").over(Window.partitionBy("target"))          # segments near one cell only
+    near = near.withColumn("_r0", first).where(F.col("ring") == F.col("_r0")).select(F.col("target").alias("cell"), "segment_id")
+    lines = vertices.groupBy("segment_id").agg(F.collect_list(F.struct(F.col("longitude").alias("x"), F.col("latitude").alias("y"))).alias("line"))
+    return near.join(lines, "segment_id").groupBy("cell").agg(F.collect_list(F.struct("segment_id", "line")).alias("near"))
+
+
+def snap_to_segment(points: DataFrame, vertices: DataFrame, max_ring: int = 4, grid: H.HexGrid = H.FINE) -> DataFrame:
+    """Nearest road segment per point as ``segment`` and ``segment_dist``, NULL
+    when none passes within ``max_ring`` cells (JN-8).
+
+    Each point joins :func:`segment_reach` once, on its own cell, with all its
+    columns; among the cell's segments the smallest (distance to a vertex,
+    segment id) is taken by higher-order functions in a projection.
     """
     reach = segment_reach(vertices, max_ring, grid)
-    p = H.with_cell(points.select(key, "latitude", "longitude"), "latitude", "longitude", "cell", grid)
-    cand = p.join(reach, "cell").select(key, "latitude", "longitude", "segment_id")
-    v = vertices.select("segment_id", F.col("latitude").alias("vy"), F.col("longitude").alias("vx"))
-    dist = S.euclid("vx", "vy", "longitude", "latitude")
-    pick = cand.join(v, "segment_id").groupBy(key).agg(
-        F.min(F.struct(dist.alias("dist"), F.col("segment_id"))).alias("_m"))
-    snapped = pick.select(key, F.col("_m.segment_id").alias("segment"), F.col("_m.dist").alias("segment_dist"))
-    return points.join(snapped, key, "left")
+    p = H.with_cell(points, "latitude", "longitude", "_cell", grid).withColumnRenamed("_cell", "cell")
+
+    def nearest(s: Column) -> Column:
+        far = F.array_min(F.transform(s["line"], lambda v: S.euclid(v["x"], v["y"], F.col("longitude"), F.col("latitude"))))
+        return F.struct(far.alias("dist"), s["segment_id"].alias("segment_id"))
+
+    best = p.join(reach, "cell", "left").withColumn("_m", F.array_min(F.transform("near", nearest)))
+    return best.select(*points.columns, F.col("_m.segment_id").alias("segment"), F.col("_m.dist").alias("segment_dist"))

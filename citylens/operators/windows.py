@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from citylens.operators.joins import join_back
+from citylens.operators.joins import join_back, keyed
 
 
 def partition_minmax(df: DataFrame, keys: list[str], aggs: dict[str, tuple[str, str]]) -> DataFrame:
@@ -25,31 +25,29 @@ def partition_minmax(df: DataFrame, keys: list[str], aggs: dict[str, tuple[str,
     return join_back(df, ext, keys)
 
 
-def _order_struct(order: list[str]) -> Column:
-    return F.struct(*[F.col(c) for c in order])
-
-
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The newest row per key under a total order (W-2, SO-3).
 
-    ``max_by`` over a struct of the remaining columns: one row per key out of
-    a partial aggregation, no sort of the raw rows.
+    ``row_number() = 1``: Spark plans a window group limit, which keeps one
+    row per key and task before the shuffle, so a hot key stays small.
     """
-    rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), _order_struct(order)).alias("_row"))
-    return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
+    w = Window.partitionBy(*keys).orderBy(*[F.desc_nulls_last(c) for c in order])
+    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
 def drop_latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """All rows but the newest per group; single-row groups vanish (W-3).
 
-    The newest row's ordering key per group is found by aggregation and
-    removed with a left-anti join on (keys, order) — the order columns must
-    identify a row within its group.
+    The newest order values per group (top-1 over the narrow key columns) are
+    joined back per key and the row that equals them is dropped — the order
+    columns must identify a row within its group.
     """
-    newest = df.groupBy(*keys).agg(F.max(_order_struct(order)).alias("_top"))
-    newest = newest.select(*keys, *[F.col(f"_top.{c}").alias(c) for c in order])
-    return join_back(df, newest, keys + order, "left_anti")
+    top = latest_per_key(df.select(*keys, *order), keys, order).select(*keys, *[F.col(c).alias(f"_top_{c}") for c in order])
+    same = None
+    for c in order:
+        eq = F.col(c).eqNullSafe(F.col(f"_top_{c}"))
+        same = eq if same is None else same & eq
+    return join_back(df, top, keys).where(~same).drop(*[f"_top_{c}" for c in order])
 
 
 def gap_seconds(df: DataFrame, keys: list[str], ts: str, tiebreak: str | None = None,
@@ -65,16 +63,18 @@ def gap_seconds(df: DataFrame, keys: list[str], ts: str, tiebreak: str | None =
     if not bucket_s:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(out, F.col(ts) - F.lag(ts, 1).over(w))
-    b = F.floor(F.col(ts) / F.lit(bucket_s)).alias("_bucket")
-    d = df.withColumn("_bucket", b)
-    w = Window.partitionBy(*keys, "_bucket").orderBy(*order)
-    d = d.withColumn("_prev", F.lag(ts, 1).over(w))
-    summary = d.groupBy(*keys, "_bucket").agg(F.max(ts).alias("_last"))
-    ws = Window.partitionBy(*keys).orderBy("_bucket")
-    summary = summary.select(*keys, "_bucket", F.lag("_last", 1).over(ws).alias("_carry"))
-    d = join_back(d, summary, keys + ["_bucket"], "left")
+    # key and bucket as one struct: the lag window and the join of the carried
+    # timestamps share its hash partitioning, so the rows shuffle once
+    d = df.withColumn("_bucket", F.floor(F.col(ts) / F.lit(bucket_s)))
+    d = keyed(d, [*keys, "_bucket"])
+    d = d.withColumn("_prev", F.lag(ts, 1).over(Window.partitionBy("_key").orderBy(*order)))
+    summary = keyed(df.withColumn("_bucket", F.floor(F.col(ts) / F.lit(bucket_s))), [*keys, "_bucket"]) \
+        .groupBy("_key").agg(F.max(ts).alias("_last"))
+    before = Window.partitionBy(*[f"_key.{k}" for k in keys]).orderBy("_key._bucket")
+    carry = summary.select("_key", F.lag("_last", 1).over(before).alias("_carry"))
+    d = d.join(carry, "_key", "left")
     return d.withColumn(out, F.col(ts) - F.coalesce(F.col("_prev"), F.col("_carry"))).drop(
-        "_bucket", "_prev", "_carry")
+        "_key", "_bucket", "_prev", "_carry")
 
 
 def count_over(df: DataFrame, keys: list[str], column: str, out: str = "weight") -> DataFrame:

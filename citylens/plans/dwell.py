@@ -10,7 +10,8 @@ from citylens.functions import scalar as S
 from citylens.functions.timeutil import epoch_micros, hour_of_week, observe_time_micros
 from citylens.operators import spatial as SP
 from citylens.operators.clean import drop_null_rows
-from citylens.operators.windows import surrogate_key
+from citylens.operators.joins import keyed
+from citylens.operators.windows import latest_per_key, surrogate_key
 from citylens.session import ensure_checkpoint_dir
 from citylens.sources.scans import scan_window
 
@@ -22,10 +23,11 @@ def cell_dwell_rows(pings: DataFrame, window=(None, None), grid: H.HexGrid = H.C
     """Pings with their cell, dwell of (trip, route, cell) and hour-of-week,
     the newest ping of every group removed (W-7, W-3, SC-9).
 
-    One partially aggregated ``groupBy`` yields both the group span and the
-    newest (obs_epoch, ping_id); one join back attaches the span and drops
-    the newest row.  A hot group is combined map-side and the join's large
-    side can be split by AQE, unlike a window over the whole group.
+    The span is a numeric ``groupBy`` (hash aggregate, combined map-side), the
+    newest (obs_epoch, ping_id) a top-1 over the narrow key columns; both are
+    one row per group and one join attaches them to the pings.  Groups are
+    keyed by a struct, so a NULL trip or route is a group of its own, as in a
+    window.  Pings without coordinates have no cell and are left out.
     """
     p = scan_window(pings, "obs_epoch", *window)
     cols = ["ping_id", "obs_epoch", "trip_id", "route_id", "trip_direction", "license_plate",
@@ -33,12 +35,14 @@ def cell_dwell_rows(pings: DataFrame, window=(None, None), grid: H.HexGrid = H.C
     p = p.select(*cols)
     if dropna:
         p = drop_null_rows(p)
-    p = H.with_cell(p, "latitude", "longitude", "cell", grid)
-    g = p.groupBy(*DWELL_KEYS).agg((F.max("obs_epoch") - F.min("obs_epoch")).alias("dwell_time"),
-                                   F.max(F.struct("obs_epoch", "ping_id")).alias("_newest"))
-    j = p.join(g, DWELL_KEYS)
-    j = j.where((F.col("obs_epoch") != F.col("_newest.obs_epoch")) | (F.col("ping_id") != F.col("_newest.ping_id")))
-    return j.drop("_newest").withColumn("time_slot", hour_of_week("obs_epoch"))
+    p = p.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+    p = keyed(H.with_cell(p, "latitude", "longitude", "cell", grid), DWELL_KEYS)
+    span = p.groupBy("_key").agg((F.max("obs_epoch") - F.min("obs_epoch")).alias("dwell_time"))
+    top = latest_per_key(p.select("_key", "obs_epoch", "ping_id"), ["_key"], ["obs_epoch", "ping_id"]).select(
+        "_key", F.col("obs_epoch").alias("_top_epoch"), F.col("ping_id").alias("_top_id"))
+    j = p.join(span.join(top, "_key"), "_key")
+    newest = F.col("obs_epoch").eqNullSafe(F.col("_top_epoch")) & F.col("ping_id").eqNullSafe(F.col("_top_id"))
+    return j.where(~newest).drop("_key", "_top_epoch", "_top_id").withColumn("time_slot", hour_of_week("obs_epoch"))
 
 
 def slot_means(rows: DataFrame) -> DataFrame:
@@ -156,6 +160,18 @@ def graph_smooth(panel: DataFrame, extra_self: bool = True) -> DataFrame:
     return out.select("cell", "trip_direction", "slot", (F.col("s") + selfterm).alias("smoothed"))
 
 
+def dwell_of_delays(delays: DataFrame, as_of: int, slots: int = 4, slot_s: int = 3600) -> DataFrame:
+    """P-5 output (as stored) in the form that P-7 reads, only the slots it needs.
+
+    The bounds are literals on ``observationDateTime``, so a scan of the
+    stored table skips what lies outside the slots.
+    """
+    end = (int(as_of) // slot_s) * slot_s
+    start = end - slots * slot_s
+    d = scan_window(delays, "observationDateTime", start * 1_000_000, end * 1_000_000, closed=False)
+    return d.select("cell", "trip_direction", F.expr("observationDateTime div 1000000").alias("obs_epoch"), "dwell_time")
+
+
 # Default lag weights, oldest slot first.
 LAG_WEIGHTS = (0.1, 0.2, 0.3, 0.4)
 

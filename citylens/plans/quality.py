@@ -27,7 +27,7 @@ def network_black_spots(routes: DataFrame, pings: DataFrame, status: DataFrame,
     """P-9: route points in cells where no completed trip ever reported.
 
     weight = route points in the cell, bucketed 1..5 between the global
-    min and max weight (one-row aggregate attached by a size-1 broadcast).
+    min and max weight (scalar subqueries).
     """
     done = completed_trips(status, status_window)
     p = existing(scan_window(pings, "obs_epoch", *ping_window), done)

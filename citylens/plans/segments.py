@@ -9,6 +9,7 @@ from citylens.functions import hexgrid as H
 from citylens.functions import scalar as S
 from citylens.functions.timeutil import epoch_micros, hour_of_week
 from citylens.operators.clean import drop_sentinel
+from citylens.operators.joins import join_back
 from citylens.operators.spatial import snap_to_segment
 from citylens.operators.windows import surrogate_key
 from citylens.sources.scans import scan_window
@@ -26,11 +27,17 @@ def segment_table(vertices: DataFrame) -> DataFrame:
 
 def segment_dwell(snapped: DataFrame, segments: DataFrame, cap_s: int = DWELL_CAP_S) -> DataFrame:
     """Per (trip, route, segment): first/last ping, straight distance, travel
-    time, speed and length-scaled dwell, capped (AG-13)."""
-    o = F.struct("obs_epoch", "ping_id")
-    row = F.struct("obs_epoch", "latitude", "longitude", "trip_direction", "license_plate")
-    g = snapped.groupBy("trip_id", "route_id", "segment").agg(F.min_by(row, o).alias("a"),
-                                                              F.max_by(row, o).alias("b"))
+    time, speed and length-scaled dwell, capped (AG-13).
+
+    The first and the last ping are found as numeric bounds of the ping time
+    (hash aggregate); only the rows at a bound go on to the tie-break by id."""
+    keys = ["trip_id", "route_id", "segment"]
+    cols = ["obs_epoch", "latitude", "longitude", "trip_direction", "license_plate"]
+    bounds = snapped.groupBy(*keys).agg(F.min("obs_epoch").alias("_lo"), F.max("obs_epoch").alias("_hi"))
+    ends = join_back(snapped.select(*keys, "ping_id", *cols), bounds, keys)
+    ends = ends.where((F.col("obs_epoch") == F.col("_lo")) | (F.col("obs_epoch") == F.col("_hi")))
+    row, o = F.struct(*cols), F.struct("obs_epoch", "ping_id")
+    g = ends.groupBy(*keys).agg(F.min_by(row, o).alias("a"), F.max_by(row, o).alias("b"))
     g = g.join(segments.select(F.col("segment_id").alias("segment"), "length", "coords"), "segment", "left")
     dist = S.euclid("a.latitude", "a.longitude", "b.latitude", "b.longitude")
     travel = F.col("b.obs_epoch") - F.col("a.obs_epoch")
@@ -49,7 +56,7 @@ def segment_traffic(pings: DataFrame, vertices: DataFrame, as_of: int, window=(N
     """P-8: dwell and traffic category per (trip, route, road segment)."""
     p = scan_window(pings, "obs_epoch", *window).select(
         "ping_id", "obs_epoch", "trip_id", "route_id", "trip_direction", "license_plate", "latitude", "longitude")
-    snapped = drop_sentinel(snap_to_segment(p, vertices, "ping_id", max_ring, grid), "segment")
+    snapped = drop_sentinel(snap_to_segment(p, vertices, max_ring, grid), "segment")
     d = segment_dwell(snapped, segment_table(vertices))
     return d.select(
         epoch_micros("obs_epoch").alias("observationDateTime"),

@@ -18,7 +18,8 @@ from citylens.sources.scans import scan_window
 
 
 def region_cells(region: DataFrame, grid: H.HexGrid = H.COARSE) -> DataFrame:
-    """Cells of a region given as closed ring vertices (vseq, latitude, longitude)."""
+    """Cells of all regions given as ring vertices (vseq, latitude, longitude, and
+    region_id and ring_id if there is more than one ring), as ``read_region`` gives them."""
     v = region
     if "region_id" not in v.columns:
         v = v.withColumn("region_id", F.lit(0))
@@ -52,30 +53,32 @@ def latest_readings(readings: DataFrame, order=("obs_ts", "k1", "k2", "k3")) ->
 
 
 def air_quality_surface(readings: DataFrame, sensors: DataFrame, as_of: int, res: int = 100,
-                        floors: dict | None = None, radius_deg: float = 0.5, power: float = 2.0,
+                        floors: dict | None = None, nearest: int = 8, power: float = 2.0,
                         grid: H.HexGrid = H.MEDIUM, offset_minutes: int = 330,
                         order=("obs_ts", "k1", "k2", "k3")) -> DataFrame:
     """P-12: interpolated pollutant values on a res x res mesh.
 
-    newest reading per sensor -> join coordinates -> unpivot pollutants ->
-    mesh over the sensors' box -> (point, nearby sensor) pairs -> hull test
-    -> inverse-distance weights -> floor clamp -> cell polygon per point.
+    newest reading per sensor -> join coordinates -> mesh over the sensors'
+    box -> points inside the hull of all sensors -> inverse-distance weights of
+    each point's ``nearest`` sensors -> one row per pollutant -> floor clamp ->
+    cell polygon per point.
     """
     floors = floors or POLLUTANT_FLOORS
     measures = list(floors.keys())
     ensure_checkpoint_dir(readings.sparkSession)
     latest = latest_readings(readings, order)
-    # one row per sensor: small by nature, materialised once so the three
-    # uses below (box, pairs, values) do not rescan the readings
+    # one row per sensor: small by nature, materialised once so the uses
+    # below (box, hull, neighbours) do not rescan the readings
     located = latest.join(sensors.select("sensor_id", "latitude", "longitude"), "sensor_id") \
         .select("sensor_id", "latitude", "longitude", *measures).checkpoint(eager=True)
-    m = SP.mesh(located, res)
-    pairs = SP.sensor_pairs(m, located, radius_deg, carry=measures)
-    wide = SP.hull_idw(pairs, ["i", "j"], measures, power, carry=("mx", "my"))
+    m = SP.in_hull(SP.mesh(located, res), SP.convex_hull(located))
+    pairs = SP.nearest_sensors(m, located, nearest, ["i", "j"], carry=measures)
+    wide = SP.idw(pairs, ["i", "j"], measures, power, carry=("mx", "my"))
     z = SP.unpivot_measures(wide, ["i", "j", "mx", "my"], measures)
     fl = F.create_map(*[x for k, v in floors.items() for x in (F.lit(k), F.lit(float(v)))])
     z = z.withColumn("weight", S.clamp_floor("value", fl[F.col("pollutant")]))
     z = H.with_boundary(H.with_cell(z, "my", "mx", "cell", grid), "cell", "ring", grid)
+    # Fixed value: the reference's own spelling of the polygon column.
     return z.select(
         "pollutant", "i", "j", "weight",
         S.polygon_json("ring").alias("coodinates"),

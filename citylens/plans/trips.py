@@ -15,9 +15,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from citylens.functions import scalar as S
-from citylens.functions.timeutil import epoch_micros, observe_time_micros
-from citylens.operators.clean import drop_null_rows
+from citylens.functions.timeutil import date_text, epoch_micros, observe_time_micros
+from citylens.operators.clean import drop_null_rows, recent
+from citylens.operators.joins import unmatched
+from citylens.session import ensure_checkpoint_dir, path_exists
 from citylens.sources.scans import scan_window
+from citylens.sources.sinks import write_upserted
 
 
 @dataclass(frozen=True)
@@ -36,34 +39,34 @@ def timetable_envelope(sch: DataFrame) -> DataFrame:
     )
 
 
-def plate_envelope(live: DataFrame) -> DataFrame:
-    """Per (trip, plate) extremes and visited stops, then trip-level extremes.
+def plate_envelope(live: DataFrame, actual_start: str = "actual_start_epoch") -> DataFrame:
+    """Per (trip, plate) extremes, kept where a plate attains a trip extreme (AG-10).
 
     A plate is kept when one of its pings attains a trip extreme (first or
-    last ping, max latitude, min longitude): exactly the plates of the
-    reference's "extreme rows".  The window runs over one row per
-    (trip, plate), not over pings (AG-10).
+    last ping, max latitude, min longitude, earliest actual trip start if the
+    pings carry it): exactly the plates of the reference's "extreme rows".
+    Pings are read and shuffled once, combined map-side per (trip, plate); a
+    trip's plates then meet in one row (bounded by the plates of a trip) and
+    those that attain an extreme come out of it.
+    Pings without a trip can match nothing and are left out.
     """
-    per_plate = live.groupBy("trip_id", "license_plate").agg(
-        F.min("obs_epoch").alias("p_first"),
-        F.max("obs_epoch").alias("p_last"),
-        F.max("latitude").alias("p_maxlat"),
-        F.min("longitude").alias("p_minlon"),
-        F.collect_set("last_stop_id").alias("p_stops"),
-    )
-    w = Window.partitionBy("trip_id")
-    env = per_plate.select(
-        "trip_id", "license_plate", "p_first", "p_last", "p_maxlat", "p_minlon",
-        F.min("p_first").over(w).alias("first_ping"),
-        F.max("p_last").over(w).alias("last_ping"),
-        F.max("p_maxlat").over(w).alias("max_latitude"),
-        F.min("p_minlon").over(w).alias("min_longitude"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("p_stops").over(w)))).alias("eta_stops"),
-    )
-    hit = ((F.col("p_first") == F.col("first_ping")) | (F.col("p_last") == F.col("last_ping"))
-           | (F.col("p_maxlat") == F.col("max_latitude")) | (F.col("p_minlon") == F.col("min_longitude")))
-    return env.where(hit).select("trip_id", "license_plate", "first_ping", "last_ping",
-                                 "max_latitude", "min_longitude", "eta_stops")
+    extremes = {"first_ping": ("min", "obs_epoch"), "last_ping": ("max", "obs_epoch"),
+                "max_latitude": ("max", "latitude"), "min_longitude": ("min", "longitude")}
+    if actual_start in live.columns:
+        extremes["actual_start"] = ("min", actual_start)
+    per_plate = live.where(F.col("trip_id").isNotNull()).groupBy("trip_id", "license_plate").agg(
+        *[getattr(F, f)(c).alias(f"p_{n}") for n, (f, c) in extremes.items()],
+        F.collect_set("last_stop_id").alias("p_stops"))
+    per_trip = per_plate.groupBy("trip_id").agg(
+        *[getattr(F, f)(f"p_{n}").alias(n) for n, (f, _) in extremes.items()],
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("p_stops")))).alias("eta_stops"),
+        F.collect_list(F.struct("license_plate", *[f"p_{n}" for n in extremes])).alias("plates"))
+    hit = None
+    for n in extremes:
+        at = F.col(f"p_{n}") == F.col(n)
+        hit = at if hit is None else hit | at
+    return per_trip.select("trip_id", *extremes, "eta_stops", F.inline("plates")).where(hit).select(
+        "trip_id", "license_plate", *extremes, "eta_stops")
 
 
 def stop_progress(sch_stops: DataFrame) -> DataFrame:
@@ -138,19 +141,20 @@ def trip_delay(status_df: DataFrame, live: DataFrame, status, as_of: int,
     """P-2: approximate median ping delay per trip for one or several
     statuses, one row per (trip, plate) (AG-11).
 
-    The status table is reduced to distinct (trip, status) first; pings are
-    restricted by a semi join (no fan-out) and the median is a partially
-    aggregated ``percentile_approx`` per trip.
+    The status table is reduced to one row per trip and status, joined to the
+    pings, and one partially aggregated ``groupBy`` gives the median and the
+    plates.
     """
     trips = status_df.where(F.col("status").isin(*_statuses(status))).select(
         F.col("trip_id").cast("long").alias("trip_id"), "status").distinct()
-    pings = live.join(trips.select("trip_id"), "trip_id", "left_semi")
-    med = pings.groupBy("trip_id").agg(F.percentile_approx("trip_delay", 0.5).alias("trip_delay"))
-    plates = pings.select("trip_id", "license_plate").distinct()
-    return plates.join(med, "trip_id").join(trips, "trip_id").select(
+    pings = live.where(F.col("trip_id").isNotNull()).select("trip_id", "license_plate", "trip_delay")
+    told = pings.join(trips, "trip_id").groupBy("trip_id", "status").agg(
+        F.percentile_approx("trip_delay", 0.5).alias("trip_delay"),
+        F.collect_set(F.struct("license_plate")).alias("plates"))          # a struct keeps a missing plate
+    return told.select("trip_id", "status", "trip_delay", F.explode("plates").alias("p")).select(
         F.col("trip_id").cast("string").alias("trip_id"),
         "trip_delay",
-        "license_plate",
+        F.col("p.license_plate").alias("license_plate"),
         S.run_key("trip_id", as_of).alias("primary_key"),
         observe_time_micros(as_of, offset_minutes).alias("observe_time"),
         "status",
@@ -221,34 +225,26 @@ def trip_status_job(live: DataFrame, sch: DataFrame, as_of: int, out_dir: str,
     under ``spark.checkpoint.dir``) and every output reads it, instead of
     re-deriving the lineage per write.  Outputs are Parquet folders under
     ``out_dir``: the recent-status history (append, run key), the daily
-    status table (upsert by daily key), delays and deviations for completed
-    and live trips.  Returns name -> path.
+    status table (per daily key the newest run's rows replace all earlier
+    ones), delays and deviations for completed and live trips, from the pings
+    of the window.  A stored daily table that cannot be read fails the job.
+    Returns name -> path.
     """
-    from citylens.functions.timeutil import date_text
-    from citylens.operators.clean import recent
-    from citylens.sources.sinks import upsert_by_key, write_upserted
-
-    from citylens.session import ensure_checkpoint_dir
-
     spark = live.sparkSession
     ensure_checkpoint_dir(spark)
-    run = trip_run(live, sch, as_of, live_window, sch_window, thresholds)
+    live = scan_window(live, "obs_epoch", *live_window)
+    run = trip_run(live, sch, as_of, (None, None), sch_window, thresholds)
     run = TripRun(run.envelope, run.plates, run.classified.checkpoint(eager=True))
     status = status_rows(run, as_of, offset_minutes)
     paths = {name: f"{out_dir.rstrip('/')}/{name}" for name in (
         "trip_status", "trip_status_live", "completed_trip_with_delay", "live_trip_with_delay",
         "completed_trip_with_deviation", "live_trip_with_deviation")}
+    day = date_text(as_of)
     hist = recent(status, "observationDateTime", as_of, recent_minutes).withColumn(
         "primary_key", S.run_key("trip_id", as_of))
-    hist.withColumn("run_date", F.lit(date_text(as_of))).write.mode("append") \
+    hist.withColumn("run_date", F.lit(day)).write.mode("append") \
         .partitionBy("run_date").parquet(paths["trip_status"])
-    daily = status.withColumn("run_date", F.lit(date_text(as_of)))
-    try:
-        old = spark.read.parquet(paths["trip_status_live"]).where(F.col("run_date") == date_text(as_of))
-        daily = upsert_by_key(old, daily, ["primary_key", "license_plate"], ["observe_time"])
-        daily = daily.checkpoint(eager=True)          # never overwrite the folder being read
-    except Exception:  # noqa: BLE001  (first run of the day: nothing stored yet)
-        pass
+    daily = replace_daily(spark, status.withColumn("run_date", F.lit(day)), paths["trip_status_live"], day)
     write_upserted(spark, daily, paths["trip_status_live"], ["run_date"])
     for st, kind in (("COMPLETED", "completed"), ("LIVE", "live")):
         trip_delay(status, live, st, as_of, offset_minutes).write.mode("append") \
@@ -256,3 +252,20 @@ def trip_status_job(live: DataFrame, sch: DataFrame, as_of: int, out_dir: str,
         trip_deviation(run, st, as_of, offset_minutes).write.mode("append") \
             .parquet(paths[f"{kind}_trip_with_deviation"])
     return paths
+
+
+def replace_daily(spark, fresh: DataFrame, path: str, day: str) -> DataFrame:
+    """The day's rows after a run: the run's rows, and stored rows of keys it does
+    not have.  Materialised, so that the stored day can be overwritten."""
+    if path_exists(spark, f"{path}/run_date={day}"):
+        stored = spark.read.schema(fresh.schema).parquet(path).where(F.col("run_date") == day)
+        fresh = fresh.unionByName(unmatched(stored, fresh, "primary_key").select(*fresh.columns))
+    return fresh.checkpoint(eager=True)
+
+
+def status_history(status: DataFrame, offset_minutes: int = 330) -> DataFrame:
+    """P-1 output (as stored) in the form that P-9 and P-10 read: ``trip_id``
+    long, ``status``, ``observe_ts`` (run clock without its offset)."""
+    shift = offset_minutes * 60 * 1_000_000
+    return status.select(F.col("trip_id").cast("long").alias("trip_id"), "status",
+                         F.timestamp_micros(F.col("observe_time") - F.lit(shift)).alias("observe_ts"))

@@ -41,21 +41,30 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is only read.
-    Only when it is unset (tests, laptops) is a fresh local folder chosen.
+    On a cluster the setting points at shared storage and is only read; a
+    cluster session without it is refused, because executors could not see
+    each other's files.  Only a ``local`` master (tests, laptops) gets a
+    fresh local folder of its own.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="citylens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    try:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(current)
-    except Exception:  # noqa: BLE001  (Connect sessions expose no SparkContext)
-        pass
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(current)
     return current
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder or file exists in the file system that its path names."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused location under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

@@ -1,8 +1,9 @@
 """Stand-in views over the generated test tables.
 
-Each view is written once as dialect-neutral SQL.  ``EPOCH(x)`` is the only
-macro: ``unix_timestamp(x)`` in Spark, ``cast(floor(epoch(x)) as bigint)`` in
-DuckDB.  Spark builds the views with ``spark.sql(text, table=DataFrame)`` so
+Each view is written once as dialect-neutral SQL with three macros:
+``EPOCH(x)`` (``unix_timestamp(x)`` in Spark, ``cast(floor(epoch(x)) as
+bigint)`` in DuckDB), ``SECONDS(x)`` (epoch seconds to a timestamp) and
+``EACH(a, b)`` (one row per value).  Spark builds the views with ``spark.sql(text, table=DataFrame)`` so
 no temp view names leak into the caller's session.
 """
 
@@ -21,10 +22,12 @@ select event_id as ping_id, user_id as trip_id, 'R' || cast(user_id % 12 as stri
   case when event_id % 2 = 0 then 'UP' else 'DN' end as trip_direction,
   'V' || cast(user_id as string) as vehicle_label,
   'P' || cast(user_id % 40 as string) || '-' || cast(event_id % 2 as string) as license_plate,
-  event_id % 12 as last_stop_id, value as trip_delay, cast(ts as timestamp) as obs_ts, EPOCH(ts) as obs_epoch,
-  21.1e0 + 0.004e0 * ((user_id * 7 + cast(floor((EPOCH(ts) - 1704067200) / 259200e0) as bigint)) % 40) as latitude,
-  72.7e0 + 0.004e0 * ((user_id * 11 + 3 * cast(floor((EPOCH(ts) - 1704067200) / 259200e0) as bigint)) % 50) as longitude
-from {events} where EPOCH(ts) < 1704067200 + (user_id % 30 + 1) * 86400""",
+  event_id % 12 as last_stop_id, value as trip_delay, SECONDS(obs_epoch) as obs_ts, obs_epoch,
+  1704067200 + (user_id % 24) * 3600 + (event_id % 5) * 60 as actual_start_epoch,
+  21.1e0 + 0.004e0 * ((user_id * 7 + cast(floor((obs_epoch - 1704067200) / 259200e0) as bigint)) % 40) as latitude,
+  72.7e0 + 0.004e0 * ((user_id * 11 + 3 * cast(floor((obs_epoch - 1704067200) / 259200e0) as bigint)) % 50) as longitude
+from (select *, 1704067200 + cast(floor((EPOCH(ts) - 1704067200) * (user_id % 30 + 1) / 30e0) as bigint) as obs_epoch
+  from {events}) e""",
     "v_schedule": """
 select l_orderkey as trip_id, l_linenumber as stop_sequence, l_suppkey % 12 as stop_id,
   1704067200 + (l_linenumber - 1) * 432000 + (l_orderkey * 6151) % 86400 as arrival_epoch,
@@ -39,14 +42,13 @@ select o_orderkey as trip_id, case o_orderstatus when 'F' then 'COMPLETED' when
   cast(o_orderdate as timestamp) as observe_ts
 from {orders}""",
     "v_segment_vertices": """
-select s_suppkey as segment_id, v.vseq as vseq,
-  21.1e0 + 0.0016e0 * ((s_suppkey * 17) % 100) + 0.0005e0 * v.vseq as latitude,
-  72.7e0 + 0.002e0 * ((s_suppkey * 31) % 100) + 0.001e0 * v.vseq as longitude, 300e0 + s_suppkey as length
-from {supplier} cross join (select 0 as vseq union all select 1 union all select 2) v""",
+select segment_id, vseq, 21.1e0 + 0.0016e0 * ((segment_id * 17) % 100) + 0.0005e0 * vseq as latitude,
+  72.7e0 + 0.002e0 * ((segment_id * 31) % 100) + 0.001e0 * vseq as longitude, 300e0 + segment_id as length
+from (select s_suppkey as segment_id, EACH(0, 1, 2) as vseq from {supplier}) v""",
     "v_sensors": """
 select s_suppkey as sensor_id, 18.44e0 + 0.14e0 * ((s_suppkey * 61) % 103) / 103e0 as latitude,
   73.78e0 + 0.18e0 * ((s_suppkey * 37) % 101) / 101e0 as longitude
-from {supplier} where s_suppkey < 50""",
+from {supplier}""",
     "v_readings": """
 select l_suppkey as sensor_id, cast(l_shipdate as timestamp) as obs_ts, l_orderkey as k1, l_linenumber as k2, l_partkey as k3,
   l_quantity * 20e0 as co2, l_discount as co, l_tax as no2, l_extendedprice / 1000e0 as so2, l_quantity as pm10, l_quantity * 0.6e0 as pm2p5
@@ -61,6 +63,9 @@ from {lineitem}""",
 select '{{"resourceSets":[{{"resources":[{{"incidentId":' || cast(event_id as string) || ',"type":' || cast(event_id % 11 + 1 as string)
   || ',"severity":' || cast(event_id % 4 + 1 as string) || ',"roadClosed":' || case when event_id % 5 = 0 then 'true' else 'false' end
   || case when event_id % 3 = 0 then ',"title":"T' || cast(event_id % 7 as string) || '"' else '' end
+  || ',"description":"D' || cast(event_id % 13 as string) || '","icon":"' || cast(event_id % 6 as string) || '","source":"'
+  || cast(event_id % 9 as string) || '","verified":' || case when event_id % 4 = 0 then 'false' else 'true' end
+  || ',"lastModified":"/Date(' || cast((EPOCH(ts) + 60) * 1000 as string) || ')/"'
   || ',"start":"/Date(' || cast(EPOCH(ts) * 1000 as string) || ')/","end":"/Date(' || cast((EPOCH(ts) + 3600) * 1000 as string)
   || ')/","point":{{"type":"Point","coordinates":[21.1,72.8]}},"toPoint":{{"type":"Point","coordinates":[21.2,72.9]}}}}]}}]}}' as rec
 from {events}""",
@@ -71,6 +76,8 @@ union all select 2, 21.28e0, 72.92e0 union all select 3, 21.28e0, 72.68e0 union
 
 _TABLE_REF = re.compile(r"(?<!\{)\{(\w+)\}(?!\})")
 _EPOCH = re.compile(r"EPOCH\((\w+)\)")
+_SECONDS = re.compile(r"SECONDS\((\w+)\)")
+_EACH = re.compile(r"EACH\(([^)]*)\)")
 
 
 def tables_of(view: str) -> list[str]:
@@ -78,67 +85,27 @@ def tables_of(view: str) -> list[str]:
 
 
 def spark_text(view: str) -> str:
-    return _EPOCH.sub(r"unix_timestamp(\1)", VIEW_SQL[view])
+    text = _EPOCH.sub(r"unix_timestamp(\1)", VIEW_SQL[view])
+    return _EACH.sub(r"explode(array(\1))", _SECONDS.sub(r"timestamp_seconds(\1)", text))
 
 
 def duckdb_text(view: str) -> str:
     text = _EPOCH.sub(r"cast(floor(epoch(\1)) as bigint)", VIEW_SQL[view])
+    text = _EACH.sub(r"unnest([\1])", _SECONDS.sub(r"make_timestamp(\1 * 1000000)", text))
     text = _TABLE_REF.sub(r"\1", text)
     return text.replace("{{", "{").replace("}}", "}")
 
 
-# The generated tables are read-only, so one DataFrame per (session, table)
-# is reused: the file listing, footer reads and split decision happen once.
-_TABLES: dict[tuple[str, str], DataFrame] = {}
-_VIEWS: dict[tuple[str, str, str], DataFrame] = {}
-
-
-def _session_id(spark: SparkSession) -> str:
-    try:
-        return spark.sparkContext.applicationId + ":" + str(id(spark))
-    except Exception:  # noqa: BLE001
-        return str(id(spark))
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (_session_id(spark), path)
-    if key not in _TABLES:
-        _TABLES[key] = spread(spark.read.parquet(path))
-    return _TABLES[key]
-
-
-# A single row group holds at most a few million rows; more tasks than this
-# would only add scheduling overhead on a large cluster.
-SPREAD_MAX = 64
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
-
-    A table stored as one Parquet row group is read by a single task, and
-    every narrow operator after it (JSON parsing, cell math) would run on
-    one core until the first shuffle.  Large tables already have at least
-    that many splits and are returned unchanged (no extra shuffle); the
-    target is capped at ``SPREAD_MAX`` tasks.
-    Filters and column pruning still reach the scan through the exchange.
-    """
-    try:
-        target = min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_MAX)
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001  (e.g. a Connect session without RDD access)
-        return df
-    return df.repartition(target) if splits < target else df
+    """One generated table; how it is split is the reader's business
+    (``spark.sql.files.*``): a file of one row group is one task."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One stand-in view as a DataFrame (lazy; scans stay prunable)."""
     use_utc(spark)
-    key = (_session_id(spark), sf_dir.rstrip("/"), name)
-    if key not in _VIEWS:
-        tables = {t: read_table(spark, sf_dir, t) for t in tables_of(name)}
-        _VIEWS[key] = spark.sql(spark_text(name), **tables)
-    return _VIEWS[key]
+    return spark.sql(spark_text(name), **{t: read_table(spark, sf_dir, t) for t in tables_of(name)})
 
 
 def duckdb_with(*views: str) -> str:

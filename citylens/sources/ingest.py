@@ -67,14 +67,15 @@ def flatten_timetable(records: DataFrame, service_date: str, rec: str = "rec") -
 
 
 def flatten_incidents(payloads: DataFrame, offset_minutes: int = 330, rec: str = "rec") -> DataFrame:
-    """Incident payloads -> one row per resource of the first result set (SRC-6).
+    """Incident payloads -> one row per resource of the first result set (SRC-6);
+    a resource keeps its row whatever fields it lacks.
 
     ``/Date(ms)/`` texts become epoch µs shifted by ``offset_minutes``;
     a missing title becomes ''; the type code is decoded to its label.
     """
     shift = offset_minutes * 60 * 1_000_000
     r = payloads.select(F.from_json(F.col(rec), INCIDENT_SCHEMA).alias("p"))
-    res = r.select(F.inline_outer(F.get(F.col("p.resourceSets"), 0)["resources"]))
+    res = r.select(F.inline(F.get(F.col("p.resourceSets"), 0)["resources"]))
     at = lambda c: S.parse_epoch_text(F.col(c)) + F.lit(shift)
     return res.select(
         F.get(F.col("point.coordinates"), 0).alias("latitude"),
@@ -95,11 +96,11 @@ def flatten_incidents(payloads: DataFrame, offset_minutes: int = 330, rec: str =
         F.col("type").try_cast("int").alias("type_int"),
         S.decode(F.col("type")).alias("type_string"),
         "verified",
-    ).where(F.col("incidentId").isNotNull() | F.col("latitude").isNotNull())
+    )
 
 
 SENSOR_SCHEMA = T.StructType([
-    T.StructField("id", T.StringType()),
+    T.StructField("sensor_id", T.StringType()),
     T.StructField("longitude", T.DoubleType()),
     T.StructField("latitude", T.DoubleType()),
     T.StructField("address", T.StringType()),
@@ -107,7 +108,10 @@ SENSOR_SCHEMA = T.StructType([
 
 
 def read_sensors(spark: SparkSession, path: str, schema: T.StructType = SENSOR_SCHEMA) -> DataFrame:
-    """Sensor coordinate CSV with a header and quoted, comma-bearing addresses (SRC-7)."""
+    """Sensor coordinate CSV with a header and quoted, comma-bearing addresses (SRC-7).
+
+    Columns are taken by position (sensor_id, longitude, latitude, address): the
+    id column is named as the surface (P-12) expects it."""
     return spark.read.csv(path, header=True, schema=schema, quote='"', escape='"', mode="PERMISSIVE")
 
 
@@ -117,26 +121,35 @@ REGION_SCHEMA = T.StructType([
         T.StructField("properties", T.MapType(T.StringType(), T.StringType())),
         T.StructField("geometry", T.StructType([
             T.StructField("type", T.StringType()),
-            T.StructField("coordinates", T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType())))),
+            T.StructField("coordinates", T.StringType()),        # raw JSON: its depth depends on the type
         ])),
     ]))),
 ])
+_POLYGON = "array<array<array<double>>>"
 
 
-def read_region(spark: SparkSession, path: str, id_property: str = "id", multi_line: bool = True) -> DataFrame:
-    """GeoJSON polygons -> one row per ring vertex (SRC-8).
+def read_region(spark: SparkSession, path: str, id_property: str = "id", multi_line: bool = True,
+                id_col: str = "region_id") -> DataFrame:
+    """GeoJSON polygons and multipolygons -> one row per ring vertex (SRC-8).
 
-    Columns: region id (from ``properties[id_property]``), ring_id, vseq,
-    latitude, longitude; GeoJSON positions are [lon, lat].  ``multi_line``
-    reads one pretty-printed document per file; ``False`` reads JSON lines.
+    Columns: ``id_col`` (``properties[id_property]``, else the feature's
+    number), ring_id (unique per file, feature, polygon and ring), vseq,
+    latitude, longitude; GeoJSON positions are [lon, lat].  Other geometry
+    types fail.  ``multi_line`` reads one pretty-printed document per file;
+    ``False`` reads JSON lines.
     """
     fc = spark.read.schema(REGION_SCHEMA).option("multiLine", multi_line).json(path)
-    f = fc.select(F.posexplode("features").alias("fid", "f"))
-    rings = f.select(F.coalesce(F.col("f.properties")[id_property], F.col("fid").cast("string")).alias(id_property),
-                     F.posexplode("f.geometry.coordinates").alias("ring_id", "ring"))
-    v = rings.select(id_property, "ring_id", F.posexplode("ring").alias("vseq", "pt"))
-    return v.select(id_property, "ring_id", "vseq", F.col("pt")[1].alias("latitude"),
-                    F.col("pt")[0].alias("longitude"))
+    f = fc.select(F.monotonically_increasing_id().alias("doc"), F.posexplode("features").alias("fid", "f"))
+    g = F.col("f.geometry")
+    parts = (F.when(g["type"] == "Polygon", F.array(F.from_json(g["coordinates"], _POLYGON)))
+             .when(g["type"] == "MultiPolygon", F.from_json(g["coordinates"], f"array<{_POLYGON}>"))
+             .when(g.isNotNull(), F.raise_error(F.concat(F.lit("no polygon geometry: "), F.coalesce(g["type"], F.lit("none"))))))
+    polygons = f.select("doc", "fid", F.coalesce(F.col("f.properties")[id_property], F.col("fid").cast("string")).alias(id_col),
+                        F.posexplode(parts).alias("pid", "polygon"))
+    rings = polygons.select("doc", "fid", "pid", id_col, F.posexplode("polygon").alias("rid", "ring"))
+    v = rings.select(id_col, F.concat_ws("-", "doc", "fid", "pid", "rid").alias("ring_id"),
+                     F.posexplode("ring").alias("vseq", "pt"))
+    return v.select(id_col, "ring_id", "vseq", F.col("pt")[1].alias("latitude"), F.col("pt")[0].alias("longitude"))
 
 
 def write_geojson_rings(spark: SparkSession, vertices: DataFrame, key: str, id_property: str = "id") -> str:

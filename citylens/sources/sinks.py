@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citylens.functions.timeutil import date_text
+from citylens.operators.windows import latest_per_key
 from citylens.session import scratch_path
 
 
@@ -30,23 +31,20 @@ def append_history(df: DataFrame, path: str, as_of: int, key_cols: list[str] | N
 def upsert_by_key(old: DataFrame, new: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Newest row per key across the stored and the incoming rows (SNK-2).
 
-    Written as ``unionByName`` + ``max_by`` over a struct: one partially
-    aggregated shuffle on the keys.  Persist the result to a *new* location
+    Top-1 per key: Spark keeps one row per key and task before the shuffle
+    (window group limit), so a hot key stays small.  Persist the result to a *new* location
     (or a dynamic partition overwrite of other partitions) — never overwrite
     the input being read.
     """
     both = old.unionByName(new, allowMissingColumns=True)
-    rest = [c for c in both.columns if c not in keys]
-    top = both.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*[F.col(c) for c in order])).alias("_r"))
-    return top.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
+    return latest_per_key(both, keys, order)
 
 
 def write_upserted(spark: SparkSession, merged: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Write an upsert result; with partitions, only touched ones are replaced."""
     w = merged.write.mode("overwrite")
     if partition_by:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        w = w.partitionBy(*partition_by)
+        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     w.parquet(path)
 
 

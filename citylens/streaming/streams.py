@@ -13,10 +13,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from citylens.functions import hexgrid as H
 from citylens.operators.windows import latest_per_key
-from citylens.session import scratch_path, use_utc
+from citylens.session import path_exists, scratch_path, use_utc
 from citylens.sources.fixtures import read_table, spark_text, tables_of
 
 
@@ -39,9 +40,10 @@ def stream_view(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
 
 
 def run_available_now(df: DataFrame, name: str, mode: str = "append", path: str | None = None,
-                      timeout_s: int = 600) -> str:
+                      timeout_s: int | None = None) -> str:
     """Process everything currently available, write it to Parquet, stop.
 
+    Waits until the backlog is done (``timeout_s`` may bound the wait).
     Returns the sink folder (read it back as a batch table)."""
     spark = df.sparkSession
     path = path or scratch_path(spark, f"stream-{name}")
@@ -58,7 +60,7 @@ def run_available_now(df: DataFrame, name: str, mode: str = "append", path: str
 
 
 def run_foreach_batch(df: DataFrame, name: str, fn: Callable[[DataFrame, int], None],
-                      timeout_s: int = 600, checkpoint: str | None = None) -> None:
+                      timeout_s: int | None = None, checkpoint: str | None = None) -> None:
     spark = df.sparkSession
     ck = checkpoint or scratch_path(spark, f"stream-{name}-ckpt")
     q = df.writeStream.foreachBatch(fn).option("checkpointLocation", ck).trigger(availableNow=True).start()
@@ -103,37 +105,62 @@ def sessions(pings: DataFrame, gap: str, watermark: str = "1 hour",
                       "n_messages", "first_epoch", "last_epoch")
 
 
+# Fixed value: key buckets of the upsert table.
+LATEST_BUCKETS = 64
+
+
 def stream_latest(readings: DataFrame, keys: list[str], order: list[str], name: str = "latest",
                   path: str | None = None) -> str | None:
     """Newest row per key kept across micro-batches (ST-4).
 
-    Every micro-batch merges into the previous version (SNK-2 upsert) and
-    writes ``<path>/v=<batch_id>``; a version is only ever read by the next
-    batch, never overwritten while read.  Batch ids are consecutive and a
-    restarted query re-runs its last batch with the same id, so the chain is
-    rebuilt exactly from ``v=<batch_id - 1>``.  Returns the version written
-    by this run (``None`` when there was nothing new to process).
+    Keys are hashed into buckets.  A micro-batch reads and rewrites only the
+    buckets that its keys touch, each as ``<path>/bucket=<b>/v=<batch_id>``;
+    a bucket's current version is its highest one.  A version is never
+    overwritten while it is read, and a restarted query re-runs its last batch
+    with the same id over the versions below it, so the state is rebuilt
+    exactly.  A stored version that cannot be read fails the batch.  Returns
+    the table's folder for :func:`read_latest`, or ``None`` when there was
+    nothing new to process.
     """
     spark = readings.sparkSession
     base = path or scratch_path(spark, f"stream-{name}")
-    written: list[str] = []
-
-    def version(batch_id: int) -> str:
-        return f"{base}/v={batch_id}"
+    ran: list[int] = []
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(LATEST_BUCKETS)).cast("int")
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        fresh = latest_per_key(batch, keys, order)
-        if batch_id > 0:
-            try:
-                prev = spark.read.parquet(version(batch_id - 1))
-                fresh = latest_per_key(prev.unionByName(fresh), keys, order)
-            except Exception:  # noqa: BLE001  (no earlier version: first batch of this table)
-                pass
-        fresh.write.mode("overwrite").parquet(version(batch_id))
-        written.append(version(batch_id))
+        fresh = latest_per_key(batch, keys, order).withColumn("bucket", bucket)
+        touched = [r["bucket"] for r in fresh.select("bucket").distinct().collect()]     # at most LATEST_BUCKETS
+        stored = read_latest(spark, base, batch.schema, below=batch_id, buckets=touched)
+        if stored is not None:
+            fresh = latest_per_key(stored.withColumn("bucket", bucket).unionByName(fresh), keys, order)
+        fresh.withColumn("v", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy("bucket", "v").parquet(base)
+        ran.append(batch_id)
 
     run_foreach_batch(readings, name, merge, checkpoint=f"{base}-ckpt")
-    return written[-1] if written else None     # None: no new data in this run
+    return base if ran else None
+
+
+def read_latest(spark: SparkSession, path: str, schema: T.StructType, below: int | None = None,
+                buckets: list[int] | None = None) -> DataFrame | None:
+    """Current rows of a :func:`stream_latest` table (of some buckets, before some batch).
+
+    The versions are read from the folder names (at most the buckets times the
+    versions kept); ``None`` if there is none yet, any other failure is raised.
+    """
+    if not path_exists(spark, path):
+        return None
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{path}/bucket=*/v=*")
+    found = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(folder)
+    newest: dict[int, int] = {}
+    for status in found:
+        b, v = (int(part.rpartition("=")[2]) for part in status.getPath().toString().split("/")[-2:])
+        if (below is None or v < below) and (buckets is None or b in buckets):
+            newest[b] = max(v, newest.get(b, -1))
+    if not newest:
+        return None
+    return spark.read.schema(schema).parquet(*[f"{path}/bucket={b}/v={v}" for b, v in sorted(newest.items())])
 
 
 def dedup_stream(src: DataFrame, key: str, ts: str = "obs_ts", watermark: str = "1 hour") -> DataFrame:

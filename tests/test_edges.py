@@ -122,29 +122,54 @@ def test_polyfill_square_area(spark):
     assert abs(n - area / cell_area) / (area / cell_area) < 0.05
 
 
+SENSORS = "sensor_id long, latitude double, longitude double"
+POINTS = "i int, j int, mx double, my double"
+
+
 def test_sensor_on_grid_point_and_collinear(spark):
-    sensors = spark.createDataFrame([(1, 18.5, 73.8), (2, 18.6, 73.9), (3, 18.5, 73.9)],
-                                    "sensor_id long, latitude double, longitude double")
-    pts = spark.createDataFrame([(0, 0, 73.8, 18.5), (0, 1, 73.89, 18.51), (0, 2, 73.81, 18.59)],
-                                "i int, j int, mx double, my double")
-    pairs = SP.sensor_pairs(pts, sensors, 0.5)
-    inside = {(r.i, r.j) for r in SP.in_hull(pairs, ["i", "j"]).collect()}
-    assert inside == {(0, 0), (0, 1)}            # on a sensor; inside the triangle; (0,2) outside
-    vals = spark.createDataFrame([(1, 10.0), (2, 20.0), (3, 30.0)], "sensor_id long, value double")
-    z = {(r.i, r.j): r.value for r in SP.idw(pairs, vals, ["i", "j"]).collect()}
-    assert z[(0, 0)] == 10.0
-    line = spark.createDataFrame([(1, 18.5, 73.8), (2, 18.6, 73.9), (3, 18.7, 74.0)],
-                                 "sensor_id long, latitude double, longitude double")
-    off = spark.createDataFrame([(0, 0, 73.9, 18.5)], "i int, j int, mx double, my double")
-    assert SP.in_hull(SP.sensor_pairs(off, line, 0.5), ["i", "j"]).count() == 0
-
-
-def test_ping_on_no_segment(spark):
-    verts = spark.createDataFrame([(1, 0, 21.1, 72.7, 300.0), (1, 1, 21.1005, 72.701, 300.0)],
+    sensors = spark.createDataFrame([(1, 18.5, 73.8), (2, 18.6, 73.9), (3, 18.5, 73.9)], SENSORS)
+    pts = spark.createDataFrame([(0, 0, 73.8, 18.5), (1, 1, 73.89, 18.51), (2, 2, 73.81, 18.59)], POINTS)
+    inside = {(r.i, r.j) for r in SP.in_hull(pts, SP.convex_hull(sensors)).collect()}
+    assert inside == {(0, 0), (1, 1)}            # on a sensor; inside the triangle; (2, 2) outside
+    valued = sensors.withColumn("value", F.col("sensor_id") * 10.0)
+    pairs = SP.nearest_sensors(pts, valued, 8, ["i", "j"], carry=["value"])
+    z = {(r.i, r.j): r.value for r in SP.idw(pairs, ["i", "j"], ["value"]).collect()}
+    assert z[(0, 0)] == 10.0 and len(z) == 3
+    line = spark.createDataFrame([(1, 18.5, 73.8), (2, 18.6, 73.9), (3, 18.7, 74.0)], SENSORS)
+    off = spark.createDataFrame([(0, 0, 73.9, 18.5), (1, 0, 73.9, 18.6)], POINTS)
+    assert [(r.i, r.j) for r in SP.in_hull(off, SP.convex_hull(line)).collect()] == [(1, 0)]
+    assert SP.convex_hull(line.where("false")).count() == 0
+
+
+def test_wide_network_keeps_all_mesh_points(spark):
+    corners = spark.createDataFrame([(1, 18.0, 73.0), (2, 18.0, 77.0), (3, 22.0, 73.0), (4, 22.0, 77.0)], SENSORS)
+    grid = SP.in_hull(SP.mesh(corners, 21), SP.convex_hull(corners))
+    assert grid.count() == 441
+    assert SP.nearest_sensors(grid, corners, 8, ["i", "j"]).count() == 441 * 4
+
+
+def test_nearest_sensors_equal_brute_force(spark):
+    import random
+    rng = random.Random(2)
+    far = [(i, rng.gauss(18.5, 0.01), rng.gauss(73.9, 0.01)) for i in range(300)] + [(1000, 25.0, 80.0), (1001, 18.5, 90.0)]
+    far += [(2000 + i, 18.5, 73.9) for i in range(20)]                       # co-located sensors tie by id
+    pts = [(i, j, 73.5 + j * 0.9, 18.0 + i * 0.4) for i in range(18) for j in range(18)]
+    got = {}
+    for r in SP.nearest_sensors(spark.createDataFrame(pts, POINTS), spark.createDataFrame(far, SENSORS), 5, ["i", "j"]).collect():
+        got.setdefault((r.i, r.j), set()).add(r.sensor_id)
+    for i, j, x, y in pts:
+        want = sorted((math.sqrt((x - lo) ** 2 + (y - la) ** 2), s) for s, la, lo in far)[:5]
+        assert got[i, j] == {s for _, s in want}
+
+
+def test_ping_on_no_segment_and_mid_segment(spark):
+    verts = spark.createDataFrame([(1, 0, 21.1, 72.7, 300.0), (1, 1, 21.1005, 72.701, 300.0),
+                                   (2, 0, 21.2, 72.7, 300.0), (2, 1, 21.2, 72.72, 300.0)],
                                   "segment_id long, vseq int, latitude double, longitude double, length double")
-    pts = spark.createDataFrame([(1, 21.1001, 72.7001), (2, 21.3, 72.9)], "ping_id long, latitude double, longitude double")
+    pts = spark.createDataFrame([(1, 21.1001, 72.7001), (2, 21.3, 72.9), (3, 21.2001, 72.71), (4, None, 72.7)],
+                                "ping_id long, latitude double, longitude double")
     got = {r.ping_id: r.segment for r in SP.snap_to_segment(pts, verts).collect()}
-    assert got == {1: 1, 2: None}
+    assert got == {1: 1, 2: None, 3: 2, 4: None}
 
 
 def test_repeated_status_rows_do_not_duplicate_pings(spark):
@@ -201,8 +226,8 @@ def test_stream_latest_matches_batch_and_restarts(spark):
     base = scratch_path(spark, "latest-test")
     src = ST.stream_view(spark, sf, "v_readings").na.drop()
     order = ["obs_ts", "k1", "k2", "k3"]
-    last = ST.stream_latest(src, ["sensor_id"], order, path=base)
-    got = {r.sensor_id: (r.k1, r.k2, r.k3) for r in spark.read.parquet(last).collect()}
+    assert ST.stream_latest(src, ["sensor_id"], order, path=base) == base
+    got = {r.sensor_id: (r.k1, r.k2, r.k3) for r in ST.read_latest(spark, base, src.schema).collect()}
     want = {r.sensor_id: (r.k1, r.k2, r.k3) for r in latest_readings(view(spark, sf, "v_readings")).collect()}
     assert got == want
     # restart on the same checkpoint: nothing new, nothing rewritten
@@ -257,3 +282,73 @@ def test_join_back_keeps_null_keys_like_a_window(spark):
     got = {r.id: r.dwell_time for r in W.span_over(df, ["k"], "t").collect()}
     assert got == {1: 20, 2: 20, 3: 0}
     assert sorted(r.id for r in W.drop_latest(df, ["k"], ["t", "id"]).collect()) == [1]
+
+
+def test_stream_latest_merges_batches_and_fails_on_an_unreadable_version(spark, tmp_path):
+    import os
+    import pytest
+    from citylens.streaming import streams as ST
+    src, base = str(tmp_path / "src"), str(tmp_path / "latest")
+    schema = "k long, t long, x string"
+
+    def feed(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        return ST.stream_latest(spark.readStream.schema(schema).parquet(src), ["k"], ["t"], path=base)
+
+    feed([(1, 1, "a"), (2, 5, "b")])
+    feed([(2, 3, "old"), (3, 1, "c")])
+    stored = ST.read_latest(spark, base, spark.createDataFrame([], schema).schema)
+    assert sorted(map(tuple, stored.collect())) == [(1, 1, "a"), (2, 5, "b"), (3, 1, "c")]
+    for d, _, files in os.walk(base):
+        for f in files:
+            if f.endswith(".parquet"):
+                with open(f"{d}/{f}", "wb") as broken:
+                    broken.write(b"not parquet")
+                crc = f"{d}/.{f}.crc"
+                if os.path.exists(crc):
+                    os.remove(crc)
+    with pytest.raises(Exception):
+        feed([(1, 9, "z"), (2, 9, "z"), (3, 9, "z")])
+
+
+def test_status_job_replaces_a_trip_that_changed(spark, tmp_path):
+    sch = spark.createDataFrame([(1, 1, 1, 1705365000, 1705365060), (1, 2, 2, 1705369000, 1705369060)], SCH_SCHEMA)
+    none = spark.createDataFrame([], PING_SCHEMA)
+    one = spark.createDataFrame([(1, 1, "R1", "UP", "V1", "P1", 1, 5.0, 1705365100, 21.1, 72.8),
+                                 (2, 1, "R1", "UP", "V1", "OLD", 1, 900.0, 1705365100 - 5 * 86400, 21.1, 72.8)], PING_SCHEMA)
+    out = str(tmp_path / "job")
+    P.trip_status_job(none, sch, 1705363260, out)
+    paths = P.trip_status_job(one, sch, 1705366980, out, live_window=(1705363200, 1705366980))
+    daily = spark.read.parquet(paths["trip_status_live"]).collect()
+    assert [(r.trip_id, r.status, r.license_plate) for r in daily] == [("1", "LIVE", "P1")]
+    delays = spark.read.parquet(paths["live_trip_with_delay"]).collect()
+    assert [(r.license_plate, r.trip_delay) for r in delays] == [("P1", 5.0)]
+
+
+def test_checkpoint_dir_must_be_set_on_a_cluster():
+    import pytest
+    from citylens.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(Session())
+
+
+def test_incident_without_id_and_point_keeps_its_row(spark):
+    df = spark.createDataFrame([('{"resourceSets":[{"resources":[{"title":"x"},{"incidentId":1}]}]}',), ('{"resourceSets":[]}',)], "rec string")
+    assert sorted((r.title, r.incidentId) for r in I.flatten_incidents(df).collect()) == [("", 1), ("x", None)]
+
+
+def test_region_of_another_geometry_fails(spark, tmp_path):
+    import pytest
+    path = str(tmp_path / "r.json")
+    with open(path, "w") as f:
+        f.write('{"type":"FeatureCollection","features":[{"properties":{},"geometry":{"type":"Point","coordinates":[1,2]}}]}')
+    with pytest.raises(Exception, match="no polygon geometry"):
+        I.read_region(spark, path).collect()
