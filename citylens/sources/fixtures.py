@@ -22,7 +22,7 @@ select event_id as ping_id, user_id as trip_id, 'R' || cast(user_id % 12 as stri
   case when event_id % 2 = 0 then 'UP' else 'DN' end as trip_direction,
   'V' || cast(user_id as string) as vehicle_label,
   'P' || cast(user_id % 40 as string) || '-' || cast(event_id % 2 as string) as license_plate,
-  event_id % 12 as last_stop_id, value as trip_delay, SECONDS(obs_epoch) as obs_ts, obs_epoch,
+  event_id % (user_id % 12 + 1) as last_stop_id, value as trip_delay, SECONDS(obs_epoch) as obs_ts, obs_epoch,
   1704067200 + (user_id % 24) * 3600 + (event_id % 5) * 60 as actual_start_epoch,
   21.1e0 + 0.004e0 * ((user_id * 7 + cast(floor((obs_epoch - 1704067200) / 259200e0) as bigint)) % 40) as latitude,
   72.7e0 + 0.004e0 * ((user_id * 11 + 3 * cast(floor((obs_epoch - 1704067200) / 259200e0) as bigint)) % 50) as longitude
