@@ -230,8 +230,9 @@ med AS (SELECT trip_id, quantile_disc(trip_delay, 0.5) AS trip_delay FROM v_ping
 SELECT DISTINCT p.trip_id, p.license_plate, med.trip_delay FROM v_pings p JOIN med USING (trip_id)""")
 def q_median(spark, sf):
     live = _pings(spark, sf)
-    med = live.groupBy("trip_id").agg(F.percentile_approx("trip_delay", 0.5).alias("trip_delay"))
-    return live.select("trip_id", "license_plate").distinct().join(med, "trip_id")
+    all_trips = live.select("trip_id", F.lit("LIVE").alias("status")).distinct()
+    return P.trip_delay(all_trips, live, "LIVE", AS_OF).select(
+        F.col("trip_id").cast("long").alias("trip_id"), "license_plate", "trip_delay")
 
 
 PROGRESS_SQL = """ss AS (SELECT trip_id, list_sort(list(DISTINCT stop_id)) AS sch_stops FROM v_schedule GROUP BY trip_id),
@@ -368,11 +369,12 @@ def q_epoch(spark, sf):
 
 
 @register("dt_epoch_micros_offset", PINGS + f"""
-SELECT ping_id, epoch_us(obs_ts + INTERVAL {OFFSET_MIN} MINUTE) AS observe_us FROM v_pings""")
+SELECT ping_id, epoch_us(obs_ts + INTERVAL {OFFSET_MIN} MINUTE) AS observe_us,
+       epoch_us(make_timestamp({AS_OF * 1_000_000}) + INTERVAL {OFFSET_MIN} MINUTE) AS run_us FROM v_pings""")
 def q_micros(spark, sf):
     p = _pings(spark, sf)
     return p.select("ping_id", F.unix_micros(F.col("obs_ts") + F.make_dt_interval(mins=F.lit(OFFSET_MIN)))
-                    .alias("observe_us"))
+                    .alias("observe_us"), TU.observe_time_micros(AS_OF, OFFSET_MIN).alias("run_us"))
 
 
 @register("dt_minutes_between", PINGS + """
@@ -389,13 +391,16 @@ def q_how(spark, sf):
     return _pings(spark, sf).select("ping_id", TU.hour_of_week("obs_epoch").alias("time_slot"))
 
 
-_SPECS = ["day", "15m", "4hh", "7d", "2w"]
+_SPECS = ["day", "15m", "4hh", "7d", "2w", "3d@", "1w@"]
 
 
 def _bounds_sql():
+    midnight, clock = AS_OF // 86400 * 86400, 5 * 3600 + 30 * 60
+    bounds = {"day": midnight + clock, "15m": AS_OF - 900, "4hh": AS_OF // 3600 * 3600 - 4 * 3600, "7d": AS_OF - 7 * 86400,
+              "2w": AS_OF - 14 * 86400, "3d@": midnight - 3 * 86400 + clock, "1w@": midnight - 7 * 86400 + clock}
     parts = []
     for spec in _SPECS:
-        a, b = TU.window_bounds(AS_OF, spec, "05:30:00")
+        a, b = bounds[spec], AS_OF // 3600 * 3600 if spec == "4hh" else AS_OF
         parts.append(f"SELECT '{spec}' AS spec, {a} AS start_s, {b} AS end_s, count(*) AS n FROM v_pings "
                      f"WHERE obs_epoch BETWEEN {a} AND {b}")
     return PINGS + "\nUNION ALL\n".join(parts)

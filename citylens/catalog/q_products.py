@@ -62,7 +62,9 @@ def q_dwell_in_cell(spark, sf):
 
 @register("win_drop_latest", with_("v_pings", extra=dwell_rows_sql()) + "\nSELECT ping_id, cell FROM drows")
 def q_drop_latest(spark, sf):
-    return _rows(spark, sf).select("ping_id", "cell")
+    p = H.with_cell(v(spark, sf, "v_pings"), "latitude", "longitude", "cell", CO)
+    return W.drop_latest(p.select("ping_id", "obs_epoch", *D.DWELL_KEYS), D.DWELL_KEYS, ["obs_epoch", "ping_id"]).select(
+        "ping_id", "cell")
 
 
 @register("cond_cap_sentinel", with_("v_pings", extra=dwell_rows_sql()) + """

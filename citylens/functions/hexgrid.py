@@ -81,25 +81,6 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def _round_half_up(v: Column) -> Column:
-    return F.floor(v + F.lit(0.5))
-
-
-def axial(lat, lon, grid: HexGrid = COARSE) -> tuple[Column, Column]:
-    """Point -> integer axial (q, r) with cube rounding."""
-    lat, lon = _c(lat), _c(lon)
-    qf = lon * F.lit(grid.cqx) - lat * F.lit(grid.cqy)
-    rf = lat * F.lit(grid.cry)
-    sf = -qf - rf
-    rq, rr, rs = _round_half_up(qf), _round_half_up(rf), _round_half_up(sf)
-    dq, dr, ds = F.abs(rq - qf), F.abs(rr - rf), F.abs(rs - sf)
-    fix_q = (dq > dr) & (dq > ds)
-    fix_r = ~fix_q & ~(ds > dr)
-    q = F.when(fix_q, -rr - rs).otherwise(rq)
-    r = F.when(fix_r, -rq - rs).otherwise(rr)
-    return q.cast("long"), r.cast("long")
-
-
 def pack(q: Column, r: Column) -> Column:
     return ((q + F.lit(OFFSET)) * F.lit(STRIDE) + (r + F.lit(OFFSET))).cast("long")
 
@@ -112,12 +93,6 @@ def cell_r(cell) -> Column:
     return (F.pmod(_c(cell), F.lit(STRIDE)) - F.lit(OFFSET)).cast("long")
 
 
-def hex_cell(lat, lon, grid: HexGrid = COARSE) -> Column:
-    """Point -> packed cell id (SP-1)."""
-    q, r = axial(lat, lon, grid)
-    return pack(q, r)
-
-
 def cell_center(cell, grid: HexGrid = COARSE) -> tuple[Column, Column]:
     """Packed cell -> (lat, lon) of its centre."""
     q, r = cell_q(cell), cell_r(cell)
@@ -126,38 +101,10 @@ def cell_center(cell, grid: HexGrid = COARSE) -> tuple[Column, Column]:
     return lat, lon
 
 
-def hex_boundary(cell, grid: HexGrid = COARSE, digits: int = 6) -> Column:
-    """Packed cell -> closed ring ``array<array<double>>`` of [lon, lat] (SP-2)."""
-    lat, lon = cell_center(cell, grid)
-    corners = grid.corner_offsets()
-    pts = [F.array(F.round(lon + F.lit(dx), digits), F.round(lat + F.lit(dy), digits))
-           for dx, dy in corners]
-    return F.array(*pts, pts[0])
-
-
-def neighbour(cell, dq: int, dr: int) -> Column:
-    """Packed id of the cell at axial offset (dq, dr)."""
-    return _c(cell) + F.lit(dq * STRIDE + dr)
-
-
-def disk_offsets(k: int) -> list[tuple[int, int, int]]:
-    """(dq, dr, ring) for every cell within k steps; 3k(k+1)+1 entries."""
-    out = []
-    for dq in range(-k, k + 1):
-        for dr in range(max(-k, -dq - k), min(k, -dq + k) + 1):
-            out.append((dq, dr, max(abs(dq), abs(dr), abs(dq + dr))))
-    return out
-
-
-def cell_text(cell) -> Column:
-    """Human readable id ``q_r``."""
-    return F.concat_ws("_", cell_q(cell).cast("string"), cell_r(cell).cast("string"))
-
-
 # ---------------------------------------------------------------- staged DataFrame forms
-# The column forms above expand to large expression trees when nested (the
-# fractional coordinates are referenced many times).  The transforms below
-# stage the computation over successive projections; Catalyst does not
+# As one column expression the cell of a point is a large tree (the fractional
+# coordinates are referenced many times).  The transforms below stage the
+# computation over successive projections; Catalyst does not
 # inline a non-trivial expression that is referenced more than once
 # (CollapseProject), so each intermediate is computed once and generated
 # code stays small.

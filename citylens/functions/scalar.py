@@ -194,8 +194,8 @@ def ring_text(ring, digits: int = 6) -> Column:
 def polygon_json(ring, digits: int = 6) -> Column:
     """Ring -> the product's polygon text (SC-24).
 
-    Layout ``{"type": "Polygon", "geometry": {"type": "Polygon",
-    "coordinates": [ring] }}`` with fixed-decimal vertices.
+    Fixed value: the layout ``{"type": "Polygon", "geometry": {"type":
+    "Polygon", "coordinates": [ring] }}`` with fixed-decimal vertices.
     """
     return F.concat(F.lit('{"type": "Polygon", "geometry": {"type": "Polygon", "coordinates": ['),
                     ring_text(ring, digits), F.lit("] }}"))

@@ -57,21 +57,24 @@ def hour_of_week(epoch: str | Column) -> Column:
     return (weekday * 24 + hour).cast("int")
 
 
-def window_bounds(as_of: int, spec: str, day_start: str = "00:00:00") -> tuple[int, int]:
+def window_bounds(as_of: int, spec: str, day_start: str | None = None) -> tuple[int, int]:
     """Driver-side literal bounds for a trailing window (SC-10).
 
     ``spec`` is one of ``"day"`` (from ``day_start`` on the day of ``as_of``),
-    ``"<n>m"``, ``"<n>h"``, ``"<n>d"``, ``"<n>w"`` (trailing), or
+    ``"<n>m"``, ``"<n>h"``, ``"<n>d"``, ``"<n>w"`` (trailing), ``"<n>d@"`` or
+    ``"<n>w@"`` (from ``day_start`` on the day that many days or weeks back), or
     ``"<n>hh"`` (trailing whole hours: both ends truncated to the hour).
     Only two integers are produced; no data goes through the driver.
     """
     as_of = int(as_of)
+    h, m, s = (int(x) for x in (day_start or "00:00:00").split(":"))
+    clock = h * HOUR + m * 60 + s
     if spec == "day":
-        h, m, s = (int(x) for x in day_start.split(":"))
-        start = (as_of // DAY) * DAY + h * HOUR + m * 60 + s
-        return start, as_of
+        return (as_of // DAY) * DAY + clock, as_of
     unit = spec.lstrip("0123456789")
     n = int(spec[: len(spec) - len(unit)])
+    if unit in ("d@", "w@"):
+        return (as_of // DAY - n * (7 if unit == "w@" else 1)) * DAY + clock, as_of
     if unit == "hh":
         end = (as_of // HOUR) * HOUR
         return end - n * HOUR, end

@@ -11,7 +11,7 @@ from citylens.functions.timeutil import epoch_micros, hour_of_week, observe_time
 from citylens.operators import spatial as SP
 from citylens.operators.clean import drop_null_rows
 from citylens.operators.joins import keyed
-from citylens.operators.windows import latest_per_key, surrogate_key
+from citylens.operators.windows import surrogate_key
 from citylens.session import ensure_checkpoint_dir
 from citylens.sources.scans import scan_window
 
@@ -23,11 +23,11 @@ def cell_dwell_rows(pings: DataFrame, window=(None, None), grid: H.HexGrid = H.C
     """Pings with their cell, dwell of (trip, route, cell) and hour-of-week,
     the newest ping of every group removed (W-7, W-3, SC-9).
 
-    The span is a numeric ``groupBy`` (hash aggregate, combined map-side), the
-    newest (obs_epoch, ping_id) a top-1 over the narrow key columns; both are
-    one row per group and one join attaches them to the pings.  Groups are
-    keyed by a struct, so a NULL trip or route is a group of its own, as in a
-    window.  Pings without coordinates have no cell and are left out.
+    One hash aggregate per group, combined map-side, gives the span and the
+    newest ping, whose (obs_epoch, ping_id) is one decimal; one join attaches
+    both to the pings.  Groups are keyed by a struct, so a NULL trip or route
+    is a group of its own, as in a window.  Pings without coordinates have no
+    cell and are left out; a NULL id is the lowest.
     """
     p = scan_window(pings, "obs_epoch", *window)
     cols = ["ping_id", "obs_epoch", "trip_id", "route_id", "trip_direction", "license_plate",
@@ -37,12 +37,11 @@ def cell_dwell_rows(pings: DataFrame, window=(None, None), grid: H.HexGrid = H.C
         p = drop_null_rows(p)
     p = p.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
     p = keyed(H.with_cell(p, "latitude", "longitude", "cell", grid), DWELL_KEYS)
-    span = p.groupBy("_key").agg((F.max("obs_epoch") - F.min("obs_epoch")).alias("dwell_time"))
-    top = latest_per_key(p.select("_key", "obs_epoch", "ping_id"), ["_key"], ["obs_epoch", "ping_id"]).select(
-        "_key", F.col("obs_epoch").alias("_top_epoch"), F.col("ping_id").alias("_top_id"))
-    j = p.join(span.join(top, "_key"), "_key")
-    newest = F.col("obs_epoch").eqNullSafe(F.col("_top_epoch")) & F.col("ping_id").eqNullSafe(F.col("_top_id"))
-    return j.where(~newest).drop("_key", "_top_epoch", "_top_id").withColumn("time_slot", hour_of_week("obs_epoch"))
+    p = p.withColumn("_at", F.expr("cast(obs_epoch as decimal(18, 0)) * 100000000000000000000BD"
+                                   " + coalesce(cast(ping_id as decimal(20, 0)), -9223372036854775808BD)"))
+    g = p.groupBy("_key").agg((F.max("obs_epoch") - F.min("obs_epoch")).alias("dwell_time"), F.max("_at").alias("_newest"))
+    j = p.join(g, "_key").where(F.col("_at") != F.col("_newest"))
+    return j.drop("_key", "_at", "_newest").withColumn("time_slot", hour_of_week("obs_epoch"))
 
 
 def slot_means(rows: DataFrame) -> DataFrame:
