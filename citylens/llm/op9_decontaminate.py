@@ -109,7 +109,7 @@ def _united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         item_id_col: str = "item_id", item_text_col: str = "text", max_windows: int = 1_000_000) -> DataFrame:
+         item_id_col: str = "item_id", item_text_col: str = "text", max_windows: int = 250_000) -> DataFrame:
     """Per document row: ``doc_id, text, n_words, spans, items`` (word intervals as flat start, end pairs)."""
     spark = docs.sparkSession
     state = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.lit(0).cast("bigint").alias("n_words"),
@@ -158,7 +158,7 @@ def _cut(text: str, spans: list[tuple[int, int]]) -> str:
 
 
 def _filter(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, remove_spans: bool,
-            item_id_col: str = "item_id", item_text_col: str = "text", max_windows: int = 1_000_000) -> DataFrame:
+            item_id_col: str = "item_id", item_text_col: str = "text", max_windows: int = 250_000) -> DataFrame:
     spark, cols, at = docs.sparkSession, docs.columns, docs.columns.index(text_col)
     carried = docs.withColumn("_r_spans", F.array().cast("array<int>")) if remove_spans else docs
     for i, items in enumerate(_blocks(benchmark, item_id_col, item_text_col, max_windows)):
