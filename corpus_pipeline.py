@@ -9,7 +9,7 @@ from citylens.llm.common import materialise, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without an identified language go (no letters, or no language with a majority)."""
+    """Documents without an identified language go (no letters, or none of the learned languages)."""
     return op2_langid.keep_identified(docs)
 
 

@@ -128,6 +128,11 @@ def test_language_accuracy_and_edges(spark, edge_docs):
     assert len(out) == len(lang) and sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.97 * len(held)
     assert all(0 <= r.score <= 1 for r in out)
     got = {(r.doc_id, r.lang_pred) for r in op2_langid.identify(edge_docs.unionByName(documents(spark, [tuple(r[:4]) for r in docs.collect()]))).collect()}
+    strange = documents(spark, [(1, "漢字仮名交じり文の例 ελληνικό κείμενο"), (2, "The and of it"), (3, "x")])
+    labelled = documents(spark, [tuple(r[:4]) for r in docs.collect()])
+    kept = {(r.doc_id, r.text) for r in op2_langid.keep_identified(strange.unionByName(labelled)).collect()}
+    assert (1, "漢字仮名交じり文の例 ελληνικό κείμενο") not in kept and (2, "The and of it") in kept
+    assert {(r.doc_id, r.text) for r in docs.collect()} <= kept
     assert {(3, "und"), (4, "und"), (6, "und"), (8, "und"), (None, "und")} <= got
 
 

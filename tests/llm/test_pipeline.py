@@ -15,23 +15,23 @@ SF = "/root/testdata/sf0.001"
 
 
 def brute_language(rows, model):
-    """Rows whose language has a majority: phrases by plain substring search."""
+    """Rows that some language parses in longer phrases: phrases by plain substring search."""
     texts = {n: t for n, t in model.items()}
     kept = []
     for r in rows:
         words = op2_langid.letters(r["text"]) if r["text"] else []
         if not any(c.isalpha() for w in words for c in w):
             continue
-        seen, bits = {}, {}
+        seen, bits, phrases = {}, {}, {}
         for n, t in texts.items():
             total = 0
             for w in words:
                 if (n, w) not in seen:
                     seen[n, w] = brute.phrases(t, f" {w} ")
                 total += seen[n, w]
-            bits[n] = total * math.log2(len(t) + 1)
+            phrases[n], bits[n] = total, total * math.log2(len(t) + 1)
         best = min(sorted(bits), key=lambda n: bits[n])
-        if 1 / sum(2.0 ** max(bits[best] - b, -1000) for b in bits.values()) >= 0.5:
+        if phrases[best] <= 0.8 * sum(len(w) + 2 for w in words):
             kept.append(r)
     return kept
 
