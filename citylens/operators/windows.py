@@ -25,6 +25,13 @@ def partition_minmax(df: DataFrame, keys: list[str], aggs: dict[str, tuple[str,
     return join_back(df, ext, keys)
 
 
+def order_code(ts: str, tiebreak: str) -> Column:
+    """(epoch seconds, id) as one decimal, ordered like the pair; a NULL id is the
+    lowest.  A numeric code lets extremes run as hash aggregates."""
+    return F.expr(f"cast({ts} as decimal(18, 0)) * 100000000000000000000BD"
+                  f" + coalesce(cast({tiebreak} as decimal(20, 0)), -9223372036854775808BD)")
+
+
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The newest row per key under a total order (W-2, SO-3).
 

@@ -11,7 +11,7 @@ from citylens.functions.timeutil import epoch_micros, hour_of_week, observe_time
 from citylens.operators import spatial as SP
 from citylens.operators.clean import drop_null_rows
 from citylens.operators.joins import keyed
-from citylens.operators.windows import surrogate_key
+from citylens.operators.windows import order_code, surrogate_key
 from citylens.session import ensure_checkpoint_dir
 from citylens.sources.scans import scan_window
 
@@ -37,8 +37,7 @@ def cell_dwell_rows(pings: DataFrame, window=(None, None), grid: H.HexGrid = H.C
         p = drop_null_rows(p)
     p = p.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
     p = keyed(H.with_cell(p, "latitude", "longitude", "cell", grid), DWELL_KEYS)
-    p = p.withColumn("_at", F.expr("cast(obs_epoch as decimal(18, 0)) * 100000000000000000000BD"
-                                   " + coalesce(cast(ping_id as decimal(20, 0)), -9223372036854775808BD)"))
+    p = p.withColumn("_at", order_code("obs_epoch", "ping_id"))
     g = p.groupBy("_key").agg((F.max("obs_epoch") - F.min("obs_epoch")).alias("dwell_time"), F.max("_at").alias("_newest"))
     j = p.join(g, "_key").where(F.col("_at") != F.col("_newest"))
     return j.drop("_key", "_at", "_newest").withColumn("time_slot", hour_of_week("obs_epoch"))

@@ -9,9 +9,8 @@ from citylens.functions import hexgrid as H
 from citylens.functions import scalar as S
 from citylens.functions.timeutil import epoch_micros, hour_of_week
 from citylens.operators.clean import drop_sentinel
-from citylens.operators.joins import join_back
 from citylens.operators.spatial import snap_to_segment
-from citylens.operators.windows import surrogate_key
+from citylens.operators.windows import order_code, surrogate_key
 from citylens.sources.scans import scan_window
 
 DWELL_CAP_S = 86400
@@ -29,15 +28,20 @@ def segment_dwell(snapped: DataFrame, segments: DataFrame, cap_s: int = DWELL_CA
     """Per (trip, route, segment): first/last ping, straight distance, travel
     time, speed and length-scaled dwell, capped (AG-13).
 
-    The first and the last ping are found as numeric bounds of the ping time
-    (hash aggregate); only the rows at a bound go on to the tie-break by id."""
+    One pass over the pings: grouped with direction and plate, everything that
+    the first and last ping give is numeric, so it is a hash aggregate, combined
+    map-side; the few rows per segment that remain then meet by ping order.
+    """
     keys = ["trip_id", "route_id", "segment"]
-    cols = ["obs_epoch", "latitude", "longitude", "trip_direction", "license_plate"]
-    bounds = snapped.groupBy(*keys).agg(F.min("obs_epoch").alias("_lo"), F.max("obs_epoch").alias("_hi"))
-    ends = join_back(snapped.select(*keys, "ping_id", *cols), bounds, keys)
-    ends = ends.where((F.col("obs_epoch") == F.col("_lo")) | (F.col("obs_epoch") == F.col("_hi")))
-    row, o = F.struct(*cols), F.struct("obs_epoch", "ping_id")
-    g = ends.groupBy(*keys).agg(F.min_by(row, o).alias("a"), F.max_by(row, o).alias("b"))
+    p = snapped.withColumn("_at", order_code("obs_epoch", "ping_id"))
+    part = p.groupBy(*keys, "trip_direction", "license_plate").agg(
+        F.min("_at").alias("_lo"), F.max("_at").alias("_hi"), F.min("obs_epoch").alias("t0"), F.max("obs_epoch").alias("t1"),
+        *[F.min_by(c, "_at").alias(f"{c}0") for c in ("latitude", "longitude")],
+        *[F.max_by(c, "_at").alias(f"{c}1") for c in ("latitude", "longitude")])
+    first = F.struct(F.col("t0").alias("obs_epoch"), F.col("latitude0").alias("latitude"), F.col("longitude0").alias("longitude"),
+                     "trip_direction", "license_plate")
+    last = F.struct(F.col("t1").alias("obs_epoch"), F.col("latitude1").alias("latitude"), F.col("longitude1").alias("longitude"))
+    g = part.groupBy(*keys).agg(F.min_by(first, "_lo").alias("a"), F.max_by(last, "_hi").alias("b"))
     g = g.join(segments.select(F.col("segment_id").alias("segment"), "length", "coords"), "segment", "left")
     dist = S.euclid("a.latitude", "a.longitude", "b.latitude", "b.longitude")
     travel = F.col("b.obs_epoch") - F.col("a.obs_epoch")

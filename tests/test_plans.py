@@ -91,8 +91,9 @@ def _ping_exchanges(spark, key):
     return found
 
 
-def test_lag_shuffles_the_pings_once(spark, no_broadcast):
-    assert _ping_exchanges(spark, "win_lag_gap") == 1
+@pytest.mark.parametrize("key", ["win_lag_gap", "segment_traffic"])
+def test_pings_shuffle_once(spark, no_broadcast, key):
+    assert _ping_exchanges(spark, key) == 1
 
 
 # the pings of completed trips still meet the status table by trip; by cell only distinct cells shuffle
