@@ -6,10 +6,12 @@ template and position).  Every 3-word gram of a whole text is looked up; hits of
 one template on nearby diagonals (text position minus template position) are
 one candidate, whose region is aligned with the template inside a band around
 those diagonals (match 2, mismatch or gap -1).  A candidate is reported if its
-matched words cover at least ``MIN_COVERAGE`` of the template.
+matched words cover at least ``MIN_COVERAGE`` of the template.  The band is
+narrower for short templates, so that copies in a row stay apart.
 
-The index is broadcast; templates are a parameter whose words are counted and
-must not exceed ``MAX_TEMPLATE_WORDS`` (more are refused, not cut).
+The index is broadcast.  Templates are a parameter: their words are counted and
+dealt to blocks of at most ``MAX_TEMPLATE_WORDS`` (one block for any usual list),
+each with its own index and scan, so a broadcast has a known bound.
 
 Defined results: a NULL or wordless text has no match; equal matches from
 repeated rows each get their row; templates of fewer than 3 words are refused;
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +35,7 @@ GRAM = 3
 WINNOW = 4
 BAND = 6
 MIN_COVERAGE = 0.8
-MAX_TEMPLATE_WORDS = 2_000_000
+MAX_TEMPLATE_WORDS = 500_000
 
 # Short notices and headers of public licenses.
 TEMPLATES = {
@@ -77,6 +80,10 @@ TEMPLATES = {
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")      # the words of tokens.words, with positions
 
 
+def _band(template: list[int]) -> int:
+    return min(BAND, max(1, len(template) // 2 - 1))
+
+
 def winnow(hashes: np.ndarray, window: int = WINNOW) -> list[int]:
     """Positions of the fingerprints: the last smallest hash of every ``window`` consecutive ones."""
     size = min(window, len(hashes))
@@ -99,26 +106,25 @@ class TemplateIndex:
             self.words.append(ids)
             at, hashes = window_hashes(np.array(ids), GRAM)
             entries += [(hashes[i], t, int(at[i])) for i in winnow(hashes)]
-        if sum(map(len, self.words)) > MAX_TEMPLATE_WORDS:
-            raise ValueError("templates exceed the broadcast bound")
         entries.sort()
         self.hashes = np.array([e[0] for e in entries], dtype=np.uint64)
         self.template = np.array([e[1] for e in entries], dtype=np.int64)
         self.position = np.array([e[2] for e in entries], dtype=np.int64)
 
     def candidates(self, ids: np.ndarray):
-        """Hits of each template on nearby diagonals: (template, first and last diagonal, first hit's position)."""
+        """Hits of each template on nearby diagonals: (template, first and last diagonal)."""
         at, h = window_hashes(ids, GRAM)
         left, right = np.searchsorted(self.hashes, h, side="left"), np.searchsorted(self.hashes, h, side="right")
         by_template = defaultdict(list)
         for k in np.flatnonzero(right > left):
             for e in range(left[k], right[k]):
-                by_template[int(self.template[e])].append((int(at[k] - self.position[e]), int(at[k])))
+                by_template[int(self.template[e])].append(int(at[k] - self.position[e]))
         for t, found in by_template.items():
             found.sort()
-            low = high = found[0][0]
-            for diagonal, _ in found[1:]:
-                if diagonal - high > BAND:
+            apart = _band(self.words[t])
+            low = high = found[0]
+            for diagonal in found[1:]:
+                if diagonal - high > apart:
                     yield t, low, high
                     low = diagonal
                 high = diagonal
@@ -126,8 +132,8 @@ class TemplateIndex:
 
 
 def align(template: list[int], text: np.ndarray, low: int, high: int) -> list[tuple[int, int]]:
-    """Best local alignment with diagonals in [low - BAND, high + BAND]: matched (template, text) positions."""
-    base, width = low - BAND, high - low + 2 * BAND + 1
+    """Best local alignment with diagonals from low to high and a band on either side: matched (template, text) positions."""
+    base, width = low - _band(template), high - low + 2 * _band(template) + 1
     score, back, best = [[0] * (width + 1)], [], (0, 0, 0)
     for i, want in enumerate(template):
         row, step, above = [0] * (width + 1), [0] * width, score[-1]
@@ -175,7 +181,24 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, min_
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document and license found: ``doc_id, license, coverage`` (best), ``n_spans``, ``spans``
     (``start:end`` code points of the text, comma-joined, end exclusive)."""
-    index = docs.sparkSession.sparkContext.broadcast(TemplateIndex(templates or TEMPLATES))
+    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return reduce(DataFrame.unionByName, (_scan_block(slim, block, min_coverage) for block in _blocks(templates or TEMPLATES)))
+
+
+def _blocks(templates: dict[str, str], max_words: int | None = None) -> list[dict[str, str]]:
+    limit, out, held = max_words or MAX_TEMPLATE_WORDS, [{}], 0
+    for name in sorted(templates):
+        size = len(words(templates[name]))
+        if out[-1] and held + size > limit:
+            out.append({})
+            held = 0
+        out[-1][name] = templates[name]
+        held += size
+    return out
+
+
+def _scan_block(slim: DataFrame, templates: dict[str, str], min_coverage: float) -> DataFrame:
+    index = slim.sparkSession.sparkContext.broadcast(TemplateIndex(templates))
 
     def run(batches):
         known = index.value
@@ -203,6 +226,5 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, min_
                  pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.string())],
                 names=["doc_id", "license", "coverage", "n_spans", "spans"])
 
-    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = slim.schema["doc_id"].dataType.simpleString()
     return slim.mapInArrow(run, f"doc_id {kind}, license string, coverage double, n_spans bigint, spans string")

@@ -99,6 +99,17 @@ def test_licenses_planted_and_brute(spark, edge_docs):
     assert len(got[5, "MIT-notice"]) == 2 and got[5, "MIT-notice"][0].spans == "2:36"
     assert got[7, name][0].n_spans == 2
     assert op1_licenses.scan_licenses(edge_docs).count() == 0
+    notice = op1_licenses.TEMPLATES["MIT-notice"]
+    again = op1_licenses.scan_licenses(documents(spark, [(1, " ".join([notice] * 9))])).collect()
+    assert [(r.license, r.n_spans, r.spans.split(",")[1]) for r in again] == [("MIT-notice", 9, f"{len(notice) + 1}:{2 * len(notice)}")]
+
+
+def test_licenses_in_blocks_of_templates(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    whole = sorted(map(tuple, op1_licenses.scan_licenses(docs).collect()))
+    monkeypatch.setattr(op1_licenses, "MAX_TEMPLATE_WORDS", 40)
+    assert len(op1_licenses._blocks(op1_licenses.TEMPLATES)) > 3
+    assert sorted(map(tuple, op1_licenses.scan_licenses(docs).collect())) == whole
 
 
 def test_license_lines_of_the_tables(spark):
