@@ -14,8 +14,8 @@ The score is the winner's share of 2**-cost over all languages (0 to 1).  The
 phrase rate is the winner's phrases per character parsed: about 0.2 to 0.5 in
 its own language, 1 in a script that no language was learned in.
 
-Training fits on a bounded sample: ``max_rows`` labelled documents a language,
-in the order of a hash of the id, up to ``max_chars`` characters.  Prediction
+Training fits on a bounded sample: the first ``max_rows`` labelled documents of
+a language in the order of a hash of the id, up to ``max_chars`` characters.  Prediction
 covers every row and the whole text.
 
 Defined results: NULL text, or no letter in it, gives ``und`` with score 0 and rate 1, and
@@ -149,18 +149,13 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("string").alias("lang"), F.col(text_col).alias("text")
                        ).where((fold() != HELD_OUT) & F.col("lang").isNotNull())
-    names = [r["lang"] for r in rows.select("lang").distinct().collect()]       # as many as there are languages
-    order = F.xxhash64("doc_id")
-    picked = None
-    for name in names:
-        own = (rows.where(F.col("lang") == name).select("doc_id", "lang").distinct()
-               .orderBy(order, "doc_id").limit(max_rows))
-        picked = own if picked is None else picked.unionByName(own)
-    if picked is None:
+    chosen = _first_ids(rows, max_rows)
+    if not chosen:
         return Model({})
-    chosen = spark.createDataFrame(picked.collect(), picked.schema)              # max_rows a language
-    texts = (rows.join(F.broadcast(chosen), ["doc_id", "lang"])
-             .select("lang", "doc_id", F.substring("text", 1, max_chars).alias("text")).where("text is not null").collect())
+    chosen = spark.createDataFrame(chosen, rows.select("lang", "doc_id").schema)    # max_rows a language
+    texts = (rows.join(F.broadcast(chosen), ["doc_id", "lang"]).where("text is not null")
+             .select("lang", "doc_id", F.substring("text", 1, max_chars).alias("text"))
+             .groupBy("lang", "doc_id").agg(F.min("text").alias("text")).collect())         # one text an id
     samples: dict[str, str] = {}
     for r in sorted(texts, key=lambda r: (r["lang"], hash_order(r["doc_id"]), r["text"])):
         so_far = samples.get(r["lang"], " ")
@@ -169,6 +164,29 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label
     return Model(samples)
 
 
+def _first_ids(rows: DataFrame, k: int) -> list[tuple]:
+    """The first ``k`` distinct ids of every language in hash order, as (lang, doc_id).
+
+    One aggregate tells how many ids a language has, one scan keeps those below a
+    hash bound that should hold about 2k of them; a language that falls short
+    gets a wider bound in another round.  As many scans for one language as for all.
+    """
+    order = F.shiftrightunsigned(F.xxhash64("doc_id"), 1)
+    share = {r["lang"]: min(1.0, 2 * k / max(r["n"], 1))
+             for r in rows.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n")).collect()}
+    kept, todo = [], dict(share)
+    while todo:
+        bounds = rows.sparkSession.createDataFrame([(n, min(int(s * 2 ** 63), 2 ** 63 - 1)) for n, s in todo.items()], "lang string, bound long")
+        near = rows.join(F.broadcast(bounds), "lang").where(order <= F.col("bound")).select("lang", "doc_id", order.alias("h")).distinct()
+        found: dict[str, list] = {}
+        for r in near.collect():
+            found.setdefault(r["lang"], []).append((r["h"], r["doc_id"]))
+        done = [n for n, s in todo.items() if s == 1.0 or len(found.get(n, [])) >= k]
+        kept += [(n, i) for n in done for _, i in sorted(found.get(n, []))[:k]]
+        todo = {n: min(1.0, 4 * s) for n, s in todo.items() if n not in done}
+    return kept
+
+
 def hash_order(doc_id) -> bytes:
     return hashlib.blake2b(str(doc_id).encode(), digest_size=8).digest()
 

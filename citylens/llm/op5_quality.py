@@ -146,7 +146,8 @@ def _sample_features(docs: DataFrame, chosen: DataFrame) -> tuple[list[np.ndarra
                  pa.array(list(meta.astype(np.float32)), pa.list_(pa.float32()))], names=["doc_id", "y", "text_x", "meta_x"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    got = (docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text", "source", "lang", "n_chars")
+    one = F.min(F.struct("text", "source", "lang", "n_chars")).alias("r")                 # a repeated id counts once
+    got = (docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(one).select("doc_id", "y", "r.*")
            .mapInArrow(run, f"doc_id {kind}, y double, text_x array<float>, meta_x array<float>").collect())
     got.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), str(r["doc_id"]), r["text_x"], r["meta_x"]))
     shape = [text_features("").size, metadata_features(None, None, None).size]
@@ -160,11 +161,11 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 8_000, max_poo
     known = materialise(labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.avg("quality").alias("q")), "labels")
     learn = known.where(fold() != HELD_OUT).select("doc_id", (F.col("q") >= 0.5).cast("double").alias("y"))
     labelled = docs.sparkSession.createDataFrame(learn.orderBy(order, "doc_id").limit(max_labelled).collect(), learn.schema)
-    other = (docs.select("doc_id").where("doc_id is not null").join(known.select("doc_id"), "doc_id", "left_anti")
+    other = (docs.select("doc_id").where("doc_id is not null").distinct().join(known.select("doc_id"), "doc_id", "left_anti")
              .select("doc_id", F.lit(0.0).alias("y")))
     pool = docs.sparkSession.createDataFrame(other.orderBy(order, "doc_id").limit(max_pool).collect(), learn.schema)
     x, y = _sample_features(docs, labelled)
-    u, _ = _sample_features(docs, pool.distinct())
+    u, _ = _sample_features(docs, pool)
     return CoTrained(x, y, u)
 
 

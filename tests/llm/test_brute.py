@@ -147,6 +147,18 @@ def test_language_accuracy_and_edges(spark, edge_docs):
     assert {(3, "und"), (4, "und"), (6, "und"), (8, "und"), (None, "und")} <= got
 
 
+def test_training_sample_is_the_first_ids_in_hash_order(spark):
+    rows = spark.range(5000).selectExpr("id as doc_id", "case when id % 50 = 0 then 'xx' else 'en' end as lang")
+    rows = rows.unionByName(spark.range(3000).selectExpr("7L as doc_id", "'one' as lang"))
+    got = {}
+    for lang, i in op2_langid._first_ids(rows, 40):
+        got.setdefault(lang, []).append(i)
+    for lang in ("en", "xx"):
+        want = rows.where(f"lang = '{lang}'").distinct().selectExpr("doc_id", "shiftrightunsigned(xxhash64(doc_id), 1) as h").orderBy("h").limit(40)
+        assert got[lang] == [r.doc_id for r in want.collect()]
+    assert got["one"] == [7]
+
+
 def test_language_without_labels(spark, edge_docs, no_docs):
     from pyspark.sql import functions as F
 
