@@ -204,7 +204,7 @@ def test_html_blocks():
         "A & B", "one two three boldx", "four <5 é", "i", "ii", "last"]
     assert op10_html.blocks(None) == op10_html.blocks("") == []
     assert op10_html.blocks("a < b <") == [(0, "a < b <")]
-    page = "<body><p>x</p><div class='post-body'><p>y<article class='comment'>no</article><article class='post has-sidebar'>z</article></div>"
+    page = "<body><p title='a hidden class=ad role'>x</p><p hidden>h</p><p aria-hidden=true>h</p><div class='post-body'><p>y<article class='comment'>no</article><article class='post has-sidebar'>z</article></div>"
     assert op10_html.blocks(page) == [(op10_html.OPEN, "x"), (op10_html.CONTAINER, "y"), (op10_html.ARTICLE, "z")]
     assert op10_html.blocks("<p title='x > y'>q</p><!-- <p>no</p> --><p data-x=\"un>closed</p>r") is not None
 
