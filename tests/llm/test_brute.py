@@ -244,3 +244,12 @@ def test_pages_without_article_lose_shared_lines(spark):
     assert got[1] == ["Welcome to us\none\nuno\nAll rights"] and got[6] == [""]        # nearest page before 1 is empty
     assert got[5] == ["Welcome to us\nfive\ncinque\nAll rights"] and got[7] == ["", ""] and got[None][0].startswith("A & B")
     assert op10_html.main_text(pages.where("false")).count() == 0
+
+
+def test_open_pages_meet_the_nearest_page_with_lines(spark):
+    body = "<body><p>Welcome to us</p>{}<p>All rights</p></body>"
+    rows = [(1, "http://m.org/a", body.format("<article><p>story one</p></article>")), (2, "http://m.org/b", body.format("<p>open two</p>")),
+            (3, "http://e.org/a", "<body><nav>x</nav></body>"), (4, "http://e.org/b", body.format("<p>open four</p>")), (5, "http://e.org/c", ""),
+            (6, "http://e.org/d", body.format("<p>open six</p>"))]
+    got = {r.page_id: r.text for r in op10_html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {1: "story one", 2: "open two", 3: "", 4: "open four", 5: "", 6: "open six"}
