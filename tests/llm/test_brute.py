@@ -253,3 +253,29 @@ def test_open_pages_meet_the_nearest_page_with_lines(spark):
             (6, "http://e.org/d", body.format("<p>open six</p>"))]
     got = {r.page_id: r.text for r in op10_html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got == {1: "story one", 2: "open two", 3: "", 4: "open four", 5: "", 6: "open six"}
+
+
+def test_copies_of_a_page_keep_their_article(spark):
+    body = "<body><p>Welcome to us</p>{}<p>All rights</p></body>"
+    story = [f"line {i} of a story that many pages carry" for i in range(20)]
+    near = [*story[:9], "line 9 edited", *story[10:]]
+    full = lambda lines: body.format("".join(f"<p>{x}</p>" for x in lines))
+    rows = ([(i, f"http://c.org/a?x={i}", full(story)) for i in range(5)] + [(5, "http://c.org/a?x=5", full(near)), (6, "http://c.org/b", full(["other"]))]
+            + [(10 + i, f"http://c.org/k?x={i}", full(story)) for i in range(3)] + [(20, "http://d.org/1", full(story)), (21, "http://d.org/2", full(near))])
+    got = {r.page_id: r.text for r in op10_html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    alone = lambda lines: "\n".join(["Welcome to us", *lines, "All rights"])
+    want = {**{i: "\n".join(story) for i in (*range(5), 10, 11, 12)}, 5: "\n".join(near), 6: "other", 20: alone(story), 21: alone(near)}
+    assert got == want
+
+
+@pytest.mark.parametrize("block", [1, 12])
+def test_runs_of_copies_across_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(op10_html, "RUN_BLOCK", block)
+    names = "aaaaabbcaaaaaaaaad"
+    rows = [(i, "h" if i < 14 else "k", i, "u", i, [x * 9]) for i, x in enumerate(names)]
+    placed = spark.createDataFrame(rows, "page_id long, host string, at long, url string, tie long, lines array<string>")
+    want, start = {}, 0
+    for i, x in enumerate(names):
+        start = i if not i or i == 14 or names[i - 1] != x else start
+        want[i] = start
+    assert {r["at"]: r["start"] for r in op10_html._with_runs(placed).collect()} == want
