@@ -279,3 +279,18 @@ def test_runs_of_copies_across_blocks(spark, monkeypatch, block):
         start = i if not i or i == 14 or names[i - 1] != x else start
         want[i] = start
     assert {r["at"]: r["start"] for r in op10_html._with_runs(placed).collect()} == want
+
+
+def test_class_names_of_wrappers_do_not_empty_the_page():
+    story = "<article><h1>Title</h1><p>the story of the page</p></article>"
+    lines = [(op10_html.ARTICLE, "Title"), (op10_html.ARTICLE, "the story of the page")]
+    for wrapper in ('div class="layout has-sidebar"', 'div id="page" class="with-menu"', 'section class="social-science"', 'div class="no-nav"',
+                    'div class="layout-sidebar"', 'div class="sidebar"', 'div class="share-buttons"', 'div class="page-header"'):
+        assert op10_html.blocks(f"<body><div class='site-footer'>f</div><{wrapper}>{story}</{wrapper.split()[0]}>") == lines, wrapper
+    for wrapper in ('div class="sidebar-left"', 'div class="site-header"', 'div id="cookie-banner"', 'div class="post-comments"', "div class='ad-slot-3'",
+                    "div class='main-nav'", "div class='related-posts'", "ul class='menu'"):
+        assert op10_html.blocks(f"<body><{wrapper}><p>x</p></{wrapper.split()[0]}>{story}") == lines, wrapper
+    for wrapper in ('div class="comments"', 'div class="related"', "aside", "div class='ads'"):       # what these hold is never the main text
+        assert op10_html.blocks(f"<body><p>open body</p><{wrapper}>{story}</{wrapper.split()[0]}>") == [(op10_html.OPEN, "open body")], wrapper
+    teaser = "<div class='sidebar'><article>a teaser</article></div>"
+    assert op10_html.blocks(teaser + story) == lines and op10_html.blocks(f"{teaser}<p>a body of more text</p>") == [(0, "a body of more text")]
