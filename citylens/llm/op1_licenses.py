@@ -5,7 +5,11 @@ one with the smallest hash is a fingerprint, kept in an inverted index (hash to
 template and position).  Every 3-word gram of a whole text is looked up; hits of
 one template on nearby diagonals (text position minus template position) are
 one candidate, whose region is aligned with the template inside a band around
-those diagonals (match 2, mismatch or gap -1).  A candidate is reported if its
+those diagonals (match 2, mismatch or gap -1).  Grams cannot find an edited short
+template (an edit of the third of five words breaks every gram), so templates of
+fewer than ``SHORT`` words are no part of that index: their candidates are places
+where enough of their words stand on nearby diagonals to cover ``MIN_COVERAGE``,
+whatever lies between them; each is aligned likewise.  A candidate is reported if its
 matched words cover at least ``MIN_COVERAGE`` of the template.  The band is
 narrower for short templates, so that copies in a row stay apart.
 
@@ -20,6 +24,7 @@ columns other than the id and the text are ignored; an empty table gives none.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import defaultdict
 from functools import reduce
@@ -34,6 +39,7 @@ from citylens.llm.tokens import scan, window_hashes, words
 GRAM = 3
 WINNOW = 4
 BAND = 6
+SHORT = 2 * (GRAM + WINNOW)
 MIN_COVERAGE = 0.8
 MAX_TEMPLATE_WORDS = 500_000
 
@@ -84,6 +90,10 @@ def _band(template: list[int]) -> int:
     return min(BAND, max(1, len(template) // 2 - 1))
 
 
+def _need(template: list[int], min_coverage: float) -> int:
+    return max(1, math.ceil(min_coverage * len(template) - 1e-9))
+
+
 def winnow(hashes: np.ndarray, window: int = WINNOW) -> list[int]:
     """Positions of the fingerprints: the last smallest hash of every ``window`` consecutive ones."""
     size = min(window, len(hashes))
@@ -92,7 +102,7 @@ def winnow(hashes: np.ndarray, window: int = WINNOW) -> list[int]:
 
 
 class TemplateIndex:
-    """Inverted index of the templates' fingerprints."""
+    """Inverted index of the templates' fingerprints, and the words of short templates."""
 
     def __init__(self, templates: dict[str, str]):
         self.names = sorted(templates)
@@ -104,12 +114,55 @@ class TemplateIndex:
             if len(ids) < GRAM:
                 raise ValueError(f"template {name} has fewer than {GRAM} words")
             self.words.append(ids)
+            if len(ids) < SHORT:
+                continue
             at, hashes = window_hashes(np.array(ids), GRAM)
             entries += [(hashes[i], t, int(at[i])) for i in winnow(hashes)]
         entries.sort()
         self.hashes = np.array([e[0] for e in entries], dtype=np.uint64)
         self.template = np.array([e[1] for e in entries], dtype=np.int64)
         self.position = np.array([e[2] for e in entries], dtype=np.int64)
+        self.short = {t: sorted(set(ids)) for t, ids in enumerate(self.words) if len(ids) < SHORT}
+
+    @staticmethod
+    def postings(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Known words in order, and their positions."""
+        known = np.flatnonzero(ids >= 0)
+        at = known[np.argsort(ids[known], kind="stable")]
+        return ids[at], at
+
+    def dense(self, t: int, postings: tuple[np.ndarray, np.ndarray], need: int) -> np.ndarray:
+        """Positions of words of short template t that have ``need`` of them within the reach of an alignment."""
+        found, where = postings
+        left, right = np.searchsorted(found, self.short[t], side="left"), np.searchsorted(found, self.short[t], side="right")
+        at = np.sort(np.concatenate([where[a:z] for a, z in zip(left, right)]))
+        ok = np.flatnonzero(at[need - 1:] - at[:max(at.size - need + 1, 0)] < 3 * len(self.words[t]))
+        return at[np.unique((ok[:, None] + np.arange(need)).ravel())]
+
+    def short_matches(self, t: int, ids: np.ndarray, postings: tuple[np.ndarray, np.ndarray], min_coverage: float):
+        """Alignments of short template t that cover enough of it, none over another."""
+        template = self.words[t]
+        need, n, apart = _need(template, min_coverage), len(template), _band(template)
+        hits = sorted((int(p) - i, int(p)) for p in self.dense(t, postings, need) for i, w in enumerate(template) if w == ids[p])
+        free, begin = ids.copy(), 0
+        while begin < len(hits):
+            end = begin + 1
+            # an alignment of positive score drifts by less than 2n diagonals: pieces of 4n that overlap by half hold it
+            while end < len(hits) and hits[end][0] - hits[end - 1][0] <= apart and hits[end][0] - hits[begin][0] <= 4 * n:
+                end += 1
+            while True:
+                live = [(d, p) for d, p in hits[begin:end] if free[p] >= 0]
+                if len({p - d for d, p in live}) < need:
+                    break
+                pairs = align(template, free, live[0][0], live[-1][0])
+                if len(pairs) < need:
+                    break
+                yield pairs
+                free[pairs[0][1]:pairs[-1][1] + 1] = -2
+            if end < len(hits) and hits[end][0] - hits[end - 1][0] <= apart:
+                begin = next(k for k in range(begin + 1, end + 1) if k == end or hits[k][0] - hits[begin][0] > 2 * n)
+            else:
+                begin = end
 
     def candidates(self, ids: np.ndarray):
         """Hits of each template on nearby diagonals: (template, first and last diagonal)."""
@@ -175,6 +228,10 @@ def matches(index: TemplateIndex, ids: np.ndarray, min_coverage: float):
         if coverage >= min_coverage and (t, pairs[0][1], pairs[-1][1]) not in seen:
             seen.add((t, pairs[0][1], pairs[-1][1]))
             yield t, coverage, pairs[0][1], pairs[-1][1]
+    postings = index.postings(ids)
+    for t in index.short:
+        for pairs in index.short_matches(t, ids, postings, min_coverage):
+            yield t, len(pairs) / len(index.words[t]), pairs[0][1], pairs[-1][1]
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, min_coverage: float = MIN_COVERAGE,
@@ -207,7 +264,9 @@ def _scan_block(slim: DataFrame, templates: dict[str, str], min_coverage: float)
             for first, counts, ids in scan(texts, known.vocabulary, GRAM):
                 begin = np.r_[0, np.cumsum(counts + GRAM)]
                 at, h = window_hashes(ids, GRAM)
-                touched = np.unique(np.searchsorted(begin, at[np.isin(h, known.hashes)], side="right") - 1)
+                postings = known.postings(ids)
+                hit = [at[np.isin(h, known.hashes)], *(known.dense(t, postings, _need(known.words[t], min_coverage)) for t in known.short)]
+                touched = np.unique(np.searchsorted(begin, np.concatenate(hit), side="right") - 1)
                 for d in touched:
                     mine = ids[begin[d]:begin[d] + counts[d]]
                     found = defaultdict(list)

@@ -294,3 +294,30 @@ def test_class_names_of_wrappers_do_not_empty_the_page():
         assert op10_html.blocks(f"<body><p>open body</p><{wrapper}>{story}</{wrapper.split()[0]}>") == [(op10_html.OPEN, "open body")], wrapper
     teaser = "<div class='sidebar'><article>a teaser</article></div>"
     assert op10_html.blocks(teaser + story) == lines and op10_html.blocks(f"{teaser}<p>a body of more text</p>") == [(0, "a body of more text")]
+
+
+def test_edited_short_notices_are_found_as_by_full_alignment(spark):
+    from itertools import combinations
+
+    from citylens.llm.tokens import words
+
+    rows, want = [], set()
+    index = op1_licenses.TemplateIndex(op1_licenses.TEMPLATES)
+    for name, text in op1_licenses.TEMPLATES.items():
+        template = text.split()
+        if len(words(text)) >= 2 * (op1_licenses.GRAM + op1_licenses.WINNOW):
+            continue
+        for k in (1, 2):
+            for places in combinations(range(len(template)), k):
+                for edit in (lambda w: ["xx"], lambda w: [], lambda w: [w, "xx"]):
+                    edited = [x for i, w in enumerate(template) for x in (edit(w) if i in places else [w])]
+                    rows.append((len(rows), " ".join(["noise", "of", "the", *edited, "and", "the", "rest"])))
+    rows += [(len(rows), "Distributed under the MIT License"), (len(rows) + 1, "Released under an MIT licence"), (len(rows) + 2, "Released under a MIT License")]
+    for i, text in rows:
+        ids = np.array([index.vocabulary.get(w, -1) for w in words(text)])
+        for name, template in zip(index.names, index.words):
+            if len(template) < 14 and len(op1_licenses.align(template, ids, -len(template), len(ids))) >= 0.8 * len(template):
+                want.add((i, name))
+    got = {(r.doc_id, r.license) for r in op1_licenses.scan_licenses(documents(spark, rows)).collect()}
+    n = len(rows)
+    assert got == want and {(n - 3, "MIT-notice"), (n - 1, "MIT-notice")} <= got and (n - 2, "MIT-notice") not in got
