@@ -15,7 +15,9 @@ pairs.  Three facts keep the emission small without losing a pair:
 * of three differing bits two lie in the same 32-bit half, so the two flips
   need only pairs inside a half;
 * a variant's shuffle key is its top bits, so a fingerprint travels once per
-  key that its variants can have and the task at that key expands them.
+  key that its variants can have and the task at that key expands them; a key
+  with more than ``max_variants`` (a family of near copies shares its top bits)
+  is dealt again by ``STEP`` more bits, so no piece of a task is larger.
 
 Members of one collision are joined as a star around the member nearest to the
 variant (distances verified), each task reduces its stars to a forest, and the
@@ -30,6 +32,7 @@ columns other than the id and the text are ignored; an empty table gives none.
 from __future__ import annotations
 
 import math
+from functools import reduce
 from itertools import islice
 
 import numpy as np
@@ -44,6 +47,7 @@ from citylens.llm.components import connected_components
 SEED = 42
 SHINGLE = 3
 RADIUS = 3
+STEP = 6                 # more top bits by which a key with too many variants is dealt again
 CHUNK = 1 << 16          # shingles hashed at a time: bounds memory for very long texts
 
 
@@ -108,8 +112,11 @@ def _variants(fps: np.ndarray, keys: np.ndarray, prefix: int):
     ones = [1 << i for i in range(low)]
     twos = [(1 << i) | (1 << j) for i in range(low) for j in range(i) if i // 32 == j // 32]
     highs = [1 << i for i in range(32, low)]         # partners of a flipped top bit, in its half
+    lows = [1 << i for i in range(low)] if low < 32 else []
+    upper = (moved ^ fps) >> np.uint64(32) != 0
     out = [(moved, np.arange(fps.size), away)]
-    for at, masks, flips in ((away == 0, ones, 1), ((away == 0) & odd, twos, 2), ((away == 1) & odd, highs, 2)):
+    for at, masks, flips in ((away == 0, ones, 1), ((away == 0) & odd, twos, 2), ((away == 1) & odd & upper, highs, 2),
+                             ((away == 1) & odd & ~upper, lows, 2)):
         idx, m = np.flatnonzero(at), np.array(masks, dtype=np.uint64)
         out.append(((moved[idx, None] ^ m[None, :]).ravel(), np.repeat(idx, m.size), np.full(idx.size * m.size, flips)))
     return tuple(np.concatenate(x) for x in zip(*out))
@@ -128,15 +135,52 @@ def _stars(fps: np.ndarray, keys: np.ndarray, prefix: int) -> tuple[np.ndarray,
     return a[ok], c[ok]
 
 
+def _away(prefix: int):
+    return F.bit_count(F.shiftrightunsigned("fp", 64 - prefix).bitwiseXOR(F.col("key")))
+
+
+def _deal(rows: DataFrame, prefix: int, more: int) -> DataFrame:
+    """Rows ``(fp, key)`` by ``prefix`` top bits (NULL keys by none), dealt to the keys of ``more`` bits that their variants can have."""
+    one = [1 << i for i in range(more)]
+    at = 64 - prefix - more
+    two = [(1 << i) | (1 << j) for i in range(more) for j in range(i) if (i + at) // 32 == (j + at) // 32]
+    lists = [F.array(*[F.lit(m).cast("bigint") for m in masks]) for masks in ([0], one, two)]
+    flips = _away(prefix) if prefix else F.lit(0)
+    odd = F.bit_count("fp") % 2 == 1
+    masks = (F.when((flips == 0) & odd, F.concat(*lists) if two else F.concat(*lists[:2]))
+             .when((flips == 0) | ((flips == 1) & odd), F.concat(*lists[:2])).otherwise(lists[0]))
+    bits = F.shiftrightunsigned("fp", at).bitwiseAND(F.lit((1 << more) - 1).cast("bigint"))
+    return rows.select("fp", "key", F.explode(masks).alias("mask")).select(
+        "fp", F.shiftleft(F.coalesce("key", F.lit(0).cast("bigint")), more).bitwiseOR(bits.bitwiseXOR(F.col("mask"))).alias("key"))
+
+
+def dealt_levels(distinct_fps: DataFrame, prefix: int, max_variants: int):
+    """Every fingerprint with the keys of its variants, as (top bits, rows ``fp, key``): no key has more than ``max_variants``."""
+    rows = _deal(distinct_fps.select("fp", F.lit(None).cast("bigint").alias("key")), 0, prefix)
+    while True:
+        low = 64 - prefix
+        if not low:                                   # whole variants: at most all within distance 2 of one
+            yield prefix, rows
+            return
+        cost = F.when(_away(prefix) == 0, 1 + low + low * low // 4).otherwise(33)
+        hot = materialise(rows.groupBy("key").agg(F.sum(cost).alias("n")).where(F.col("n") > max_variants).select("key"), "simhash-hot")
+        if hot.isEmpty():
+            yield prefix, rows
+            return
+        yield prefix, rows.join(F.broadcast(hot), "key", "left_anti").select("fp", "key")
+        again = materialise(rows.join(F.broadcast(hot), "key", "left_semi").select("fp", "key"), "simhash-again")
+        more = min(STEP, low)
+        rows = _deal(again, prefix, more)
+        prefix += more
+
+
 def links(distinct_fps: DataFrame, prefix: int, max_variants: int = 2_000_000) -> DataFrame:
     """Forest edges ``(u, v)`` whose components are those of all links within RADIUS bits."""
-    one = [1 << i for i in range(prefix)]
-    two = [(1 << i) | (1 << j) for i in range(prefix) for j in range(i)]
-    top = F.shiftrightunsigned("fp", 64 - prefix)
-    near, far = F.array(*[F.lit(m).cast("bigint") for m in [0, *one]]), F.array(*[F.lit(m).cast("bigint") for m in two])
-    masks = F.when(F.bit_count("fp") % 2 == 1, F.concat(near, far)).otherwise(near)
-    dealt = distinct_fps.select("fp", F.explode(masks).alias("mask")).select(
-        "fp", top.bitwiseXOR(F.col("mask")).alias("key"))
+    return reduce(DataFrame.unionByName, [_links_by(rows, bits, max_variants) for bits, rows in dealt_levels(distinct_fps, prefix, max_variants)])
+
+
+def _links_by(dealt: DataFrame, prefix: int, max_variants: int) -> DataFrame:
+    """Forest edges of rows dealt by ``prefix`` top bits."""
 
     def run(batches):
         got = [(b.column("fp").to_numpy().view(np.uint64), b.column("key").to_numpy().astype(np.uint64)) for b in batches]
@@ -165,7 +209,7 @@ def links(distinct_fps: DataFrame, prefix: int, max_variants: int = 2_000_000) -
         yield pa.RecordBatch.from_arrays([pa.array(nodes[moved].view(np.int64)), pa.array(nodes[root[moved]].view(np.int64))],
                                          names=["u", "v"])
 
-    parts = int(distinct_fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return dealt.repartition(parts, "key").mapInArrow(run, "u bigint, v bigint")
 
 

@@ -321,3 +321,41 @@ def test_edited_short_notices_are_found_as_by_full_alignment(spark):
     got = {(r.doc_id, r.license) for r in op1_licenses.scan_licenses(documents(spark, rows)).collect()}
     n = len(rows)
     assert got == want and {(n - 3, "MIT-notice"), (n - 1, "MIT-notice")} <= got and (n - 2, "MIT-notice") not in got
+
+
+@pytest.mark.parametrize("most", [300, 20_000])
+def test_a_family_of_near_copies_is_dealt_to_bounded_keys(spark, most):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(most)
+    base = rng.getrandbits(64)
+    fps = {rng.getrandbits(64) for _ in range(30)}
+    while len(fps) < 400:
+        x = base
+        for _ in range(rng.randint(0, 7)):
+            x ^= 1 << rng.choice([rng.randrange(64), rng.randrange(28, 36)])
+        fps.add(x)
+    fps = sorted(fps, key=signed)
+    table = spark.createDataFrame([(signed(x),) for x in fps], "fp long")
+    last = 0
+    for bits, rows in op7_simhash.dealt_levels(table, 4, most):
+        low, last = 64 - bits, bits
+        cost = F.expr(f"case when shiftrightunsigned(fp, {low}) = key then {1 + low + low * low // 4} else 33 end")
+        assert not low or (rows.groupBy("key").agg(F.sum(cost).alias("n")).agg(F.max("n")).first()[0] or 0) <= most
+    assert last == 64 if most == 300 else 10 <= last <= 64
+    roots = {r.node: r.root for r in connected_components(op7_simhash.links(table, 4, most)).collect()}
+    assert [roots.get(signed(x), signed(x)) for x in fps] == [signed(fps[r]) for r in brute.components(fps)]
+
+
+def test_variants_by_any_prefix_are_the_same():
+    rng = random.Random(9)
+    fps = np.array([rng.getrandbits(64) for _ in range(4)], dtype=np.uint64)
+    for f in fps:
+        odd, all_bits = int(f).bit_count() & 1, range(64)
+        pairs = [(i, j) for i in all_bits for j in range(i) if i // 32 == j // 32] if odd else []
+        want = {int(f)} | {int(f) ^ 1 << i for i in all_bits} | {int(f) ^ (1 << i | 1 << j) for i, j in pairs}
+        for prefix in (4, 16, 28, 34, 40, 58, 64):
+            keys = np.array(sorted({v >> (64 - prefix) for v in want}), dtype=np.uint64)
+            got, _, flips = op7_simhash._variants(np.full(keys.size, f), keys, prefix)
+            assert sorted(map(int, got)) == sorted(want), prefix
+            assert all((int(v) ^ int(f)).bit_count() == n for v, n in zip(got, flips))
