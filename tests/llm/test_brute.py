@@ -359,3 +359,26 @@ def test_variants_by_any_prefix_are_the_same():
             got, _, flips = op7_simhash._variants(np.full(keys.size, f), keys, prefix)
             assert sorted(map(int, got)) == sorted(want), prefix
             assert all((int(v) ^ int(f)).bit_count() == n for v, n in zip(got, flips))
+
+
+def test_the_whole_unlabelled_pool_takes_part(spark):
+    from functools import partial
+
+    rng = np.random.default_rng(2)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 50, 12 + i % 7)) + ("!" * 5 if i % 2 else ""), "en", f"src{i % 2}") for i in range(4_600)]
+    docs = documents(spark, [*rows, rows[7], (None, "x")]).select("doc_id", "text", "source", "lang", "n_chars")
+    known = spark.createDataFrame([(i,) for i in range(100)], "doc_id long")
+    pool = op5_quality.SparkPool(docs, known)
+    assert pool.size == 4_500
+    x = [v.astype(np.float32).astype(np.float64) for v in op5_quality._features([r for r in docs.where("doc_id >= 100").orderBy("doc_id").collect()])]
+    y = (np.arange(4_500) % 2).astype(float)
+    views = [op5_quality.Logistic(v[:80], y[:80], np.ones(80)) for v in x]
+    local = op5_quality.LocalPool(x)
+    local.fine = np.array([r.f for r in docs.where("doc_id >= 100").orderBy("doc_id").selectExpr("int(pmod(xxhash64(doc_id), 64)) as f").collect()])
+    first = op5_quality.Round([m.beta for m in views])
+    counts = [p.total(partial(op5_quality._count, views, [first], 0)) for p in (pool, local)]
+    assert np.array_equal(*counts) and counts[0].sum() > 4_000
+    first.cuts = [[op5_quality._cut(c, 225) for c in counts[0].reshape(2, -1)]]
+    to, label = op5_quality._handed([first], [m._design(v) for m, v in zip(views, x)], local.fine)
+    assert 300 < (to == 1).sum() <= 450 and np.array_equal(label[to == 1], y[to == 1])
+    assert np.allclose(*(p.total(partial(op5_quality._sums, views, [first])) for p in (pool, local)))
