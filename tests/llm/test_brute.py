@@ -382,3 +382,12 @@ def test_the_whole_unlabelled_pool_takes_part(spark):
     to, label = op5_quality._handed([first], [m._design(v) for m, v in zip(views, x)], local.fine)
     assert 300 < (to == 1).sum() <= 450 and np.array_equal(label[to == 1], y[to == 1])
     assert np.allclose(*(p.total(partial(op5_quality._sums, views, [first])) for p in (pool, local)))
+
+
+def test_the_outermost_content_element_holds_the_text(spark):
+    body = "<p>a body of many words</p><p>and more of them</p>"
+    rows = [(1, "<main><h1>Title</h1><p>lead</p><article>body</article></main><p>out</p>"), (2, f"<article>teaser</article><div class='content'>{body}</div>"),
+            (3, f"<article>{body}</article><div class='content'>less</div>"), (4, "<article>one</article><p>x</p><article>two</article>")]
+    pages = spark.createDataFrame([(i, f"http://h{i}.org/", f"<body>{x}</body>") for i, x in rows], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in op10_html.main_text(pages).collect()}
+    assert got == {1: "Title\nlead\nbody", 2: "a body of many words\nand more of them", 3: "a body of many words\nand more of them", 4: "one\ntwo"}
