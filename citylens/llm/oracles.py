@@ -7,7 +7,7 @@ held-out labels.
 
 from __future__ import annotations
 
-from citylens.llm import op3_mixing, op6_urls, op8_secrets
+from citylens.llm import op11_fim, op12_merkle, op13_suffixes, op3_mixing, op6_urls, op8_secrets
 
 _ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_ASCII_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -122,10 +122,92 @@ select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_acc
   sha256(coalesce(b.written, '')) as base_sha256, coalesce(a.written, '') as spans
 from d left join b using (r) left join a using (r)"""
 
+_P, _S, _M = op11_fim.PREFIX, op11_fim.SUFFIX, op11_fim.MIDDLE
+_FIM = f"""
+with d as (select doc_id, coalesce(text, '') as t, length(coalesce(text, '')) as n, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
+v as (select *, {", ".join(f"cast('0x' || substr(h, {8 * i + 1}, 8) as bigint) as h{i + 1}" for i in range(4))} from d),
+c as (select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+  case when n = 0 or contains(t, '{_P}') or contains(t, '{_S}') or contains(t, '{_M}') or h3 % 100 >= {op11_fim.PLAIN_FROM} then 'plain'
+    when h4 % 100 < {op11_fim.SPM_BELOW} then 'spm' else 'psm' end as form from v),
+o as (select *, '{_P}' || substr(t, 1, a) as p, '{_M}' || substr(t, a + 1, b - a) as m, '{_S}' || substr(t, b + 1) as s from c)
+select doc_id, cast(n as bigint) as n, form, case when form <> 'plain' then a end as prefix_chars, case when form <> 'plain' then b - a end as middle_chars,
+  sha256(case form when 'psm' then p || s || m when 'spm' then s || p || m else t end) as output_sha256, sha256(t) as restored_sha256
+from o"""
+
+
+def _value(column: str) -> str:
+    return f"case when {column} is null then '-' else strlen(cast({column} as varchar)) || ':' || cast({column} as varchar) end"
+
+
+def _climbed(name: str, levels: int) -> str:
+    """Levels of the trees ``<name>0(tree, p, h, n)``, and ``<name>s<k>``: what stands beside a node in its run."""
+    run = f"over (partition by tree, p // {op12_merkle.FAN} order by p rows between"
+    out = []
+    for k in range(levels):
+        out.append(f"""{name}s{k} as (select *, coalesce(string_agg(h, '') {run} unbounded preceding and 1 preceding), '') as l,
+    coalesce(string_agg(h, '') {run} 1 following and unbounded following), '') as r from {name}{k})""")
+        out.append(f"""{name}{k + 1} as (select tree, p // {op12_merkle.FAN} as p,
+    case when any_value(n) = 1 then any_value(h) else sha256(string_agg(h, '' order by p)) end as h, (any_value(n) + 7) // {op12_merkle.FAN} as n
+  from {name}{k} group by all)""".replace("group by all", f"group by tree, p // {op12_merkle.FAN}"))
+    return ",\n".join(out)
+
+
+def _folded(first: str, name: str, levels: int, tree: str, place: str) -> str:
+    """Proof and folded digest of every row of ``first``, level by level."""
+    out = []
+    for k in range(levels):
+        out.append(f"""{first}{k + 1} as (select f.* exclude (proof, folded), proof || l || r as proof,
+    case when n = 1 then folded else sha256(l || folded || r) end as folded
+  from {first}{k} f join {name}s{k} s on s.tree = f.{tree} and s.p = f.{place} // {op12_merkle.FAN ** k})""")
+    return ",\n".join(out)
+
+
+_CRC = """xor(list_reduce([4294967295] || flatten(list_transform(string_split(cast(doc_id as varchar), ''),
+    lambda c: [cast(ascii(c) as bigint), -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda a, x: case when x >= 0 then xor(a, x) else xor(a >> 1, 3988292384 * (a & 1)) end), 4294967295)"""
+_VALUES = [_value(c) for c in op12_merkle.LEAF_COLUMNS]
+_LOWER = _value(f"translate(text, '{op12_merkle.UPPER}', '{op12_merkle.LOWER}')")
+_DEEP, _WIDE = 8, 4                                # 8 ** 8 rows a group, 8 ** 4 groups
+_MERKLE = f"""
+with d as (select doc_id, case when lang is null then '0' else '1' || lang end as tree, sha256({" || ".join(_VALUES)}) as leaf,
+  sha256({" || ".join(_VALUES[:-1])} || {_LOWER}) as lowered, doc_id is not null and {_CRC} % 3 = 0 as hit from documents),
+f0 as (select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as p, '' as proof,
+  case when hit then lowered else leaf end as folded from d),
+a0 as (select tree, p, leaf as h, count(*) over (partition by tree) as n from f0),
+{_climbed("a", _DEEP)},
+{_folded("f", "a", _DEEP, "tree", "p")},
+g as (select tree as of, h as subroot, row_number() over (order by tree) - 1 as place from a{_DEEP}),
+b0 as (select '' as tree, place as p, subroot as h, count(*) over () as n from g),
+{_climbed("b", _WIDE)},
+e0 as (select f.*, '' as top, g.place, g.subroot from f{_DEEP} f join g on g.of = f.tree),
+{_folded("e", "b", _WIDE, "top", "place")}
+select doc_id, leaf, subroot, b.h as root, sha256(proof) as proof_sha256, folded as folded_root, folded = b.h as verified
+from e{_WIDE}, (select h from b{_WIDE}) b"""
+
+_L = op13_suffixes.LENGTH
+_SUFFIXES = f"""
+with d as (select row_number() over () as r, doc_id, coalesce(doc_id, 9223372036854775807) as o, encode(coalesce(text, '')) as b from documents),
+c as (select r, o, first, array_slice(b, first + 1, first + {256 + _L - 1}) as c from (select r, o, b, unnest(range(0, octet_length(b), 256)) as first from d)),
+w as (select r, o, first + p as p, array_slice(c, p, p + {_L - 1}) as s
+  from (select r, o, first, c, unnest(range(1, octet_length(c) - {_L - 2})) as p from c)),
+hit as (select r, p from w join (select s, min(o) as least from w group by s) using (s) where o > least),
+new as (select r, p, case when p <= lag(p) over (partition by r order by p) + {_L} then 0 else 1 end as starts from hit),
+span as (select r, min(p) as a, max(p) + {_L} as e from (select r, p, sum(starts) over (partition by r order by p) as k from new) group by r, k),
+piece as (select r, coalesce(lag(e) over (partition by r order by a), 1) as a, a - 1 as e from span
+  union all select r, max(e), 2147483647 from span group by r),
+kept as (select r, unhex(string_agg(hex(array_slice(b, a, e)), '' order by a)) as b from piece join d using (r) where e >= a group by r),
+told as (select r, sum(e - a) as n_removed, count(*) as n_spans from span group by r)
+select doc_id, octet_length(d.b) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed, coalesce(n_spans, 0) as n_spans,
+  sha256(case when n_spans is null then d.b else coalesce(kept.b, ''::blob) end) as kept_sha256
+from d left join told using (r) left join kept using (r)"""
+
 ORACLES: dict[str, str] = {
     "op3_mixing": _MIXING,
     "op4_exact_dedup": _EXACT,
     "op6_urls": _URLS,
     "op8_secrets": _SECRETS,
     "op9_decontaminate": _CONTAMINATION,
+    "op11_fim": _FIM,
+    "op12_merkle": _MERKLE,
+    "op13_suffixes": _SUFFIXES,
 }

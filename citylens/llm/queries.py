@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from citylens.llm import (
     op1_licenses, op2_langid, op3_mixing, op4_exact_dedup, op5_quality, op6_urls, op7_simhash, op8_secrets, op9_decontaminate,
-    op10_html,
+    op10_html, op11_fim, op12_merkle, op13_suffixes,
 )
 from citylens.llm.common import materialise, table
 from citylens.llm.oracles import ORACLES  # noqa: F401  (re-exported with QUERIES)
@@ -61,6 +61,21 @@ def op10_html_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_html.main_text(table(spark, sf_dir, "pages"))
 
 
+def op11_fim_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_fim.fill_in_middle(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = op12_merkle.manifest(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "leaf", "subroot", "root", F.sha2(F.concat_ws("", "siblings"), 256).alias("proof_sha256"),
+                       "folded_root", "verified")
+
+
+def op13_suffixes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = op13_suffixes.repeated_strings(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses_query,
     "op2_langid": op2_langid_query,
@@ -72,4 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets_query,
     "op9_decontaminate": op9_decontaminate_query,
     "op10_html": op10_html_query,
+    "op11_fim": op11_fim_query,
+    "op12_merkle": op12_merkle_query,
+    "op13_suffixes": op13_suffixes_query,
 }
