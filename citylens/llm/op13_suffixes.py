@@ -39,7 +39,7 @@ clusters ``block_bytes`` grows with the executors' memory (a task holds about
 Defined results.  NULL text: empty.  Texts shorter than ``LENGTH``: kept.
 Repeated rows and equal ids: a document is no source for its own id; a NULL id
 comes after all others.  Empty table: no rows.  Very long texts: hashed in
-pieces of a megabyte that overlap, none is cut.  Other columns of the input are
+pieces that overlap, none is cut.  Other columns of the input are
 not read, so their names cannot clash.
 """
 
@@ -61,12 +61,12 @@ from citylens.llm.common import materialise
 LENGTH, GRAM = 50, 24
 #: Most different suffixes of a gram that one group holds.
 HOT = 20_000
-BLOCK_BYTES = 12_000_000
+BLOCK_BYTES = 8_000_000
 MAX_RANGES = 16_384
-_CHUNK = 1 << 20                                  # windows hashed at a time
+_CHUNK = 1 << 16                                  # windows hashed at a time
 _NO_ID = np.iinfo(np.int64).max
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
-_LOW = np.uint64((1 << 21) - 1)
+_LOW = np.uint64((1 << 17) - 1)
 
 _BLOCKS = "block long, ids array<long>, sizes array<long>, data binary"
 _GRAMS = "bucket int, block long, grams binary, kinds binary"
@@ -141,7 +141,11 @@ def stretches(data: bytes, starts: np.ndarray, length: int = LENGTH, gram: int =
             least = np.minimum(least[:span - width], least[width - span:])
         anchor = (least & _LOW).astype(np.int64)
         here = starts[np.searchsorted(starts, at):np.searchsorted(starts, at + len(anchor))] - at
-        first = np.union1d(np.flatnonzero(anchor[1:] != anchor[:-1]) + 1, np.append(here, 0))
+        new = np.empty(len(anchor), bool)
+        new[0] = True
+        np.not_equal(anchor[1:], anchor[:-1], out=new[1:])
+        new[here] = True
+        first = np.flatnonzero(new)
         last = np.append(first[1:], len(anchor)) - 1
         doc = np.searchsorted(starts, first + at, "right") - 1
         last = np.minimum(last, starts[doc + 1] - length - at)                           # windows stay in their text
@@ -170,15 +174,20 @@ def _grams_of(bits: int):
                 block, _, starts, data = _unpacked(batch, row)
                 s = stretches(data, starts)
                 h = s["h"] >> np.uint64(32 - bits)
-                order = np.lexsort((s["t"], h))
-                h, t, doc = h[order], s["t"][order], s["doc"][order]
                 if not len(h):
                     continue
-                new = np.append(True, h[1:] != h[:-1])
-                at = np.flatnonzero(new)
-                other = (new | np.append(True, t[1:] != t[:-1])).astype(np.int64)
-                count = np.minimum(np.add.reduceat(other, at), 30_000)
+                order = np.argsort(h)
+                h, t, doc = h[order], s["t"][order], s["doc"][order]
+                at = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+                size = np.diff(np.append(at, len(h)))
                 several = np.minimum.reduceat(doc, at) != np.maximum.reduceat(doc, at)
+                count = np.ones(len(at), np.int64)
+                more = np.flatnonzero(np.repeat(size > 1, size))                 # hashes that the block has more than once
+                if len(more):
+                    again = more[np.lexsort((t[more], h[more]))]
+                    new = np.append(True, h[again][1:] != h[again][:-1])
+                    other = (new | np.append(True, t[again][1:] != t[again][:-1])).astype(np.int64)
+                    count[size > 1] = np.minimum(np.add.reduceat(other, np.flatnonzero(new)), 30_000)
                 h, kind = h[at], (count * 2 + several).astype(np.uint16)
                 cuts = np.searchsorted(h >> np.uint64(32), np.arange((1 << bits) + 1, dtype=np.uint64))
                 used = np.flatnonzero(cuts[1:] > cuts[:-1])
@@ -211,7 +220,7 @@ def _shared_grams(hot: int):
 
 # ------------------------------------------------------------------ sorted runs
 def _run(ids: list, starts: np.ndarray, data: bytes, shared: list, bits: int) -> dict:
-    """A block's run: sorted distinct (key, lead), smallest id of each, and the places behind it.
+    """A block's run: distinct stretches sorted by key, the smallest id of each, and the places behind it.
 
     The key of a stretch is the suffix at its anchor up to its last window's end, ``lead`` the bytes before;
     a window of a hot gram is a key of its own.  A first byte keeps the two kinds apart."""
@@ -225,43 +234,78 @@ def _run(ids: list, starts: np.ndarray, data: bytes, shared: list, bits: int) ->
         heavy = heavy[at[here]]
     else:
         here, heavy = np.zeros(0, np.int64), np.zeros(0, np.uint8)
-    number: dict[tuple[bytes, bytes], int] = {}
-    of, place, windows, doc = [], [], [], []
     docs = np.array([_NO_ID if i is None else i for i in ids], np.int64)
-    for p, n, lead, d, is_hot in zip(s["at"][here].tolist(), s["n"][here].tolist(), s["lead"][here].tolist(), s["doc"][here].tolist(), heavy.tolist()):
-        if is_hot:
-            for w in range(p, p + n):
-                of.append(number.setdefault((b"\x01" + data[w:w + LENGTH], b""), len(number)))
-                place.append(w)
-                windows.append(1)
-                doc.append(d)
-        else:
-            of.append(number.setdefault((b"\x00" + data[p + lead:p + n + LENGTH - 1], data[p:p + lead]), len(number)))
-            place.append(p)
-            windows.append(n)
-            doc.append(d)
-    elements = sorted(number)
-    rank = np.empty(len(elements), np.int64)
-    rank[[number[e] for e in elements]] = np.arange(len(elements))
-    of = rank[np.array(of, np.int64)]
-    doc = docs[np.array(doc, np.int64)]
-    least = np.full(len(elements), _NO_ID)
+    at, n, lead, doc, t = (s[c][here] for c in ("at", "n", "lead", "doc", "t"))
+    dense = np.flatnonzero(heavy)
+    if len(dense):                                                    # every window of a hot gram stands for itself
+        rest, times = np.flatnonzero(heavy == 0), n[dense]
+        each = np.repeat(at[dense], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        window = np.ones(len(each), np.int64)
+        at, n, lead = np.append(at[rest], each), np.append(n[rest], window), np.append(lead[rest], window * 0)
+        doc, t = np.append(doc[rest], np.repeat(doc[dense], times)), np.append(t[rest], _window_hash(data, each))
+        kind = np.append(np.zeros(len(rest), np.uint8), np.ones(len(each), np.uint8))
+    else:
+        kind = np.zeros(len(at), np.uint8)
+    of, first = _distinct(data, at, n, t)
+    keys = [b"\1" + data[a:b] if k else b"\0" + data[a:b] for k, a, b in
+            zip(kind[first].tolist(), (at + lead)[first].tolist(), (at + n)[first] + LENGTH - 1)]
+    order = sorted(range(len(keys)), key=keys.__getitem__)
+    rank = np.empty(len(keys), np.int64)
+    rank[order] = np.arange(len(keys))
+    of, first = rank[of], first[order]
+    least = np.full(len(keys), _NO_ID)
+    doc = docs[doc]
     np.minimum.at(least, of, doc)
-    return {"elements": elements, "least": least, "of": of, "at": np.array(place, np.int64), "n": np.array(windows, np.int64), "doc": doc}
+    leads = [data[a:b] for a, b in zip(at[first].tolist(), (at + lead)[first].tolist())]
+    return {"keys": [keys[i] for i in order], "leads": leads, "least": least, "of": of, "at": at, "n": n, "doc": doc}
+
+
+def _window_hash(data: bytes, at: np.ndarray) -> np.ndarray:
+    t = np.zeros(len(at), np.uint64)
+    word = np.ndarray((max(0, len(data) - 7),), "<u8", data, strides=(1,))
+    for k in (*range(0, LENGTH - 7, 8), LENGTH - 8):
+        t = (t ^ word[at + k]) * _C[1]
+        t ^= t >> np.uint64(29)
+    return t
+
+
+def _distinct(data: bytes, at: np.ndarray, n: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the distinct stretch, a place of each): grouped by hash, equal only if all bytes are."""
+    if not len(at):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    order = np.argsort(t, kind="stable")
+    new = np.append(True, (t[order][1:] != t[order][:-1]) | (n[order][1:] != n[order][:-1]))
+    group = np.cumsum(new) - 1
+    first = order[np.flatnonzero(new)]
+    like = first[group]
+    word = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+    same = np.ones(len(order), bool)
+    for end in (0, n[order] - 1):                                     # two windows cover a stretch
+        for k in (*range(0, LENGTH - 7, 8), LENGTH - 8):
+            same &= word[at[order] + end + k] == word[at[like] + end + k]
+    other = np.flatnonzero(~same)
+    group[other] = len(first) + np.arange(len(other))
+    of = np.empty(len(at), np.int64)
+    of[order] = group
+    return of, np.append(first, order[other])
+
+
+def _common(keys: list[bytes]) -> np.ndarray:
+    """Length of the prefix that a key shares with the one before."""
+    size = np.array([len(k) for k in keys], np.int64)
+    widest = int(size.max())
+    padded = np.frombuffer(b"".join([k.ljust(widest, b"\0") for k in keys]), np.uint8).reshape(len(keys), widest)
+    differ = padded[1:] != padded[:-1]
+    common = np.where(differ.any(axis=1), differ.argmax(axis=1), widest)
+    return np.append(0, np.minimum(common, np.minimum(size[1:], size[:-1])))
 
 
-def _front_coded(elements: list[tuple[bytes, bytes]], least: np.ndarray) -> bytes:
+def _front_coded(keys: list[bytes], leads: list[bytes], least: np.ndarray) -> bytes:
     """Length of the prefix shared with the key before, the rest of the key, the lead, the smallest id."""
-    keys = [k for k, _ in elements]
-    size = np.array([len(k) for k in keys], np.uint16)
-    padded = np.array(keys).view(np.uint8).reshape(len(keys), -1)
-    differ = padded[1:] != padded[:-1]
-    common = np.where(differ.any(axis=1), differ.argmax(axis=1), padded.shape[1])
-    common = np.append(0, np.minimum(common, np.minimum(size[1:], size[:-1]))).astype(np.uint16)
+    common = _common(keys).astype(np.uint16)
     rest = b"".join([k[c:] for k, c in zip(keys, common.tolist())])
-    leads = b"".join([x for _, x in elements])
-    lead = np.array([len(x) for _, x in elements], np.uint16)
-    raw = b"".join([common.tobytes(), size.tobytes(), lead.tobytes(), least.tobytes(), rest, leads])
+    raw = b"".join([common.tobytes(), np.array([len(k) for k in keys], np.uint16).tobytes(), np.array([len(x) for x in leads], np.uint16).tobytes(),
+                    least.tobytes(), rest, *leads])
     return len(keys).to_bytes(4, "little") + len(raw).to_bytes(4, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
@@ -289,14 +333,14 @@ def _runs_of(bits: int, splitters: list[bytes]):
             for row in range(batch.num_rows):
                 block, ids, starts, data = _unpacked(batch, row)
                 run = _run(ids, starts, data, batch.column("shared")[row].as_py(), bits)
-                keys = [k for k, _ in run["elements"]]
+                keys = run["keys"]
                 cuts = [0, *(bisect.bisect_left(keys, s) for s in splitters), len(keys)]
                 used = [i for i in range(len(cuts) - 1) if cuts[i + 1] > cuts[i]]
                 for at in range(0, len(used), 256):
                     some = used[at:at + 256]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(some, pa.int32()), pa.array([block] * len(some), pa.int64()),
-                         pa.array([_front_coded(run["elements"][cuts[i]:cuts[i + 1]], run["least"][cuts[i]:cuts[i + 1]]) for i in some], pa.binary())],
+                         pa.array([_front_coded(*(run[c][cuts[i]:cuts[i + 1]] for c in ("keys", "leads", "least"))) for i in some], pa.binary())],
                         names=["range", "block", "run"])
     return runs
 
@@ -359,23 +403,18 @@ def merged(runs: list[Run]) -> Iterator[tuple[int, int, int]]:
 
 def windows_of_smaller(group: list[tuple[int, bytes, bytes]], length: int = LENGTH) -> list[int]:
     """For the (smallest id, key, lead) of suffixes that share a gram: a bit per window, set if a smaller id has it."""
-    order = sorted(range(len(group)), key=lambda i: group[i][0])
     whole: dict[bytes, int] = {}                  # smallest id of a whole stretch
-    seen: dict[bytes, int] = {}                   # and of a window
-    out = [0] * len(group)
-    for i in order:
-        doc, key, lead = group[i]
-        text = lead + key[1:]
-        n = len(text) - length + 1
-        if whole.setdefault(text, doc) < doc:
-            out[i] = (1 << n) - 1
-            continue
-        bits = 0
-        for w in range(n):
-            if seen.setdefault(text[w:w + length], doc) < doc:
-                bits |= 1 << w
-        out[i] = bits
-    return out
+    texts = [lead + key[1:] for _, key, lead in group]
+    for text, (doc, _, _) in zip(texts, group):
+        whole[text] = min(doc, whole.get(text, doc))
+    bits = dict.fromkeys(whole, 0)
+    if len(whole) > 1:
+        seen: dict[bytes, int] = {}               # smallest id of a window
+        for text, doc in sorted(whole.items(), key=lambda x: x[1]):
+            for w in range(len(text) - length + 1):
+                if seen.setdefault(text[w:w + length], doc) < doc:
+                    bits[text] |= 1 << w
+    return [bits[text] if doc == whole[text] else (1 << len(text) - length + 1) - 1 for text, (doc, _, _) in zip(texts, group)]
 
 
 def _merge(table: pa.Table) -> pa.Table:
@@ -413,22 +452,23 @@ def _cut(bits: int):
 
 def _removed(run: dict, answers: list, size: int) -> np.ndarray:
     """True for every byte that goes."""
-    n = len(run["elements"])
     gone = np.zeros(size + 1, np.int32)
-    if not n:
+    if not run["keys"]:
         return gone[:-1] > 0
     raw = [pa.decompress(a["windows"], decompressed_size=8 * a["n"], codec="zstd", asbytes=True) for a in answers]
     bits = np.frombuffer(b"".join(raw), np.uint64)
     of, at, count = run["of"], run["at"], run["n"]
-    later = run["doc"] > run["least"][of]                                   # the block itself has a smaller id
-    np.add.at(gone, at[later], 1)
-    np.add.at(gone, at[later] + count[later] + LENGTH - 1, -1)
-    told = np.flatnonzero(~later & (bits[of] != 0))
-    for w in range(int(count[told].max()) if len(told) else 0):
-        hit = at[told[bits[of[told]] >> np.uint64(w) & np.uint64(1) == 1]] + w
+    every = (np.uint64(1) << count.astype(np.uint64)) - np.uint64(1)
+    told = np.where(run["doc"] > run["least"][of], every, bits[of])         # all windows, if the block has a smaller id
+    whole = told == every
+    np.add.at(gone, at[whole], 1)
+    np.add.at(gone, (at + count)[whole] + LENGTH - 1, -1)
+    some = np.flatnonzero(~whole & (told != 0))
+    for w in range(int(count[some].max()) if len(some) else 0):
+        hit = at[some[told[some] >> np.uint64(w) & np.uint64(1) == 1]] + w
         np.add.at(gone, hit, 1)
         np.add.at(gone, hit + LENGTH, -1)
-    return np.cumsum(gone[:-1]) > 0
+    return np.cumsum(gone[:-1], dtype=np.int32) > 0
 
 
 def _rows(ids: list, starts: np.ndarray, data: bytes, gone: np.ndarray) -> Iterator[pa.RecordBatch]:
