@@ -31,8 +31,8 @@ meet their answers.  A run has a suffix once, so copies - a third of all rows,
 or a line in every document - meet at most once a block.  A gram with more
 than ``hot`` different suffixes would make a large group: its windows are
 sorted whole instead, as suffixes of their own, spread by all their bytes.
-Splitters come from a sample of ``16 x ranges`` suffixes (at most 262,144); it
-steers the balance only.  Rows exchanged are blocks times ranges, so on large
+Splitters come from a sample of about ``16 x ranges`` suffixes (ranges are at
+most 16,384); it steers the balance only.  Rows exchanged are blocks times ranges, so on large
 clusters ``block_bytes`` grows with the executors' memory (a task holds about
 12 bytes a byte of its block).
 
@@ -63,6 +63,8 @@ LENGTH, GRAM = 50, 24
 HOT = 20_000
 BLOCK_BYTES = 8_000_000
 MAX_RANGES = 16_384
+#: Bytes of a block that the sample for the splitters looks at.
+_PLACE = 60_000
 _CHUNK = 1 << 16                                  # windows hashed at a time
 _NO_ID = np.iinfo(np.int64).max
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -494,36 +496,39 @@ def _rows(ids: list, starts: np.ndarray, data: bytes, gone: np.ndarray) -> Itera
 
 
 # ------------------------------------------------------------------ operator
-def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Some stretches of one place in every block, for the splitters."""
-    for batch in batches:
-        for row in range(batch.num_rows):
-            block, _, starts, data = _unpacked(batch, row)
-            at = int(_mixed(np.array([block], np.uint64))[0] % np.uint64(max(1, len(data) - 60_000)))
-            some = data[at:at + 60_000]
-            s = stretches(some, np.array([0, len(some)]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(_mixed(s["t"].copy()).view(np.int64)), pa.array([some[p + x:p + LENGTH] for p, x in zip(s["at"].tolist(), s["lead"].tolist())], pa.binary()),
-                 pa.array([some[p:p + LENGTH] for p in s["at"].tolist()], pa.binary())], names=["h", "suffix", "window"])
-
-
-def _splitters(blocks: DataFrame, ranges: int) -> list[bytes]:
+def _sample(share: float):
+    """A share, by hash, of the stretches of one place in every block, for the splitters."""
+
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                block, _, starts, data = _unpacked(batch, row)
+                at = int(_mixed(np.array([block], np.uint64))[0] % np.uint64(max(1, len(data) - _PLACE)))
+                some = data[at:at + _PLACE]
+                s = stretches(some, np.array([0, len(some)]))
+                mine = np.flatnonzero(_mixed(s["t"].copy()) / 2.0 ** 64 < share)
+                first, lead = s["at"][mine].tolist(), s["lead"][mine].tolist()
+                yield pa.RecordBatch.from_arrays([pa.array([some[p + x:p + x + GRAM] for p, x in zip(first, lead)], pa.binary()),
+                                                  pa.array([some[p:p + LENGTH] for p in first], pa.binary())], names=["suffix", "window"])
+    return sample
+
+
+def _splitters(blocks: DataFrame, n_blocks: int, ranges: int) -> list[bytes]:
     """Bounds of the ranges: most for suffixes at anchors, one in eight for windows of hot grams."""
-    sample = blocks.mapInArrow(_sample, "h long, suffix binary, window binary") \
-        .orderBy("h").limit(16 * ranges).collect()
-    bounds = []
+    share = 16 * ranges / (max(1, n_blocks) * _PLACE / 16)               # about 16 sampled suffixes a range
+    sample = blocks.mapInArrow(_sample(share), "suffix binary, window binary").collect()
+    bounds = set()
     for kind, column, n in ((b"\x00", "suffix", ranges), (b"\x01", "window", max(1, ranges // 8))):
-        keys = sorted(kind + bytes(r[column][:GRAM] if column == "suffix" else r[column]) for r in sample)
-        bounds += {keys[len(keys) * i // n] for i in range(1, n)} if keys else set()
-        bounds.append(kind + b"\xff" * 8)
-    return sorted(bounds)[:-1]
+        keys = sorted(kind + bytes(r[column]) for r in sample)
+        bounds |= {keys[len(keys) * i // n] for i in range(1, n)} if keys else set()
+    return sorted(bounds | {b"\x01"})
 
 
 def repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, hot: int = HOT) -> DataFrame:
     """One row per document: bytes, removed bytes, maximal removed spans and the bytes that are kept."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     blocks = materialise(texts.mapInArrow(_pack(block_bytes), _BLOCKS), "suffix-blocks")
-    n_bytes, = blocks.agg(F.coalesce(F.sum(F.expr("aggregate(sizes, 0L, (a, x) -> a + x)")), F.lit(0))).first()
+    n_blocks, n_bytes = blocks.agg(F.count("*"), F.coalesce(F.sum(F.expr("aggregate(sizes, 0L, (a, x) -> a + x)")), F.lit(0))).first()
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranges = min(MAX_RANGES, max(2 * partitions, n_bytes // 16_000_000))
     bits = min(24, math.ceil(math.log2(max(2 * partitions, n_bytes // 16_000_000))))
@@ -532,7 +537,7 @@ def repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     shared = materialise(grams.groupBy("bucket").applyInArrow(_shared_grams(hot), _SHARED), "suffix-shared")
     of_block = shared.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("bucket", "grams", "hot"))).alias("shared"))
     known = blocks.join(of_block, "block", "left")
-    runs = known.mapInArrow(_runs_of(bits, _splitters(blocks, ranges)), _RUNS)
+    runs = known.mapInArrow(_runs_of(bits, _splitters(blocks, n_blocks, ranges)), _RUNS)
     answers = runs.groupBy("range").applyInArrow(_merge, _ANSWERS)
     told = answers.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("range", "n", "windows"))).alias("answers"))
     return known.join(told, "block", "left").mapInArrow(_cut(bits), RESULT)
