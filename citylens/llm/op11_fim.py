@@ -15,8 +15,8 @@ position).  The second ``repartitionAndSortWithinPartitions`` has the
 partitioner of the first, so it sorts again in place (Spark's external sorter,
 which spills) without moving anything, and streams into the second digest.
 
-Scale.  One shuffle of the texts, deflated piece by piece; documents are dealt
-by a hash of their number, so one hot source or a group of copies spreads; a
+Scale.  One shuffle of the texts, deflated piece by piece, into partitions of
+``PARTITION_BYTES``; documents are dealt by a hash of their number, so one hot source or a group of copies spreads; a
 very long text travels as many pieces and is never put together.
 
 Input.  ``docs`` must be a table (or another input that a repeated task reads
@@ -46,6 +46,7 @@ PLAIN_FROM, SPM_BELOW = 90, 20
 ORDER = {"psm": ((PREFIX, 0), (SUFFIX, 2), (MIDDLE, 1)), "spm": ((SUFFIX, 2), (PREFIX, 0), (MIDDLE, 1))}
 #: Units in a piece.
 CHUNK = 65_536
+PARTITION_BYTES = 64_000_000
 _DEFLATE_FROM = 160
 
 RESULT = ("doc_id long, n long, form string, prefix_chars long, middle_chars long, "
@@ -156,15 +157,17 @@ def _by_document(key: tuple) -> int:
     return zlib.crc32(key[0].to_bytes(8, "little"))
 
 
-def _partitions(docs: DataFrame) -> int:
-    return int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _partitions(docs: DataFrame, text_col: str) -> int:
+    """As many that a partition holds ``PARTITION_BYTES`` of text, and no fewer than Spark's setting."""
+    n_bytes, = docs.agg(F.coalesce(F.sum(F.octet_length(text_col).cast("long")), F.lit(0))).first()
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_bytes // PARTITION_BYTES)
 
 
 def sorted_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> RDD:
     """((document, output position), piece) in output order, all of a document in one partition."""
     rows = docs.select(F.col(id_col).cast("long"), F.col(text_col)).rdd
     return rows.mapPartitionsWithIndex(lambda index, it: _pieces(it, index, chunk)) \
-        .repartitionAndSortWithinPartitions(_partitions(docs), _by_document)
+        .repartitionAndSortWithinPartitions(_partitions(docs, text_col), _by_document)
 
 
 def output_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
@@ -204,5 +207,5 @@ def restore(outputs: DataFrame, text_col: str = "text", form_col: str = "form")
 def fill_in_middle(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
     """One row per document: form, cuts, digest of the output and digest of the text rebuilt from it."""
     parts = sorted_pieces(docs, id_col, text_col, chunk).mapPartitions(_output_digests, preservesPartitioning=True)
-    resorted = parts.repartitionAndSortWithinPartitions(_partitions(docs), _by_document)
+    resorted = parts.repartitionAndSortWithinPartitions(parts.getNumPartitions(), _by_document)
     return docs.sparkSession.createDataFrame(resorted.mapPartitions(_restored_digests), RESULT)
