@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from citylens.catalog.hexsql import cell_sql, polygon_json_sql, q_sql, r_sql
@@ -15,6 +16,7 @@ from citylens.plans import dwell as D
 from citylens.plans import segments as SG
 from citylens.plans import surface as SU
 from citylens.session import ensure_checkpoint_dir
+from citylens.sources.fixtures import read_table
 
 CO, ME, FI = H.COARSE, H.MEDIUM, H.FINE
 OBS_US = (AS_OF + OFFSET_MIN * 60) * 1_000_000
@@ -383,3 +385,73 @@ SELECT pollutant, i, j, round(weight, 6) AS weight,
 def q_surface(spark, sf):
     out = SU.air_quality_surface(v(spark, sf, "v_readings"), v(spark, sf, "v_sensors"), AS_OF, RES, nearest=NEAREST)
     return _r6(out, "weight")
+
+
+# ---------------------------------------------------------------- sensors of uneven density (JN-9), smooth surface (SP-7)
+# the parts in a town of a hundredth of a degree, one far away; the suppliers stand between
+CLUSTER_SQL = """SELECT p_partkey AS sensor_id, CASE WHEN p_partkey = 1 THEN 25e0 ELSE 18.5e0 + 0.01e0 * ((p_partkey * 61) % 1009) / 1009e0 END AS latitude,
+  CASE WHEN p_partkey = 1 THEN 80.2e0 ELSE 73.8e0 + 0.01e0 * ((p_partkey * 37) % 1013) / 1013e0 END AS longitude FROM {part}"""
+SPOTS_SQL = """SELECT s_suppkey AS spot, 73.7e0 + 0.2e0 * ((s_suppkey * 7919) % 1000) / 1000e0 AS mx,
+  18.4e0 + CASE WHEN s_suppkey % 3 = 0 THEN 5e0 ELSE 0.2e0 END * ((s_suppkey * 104729) % 1000) / 1000e0 AS my FROM {supplier}"""
+
+
+def _tables(spark, sf, sql):
+    return spark.sql(sql, **{t: read_table(spark, sf, t) for t in ("part", "supplier") if "{" + t + "}" in sql})
+
+
+@register("join_nearest_clustered", f"""WITH s AS ({CLUSTER_SQL.replace("{part}", "part")}), p AS ({SPOTS_SQL.replace("{supplier}", "supplier")})
+SELECT spot, sensor_id, rn AS place FROM (SELECT spot, sensor_id, row_number() OVER (PARTITION BY spot
+  ORDER BY sqrt(pow(mx - longitude, 2) + pow(my - latitude, 2)), sensor_id) AS rn FROM p, s) WHERE rn <= 5""")
+def q_nearest_clustered(spark, sf):
+    near = SP.nearest_sensors(_tables(spark, sf, SPOTS_SQL), _tables(spark, sf, CLUSTER_SQL), 5, ["spot"])
+    place = F.row_number().over(Window.partitionBy("spot").orderBy("dist", "sensor_id"))
+    return near.select("spot", "sensor_id", place.cast("long").alias("place"))
+
+
+LEVELS = 3
+
+
+def _spline_sql(levels: int, base: int) -> str:
+    """The lattice sums level by level; rows are (sensor, pollutant), a lattice node is (a, b)."""
+    weight = lambda t, k: ["pow(1 - {0}, 3) / 6", "(3 * pow({0}, 3) - 6 * pow({0}, 2) + 4) / 6",
+                           "(-3 * pow({0}, 3) + 3 * pow({0}, 2) + 3 * {0} + 1) / 6", "pow({0}, 3) / 6"][k].format(t)
+    bx, by = (f"CASE {k} " + " ".join(f"WHEN {i} THEN {weight(t, i)}" for i in range(4)) + " END" for t, k in (("s", "k"), ("t", "m")))
+    near = lambda rows, n: f"""(SELECT *, si + k AS a, ti + m AS b, ({bx}) * ({by}) AS w FROM (SELECT *, u - si AS s, v - ti AS t FROM (SELECT *,
+      greatest(least(floor(u), {n - 1}), 0) AS si, greatest(least(floor(v), {n - 1}), 0) AS ti FROM (SELECT r.*, (x - x0) / (x1 - x0) * {n} AS u, (y - y0) / (y1 - y0) * {n} AS v
+      FROM {rows} r, bb))), range(4) kk(k), range(4) mm(m))"""
+    out = ["""av AS (SELECT pollutant, avg(value) AS mean FROM vals GROUP BY pollutant)""",
+           """r0 AS (SELECT sensor_id, pollutant, longitude AS x, latitude AS y, value - mean AS z FROM vals JOIN av USING (pollutant) JOIN loc USING (sensor_id))""",
+           """g AS (SELECT i, j, mx AS x, my AS y FROM m JOIN hull USING (i, j))"""]
+    for n in range(levels):
+        cells = base * 2 ** n
+        out.append(f"e{n} AS (SELECT * FROM {near(f'r{n}', cells)})")
+        out.append(f"""l{n} AS (SELECT pollutant, a, b, sum(w * w * w * z / al) / nullif(sum(w * w), 0) AS phi
+  FROM (SELECT *, sum(w * w) OVER (PARTITION BY sensor_id, pollutant) AS al FROM e{n}) GROUP BY pollutant, a, b)""")
+        out.append(f"""r{n + 1} AS (SELECT sensor_id, pollutant, any_value(x) AS x, any_value(y) AS y, any_value(z) - sum(w * phi) AS z
+  FROM e{n} JOIN l{n} USING (pollutant, a, b) GROUP BY sensor_id, pollutant)""")
+    parts = " UNION ALL ".join(f"SELECT i, j, pollutant, w * phi AS f FROM {near('g', base * 2 ** n)} JOIN l{n} USING (a, b)" for n in range(levels))
+    out.append(f"fit AS (SELECT i, j, pollutant, sum(f) AS f FROM ({parts}) GROUP BY i, j, pollutant)")
+    out.append("z2 AS (SELECT g.i, g.j, pollutant, mean + coalesce(f, 0) AS value, g.x AS mx, g.y AS my FROM g CROSS JOIN av LEFT JOIN fit USING (i, j, pollutant))")
+    return ",\n" + ",\n".join(out)
+
+
+SPLINE_SQL = SURF_SQL + _spline_sql(LEVELS, 4)
+
+
+@register("geo_smooth_surface", with_("v_readings", "v_sensors", extra=SPLINE_SQL) + """
+SELECT i, j, pollutant, round(value, 6) AS value FROM z2""")
+def q_smooth(spark, sf):
+    loc, meas = _located(spark, sf), list(SU.POLLUTANT_FLOORS)
+    grid = SP.in_hull(SP.mesh(loc, RES), SP.convex_hull(loc))
+    return _r6(SP.unpivot_measures(SP.smooth_surface(grid, loc, ["i", "j"], meas, LEVELS), ["i", "j"], meas), "value")
+
+
+@register("air_quality_smooth_surface", with_("v_readings", "v_sensors", extra=SPLINE_SQL) + f""",
+zc AS (SELECT *, greatest(value, CASE WHEN pollutant = 'co2' THEN 200e0 ELSE 0e0 END) AS weight FROM z2)
+SELECT pollutant, i, j, round(weight, 6) AS weight,
+       {polygon_json_sql(cell_sql('my', 'mx', ME), ME)} AS coodinates,
+       sha256(concat_ws(chr(1), pollutant, cast(i AS varchar), cast(j AS varchar), '{AS_OF}')) AS primary_key,
+       {OBS_US} AS "observationDateTime" FROM zc""")
+def q_smooth_product(spark, sf):
+    out = SU.air_quality_surface(v(spark, sf, "v_readings"), v(spark, sf, "v_sensors"), AS_OF, RES, levels=LEVELS)
+    return _r6(out, "weight")

@@ -6,15 +6,13 @@ ids; nothing pairs every row with every other row.
 
 from __future__ import annotations
 
-import math
-from functools import reduce
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citylens.functions import hexgrid as H
 from citylens.functions import scalar as S
+from citylens.operators.windows import in_total_order
 from citylens.session import ensure_checkpoint_dir
 
 
@@ -112,50 +110,85 @@ def mesh(points: DataFrame, res: int = 100, lat: str = "latitude", lon: str = "l
 
 
 # ------------------------------------------------------------------ JN-9 nearest sensors
+#: Sensors in a leaf of the tree, nodes in a node above, most nodes that every point starts with.
+LEAF, FANOUT, TOP = 8, 8, 64
+
+
+def _spread_bits(c: Column) -> Column:
+    """The 31 bits of a number at every second place."""
+
+    def apart(c: Column, shift: int, mask: int) -> Column:          # a lambda, so that c is written once
+        return F.transform(F.array(c), lambda b: b.bitwiseOR(F.shiftleft(b, shift)).bitwiseAND(F.lit(mask)))[0]
+
+    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+        c = apart(c, shift, mask)
+    return c
+
+
+def sensor_tree(sensors: DataFrame, sid: str = "sensor_id", carry: list[str] | None = None, leaf: int = LEAF,
+                fanout: int = FANOUT) -> tuple[DataFrame, list[DataFrame]]:
+    """A quadtree cut by counts: placed sensors ``(sid, sx, sy, carry, node)`` and the tree's levels
+    ``(node, n, x0, x1, y0, y1)`` from the leaves to one of at most ``TOP`` nodes.
+
+    Sensors are put into quadtree order (interleaved bits of their place in
+    the box) and every ``leaf`` consecutive ones are a leaf, whatever their
+    density: a far sensor or a thousand at one spot change no other leaf.  A
+    node has the box of what it holds; node ``c`` of a level has the nodes
+    ``c * fanout ...`` of the level below.
+    """
+    place = sensors.select(sid, F.col("longitude").alias("sx"), F.col("latitude").alias("sy"), *(carry or [])) \
+        .where("sx is not null and sy is not null")
+    n, x0, x1, y0, y1 = place.agg(F.count("*"), F.min("sx"), F.max("sx"), F.min("sy"), F.max("sy")).first()
+    width = max((x1 or 0.0) - (x0 or 0.0), (y1 or 0.0) - (y0 or 0.0), 1e-9)
+    bits = lambda c, low: _spread_bits(F.floor((F.col(c) - F.lit(low or 0.0)) / F.lit(width) * F.lit(2.0 ** 31 - 1)))
+    code = F.shiftleft(bits("sy", y0), 1).bitwiseOR(bits("sx", x0))
+    placed = in_total_order(place.withColumn("_code", code), ["_code", sid]).drop("_code") \
+        .withColumn("node", F.expr(f"_rank div {leaf}")).drop("_rank")
+    box_of = [f(c).alias(name) for name, f, c in (("x0", F.min, "sx"), ("x1", F.max, "sx"), ("y0", F.min, "sy"), ("y1", F.max, "sy"))]
+    levels = [placed.groupBy("node").agg(F.count("*").alias("n"), *box_of)]
+    nodes = -(-n // leaf)
+    while nodes > TOP:
+        levels.append(levels[-1].groupBy(F.expr(f"node div {fanout}").alias("node")).agg(
+            F.sum("n").alias("n"), F.min("x0").alias("x0"), F.max("x1").alias("x1"), F.min("y0").alias("y0"), F.max("y1").alias("y1")))
+        nodes = -(-nodes // fanout)
+    return placed, levels
+
+
 def nearest_sensors(points: DataFrame, sensors: DataFrame, k: int, keys: list[str], px: str = "mx", py: str = "my",
-                    sid: str = "sensor_id", carry: list[str] | None = None, per_bucket: int = 4) -> DataFrame:
+                    sid: str = "sensor_id", carry: list[str] | None = None, leaf: int = LEAF, fanout: int = FANOUT) -> DataFrame:
     """The k nearest sensors of every point (planar distance, ties by id), all
     sensors if there are fewer: ``(keys, px, py, sid, sx, sy, carry, dist)``.
 
-    Square buckets sized by density (``per_bucket`` sensors on average over
-    the box).  A point meets the sensors of its own and the eight adjacent
-    buckets; what lies within one bucket edge is then complete, so a point
-    with k sensors that near is done.  The others, in thin areas, go on with
-    buckets of twice the edge, up to one bucket for the whole box.  No step
-    pairs all points with all sensors unless the box holds that few.
+    Points go down :func:`sensor_tree` level by level.  Of the nodes that a
+    point still looks at, the smallest far distance within which there are k
+    sensors bounds its k-th neighbour; nodes that begin beyond it are dropped
+    and the others replaced by their children.  What a point looks at is a few
+    nodes a level, whatever the sensors' density, and no step pairs points
+    with all sensors.
     """
-    spark = sensors.sparkSession
-    ensure_checkpoint_dir(spark)
-    placed = sensors.select(sid, F.col("longitude").alias("sx"), F.col("latitude").alias("sy"), *(carry or [])) \
-        .where("sx is not null and sy is not null").checkpoint(eager=True)
-    extent = placed.agg(F.count("*"), F.min("sx"), F.max("sx"), F.min("sy"), F.max("sy")).first()
-    n, x0, x1, y0, y1 = extent
-    if not n:
-        return points.select(*keys, px, py).crossJoin(placed).where("false").withColumn("dist", F.lit(0.0))
-    width = max(x1 - x0, y1 - y0, 1e-9)
-    area = max(x1 - x0, width * 1e-3) * max(y1 - y0, width * 1e-3)
-    edge = min(width, math.sqrt(area * per_bucket / n))
-    todo, done = points.select(*keys, px, py), []
-    order = Window.partitionBy(*keys).orderBy("dist", sid)
-    while True:
-        last = edge >= width                              # two buckets a side reach every sensor
-        at = lambda x, y: [F.floor((F.col(x) - x0) / edge).alias("_bx"), F.floor((F.col(y) - y0) / edge).alias("_by")]  # noqa: B023, E731
-        around = F.array(*[F.lit(d) for d in (-1, 0, 1)])
-        near = placed.select("*", *at("sx", "sy")).withColumn("_dx", F.explode(around)).withColumn("_dy", F.explode(around))
-        near = near.withColumns({"_bx": F.col("_bx") + F.col("_dx"), "_by": F.col("_by") + F.col("_dy")}).drop("_dx", "_dy")
-        met = todo.select("*", *at(px, py)).join(near, ["_bx", "_by"]).drop("_bx", "_by").withColumn("dist", S.euclid(px, py, "sx", "sy"))
-        best = met.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= k)
-        if last:
-            done.append(best.drop("_rn"))
-            break
-        best = best.checkpoint(eager=True)
-        sure = best.where((F.col("_rn") == k) & (F.col("dist") <= edge)).select(*keys)
-        done.append(best.drop("_rn").join(sure, keys, "left_semi"))
-        todo = todo.join(sure, keys, "left_anti").checkpoint(eager=True)
-        if todo.isEmpty():
-            break
-        edge *= 2
-    return reduce(DataFrame.unionByName, done)
+    ensure_checkpoint_dir(sensors.sparkSession)
+    placed, levels = sensor_tree(sensors, sid, carry, leaf, fanout)
+    box_cols = ["node", "n", "x0", "x1", "y0", "y1"]
+    top = levels[-1].agg(F.collect_list(F.struct(*box_cols))).scalar()           # at most TOP nodes
+    front = points.select(*keys, px, py).withColumn("_top", top).select(*keys, px, py, F.inline("_top"))
+    square = lambda dx, dy: dx * dx + dy * dy
+    near = square(F.greatest(F.col("x0") - F.col(px), F.lit(0.0), F.col(px) - F.col("x1")),
+                  F.greatest(F.col("y0") - F.col(py), F.lit(0.0), F.col(py) - F.col("y1")))
+    far = square(F.greatest(F.col(px) - F.col("x0"), F.col("x1") - F.col(px)), F.greatest(F.col(py) - F.col("y0"), F.col("y1") - F.col(py)))
+    of_point = Window.partitionBy(*keys)                                          # the few nodes of one point
+
+    def pruned(front: DataFrame) -> DataFrame:
+        held = front.withColumns({"_near": near, "_far": far}).where("_near is not null") \
+            .withColumn("_held", F.sum("n").over(of_point.orderBy("_far", "node")))
+        bound = F.min(F.when(F.col("_held") >= k, F.col("_far"))).over(of_point)
+        # a hair's breadth for the rounding of distances
+        return held.withColumn("_bound", bound).where("_bound is null or _near <= _bound * (1 + 1e-9D)").select(*keys, px, py, "node")
+
+    for below in reversed(levels[:-1]):
+        children = below.withColumn("_parent", F.expr(f"node div {fanout}"))
+        front = pruned(front).withColumnRenamed("node", "_parent").join(children, "_parent").select(*keys, px, py, *box_cols)
+    met = pruned(front).join(placed, "node").drop("node").withColumn("dist", S.euclid(px, py, "sx", "sy"))
+    return met.withColumn("_rn", F.row_number().over(of_point.orderBy("dist", sid))).where(F.col("_rn") <= k).drop("_rn")
 
 
 # ------------------------------------------------------------------ SP-6 hull
@@ -199,7 +232,7 @@ def convex_hull(points: DataFrame, lat: str = "latitude", lon: str = "longitude"
             yield pa.RecordBatch.from_arrays([pa.array([r[i][j] for r in rows], pa.float64()) for i in (0, 1) for j in (0, 1)],
                                              names=["x1", "y1", "x2", "y2"])
 
-    return xy.mapInArrow(corners, "x double, y double").coalesce(1).mapInArrow(edges, "x1 double, y1 double, x2 double, y2 double")
+    return xy.mapInArrow(corners, "x double, y double").repartition(1).mapInArrow(edges, "x1 double, y1 double, x2 double, y2 double")
 
 
 # Fixed value: slack of the hull test, in degrees (points on an edge count as inside).
@@ -239,6 +272,80 @@ def idw(pairs: DataFrame, keys: list[str], measures: list[str], power: float = 2
     return g.select(*keys, *carry, *[F.coalesce(f"_ex_{m}", F.col(f"_wz_{m}") / F.col("_w")).alias(m) for m in measures])
 
 
+# ------------------------------------------------------------------ SP-7 smooth surface
+def _basis(t: Column) -> list[Column]:
+    """The four uniform cubic B-splines that reach a cell, at place t (0..1) in it."""
+    t2, t3 = t * t, t * t * t
+    return [(F.lit(1.0) - t3 + 3.0 * t2 - 3.0 * t) / 6.0, (3.0 * t3 - 6.0 * t2 + 4.0) / 6.0,
+            (-3.0 * t3 + 3.0 * t2 + 3.0 * t + 1.0) / 6.0, t3 / 6.0]
+
+
+def _reached(points: DataFrame, px: str, py: str, extent: tuple[float, float, float, float], cells: int) -> DataFrame:
+    """Every point with the 16 lattice nodes ``_c`` around its cell, their weights ``_w`` and the sum ``_all`` of the squared weights."""
+    x0, x1, y0, y1 = extent
+    out = points
+    for axis, p, low, high in (("_s", px, x0, x1), ("_t", py, y0, y1)):
+        at = (F.col(p) - F.lit(low)) / F.lit(max(high - low, 1e-9)) * F.lit(float(cells))
+        cell = F.greatest(F.least(F.floor(at), F.lit(cells - 1)), F.lit(0))
+        out = out.withColumn(f"{axis}i", cell).withColumn(axis, at - F.col(f"{axis}i"))
+    # the weights of each axis as an array, so that they are written once
+    out = out.withColumns({"_bx": F.array(*_basis(F.col("_s"))), "_by": F.array(*_basis(F.col("_t")))})
+    squares = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x * x)
+    out = out.withColumn("_all", squares("_bx") * squares("_by")).drop("_s", "_t")
+    out = out.select("*", F.posexplode("_bx").alias("_k", "_wx")).select("*", F.posexplode("_by").alias("_m", "_wy"))
+    return out.withColumns({"_c": (F.col("_si") + F.col("_k")) * (cells + 3) + F.col("_ti") + F.col("_m"), "_w": F.col("_wx") * F.col("_wy")}) \
+        .drop("_si", "_ti", "_bx", "_by", "_k", "_m", "_wx", "_wy")
+
+
+def spline_levels(samples: DataFrame, measures: list[str], levels: int = 4, base: int = 4, px: str = "longitude", py: str = "latitude",
+                  sid: str = "sensor_id") -> tuple[list[DataFrame], list[DataFrame], tuple[float, float, float, float], dict[str, float]]:
+    """Multilevel B-spline approximation of scattered measures (Lee, Wolberg, Shin 1997).
+
+    Level l has a lattice of ``base * 2**l`` cells a side over the samples'
+    box.  Each sample offers its 16 nodes the value that would reproduce it
+    with least effort; a node takes the mean of its offers weighted by the
+    squared spline weights, one ``groupBy`` of sums.  The next level fits what
+    is left.  Returns the lattices ``(_c, measures)``, the samples with what is
+    left after each level, the box and the means that were taken off first.
+    """
+    spark = samples.sparkSession
+    ensure_checkpoint_dir(spark)
+    left = samples.select(sid, px, py, *[F.col(m).cast("double").alias(m) for m in measures]).where(F.col(px).isNotNull() & F.col(py).isNotNull())
+    told = left.agg(F.min(px), F.max(px), F.min(py), F.max(py), *[F.avg(m) for m in measures]).first()
+    extent, means = tuple(x or 0.0 for x in told[:4]), {m: x or 0.0 for m, x in zip(measures, told[4:])}
+    left = left.select(sid, px, py, *[(F.col(m) - F.lit(means[m])).alias(m) for m in measures]).checkpoint(eager=True)
+    lattices, rests = [], [left]
+    for level in range(levels):
+        near = _reached(left, px, py, extent, base * 2 ** level)
+        w2 = F.col("_w") * F.col("_w")
+        lattice = near.groupBy("_c").agg(*[F.try_divide(F.sum(w2 * F.col("_w") * F.col(m) / F.col("_all")), F.sum(F.when(F.col(m).isNotNull(), w2))).alias(m)
+                                           for m in measures]).checkpoint(eager=True)
+        fit = near.select(sid, "_c", "_w").join(lattice, "_c").groupBy(sid).agg(*[F.sum(F.col("_w") * F.col(m)).alias(f"_f_{m}") for m in measures])
+        left = left.join(fit, sid, "left").select(sid, px, py, *[(F.col(m) - F.coalesce(f"_f_{m}", F.lit(0.0))).alias(m) for m in measures]) \
+            .checkpoint(eager=True)
+        lattices.append(lattice)
+        rests.append(left)
+    return lattices, rests, extent, means
+
+
+def smooth_surface(points: DataFrame, samples: DataFrame, keys: list[str], measures: list[str], levels: int = 4, base: int = 4,
+                   px: str = "mx", py: str = "my", carry: tuple[str, ...] = (), sid: str = "sensor_id") -> DataFrame:
+    """Cubic (twice continuously differentiable) surface of the samples at the points: the levels' lattices of
+    :func:`spline_levels`, summed (SP-7).  Points outside the samples' box get NULL."""
+    lattices, _, extent, means = spline_levels(samples, measures, levels, base, sid=sid)
+    x0, x1, y0, y1 = extent
+    inside = points.where(F.col(px).between(x0, x1) & F.col(py).between(y0, y1)).select(*keys, px, py)
+    parts = None
+    for level, lattice in enumerate(lattices):
+        near = _reached(inside, px, py, extent, base * 2 ** level).select(*keys, "_c", "_w")
+        part = near.join(lattice, "_c").select(*keys, *[(F.col("_w") * F.col(m)).alias(m) for m in measures])
+        parts = part if parts is None else parts.union(part)
+    fit = parts.groupBy(*keys).agg(*[F.sum(m).alias(f"_f_{m}") for m in measures])
+    within = F.col(px).between(x0, x1) & F.col(py).between(y0, y1)
+    return points.join(fit, keys, "left").select(*keys, *carry, *[
+        F.when(within, F.lit(means[m]) + F.coalesce(f"_f_{m}", F.lit(0.0))).alias(m) for m in measures])
+
+
 def unpivot_measures(df: DataFrame, ids: list[str], measures: list[str],
                      name: str = "pollutant", value: str = "value") -> DataFrame:
     """One row per (id, measure) (SP-8)."""

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citylens.operators.joins import join_back, keyed
+from citylens.session import ensure_checkpoint_dir
 
 
 def partition_minmax(df: DataFrame, keys: list[str], aggs: dict[str, tuple[str, str]]) -> DataFrame:
@@ -57,6 +58,23 @@ def drop_latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return join_back(df, top, keys).where(~same).drop(*[f"_top_{c}" for c in order])
 
 
+def in_total_order(df: DataFrame, order: list[str], rank: str = "_rank") -> DataFrame:
+    """``rank``: the place of a row (0, 1, ...) in the order of the whole table, without one window over it.
+
+    Rows are range partitioned by ``order``, sorted and checkpointed; a row's
+    place is its number in its partition plus the rows of the partitions
+    before, which are summed over one row a partition.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumns(
+        {"_part": F.spark_partition_id(), "_seq": F.monotonically_increasing_id()}).checkpoint(eager=True)
+    sizes = rows.groupBy("_part").agg(F.min("_seq").alias("_first"), F.count("*").alias("_size"))
+    before = F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))      # a row a partition
+    sizes = sizes.withColumn("_before", F.coalesce(before, F.lit(0))).drop("_size")
+    return rows.join(sizes, "_part").withColumn(rank, F.col("_seq") - F.col("_first") + F.col("_before")) \
+        .drop("_part", "_seq", "_first", "_before")
+
+
 def gap_seconds(df: DataFrame, keys: list[str], ts: str, tiebreak: str | None = None,
                 bucket_s: int | None = 3600, out: str = "gap") -> DataFrame:
     """Seconds since the previous row of the same key (W-4); NULL for the first.

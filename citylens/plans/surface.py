@@ -55,12 +55,13 @@ def latest_readings(readings: DataFrame, order=("obs_ts", "k1", "k2", "k3")) ->
 def air_quality_surface(readings: DataFrame, sensors: DataFrame, as_of: int, res: int = 100,
                         floors: dict | None = None, nearest: int = 8, power: float = 2.0,
                         grid: H.HexGrid = H.MEDIUM, offset_minutes: int = 330,
-                        order=("obs_ts", "k1", "k2", "k3")) -> DataFrame:
+                        order=("obs_ts", "k1", "k2", "k3"), levels: int | None = None) -> DataFrame:
     """P-12: interpolated pollutant values on a res x res mesh.
 
     newest reading per sensor -> join coordinates -> mesh over the sensors'
     box -> points inside the hull of all sensors -> inverse-distance weights of
-    each point's ``nearest`` sensors -> one row per pollutant -> floor clamp ->
+    each point's ``nearest`` sensors (or, with ``levels``, a smooth cubic surface
+    of that many spline levels) -> one row per pollutant -> floor clamp ->
     cell polygon per point.
     """
     floors = floors or POLLUTANT_FLOORS
@@ -72,8 +73,11 @@ def air_quality_surface(readings: DataFrame, sensors: DataFrame, as_of: int, res
     located = latest.join(sensors.select("sensor_id", "latitude", "longitude"), "sensor_id") \
         .select("sensor_id", "latitude", "longitude", *measures).checkpoint(eager=True)
     m = SP.in_hull(SP.mesh(located, res), SP.convex_hull(located))
-    pairs = SP.nearest_sensors(m, located, nearest, ["i", "j"], carry=measures)
-    wide = SP.idw(pairs, ["i", "j"], measures, power, carry=("mx", "my"))
+    if levels:
+        wide = SP.smooth_surface(m, located, ["i", "j"], measures, levels, carry=("mx", "my"))
+    else:
+        pairs = SP.nearest_sensors(m, located, nearest, ["i", "j"], carry=measures)
+        wide = SP.idw(pairs, ["i", "j"], measures, power, carry=("mx", "my"))
     z = SP.unpivot_measures(wide, ["i", "j", "mx", "my"], measures)
     fl = F.create_map(*[x for k, v in floors.items() for x in (F.lit(k), F.lit(float(v)))])
     z = z.withColumn("weight", S.clamp_floor("value", fl[F.col("pollutant")]))

@@ -352,3 +352,59 @@ def test_region_of_another_geometry_fails(spark, tmp_path):
         f.write('{"type":"FeatureCollection","features":[{"properties":{},"geometry":{"type":"Point","coordinates":[1,2]}}]}')
     with pytest.raises(Exception, match="no polygon geometry"):
         I.read_region(spark, path).collect()
+
+
+def _town(n=4000):
+    import random
+    rng = random.Random(7)
+    town = [(i, 18.5 + rng.random() * 0.01, 73.8 + rng.random() * 0.01) for i in range(n)]
+    return town + [(n, 25.0, 80.2)] + [(n + 1 + i, 18.505, 73.805) for i in range(40)]
+
+
+def test_tree_leaves_hold_at_most_their_bound(spark):
+    town = _town()
+    placed, levels = SP.sensor_tree(spark.createDataFrame(town, SENSORS), leaf=8, fanout=4)
+    sizes = [r["count"] for r in placed.groupBy("node").count().collect()]
+    assert max(sizes) == 8 and sum(sizes) == len(town) and len(sizes) == -(-len(town) // 8)
+    for below, above in zip(levels, levels[1:]):
+        n = {r.node: r.n for r in above.collect()}
+        held = {}
+        for r in below.collect():
+            held[r.node // 4] = held.get(r.node // 4, 0) + r.n
+        assert held == n
+    assert levels[-1].count() <= SP.TOP
+
+
+def test_nearest_in_a_town_and_far_away_look_at_few_sensors(spark):
+    town = _town()
+    pts = [(i, j, 73.79 + j * 0.002, 18.49 + i * 0.002) for i in range(15) for j in range(15)] + [(99, 0, 77.0, 21.0), (99, 1, 80.2, 25.0)]
+    sensors, points = spark.createDataFrame(town, SENSORS), spark.createDataFrame(pts, POINTS)
+    got = {}
+    for r in SP.nearest_sensors(points, sensors, 5, ["i", "j"]).collect():
+        got.setdefault((r.i, r.j), set()).add(r.sensor_id)
+    for i, j, x, y in pts:
+        assert got[i, j] == {s for _, s in sorted((math.sqrt((x - lo) ** 2 + (y - la) ** 2), s) for s, la, lo in town)[:5]}
+
+
+def test_spline_error_falls_with_each_level(spark):
+    import random
+    rng = random.Random(3)
+    xy = [(i, rng.random(), rng.random()) for i in range(150)]
+    sensors = spark.createDataFrame([(i, y, x, math.sin(5 * x) * math.cos(4 * y), None if i % 10 == 0 else 7.0) for i, x, y in xy],
+                                    "sensor_id long, latitude double, longitude double, z double, flat double")
+    _, rests, _, means = SP.spline_levels(sensors, ["z", "flat"], levels=5)
+    errors = [r.agg(F.max(F.abs("z"))).first()[0] for r in rests]
+    assert all(b < a for a, b in zip(errors, errors[1:])) and errors[-1] < 0.1 * errors[0]
+    assert means["flat"] == 7.0 and rests[-1].agg(F.max(F.abs("flat"))).first()[0] == 0
+
+
+def test_smooth_surface_has_no_cusp_at_sensors(spark):
+    sensors = spark.createDataFrame([(k, 0.25 * i, 0.25 * j, float((i - 2) ** 2 + (j - 2) ** 2)) for k, (i, j) in enumerate((i, j) for i in range(5) for j in range(5))],
+                                    "sensor_id long, latitude double, longitude double, z double")
+    h = 1e-3
+    pts = spark.createDataFrame([(0, d, 0.5 + (d - 1) * h, 0.5) for d in range(3)] + [(1, 0, 1.5, 0.5), (2, 0, 0.0, 0.0)], POINTS)
+    z = {(r.i, r.j): r.z for r in SP.smooth_surface(pts, sensors, ["i", "j"], ["z"], levels=4).collect()}
+    slopes = (z[0, 1] - z[0, 0]) / h, (z[0, 2] - z[0, 1]) / h
+    assert abs(slopes[0] - slopes[1]) < 2.0                    # one slope from both sides (a cone or a cusp turns its sign)
+    assert abs(z[0, 1]) < 0.2 and abs(z[2, 0] - 8.0) < 0.5 and z[1, 0] is None
+    assert SP.smooth_surface(pts.where("false"), sensors, ["i", "j"], ["z"]).count() == 0
