@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from citylens.catalog.hexsql import cell_sql
 from citylens.catalog.q_products import LATEST_SQL
-from citylens.catalog.registry import GAP_S, register
+from citylens.catalog.q_trips import STATUS_CTE, TH
+from citylens.catalog.registry import AS_OF, GAP_S, OFFSET_MIN, register
 from citylens.functions import hexgrid as H
-from citylens.sources.fixtures import duckdb_with
+from citylens.sources.fixtures import duckdb_with, view
 from citylens.streaming import streams as ST
+from citylens.streaming import trip_status as TS
 
 DAY = 86400
 DELAY_S = 2 * DAY
@@ -76,3 +78,18 @@ def q_stream_dedup(spark, sf):
     d = ST.dedup_stream(a.unionByName(b), "ping_id", "obs_ts", f"{DELAY_S} seconds")
     path = ST.run_available_now(d.select("ping_id", "trip_id", "obs_epoch"), "dedup")
     return spark.read.parquet(path)
+
+
+# the clock of the streamed status is the last watermark
+_CLOCK = f"(SELECT max(obs_epoch) - {DELAY_S} FROM v_pings)"
+
+
+@register("stream_trip_status", STATUS_CTE.replace(str(AS_OF), _CLOCK) + f"""
+SELECT cast(trip_id AS varchar) AS trip_id, status, license_plate, trip_time,
+       coalesce(last_ping, end_time) * 1000000 AS "observationDateTime", mlat AS latitude, mlon AS longitude,
+       ({_CLOCK} + {OFFSET_MIN * 60}) * 1000000 AS observe_time,
+       cast(trip_id AS varchar) || strftime(make_timestamp({_CLOCK} * 1000000), '%Y-%m-%d') AS primary_key
+FROM status_all""")
+def q_stream_trip_status(spark, sf):
+    path = TS.run_trip_status(_pings(spark, sf), view(spark, sf, "v_schedule"), watermark=f"{DELAY_S} seconds")
+    return TS.current_status(spark, path, OFFSET_MIN, TH)

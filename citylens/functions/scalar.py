@@ -17,9 +17,10 @@ def _c(x) -> Column:
 
 
 # ---------------------------------------------------------------- keys, text
-def daily_key(id_col, as_of: int) -> Column:
+def daily_key(id_col, as_of) -> Column:
     """id + calendar date of the run: one key per id and day (SC-1)."""
-    return F.concat(_c(id_col).cast("string"), F.lit(date_text(as_of)))
+    day = F.date_format(F.timestamp_seconds(as_of), "yyyy-MM-dd") if isinstance(as_of, Column) else F.lit(date_text(as_of))
+    return F.concat(_c(id_col).cast("string"), day)
 
 
 def run_key(id_col, as_of: int) -> Column:
@@ -117,10 +118,10 @@ def classify_trip(percent, first_ping, last_ping, start, end, dist_ratio: float
             .otherwise("MISSED"))
 
 
-def classify_unstarted(status, start, end, as_of: int) -> Column:
+def classify_unstarted(status, start, end, as_of) -> Column:
     """NULL status -> NOT STARTED before/inside the window, MISSED after (SC-17)."""
     st, s, e = _c(status), _c(start), _c(end)
-    now = F.lit(int(as_of))
+    now = as_of if isinstance(as_of, Column) else F.lit(int(as_of))
     return (F.when(st.isNotNull(), st)
             .when((now < s) | (now <= e), "NOT STARTED")
             .when(now > e, "MISSED"))

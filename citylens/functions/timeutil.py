@@ -34,8 +34,10 @@ def epoch_micros(epoch: str | Column) -> Column:
     return (col_(epoch).cast("long") * F.lit(1_000_000)).cast("long")
 
 
-def observe_time_micros(as_of: int, offset_minutes: int = 330) -> Column:
+def observe_time_micros(as_of: int | Column, offset_minutes: int = 330) -> Column:
     """Run clock shifted by a fixed offset, in epoch microseconds (SC-7)."""
+    if isinstance(as_of, Column):
+        return ((as_of + int(offset_minutes) * 60) * 1_000_000).cast("long")
     return F.lit((int(as_of) + int(offset_minutes) * 60) * 1_000_000).cast("long")
 
 

@@ -95,18 +95,21 @@ def trip_run(live: DataFrame, sch: DataFrame, as_of: int, live_window=(None, Non
     sch = drop_null_rows(scan_window(sch, "arrival_epoch", *sch_window, closed=False))
     env = timetable_envelope(sch)
     plates = plate_envelope(live)
+    return TripRun(env, plates, classified_trips(env.join(plates, "trip_id", "left"), as_of, thresholds))
+
+
+def classified_trips(joined: DataFrame, as_of, thresholds: TripThresholds = TripThresholds()) -> DataFrame:
+    """Envelopes with their plates (NULL before the first ping) -> progress, ``status`` and ``trip_time``."""
     t = thresholds
-    joined = env.join(plates, "trip_id", "left")
     progressed = stop_progress(joined)
     started = F.col("license_plate").isNotNull() | F.col("first_ping").isNotNull()
     status = F.when(started, S.classify_trip("percent", "first_ping", "last_ping", "start_time",
                                              "end_time", t.dist_ratio, t.late_s, t.span_ratio))
-    classified = progressed.withColumn(
+    return progressed.withColumn(
         "status", S.classify_unstarted(status, "start_time", "end_time", as_of)
     ).withColumn(
         "trip_time", F.when(started, (F.col("end_time") - F.col("start_time")) / F.lit(60.0))
     )
-    return TripRun(env, plates, classified)
 
 
 def trip_status(live: DataFrame, sch: DataFrame, as_of: int, live_window=(None, None),
@@ -118,8 +121,12 @@ def trip_status(live: DataFrame, sch: DataFrame, as_of: int, live_window=(None,
 
 
 def status_rows(run: TripRun, as_of: int, offset_minutes: int = 330) -> DataFrame:
-    c = run.classified
-    return c.select(
+    return status_columns(run.classified, as_of, offset_minutes)
+
+
+def status_columns(classified: DataFrame, as_of, offset_minutes: int = 330) -> DataFrame:
+    """The columns of P-1; ``as_of`` is a number or a column of epoch seconds."""
+    return classified.select(
         F.col("trip_id").cast("string").alias("trip_id"),
         "status",
         "license_plate",
