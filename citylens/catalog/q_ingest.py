@@ -50,7 +50,7 @@ def q_service_dt(spark, sf):
 SELECT *, sha256(concat_ws(chr(1), cast(trip_id AS varchar), cast(stop_sequence AS varchar),
                            cast(arrival_time AS varchar))) AS primary_key FROM tt""")
 def q_tt_load(spark, sf):
-    return _stored_timetable(spark, sf).drop("run_date")
+    return _stored_timetable(spark, sf).drop("run_date", "run")
 
 
 def _stored_timetable(spark, sf):
@@ -118,7 +118,7 @@ SELECT *, sha256(concat_ws(chr(1), cast("incidentId" AS varchar), cast(start AS
 def q_inc_load(spark, sf):
     path = scratch_path(spark, "incidents")
     FE.incident_load(view(spark, sf, "v_incident_json"), path, AS_OF)
-    return spark.read.parquet(path).drop("run_date")
+    return spark.read.parquet(path).drop("run_date", "run")
 
 
 _TYPE_ROWS = " UNION ALL ".join(f"SELECT {k} AS type_int, '{v}' AS type_string" for k, v in S.INCIDENT_TYPES.items())
@@ -171,7 +171,7 @@ def q_append(spark, sf):
     path = scratch_path(spark, "history")
     for run in (AS_OF, AS_OF + 900):
         K.append_history(p, path, run, ["ping_id"])
-    back = spark.read.parquet(path)
+    back = spark.read.parquet(path).drop("run")
     return back.withColumn("run_date", F.col("run_date").cast("string"))
 
 
@@ -206,3 +206,25 @@ SELECT ping_id, cast((isodow(make_timestamp(obs_epoch * 1000000)) - 1) * 24 + ho
 def q_vectorised(spark, sf):
     how = U.vectorised(U.hour_of_week_pd, "int")
     return view(spark, sf, "v_pings").select("ping_id", how("obs_epoch").alias("time_slot"))
+
+
+# ------------------------------------------------------------------ repeated runs
+@register("timetable_load_twice", duckdb_with("v_timetable_json") + "," + TT_SQL + """
+SELECT *, sha256(concat_ws(chr(1), cast(trip_id AS varchar), cast(stop_sequence AS varchar),
+                           cast(arrival_time AS varchar))) AS primary_key FROM tt""")
+def q_tt_twice(spark, sf):
+    """A day's timetable loaded twice, the second time an hour later, has the rows of one load."""
+    path = scratch_path(spark, "timetable-twice")
+    for as_of in (AS_OF, AS_OF + 3600):
+        FE.timetable_load(view(spark, sf, "v_timetable_json"), path, as_of)
+    return spark.read.parquet(path).drop("run_date", "run")
+
+
+@register("incident_load_retried", INC + """
+SELECT *, sha256(concat_ws(chr(1), cast("incidentId" AS varchar), cast("start" AS varchar))) AS primary_key FROM inc""")
+def q_incidents_retried(spark, sf):
+    """A retried incident run replaces its own rows."""
+    path = scratch_path(spark, "incidents-retried")
+    for _ in range(2):
+        FE.incident_load(view(spark, sf, "v_incident_json"), path, AS_OF)
+    return spark.read.parquet(path).drop("run_date", "run")

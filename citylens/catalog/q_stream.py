@@ -12,6 +12,8 @@ from citylens.catalog.q_products import LATEST_SQL
 from citylens.catalog.q_trips import STATUS_CTE, TH
 from citylens.catalog.registry import AS_OF, GAP_S, OFFSET_MIN, register
 from citylens.functions import hexgrid as H
+from citylens.session import scratch_path
+from citylens.sources import upsert as U
 from citylens.sources.fixtures import duckdb_with, view
 from citylens.streaming import streams as ST
 from citylens.streaming import trip_status as TS
@@ -71,6 +73,17 @@ def q_stream_latest(spark, sf):
     return out.withColumn("obs_epoch", F.unix_timestamp("obs_ts")).drop("obs_ts")
 
 
+@register("upsert_table_batches", duckdb_with("v_readings") + "," + LATEST_SQL + """
+SELECT sensor_id, cast(floor(epoch(obs_ts)) AS bigint) AS obs_epoch, k1, k2, k3, co2, co, no2, so2, pm10, pm2p5 FROM latest""")
+def q_upsert_batches(spark, sf):
+    """The readings in three batches by order number, in buckets of few rows that split as sensors come."""
+    src = view(spark, sf, "v_readings").na.drop()
+    path = scratch_path(spark, "upsert-table")
+    for version in range(3):
+        U.merge(src.where(F.col("k1") % 3 == version), path, ["sensor_id"], ["obs_ts", "k1", "k2", "k3"], version, bucket_rows=20)
+    return U.read_upserted(spark, path, src.schema).withColumn("obs_epoch", F.unix_timestamp("obs_ts")).drop("obs_ts")
+
+
 @register("stream_dedup", duckdb_with("v_pings") + "SELECT ping_id, trip_id, obs_epoch FROM v_pings")
 def q_stream_dedup(spark, sf):
     a = _pings(spark, sf).select("ping_id", "trip_id", "obs_epoch", "obs_ts")

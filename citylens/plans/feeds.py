@@ -1,7 +1,8 @@
 """Feed loaders: timetable and incidents (P-13, P-14).
 
 Each run appends to a history partitioned by run date (SNK-1), so a day's
-reads prune to one folder.
+reads prune to one folder.  A run that is repeated replaces its own rows: a
+timetable is one run per service day, incidents are one per run of the job.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from citylens.sources.sinks import append_history
 def timetable_load(records: DataFrame, path: str, as_of: int, rec: str = "rec") -> None:
     """P-13: timetable JSON of the service day of ``as_of`` -> stored stop rows."""
     stops = flatten_timetable(records, date_text(as_of), rec)
-    append_history(stops.withColumn("primary_key", surrogate_key("trip_id", "stop_sequence", "arrival_time")), path, as_of)
+    append_history(stops.withColumn("primary_key", surrogate_key("trip_id", "stop_sequence", "arrival_time")), path, as_of, run="day")
 
 
 def incident_load(payloads: DataFrame, path: str, as_of: int, offset_minutes: int = 330, rec: str = "rec") -> None:

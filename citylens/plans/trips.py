@@ -20,7 +20,7 @@ from citylens.operators.clean import drop_null_rows, recent
 from citylens.operators.joins import unmatched
 from citylens.session import ensure_checkpoint_dir, path_exists
 from citylens.sources.scans import scan_window
-from citylens.sources.sinks import write_upserted
+from citylens.sources.sinks import commit_run, write_upserted
 
 
 @dataclass(frozen=True)
@@ -206,11 +206,11 @@ def scheduled_terminals(sch: DataFrame, as_of: int, day_window=(None, None),
     term = ext.groupBy("trip_id").agg(
         F.min(seq_stop)["stop_id"].alias("start_stop"),
         F.max(seq_stop)["stop_id"].alias("last_stop"),
-        F.count(F.lit(1)).alias("n_extreme"),
+        (F.min(seq_stop) != F.max(seq_stop)).alias("several"),         # stops, not rows: a repeated row is no second stop
         F.min("start_time").alias("start_time"),
         F.min("end_time").alias("end_time"),
     )
-    end_stop = F.when(F.col("n_extreme") > 1, F.col("last_stop")) if single_stop_end_null else F.col("last_stop")
+    end_stop = F.when(F.col("several"), F.col("last_stop")) if single_stop_end_null else F.col("last_stop")
     return term.select(
         F.col("trip_id").cast("string").alias("trip_id"),
         F.col("start_stop").cast("string").alias("start_stop"),
@@ -231,7 +231,8 @@ def trip_status_job(live: DataFrame, sch: DataFrame, as_of: int, out_dir: str,
     The classified per-trip table is checkpointed once (reliable checkpoint
     under ``spark.checkpoint.dir``) and every output reads it, instead of
     re-deriving the lineage per write.  Outputs are Parquet folders under
-    ``out_dir``: the recent-status history (append, run key), the daily
+    ``out_dir``, by run date and run (a rerun of the same clock replaces its own
+    rows): the recent-status history, the daily
     status table (per daily key the newest run's rows replace all earlier
     ones), delays and deviations for completed and live trips, from the pings
     of the window.  A stored daily table that cannot be read fails the job.
@@ -249,15 +250,12 @@ def trip_status_job(live: DataFrame, sch: DataFrame, as_of: int, out_dir: str,
     day = date_text(as_of)
     hist = recent(status, "observationDateTime", as_of, recent_minutes).withColumn(
         "primary_key", S.run_key("trip_id", as_of))
-    hist.withColumn("run_date", F.lit(day)).write.mode("append") \
-        .partitionBy("run_date").parquet(paths["trip_status"])
+    commit_run(hist, paths["trip_status"], day, int(as_of))
     daily = replace_daily(spark, status.withColumn("run_date", F.lit(day)), paths["trip_status_live"], day)
     write_upserted(spark, daily, paths["trip_status_live"], ["run_date"])
     for st, kind in (("COMPLETED", "completed"), ("LIVE", "live")):
-        trip_delay(status, live, st, as_of, offset_minutes).write.mode("append") \
-            .parquet(paths[f"{kind}_trip_with_delay"])
-        trip_deviation(run, st, as_of, offset_minutes).write.mode("append") \
-            .parquet(paths[f"{kind}_trip_with_deviation"])
+        commit_run(trip_delay(status, live, st, as_of, offset_minutes), paths[f"{kind}_trip_with_delay"], day, int(as_of))
+        commit_run(trip_deviation(run, st, as_of, offset_minutes), paths[f"{kind}_trip_with_deviation"], day, int(as_of))
     return paths
 
 

@@ -58,11 +58,52 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def _file_system(spark: SparkSession, path: str):
+    """(file system, path) of the store that ``path`` names."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a folder or file exists in the file system that its path names."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    fs, target = _file_system(spark, path)
+    return fs.exists(target)
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder or file to a name that does not exist yet; parents are made."""
+    fs, a = _file_system(spark, source)
+    _, b = _file_system(spark, target)
+    fs.mkdirs(b.getParent())
+    if not fs.rename(a, b):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder or file with all it holds, if it exists."""
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
+
+
+def list_names(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern."""
+    fs, target = _file_system(spark, pattern)
+    return [s.getPath().toString() for s in fs.globStatus(target) or []]
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, complete as soon as it is visible (written beside, then renamed)."""
+    fs, target = _file_system(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(target, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    move_folder(spark, target.toString(), path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    return "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -8,24 +8,47 @@ so a lost executor only re-runs its tasks.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citylens.functions.timeutil import date_text
 from citylens.operators.windows import latest_per_key
-from citylens.session import scratch_path
+from citylens.session import delete_folder, move_folder, path_exists, scratch_path
+
+
+def commit_run(df: DataFrame, path: str, run_date: str, run: str | int) -> None:
+    """The rows of one run as folder ``run_date=<day>/run=<key>`` of a history: staged, then put in place.
+
+    A rerun (a retry, a second load of a day) replaces the rows of its own run
+    and no others.  Rows are written beside the history first, under a name that
+    readers skip; only a finished write is renamed into place, so readers never
+    see a part of a run.  A crash between the two renames leaves the run out
+    until its retry, never doubled.
+    """
+    spark = df.sparkSession
+    staged, old, final = f"{path}/_staged-{uuid.uuid4().hex}", f"{path}/_replaced-{uuid.uuid4().hex}", f"{path}/run_date={run_date}/run={run}"
+    df.write.parquet(staged)
+    if path_exists(spark, final):
+        move_folder(spark, final, old)
+    move_folder(spark, staged, final)
+    delete_folder(spark, old)
 
 
 def append_history(df: DataFrame, path: str, as_of: int, key_cols: list[str] | None = None,
-                   key: str = "primary_key", date_col: str = "run_date") -> None:
+                   key: str = "primary_key", run: str | int | None = None) -> None:
     """Append rows under a never-repeating key (natural key + run epoch),
-    partitioned by run date so reads of a day prune to one folder (SNK-1)."""
+    partitioned by run date so reads of a day prune to one folder (SNK-1).
+
+    ``run`` names the run within its day (default: its epoch); a repeated run
+    replaces its own rows (:func:`commit_run`).
+    """
     out = df
     if key_cols:
         out = out.withColumn(key, F.concat_ws("|", *[F.col(c).cast("string") for c in key_cols],
                                               F.lit(str(int(as_of)))))
-    out = out.withColumn(date_col, F.lit(date_text(as_of)))
-    out.write.mode("append").partitionBy(date_col).parquet(path)
+    commit_run(out, path, date_text(as_of), int(as_of) if run is None else run)
 
 
 def upsert_by_key(old: DataFrame, new: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citylens.functions import hexgrid as H
-from citylens.operators.windows import latest_per_key
-from citylens.session import path_exists, scratch_path, use_utc
+from citylens.session import scratch_path, use_utc
+from citylens.sources import upsert as U
 from citylens.sources.fixtures import read_table, spark_text, tables_of
 
 
@@ -105,62 +105,30 @@ def sessions(pings: DataFrame, gap: str, watermark: str = "1 hour",
                       "n_messages", "first_epoch", "last_epoch")
 
 
-# Fixed value: key buckets of the upsert table.
-LATEST_BUCKETS = 64
-
-
 def stream_latest(readings: DataFrame, keys: list[str], order: list[str], name: str = "latest",
-                  path: str | None = None) -> str | None:
+                  path: str | None = None, bucket_rows: int = U.BUCKET_ROWS) -> str | None:
     """Newest row per key kept across micro-batches (ST-4).
 
-    Keys are hashed into buckets.  A micro-batch reads and rewrites only the
-    buckets that its keys touch, each as ``<path>/bucket=<b>/v=<batch_id>``;
-    a bucket's current version is its highest one.  A version is never
-    overwritten while it is read, and a restarted query re-runs its last batch
-    with the same id over the versions below it, so the state is rebuilt
-    exactly.  A stored version that cannot be read fails the batch.  Returns
-    the table's folder for :func:`read_latest`, or ``None`` when there was
-    nothing new to process.
+    Every micro-batch is merged into an upsert table (:mod:`citylens.sources.upsert`)
+    and committed as the version of its batch id.  A restarted query that runs
+    its last batch again finds it committed, or the table as it was before.  A
+    stored bucket that cannot be read fails the batch.  Returns the table's
+    folder for :func:`read_latest`, or ``None`` when nothing new was committed.
     """
-    spark = readings.sparkSession
-    base = path or scratch_path(spark, f"stream-{name}")
+    base = path or scratch_path(readings.sparkSession, f"stream-{name}")
     ran: list[int] = []
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(LATEST_BUCKETS)).cast("int")
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        fresh = latest_per_key(batch, keys, order).withColumn("bucket", bucket)
-        touched = [r["bucket"] for r in fresh.select("bucket").distinct().collect()]     # at most LATEST_BUCKETS
-        stored = read_latest(spark, base, batch.schema, below=batch_id, buckets=touched)
-        if stored is not None:
-            fresh = latest_per_key(stored.withColumn("bucket", bucket).unionByName(fresh), keys, order)
-        fresh.withColumn("v", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-            .partitionBy("bucket", "v").parquet(base)
-        ran.append(batch_id)
+        if U.merge(batch, base, keys, order, batch_id, bucket_rows):
+            ran.append(batch_id)
 
     run_foreach_batch(readings, name, merge, checkpoint=f"{base}-ckpt")
     return base if ran else None
 
 
-def read_latest(spark: SparkSession, path: str, schema: T.StructType, below: int | None = None,
-                buckets: list[int] | None = None) -> DataFrame | None:
-    """Current rows of a :func:`stream_latest` table (of some buckets, before some batch).
-
-    The versions are read from the folder names (at most the buckets times the
-    versions kept); ``None`` if there is none yet, any other failure is raised.
-    """
-    if not path_exists(spark, path):
-        return None
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(f"{path}/bucket=*/v=*")
-    found = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(folder)
-    newest: dict[int, int] = {}
-    for status in found:
-        b, v = (int(part.rpartition("=")[2]) for part in status.getPath().toString().split("/")[-2:])
-        if (below is None or v < below) and (buckets is None or b in buckets):
-            newest[b] = max(v, newest.get(b, -1))
-    if not newest:
-        return None
-    return spark.read.schema(schema).parquet(*[f"{path}/bucket={b}/v={v}" for b, v in sorted(newest.items())])
+def read_latest(spark: SparkSession, path: str, schema: T.StructType, version: int | None = None) -> DataFrame | None:
+    """Rows of a :func:`stream_latest` table (of a kept version); ``None`` if there is none yet, any other failure is raised."""
+    return U.read_upserted(spark, path, schema, version)
 
 
 def dedup_stream(src: DataFrame, key: str, ts: str = "obs_ts", watermark: str = "1 hour") -> DataFrame:
