@@ -191,8 +191,12 @@ def trip_deviation(run: TripRun, status, as_of: int, offset_minutes: int = 330)
 
 
 def scheduled_terminals(sch: DataFrame, as_of: int, day_window=(None, None),
-                        single_stop_end_null: bool = True, offset_minutes: int = 330) -> DataFrame:
-    """P-4: first and last scheduled stop and times per trip (AG-4)."""
+                        single_stop_end_null: bool = True, offset_minutes: int = 330, distinct_stops: bool = False) -> DataFrame:
+    """P-4: first and last scheduled stop and times per trip (AG-4).
+
+    A trip with one extreme row has no end stop; with ``distinct_stops`` rows of
+    one (sequence, stop) count once, for timetables that repeat rows.
+    """
     sch = scan_window(sch, "arrival_epoch", *day_window, closed=False)
     # A timetable partition is one trip's stops (bounded), so a window is
     # cheap here, and the following groupBy on the same key reuses its
@@ -206,7 +210,7 @@ def scheduled_terminals(sch: DataFrame, as_of: int, day_window=(None, None),
     term = ext.groupBy("trip_id").agg(
         F.min(seq_stop)["stop_id"].alias("start_stop"),
         F.max(seq_stop)["stop_id"].alias("last_stop"),
-        (F.min(seq_stop) != F.max(seq_stop)).alias("several"),         # stops, not rows: a repeated row is no second stop
+        ((F.min(seq_stop) != F.max(seq_stop)) if distinct_stops else (F.count(F.lit(1)) > 1)).alias("several"),
         F.min("start_time").alias("start_time"),
         F.min("end_time").alias("end_time"),
     )

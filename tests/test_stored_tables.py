@@ -102,7 +102,7 @@ def test_failed_history_write_leaves_the_run_as_it_was(spark, tmp_path):
 def test_terminals_ignore_repeated_timetable_rows(spark):
     schema = "trip_id long, stop_sequence int, stop_id long, arrival_epoch long, departure_epoch long"
     sch = spark.createDataFrame([(1, 1, 7, 100, 90), (2, 1, 3, 100, 110), (2, 2, 4, 200, 210)], schema)
-    once, twice = (P.scheduled_terminals(s, 1705363200).collect() for s in (sch, sch.union(sch)))
+    once, twice = (P.scheduled_terminals(s, 1705363200, distinct_stops=True).collect() for s in (sch, sch.union(sch)))
     assert sorted(map(str, once)) == sorted(map(str, twice))
     assert {r.trip_id: r.end_stop for r in twice} == {"1": None, "2": "4"}
 
