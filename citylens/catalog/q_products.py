@@ -16,7 +16,7 @@ from citylens.plans import dwell as D
 from citylens.plans import segments as SG
 from citylens.plans import surface as SU
 from citylens.session import ensure_checkpoint_dir
-from citylens.sources.fixtures import read_table
+from citylens.sources.fixtures import duckdb_text, read_table
 
 CO, ME, FI = H.COARSE, H.MEDIUM, H.FINE
 OBS_US = (AS_OF + OFFSET_MIN * 60) * 1_000_000
@@ -455,3 +455,17 @@ SELECT pollutant, i, j, round(weight, 6) AS weight,
 def q_smooth_product(spark, sf):
     out = SU.air_quality_surface(v(spark, sf, "v_readings"), v(spark, sf, "v_sensors"), AS_OF, RES, levels=LEVELS)
     return _r6(out, "weight")
+
+
+# ---------------------------------------------------------------- text message ids
+TEXT_IDS = duckdb_text("v_pings").replace("select event_id as ping_id", "select 'u-' || cast(event_id as string) as ping_id", 1)
+
+
+def _text_pings(spark, sf):
+    return v(spark, sf, "v_pings").withColumn("ping_id", F.concat(F.lit("u-"), F.col("ping_id").cast("string")))
+
+
+@register("cell_dwell_text_ids", f"""WITH v_pings AS ({TEXT_IDS}), {dwell_rows_sql()}
+SELECT ping_id, trip_id, cell, dwell_time, time_slot FROM drows""")
+def q_text_ids(spark, sf):
+    return D.cell_dwell_rows(_text_pings(spark, sf)).select("ping_id", "trip_id", "cell", "dwell_time", "time_slot")

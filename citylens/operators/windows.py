@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from citylens.operators.joins import join_back, keyed
 from citylens.session import ensure_checkpoint_dir
@@ -26,9 +27,14 @@ def partition_minmax(df: DataFrame, keys: list[str], aggs: dict[str, tuple[str,
     return join_back(df, ext, keys)
 
 
-def order_code(ts: str, tiebreak: str) -> Column:
-    """(epoch seconds, id) as one decimal, ordered like the pair; a NULL id is the
-    lowest.  A numeric code lets extremes run as hash aggregates."""
+def order_code(df: DataFrame, ts: str, tiebreak: str) -> Column:
+    """(epoch seconds, id) as one value, ordered like the pair; a NULL id is the lowest.
+
+    An integer id gives one decimal, so that extremes run as hash aggregates;
+    any other id that has an order (text, uuid) a struct.
+    """
+    if not isinstance(df.schema[tiebreak].dataType, T.IntegralType):
+        return F.struct(F.col(ts), F.col(tiebreak))
     return F.expr(f"cast({ts} as decimal(18, 0)) * 100000000000000000000BD"
                   f" + coalesce(cast({tiebreak} as decimal(20, 0)), -9223372036854775808BD)")
 

@@ -24,7 +24,7 @@ def cell_dwell_rows(pings: DataFrame, window=(None, None), grid: H.HexGrid = H.C
     the newest ping of every group removed (W-7, W-3, SC-9).
 
     One hash aggregate per group, combined map-side, gives the span and the
-    newest ping, whose (obs_epoch, ping_id) is one decimal; one join attaches
+    newest ping, whose (obs_epoch, ping_id) is one value (ids may be text); one join attaches
     both to the pings.  Groups are keyed by a struct, so a NULL trip or route
     is a group of its own, as in a window.  Pings without coordinates have no
     cell and are left out; a NULL id is the lowest.
@@ -37,7 +37,7 @@ def cell_dwell_rows(pings: DataFrame, window=(None, None), grid: H.HexGrid = H.C
         p = drop_null_rows(p)
     p = p.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
     p = keyed(H.with_cell(p, "latitude", "longitude", "cell", grid), DWELL_KEYS)
-    p = p.withColumn("_at", order_code("obs_epoch", "ping_id"))
+    p = p.withColumn("_at", order_code(p, "obs_epoch", "ping_id"))
     g = p.groupBy("_key").agg((F.max("obs_epoch") - F.min("obs_epoch")).alias("dwell_time"), F.max("_at").alias("_newest"))
     j = p.join(g, "_key").where(F.col("_at") != F.col("_newest"))
     return j.drop("_key", "_at", "_newest").withColumn("time_slot", hour_of_week("obs_epoch"))

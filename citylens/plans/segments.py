@@ -33,7 +33,7 @@ def segment_dwell(snapped: DataFrame, segments: DataFrame, cap_s: int = DWELL_CA
     map-side; the few rows per segment that remain then meet by ping order.
     """
     keys = ["trip_id", "route_id", "segment"]
-    p = snapped.withColumn("_at", order_code("obs_epoch", "ping_id"))
+    p = snapped.withColumn("_at", order_code(snapped, "obs_epoch", "ping_id"))
     part = p.groupBy(*keys, "trip_direction", "license_plate").agg(
         F.min("_at").alias("_lo"), F.max("_at").alias("_hi"), F.min("obs_epoch").alias("t0"), F.max("obs_epoch").alias("t1"),
         *[F.min_by(c, "_at").alias(f"{c}0") for c in ("latitude", "longitude")],

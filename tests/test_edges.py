@@ -408,3 +408,16 @@ def test_smooth_surface_has_no_cusp_at_sensors(spark):
     assert abs(slopes[0] - slopes[1]) < 2.0                    # one slope from both sides (a cone or a cusp turns its sign)
     assert abs(z[0, 1]) < 0.2 and abs(z[2, 0] - 8.0) < 0.5 and z[1, 0] is None
     assert SP.smooth_surface(pts.where("false"), sensors, ["i", "j"], ["z"]).count() == 0
+
+
+def test_text_ids_order_like_numbers_of_one_length(spark):
+    from citylens.plans.dwell import cell_dwell_rows
+    from citylens.plans.segments import segment_dwell
+    rows = [(100 + i, 1 + i % 2, "R1", "UP", "V1", "P1", 1, 5.0, 1705365100 + (i // 3), 21.1, 72.8) for i in range(30)]
+    pings = spark.createDataFrame(rows, PING_SCHEMA)
+    text = pings.withColumn("ping_id", F.concat(F.lit("m-"), F.col("ping_id").cast("string")))
+    got = [{str(r.ping_id).removeprefix("m-") for r in cell_dwell_rows(p).collect()} for p in (pings, text)]
+    assert got[0] == got[1] and len(got[0]) == 28
+    segments = spark.createDataFrame([(7, 300.0, [[72.8, 21.1]])], "segment_id long, length double, coords array<array<double>>")
+    told = [sorted(map(str, segment_dwell(p.withColumn("segment", F.lit(7)), segments).collect())) for p in (pings, text)]
+    assert told[0] == told[1] and len(told[0]) == 2
