@@ -14,4 +14,5 @@ from citylens.catalog import (  # noqa: F401  (modules register on import)
     q_ingest,
     q_stream,
     q_chains,
+    q_incremental,
 )
