@@ -469,3 +469,23 @@ def _text_pings(spark, sf):
 SELECT ping_id, trip_id, cell, dwell_time, time_slot FROM drows""")
 def q_text_ids(spark, sf):
     return D.cell_dwell_rows(_text_pings(spark, sf)).select("ping_id", "trip_id", "cell", "dwell_time", "time_slot")
+
+
+# ---------------------------------------------------------------- nearest stretch (JN-8 by distance to the line)
+MAX_M = 60.0
+_AWAY = """sqrt(pow(px - t * ax, 2) + pow(py - t * ay, 2))"""
+
+
+@register("join_nearest_stretch", with_("v_pings", "v_segment_vertices", extra=f"""
+st AS (SELECT segment_id, longitude AS x1, latitude AS y1, lead(longitude) OVER w AS x2, lead(latitude) OVER w AS y2
+       FROM v_segment_vertices WINDOW w AS (PARTITION BY segment_id ORDER BY vseq)),
+spot AS (SELECT DISTINCT latitude, longitude FROM v_pings),
+pr AS (SELECT *, greatest(0, least(1, (px * ax + py * ay) / (ax * ax + ay * ay))) AS t FROM (SELECT latitude, longitude, segment_id,
+       (x2 - x1) * {FI.kx!r}e0 AS ax, (y2 - y1) * {FI.ky!r}e0 AS ay, (longitude - x1) * {FI.kx!r}e0 AS px, (latitude - y1) * {FI.ky!r}e0 AS py
+       FROM spot, st WHERE x2 IS NOT NULL)),
+best AS (SELECT latitude, longitude, min(struct_pack(m := {_AWAY}, s := segment_id)) AS b FROM pr GROUP BY ALL)""") + f"""
+SELECT ping_id, CASE WHEN b.m <= {MAX_M} THEN b.s END AS segment, round(CASE WHEN b.m <= {MAX_M} THEN b.m END, 4) AS segment_m
+FROM v_pings JOIN best USING (latitude, longitude)""")
+def q_nearest_stretch(spark, sf):
+    out = SP.snap_to_stretch(v(spark, sf, "v_pings").select("ping_id", "latitude", "longitude"), v(spark, sf, "v_segment_vertices"), MAX_M)
+    return out.select("ping_id", "segment", F.round("segment_m", 4).alias("segment_m"))

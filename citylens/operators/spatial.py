@@ -405,3 +405,54 @@ def snap_to_segment(points: DataFrame, vertices: DataFrame, max_ring: int = 4, g
 
     best = p.join(reach, "cell", "left").withColumn("_m", F.array_min(F.transform("near", nearest)))
     return best.select(*points.columns, F.col("_m.segment_id").alias("segment"), F.col("_m.dist").alias("segment_dist"))
+
+
+# ------------------------------------------------------------------ JN-8 nearest stretch
+def segment_stretches(vertices: DataFrame) -> DataFrame:
+    """The stretches between consecutive vertices: ``segment_id, x1, y1, x2, y2`` (degrees); a segment of one
+    vertex is a stretch of no length."""
+    w = Window.partitionBy("segment_id").orderBy("vseq")                  # the vertices of one segment
+    v = vertices.select("segment_id", F.col("longitude").alias("x1"), F.col("latitude").alias("y1"),
+                        F.lead("longitude").over(w).alias("x2"), F.lead("latitude").over(w).alias("y2"), F.lag("vseq").over(w).alias("_before"))
+    return v.where("x2 is not null or _before is null").select("segment_id", "x1", "y1", F.coalesce("x2", "x1").alias("x2"), F.coalesce("y2", "y1").alias("y2"))
+
+
+def stretch_reach(vertices: DataFrame, max_m: float, grid: H.HexGrid = H.FINE) -> DataFrame:
+    """For every cell that holds a point within ``max_m`` metres of a stretch: the stretches in reach, as one array.
+
+    A stretch is walked in steps of at most half a cell edge along each axis
+    and put into the cells around its steps, so a cell holds what runs by it
+    and nothing else of a long segment; the table grows with the length of the
+    roads, not with its square.
+    """
+    st = segment_stretches(vertices)
+    dx, dy = F.abs(F.col("x2") - F.col("x1")) * grid.kx, F.abs(F.col("y2") - F.col("y1")) * grid.ky
+    n = F.greatest(F.ceil(F.greatest(dx, dy) / F.lit(grid.edge_m / 2.0)), F.lit(1)).cast("int")
+    steps = st.withColumn("_n", n).withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_n"))))
+    along = lambda a, b: F.col(a) + (F.col(b) - F.col(a)) * F.col("_k") / F.col("_n")
+    steps = H.with_cell(steps.withColumns({"_y": along("y1", "y2"), "_x": along("x1", "x2")}), "_y", "_x", "cell", grid)
+    passed = steps.select("cell", "segment_id", "x1", "y1", "x2", "y2").distinct()
+    # centres of cells n rings apart are at least 1.5 n edges apart; point, step and stretch lie within 2.5 edges of theirs
+    rings = int((max_m + 2.5 * grid.edge_m) / (1.5 * grid.edge_m))
+    near = H.explode_disk(passed, rings, "cell", "target", "ring").select(F.col("target").alias("cell"), "segment_id", "x1", "y1", "x2", "y2").distinct()
+    return near.groupBy("cell").agg(F.collect_list(F.struct("segment_id", "x1", "y1", "x2", "y2")).alias("near"))
+
+
+def snap_to_stretch(points: DataFrame, vertices: DataFrame, max_m: float = 50.0, grid: H.HexGrid = H.FINE) -> DataFrame:
+    """Nearest road segment per point by its distance in metres to the line itself, as ``segment`` and ``segment_m``;
+    NULL when no segment runs within ``max_m`` (JN-8, for segments whose vertices lie far apart).
+
+    Each point joins :func:`stretch_reach` once, on its own cell; ties go to the smaller id.
+    """
+    reach = stretch_reach(vertices, max_m, grid)
+    p = H.with_cell(points, "latitude", "longitude", "_cell", grid).withColumnRenamed("_cell", "cell")
+
+    def away(s: Column) -> Column:
+        ax, ay = (s["x2"] - s["x1"]) * grid.kx, (s["y2"] - s["y1"]) * grid.ky
+        px, py = (F.col("longitude") - s["x1"]) * grid.kx, (F.col("latitude") - s["y1"]) * grid.ky
+        t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(F.try_divide(px * ax + py * ay, ax * ax + ay * ay), F.lit(0.0))))
+        return F.struct(F.sqrt((px - t * ax) * (px - t * ax) + (py - t * ay) * (py - t * ay)).alias("m"), s["segment_id"].alias("segment_id"))
+
+    best = p.join(reach, "cell", "left").withColumn("_m", F.array_min(F.transform("near", away)))
+    hit = F.col("_m.m") <= max_m
+    return best.select(*points.columns, F.when(hit, F.col("_m.segment_id")).alias("segment"), F.when(hit, F.col("_m.m")).alias("segment_m"))

@@ -421,3 +421,38 @@ def test_text_ids_order_like_numbers_of_one_length(spark):
     segments = spark.createDataFrame([(7, 300.0, [[72.8, 21.1]])], "segment_id long, length double, coords array<array<double>>")
     told = [sorted(map(str, segment_dwell(p.withColumn("segment", F.lit(7)), segments).collect())) for p in (pings, text)]
     assert told[0] == told[1] and len(told[0]) == 2
+
+
+def test_long_segment_is_clipped_to_the_cells_it_passes(spark):
+    import random
+    rng = random.Random(5)
+    g = H.FINE
+    line, x, y = [], 72.8, 21.1
+    for i in range(10_000):                                   # a road of 10,000 vertices that winds and comes back
+        line.append((1, i, y, x))
+        x, y = x + 2e-5 * math.cos(i / 900), y + 2e-5 * math.sin(i / 900)
+    line += [(2, 0, 21.1, 72.8), (2, 1, 21.13, 72.84), (3, 0, 21.105, 72.803)]      # far vertices; one vertex only
+    vertices = spark.createDataFrame(line, "segment_id long, vseq int, latitude double, longitude double")
+    reach = SP.stretch_reach(vertices, 40.0)
+    widest = reach.select(F.max(F.size("near"))).first()[0]
+    assert widest < 400                                       # of 10,001 stretches
+    pts = [(i, y + rng.uniform(-8e-4, 8e-4), x + rng.uniform(-8e-4, 8e-4)) for i, (_, _, y, x) in enumerate(rng.sample(line, 60))]
+    pts += [(100 + i, 21.1 + 0.03 * t, 72.8 + 0.04 * t + 1e-4) for i, t in enumerate((0.13, 0.5, 0.77))] + [(200, 21.105, 72.8031), (201, 25.0, 70.0)]
+    got = {r.id: (r.segment, r.segment_m) for r in SP.snap_to_stretch(
+        spark.createDataFrame(pts, "id long, latitude double, longitude double"), vertices, 40.0).collect()}
+    by = {}
+    for s, _, la, lo in line:
+        by.setdefault(s, []).append((lo * g.kx, la * g.ky))
+
+    def away(px, py, a, b):
+        ax, ay = b[0] - a[0], b[1] - a[1]
+        t = max(0.0, min(1.0, ((px - a[0]) * ax + (py - a[1]) * ay) / (ax * ax + ay * ay))) if ax or ay else 0.0
+        return math.hypot(px - a[0] - t * ax, py - a[1] - t * ay)
+
+    for i, la, lo in pts:
+        want = min((min(away(lo * g.kx, la * g.ky, a, b) for a, b in zip(v, v[1:] or v)), s) for s, v in by.items())
+        if want[0] <= 40.0:
+            assert got[i][0] == want[1] and abs(got[i][1] - want[0]) < 1e-5, i
+        else:
+            assert got[i] == (None, None), i
+    assert any(s == 2 for s, _ in got.values()) and got[200][0] in (1, 2, 3) and got[201] == (None, None)
