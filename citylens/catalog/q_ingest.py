@@ -200,6 +200,16 @@ def q_grouped(spark, sf):
                                        F.sum("n_pings").alias("n_pings"))
 
 
+@register("udf_grouped_stream", PINGS + """,
+g AS (SELECT CASE WHEN trip_id % 3 = 0 THEN 'hot' ELSE vehicle_label END AS label, obs_epoch FROM v_pings),
+l AS (SELECT label, obs_epoch - lag(obs_epoch) OVER (PARTITION BY label ORDER BY obs_epoch) AS gap FROM g)
+SELECT label, max(gap) AS longest_gap, count(*) AS n_messages FROM l GROUP BY label""")
+def q_grouped_stream(spark, sf):
+    """One label has a third of all messages; its group passes as batches."""
+    label = F.when(F.col("trip_id") % 3 == 0, "hot").otherwise(F.col("vehicle_label")).alias("label")
+    return U.apply_grouped_stream(view(spark, sf, "v_pings").select(label, "obs_epoch"), ["label"], U.longest_silence, U.SILENCE_SCHEMA, ["obs_epoch"])
+
+
 @register("udf_scalar_vectorised", PINGS + """
 SELECT ping_id, cast((isodow(make_timestamp(obs_epoch * 1000000)) - 1) * 24 + hour(make_timestamp(obs_epoch * 1000000))
                      AS integer) AS time_slot FROM v_pings""")

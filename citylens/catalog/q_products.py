@@ -16,6 +16,7 @@ from citylens.plans import dwell as D
 from citylens.plans import segments as SG
 from citylens.plans import surface as SU
 from citylens.session import ensure_checkpoint_dir
+from citylens.sources import sinks as K
 from citylens.sources.fixtures import duckdb_text, read_table
 
 CO, ME, FI = H.COARSE, H.MEDIUM, H.FINE
@@ -440,7 +441,7 @@ SPLINE_SQL = SURF_SQL + _spline_sql(LEVELS, 4)
 
 @register("geo_smooth_surface", with_("v_readings", "v_sensors", extra=SPLINE_SQL) + """
 SELECT i, j, pollutant, round(value, 6) AS value FROM z2""")
-def q_smooth(spark, sf):
+def q_smooth_surface(spark, sf):
     loc, meas = _located(spark, sf), list(SU.POLLUTANT_FLOORS)
     grid = SP.in_hull(SP.mesh(loc, RES), SP.convex_hull(loc))
     return _r6(SP.unpivot_measures(SP.smooth_surface(grid, loc, ["i", "j"], meas, LEVELS), ["i", "j"], meas), "value")
@@ -489,3 +490,47 @@ FROM v_pings JOIN best USING (latitude, longitude)""")
 def q_nearest_stretch(spark, sf):
     out = SP.snap_to_stretch(v(spark, sf, "v_pings").select("ping_id", "latitude", "longitude"), v(spark, sf, "v_segment_vertices"), MAX_M)
     return out.select("ping_id", "segment", F.round("segment_m", 4).alias("segment_m"))
+
+
+# ---------------------------------------------------------------- learned lag weights (P-7)
+FIT_SLOTS = 60
+_FIT_START = END - FIT_SLOTS * SLOT_S
+_COLS = [f"x{i}" for i in range(5)] + ["y"]
+LAG_ROWS_SQL = dwell_rows_sql() + "," + REGION_CELLS + f""",
+obs AS (SELECT cell, trip_direction, cast(floor((obs_epoch - {_FIT_START}) / {SLOT_S}) AS integer) AS slot, avg(dwell_time) AS mean_dwell FROM drows
+        WHERE obs_epoch >= {_FIT_START} AND obs_epoch < {END} AND trip_direction IN ('DN', 'UP') GROUP BY ALL),
+skel AS (SELECT cell, d.dir AS trip_direction, cast(s.slot AS integer) AS slot
+         FROM (SELECT DISTINCT cell FROM regc), (VALUES ('DN'), ('UP')) d(dir), range({FIT_SLOTS}) s(slot)),
+sc AS (SELECT skel.*, obs.mean_dwell IS NOT NULL AS seen, (coalesce(obs.mean_dwell, -1e0) + 1e0) / 501e0 AS x FROM skel LEFT JOIN obs USING (cell, trip_direction, slot)),
+lags AS (SELECT lag(x, 4) OVER w AS x0, lag(x, 3) OVER w AS x1, lag(x, 2) OVER w AS x2, lag(x, 1) OVER w AS x3, 1e0 AS x4, x AS y, seen
+         FROM sc WINDOW w AS (PARTITION BY cell, trip_direction ORDER BY slot)),
+lr AS (SELECT * FROM lags WHERE seen AND x0 IS NOT NULL)"""
+
+
+def _lag_rows(spark, sf):
+    panel = D.hourly_panel(_rows(spark, sf), _region_cells(spark, sf), AS_OF, FIT_SLOTS, SLOT_S)
+    return D.lag_rows(panel, 4)
+
+
+@register("agg_lag_moments", with_("v_pings", "v_region", extra=LAG_ROWS_SQL) + " " + " UNION ALL ".join(
+    f"SELECT '{a}*{b}' AS moment, round(sum({a} * {b}), 2) AS total FROM lr" for i, a in enumerate(_COLS) for b in _COLS[i:]))
+def q_lag_moments(spark, sf):
+    wide = D.lag_moments(_lag_rows(spark, sf), 4)
+    return wide.unpivot([], wide.columns, "moment", "total").withColumn("total", F.round("total", 2))
+
+
+@register("lag_weights", with_("v_pings", "v_region", extra=LAG_ROWS_SQL) + f""",
+one AS (SELECT {", ".join(f"sum({a} * {b}) AS {a}_{b}" for i, a in enumerate(_COLS) for b in _COLS[i:])} FROM lr),
+e0 AS (SELECT {", ".join(f"{f'x{min(i, j)}_x{max(i, j)}'}{' + 1e0' if i == j and i < 4 else ''} AS a{i}{j}" for i in range(5) for j in range(5))},
+       {", ".join(f"x{i}_y AS b{i}" for i in range(5))} FROM one),
+{",".join(f"""
+e{k + 1} AS (SELECT {", ".join((f"a{i}{j} - a{i}{k} / a{k}{k} * a{k}{j}" if i > k else f"a{i}{j}") + f" AS a{i}{j}" for i in range(5) for j in range(5))},
+       {", ".join((f"b{i} - a{i}{k} / a{k}{k} * b{k}" if i > k else f"b{i}") + f" AS b{i}" for i in range(5))} FROM e{k})""" for k in range(4))},
+s4 AS (SELECT *, b4 / a44 AS w4 FROM e4), s3 AS (SELECT *, (b3 - a34 * w4) / a33 AS w3 FROM s4),
+s2 AS (SELECT *, (b2 - a23 * w3 - a24 * w4) / a22 AS w2 FROM s3), s1 AS (SELECT *, (b1 - a12 * w2 - a13 * w3 - a14 * w4) / a11 AS w1 FROM s2),
+s0 AS (SELECT *, (b0 - a01 * w1 - a02 * w2 - a03 * w3 - a04 * w4) / a00 AS w0 FROM s1)
+""" + " UNION ALL ".join(f"SELECT '{n}' AS feature, round(w{i}, 6) AS weight FROM s0" for i, n in enumerate(["lag_0", "lag_1", "lag_2", "lag_3", "intercept"])))
+def q_lag_weights(spark, sf):
+    """Learned by moment sums, stored as a model table and read back."""
+    path = K.save_model(D.fit_lag_weights(_lag_rows(spark, sf), 4), spark)
+    return _r6(K.load_model(spark, path), "weight")

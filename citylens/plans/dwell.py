@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from citylens.functions import hexgrid as H
@@ -174,13 +175,51 @@ def dwell_of_delays(delays: DataFrame, as_of: int, slots: int = 4, slot_s: int =
 LAG_WEIGHTS = (0.1, 0.2, 0.3, 0.4)
 
 
+def lag_rows(panel: DataFrame, lags: int = 4) -> DataFrame:
+    """Training rows of the lag weights: scaled dwell ``x0`` (oldest) ... of the slots before an observed slot
+    ``y``, and 1 for the intercept.  ``panel`` is an :func:`hourly_panel` over the training hours."""
+    w = Window.partitionBy("cell", "trip_direction").orderBy("slot")        # the slots of one cell and direction
+    x = panel.select("cell", "trip_direction", "slot", (F.col("mean_dwell") >= 0).alias("_seen"), S.scale("mean_dwell").alias("y"))
+    rows = x.withColumns({f"x{i}": F.lag("y", lags - i).over(w) for i in range(lags)} | {f"x{lags}": F.lit(1.0)})
+    return rows.where(F.col("_seen") & F.col("x0").isNotNull()).select(*[f"x{i}" for i in range(lags + 1)], "y")
+
+
+def lag_moments(rows: DataFrame, lags: int = 4) -> DataFrame:
+    """All sums of products of the features and the target: one row, one partially aggregated pass."""
+    cols = [f"x{i}" for i in range(lags + 1)] + ["y"]
+    return rows.agg(*[F.sum(F.col(a) * F.col(b)).alias(f"{a}*{b}") for i, a in enumerate(cols) for b in cols[i:]])
+
+
+def fit_lag_weights(rows: DataFrame, lags: int = 4, ridge: float = 1.0) -> DataFrame:
+    """Ridge regression of the next slot on its lags as a table ``feature, weight`` (``lag_0`` oldest, ``intercept``).
+
+    The moment sums are the only thing that leaves the cluster; the normal
+    equations of ``lags + 1`` unknowns are solved on the driver.  The intercept
+    is not shrunk; without training rows every weight is 0.
+    """
+    sums = lag_moments(rows, lags).first()
+    at = lambda a, b: sums[f"{a}*{b}"] or 0.0
+    n = lags + 1
+    gram = np.array([[at(f"x{min(i, j)}", f"x{max(i, j)}") for j in range(n)] for i in range(n)]) + np.diag([ridge] * lags + [0.0])
+    solved = np.linalg.lstsq(gram, np.array([at(f"x{i}", "y") for i in range(n)]), rcond=None)[0]
+    names = [f"lag_{i}" for i in range(lags)] + ["intercept"]
+    return rows.sparkSession.createDataFrame([(name, float(w)) for name, w in zip(names, solved)], "feature string, weight double")
+
+
+def learned_weights(model: DataFrame, lags: int = 4) -> tuple[tuple[float, ...], float]:
+    """(weights, intercept) of a stored :func:`fit_lag_weights` table, for :func:`cell_dwell_forecast`."""
+    told = {r["feature"]: r["weight"] for r in model.collect()}               # lags + 1 rows
+    return tuple(told[f"lag_{i}"] for i in range(lags)), told["intercept"]
+
+
 def cell_dwell_forecast(dwell: DataFrame, cells: DataFrame, as_of: int, slots: int = 4, slot_s: int = 3600,
-                        weights=LAG_WEIGHTS, cap: float | None = None, offset_minutes: int = 270) -> DataFrame:
+                        weights=LAG_WEIGHTS, cap: float | None = None, offset_minutes: int = 270, intercept: float = 0.0) -> DataFrame:
     """P-7: next-slot dwell per (cell, direction) from smoothed, scaled lags.
 
     The reference feeds the scaled panel through a pretrained graph network;
     here the graph filter is applied as a join/aggregate and the temporal
-    part is a fixed weighted sum of the lags, then unscaled and cleaned.
+    part is a weighted sum of the lags, then unscaled and cleaned.  The weights
+    are fixed ones or, from :func:`learned_weights`, those of a ridge regression.
     """
     # the dense panel is bounded by region cells x directions x slots and is
     # read three times by the smoothing -> materialise it once
@@ -189,7 +228,7 @@ def cell_dwell_forecast(dwell: DataFrame, cells: DataFrame, as_of: int, slots: i
     scaled = panel.withColumn("mean_dwell", S.scale("mean_dwell"))
     sm = graph_smooth(scaled)
     wexpr = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.col("slot") + 1)
-    agg = sm.groupBy("cell", "trip_direction").agg(F.sum(F.col("smoothed") * wexpr).alias("z"))
+    agg = sm.groupBy("cell", "trip_direction").agg((F.sum(F.col("smoothed") * wexpr) + F.lit(float(intercept))).alias("z"))
     pred = S.clean_negative(S.unscale("z"))
     return agg.select(
         observe_time_micros(as_of, offset_minutes).alias("observationDateTime"),

@@ -456,3 +456,39 @@ def test_long_segment_is_clipped_to_the_cells_it_passes(spark):
         else:
             assert got[i] == (None, None), i
     assert any(s == 2 for s, _ in got.values()) and got[200][0] in (1, 2, 3) and got[201] == (None, None)
+
+
+def test_hot_group_passes_as_batches(spark):
+    from citylens.operators import udf as U
+    import pyarrow as pa
+
+    def widest_batch(batches):
+        sizes = [b.num_rows for b in batches]
+        yield pa.RecordBatch.from_pydict({"n": pa.array([sum(sizes)], pa.int64()), "widest": pa.array([max(sizes)], pa.int64()),
+                                          "batches": pa.array([len(sizes)], pa.int64())})
+
+    rows = spark.range(150_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 50).alias("k"), (F.col("id") * 7919 % 100_003).alias("v"))
+    got = U.apply_grouped_stream(rows, ["k"], widest_batch, "n long, widest long, batches long").collect()
+    assert sum(r.n for r in got) == 150_000 and max(r.n for r in got) == 50_000
+    assert max(r.widest for r in got) <= 10_000 and max(r.batches for r in got) >= 5
+
+    def falls(batches):
+        last, down = None, 0
+        for b in batches:
+            for v in b.column("v").to_pylist():
+                down += last is not None and v < last
+                last = v
+        yield pa.RecordBatch.from_pydict({"down": pa.array([down], pa.int64())})
+
+    assert {r.down for r in U.apply_grouped_stream(rows, ["k"], falls, "down long", ["v"]).collect()} == {0}
+
+
+def test_learned_weights_find_the_rule(spark):
+    import random
+    from citylens.plans import dwell as D
+    rng = random.Random(1)
+    x = [[rng.random() for _ in range(4)] + [1.0] for _ in range(2000)]
+    rows = spark.createDataFrame([(*v, 0.4 * v[3] - 0.1 * v[0] + 0.05) for v in x], "x0 double, x1 double, x2 double, x3 double, x4 double, y double")
+    weights, intercept = D.learned_weights(D.fit_lag_weights(rows, 4, ridge=0.0))
+    assert all(abs(a - b) < 1e-9 for a, b in zip((*weights, intercept), (-0.1, 0, 0, 0.4, 0.05)))
+    assert D.learned_weights(D.fit_lag_weights(rows.where("false"))) == ((0.0,) * 4, 0.0)
