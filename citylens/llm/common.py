@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,13 +35,12 @@ def fold(id_col: str = "doc_id") -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 4
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, keys: Iterable[str], how: str) -> DataFrame:
-    """Join on ``keys`` with NULL equal to NULL; ``right`` names its keys ``_r_<key>``."""
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[f"_r_{k}"])
-        cond = c if cond is None else cond & c
-    return left.join(right, cond, how)
+def free_name(docs: DataFrame, wanted: str) -> str:
+    """A name for a working column that ``docs`` does not have (names are compared without case, as Spark does)."""
+    taken = {c.lower() for c in docs.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
 
 
 def keep_one_row_each(docs: DataFrame, verdict: DataFrame, id_col: str = "doc_id",
@@ -56,12 +54,16 @@ def keep_one_row_each(docs: DataFrame, verdict: DataFrame, id_col: str = "doc_id
     keys are joined, so the documents move at most once.
     """
     cols = docs.columns
-    keyed = docs.withColumn("_r_key", F.xxhash64(text_or_empty(text_col))).withColumn("_r_id", F.col(id_col))
-    special = verdict.where(~F.col("kept") | (F.col("n_rows") > 1)).select(
-        F.col("doc_id").alias("_r__r_id"), F.col("text_key").alias("_r__r_key"), "kept")
-    stay = null_safe_join(keyed, special.drop("kept"), ["_r_id", "_r_key"], "left_anti").select(*cols)
-    repeated = special.where("kept").drop("kept")
+    key, of, r_key, r_of = (free_name(docs, n) for n in ("own_key", "own_id", "other_key", "other_id"))
+    keyed = docs.withColumns({key: F.xxhash64(text_or_empty(text_col)), of: F.col(id_col)})
+    special = verdict.where(~F.col("kept") | (F.col("n_rows") > 1)).select(F.col("doc_id").alias(r_of), F.col("text_key").alias(r_key), "kept")
+
+    def met(rows: DataFrame, how: str) -> DataFrame:          # NULL ids meet, too
+        rows = rows.select(r_of, r_key)
+        return keyed.join(rows, keyed[of].eqNullSafe(rows[r_of]) & (keyed[key] == rows[r_key]), how)
+
+    stay = met(special, "left_anti").select(*cols)
+    repeated = special.where("kept")
     if repeated.isEmpty():
         return stay
-    once = null_safe_join(keyed, repeated, ["_r_id", "_r_key"], "left_semi")
-    return stay.unionByName(once.dropDuplicates(["_r_id", "_r_key"]).select(*cols))
+    return stay.unionByName(met(repeated, "left_semi").dropDuplicates([of, key]).select(*cols))

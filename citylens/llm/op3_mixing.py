@@ -89,12 +89,12 @@ def mix(docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[str, int
         max_epochs: int = MAX_EPOCHS, seed: int = SEED, id_col: str = "doc_id", tokens_col: str = "n_tokens") -> DataFrame:
     """Selected rows of ``docs``, once per epoch: all columns, the levels as ``mix_<name>``,
     ``mix_epoch`` (from 0) and ``mix_take_tokens`` (the document's first tokens that count).
-    Names that begin with ``mix_`` are the operator's own: such columns of ``docs`` are replaced.
+    Names that begin with ``mix_`` (in any case) are the operator's own: such columns of ``docs`` are replaced.
 
     ``docs`` has its token count in ``tokens_col``; ``budget_tokens`` defaults to all its tokens.
     """
     names = [f"mix_{n}" for n in levels]
-    own = [c for c in docs.columns if c.startswith("mix_") and c != tokens_col]
+    own = [c for c in docs.columns if c.lower().startswith("mix_") and c != tokens_col]
     docs = docs.drop(*own)
     placed = docs.withColumns({f"mix_{n}": F.coalesce(c.cast("string"), F.lit("(none)")) for n, c in levels.items()}
                               ).where(F.col(tokens_col) > 0)
@@ -141,4 +141,4 @@ def mix_documents(docs: DataFrame, weights: Mapping[str, int] = WEIGHTS) -> Data
     """Pipeline form: ``documents`` columns of the selected rows, with ``mix_epoch`` and ``mix_take_tokens``."""
     counted = docs.withColumn("mix_n_tokens", n_tokens())
     got = mix(counted, document_levels(), weights, tokens_col="mix_n_tokens")
-    return got.select(*[c for c in docs.columns if not c.startswith("mix_")], "mix_epoch", "mix_take_tokens")
+    return got.select(*[c for c in docs.columns if not c.lower().startswith("mix_")], "mix_epoch", "mix_take_tokens")

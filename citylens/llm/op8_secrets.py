@@ -107,7 +107,10 @@ def linked(scanned: DataFrame) -> DataFrame:
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: ``doc_id, n_assign, n_access, n_hex, base_sha256, spans``."""
     scanned = materialise(scan(docs, id_col, text_col), "secrets")
-    both = scanned.join(linked(scanned), "text_key", "left")
+    # rows without parts have no key: they do not join, or all of them would meet in one partition
+    added = F.array().cast(_SPANS).alias("added")
+    both = (scanned.where("text_key is not null").join(linked(scanned), "text_key", "left").select(*scanned.columns, "added")
+            .unionByName(scanned.where("text_key is null").select("*", added)))
     base = F.concat("assign", "access", "hex")
     return both.select(
         "doc_id", *[F.size(k).cast("bigint").alias(f"n_{k}") for k in ("assign", "access", "hex")],

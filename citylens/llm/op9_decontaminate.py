@@ -17,13 +17,14 @@ items count once; columns other than the id and the text are ignored.
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citylens.llm.common import materialise
+from citylens.llm.common import free_name, materialise
 from citylens.llm.tokens import scan, window_hashes, words
 
 WINDOW = 10
@@ -147,8 +148,6 @@ def remove_contaminated_spans(docs: DataFrame, benchmark: DataFrame, id_col: str
 
 
 def _cut(text: str, spans: list[tuple[int, int]]) -> str:
-    import re
-
     at = [m.span() for m in re.finditer(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text)]
     out, last = [], 0
     for a, b in spans:
@@ -160,7 +159,7 @@ def _cut(text: str, spans: list[tuple[int, int]]) -> str:
 def _filter(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, remove_spans: bool,
             item_id_col: str = "item_id", item_text_col: str = "text", max_windows: int = 250_000) -> DataFrame:
     spark, cols, at = docs.sparkSession, docs.columns, docs.columns.index(text_col)
-    carried = docs.withColumn("_r_spans", F.array().cast("array<int>")) if remove_spans else docs
+    carried = docs.withColumn(free_name(docs, "spans"), F.array().cast("array<int>")) if remove_spans else docs
     for i, items in enumerate(_blocks(benchmark, item_id_col, item_text_col, max_windows)):
         grams = spark.sparkContext.broadcast(WindowSet(items))
         carried = materialise(carried, "decontaminate") if i else carried
