@@ -3,8 +3,8 @@
 Listed entries are keys: a whole canonical URL (``host/path``) that is blocked,
 or a rule ``host + path prefix`` that blocks or allows its host, all subdomains
 and every path that starts with the prefix.  A URL asks for its own key and,
-for each host suffix at a label border and each length that a rule's path has,
-for the key of that suffix and prefix.  The filter (fixed size, so safe to
+for each host suffix of as many labels as a rule's host has and each length that
+a rule's path has, for the key of that suffix and prefix.  The filter (fixed size, so safe to
 broadcast) passes the keys that may be listed, the join on the key removes the
 false positives, and the longest rule (then the longer host, then block) wins
 over a listed URL.  Verdicts depend on the URL alone, so each distinct (host,
@@ -16,7 +16,8 @@ end.  A NULL url, or one without ``://``, has both empty and is allowed.
 
 Defined results: repeated rows each get their row; a repeated rule counts once,
 and a rule listed as both block and allow blocks; NULL entries are ignored;
-columns other than id and url are ignored; empty tables give no rows.
+columns other than id and url are ignored; empty tables give no rows; a very
+long URL or one of very many labels costs no more keys than a short one.
 """
 
 from __future__ import annotations
@@ -60,14 +61,15 @@ def rule_entries(rules: DataFrame) -> DataFrame:
                     F.length("host").alias("host_size"), "entry_verdict"))
 
 
-def candidate_keys(host: str, path: str, sizes: list[int]) -> list[str]:
+def candidate_keys(host: str, path: str, sizes: list[int], depths: list[int]) -> list[str]:
+    """The URL's own key, and one per host suffix of as many labels and path prefix of as many characters as a rule has."""
     labels = host.split(".")
-    suffixes = [".".join(labels[i:]) for i in range(len(labels))]
+    suffixes = [".".join(labels[-n:]) for n in depths if n <= len(labels)]
     prefixes = [path[:n] for n in sizes if n <= len(path)]
     return [f"{URL_MARK}{host}{path}", *(f"{RULE_MARK}{s}|{p}" for s in suffixes for p in prefixes)]
 
 
-def _possible(urls: DataFrame, blocks, sizes: list[int]) -> DataFrame:
+def _possible(urls: DataFrame, blocks, sizes: list[int], depths: list[int]) -> DataFrame:
     """Keys of each (host, path) that pass the filter."""
 
     def run(batches):
@@ -75,7 +77,7 @@ def _possible(urls: DataFrame, blocks, sizes: list[int]) -> DataFrame:
         for b in batches:
             keys, row = [], []
             for i, (h, p) in enumerate(zip(b.column("host").to_pylist(), b.column("path").to_pylist())):
-                mine = candidate_keys(h, p, sizes) if h or p else []
+                mine = candidate_keys(h, p, sizes, depths) if h or p else []
                 keys.extend(mine)
                 row.extend([i] * len(mine))
             hashes = np.array([xxhash.xxh64_intdigest(k.encode(), 42) for k in keys], dtype=np.uint64).view(np.int64)
@@ -91,14 +93,16 @@ def judge(pages: DataFrame, rules: DataFrame, blocked: DataFrame, id_col: str =
     """Per page: ``page_id, host, path, rule, verdict``.
 
     ``rules(host, path, verdict)``; ``blocked(url)`` lists whole URLs.  The lengths of the
-    rules' paths are collected (as many as a path has characters).
+    rules' paths and the numbers of labels of their hosts are collected (few numbers each),
+    so a URL asks for as many keys as the rules need, however long it is.
     """
     spark = pages.sparkSession
     entries = materialise(rule_entries(rules).unionByName(listed_urls(blocked.where("url is not null"))), "url-entries")
     sizes = sorted(r["n"] for r in rules.where("path is not null").select(F.length("path").alias("n")).distinct().collect())
+    depths = sorted(r["n"] for r in rules.where("host is not null").select(F.size(F.split("host", r"\.")).alias("n")).distinct().collect())
     blocks = spark.sparkContext.broadcast(bloom.build(entries.select(F.xxhash64("key").alias("h")), "h"))
     rows = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
-    exact = _possible(rows.select("host", "path").distinct(), blocks, sizes).join(entries, "key")
+    exact = _possible(rows.select("host", "path").distinct(), blocks, sizes, depths).join(entries, "key")
     best = exact.groupBy("host", "path").agg(F.max(F.struct(
         F.coalesce(F.length("rule"), F.lit(-1)).alias("n"), "host_size", "entry_verdict", "rule")).alias("b"))
     return rows.join(best, ["host", "path"], "left").select(

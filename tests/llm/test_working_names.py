@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from citylens.llm import op3_mixing, op4_exact_dedup, op7_simhash, op8_secrets, op9_decontaminate, op10_html
+from citylens.llm import op3_mixing, op4_exact_dedup, op6_urls, op7_simhash, op8_secrets, op9_decontaminate, op10_html
 from tests.llm.conftest import documents
 
 NAMES = ["_r_key", "_r_id", "_r_spans", "_r__r_id", "own_key", "OWN_ID", "own_id_", "other_key", "other_id", "Spans", "sha", "root", "component_id", "i"]
@@ -50,3 +50,12 @@ def test_form_around_an_article_keeps_it(spark):
     plain = "<body><article><p>Body text.</p></article><form><p>Sign up here</p></form></body>"
     lines = [[line for _, line in op10_html.blocks(p)] for p in (page, plain)]
     assert lines == [["Title", "Body text."], ["Body text."]]
+
+
+def test_long_urls_ask_for_few_keys(spark):
+    long = ".".join(["a"] * 16_000) + ".example.net"
+    urls = [(1, f"http://{long}/en/x"), (2, f"http://{long}/" + "p" * 100_000), (3, "http://a.org/fr/")]
+    assert len(op6_urls.candidate_keys(long, "/en/x", [1, 4], [1, 2])) == 5
+    got = {r.page_id: (r.rule, r.verdict) for r in op6_urls.judge(spark.createDataFrame(urls, "page_id long, url string"), op6_urls.default_rules(spark),
+                                                                 spark.createDataFrame([], "url string")).collect()}
+    assert got == {1: ("example.net/en/", "allow"), 2: ("net/", "block"), 3: ("org/fr/", "allow")}
