@@ -243,16 +243,23 @@ def in_hull(grid: DataFrame, hull: DataFrame, row: str = "i", px: str = "mx", py
     """Grid points inside or on the hull (SP-6).
 
     By grid row: the hull's extent at the row's latitude comes from the edges
-    that span it; the points of the row join that one interval.
+    that span it; the points of the row join that one interval.  The edges are
+    one array value (the corners of a hull), so no join pairs rows with them.
     """
-    rows = grid.groupBy(row).agg(F.min(py).alias("_y"))
-    e = hull.select(F.when(F.col("y1") <= F.col("y2"), F.struct("x1", "y1", "x2", "y2")).otherwise(
-        F.struct(F.col("x2").alias("x1"), F.col("y2").alias("y1"), F.col("x1").alias("x2"), F.col("y1").alias("y2"))).alias("e")).select("e.*")
-    met = rows.join(F.broadcast(e), (F.col("y1") - HULL_SLACK <= F.col("_y")) & (F.col("_y") <= F.col("y2") + HULL_SLACK))
-    flat = F.col("y2") - F.col("y1") <= HULL_SLACK
-    xi = F.col("x1") + (F.col("_y") - F.col("y1")) * (F.col("x2") - F.col("x1")) / F.when(~flat, F.col("y2") - F.col("y1"))
-    span = met.groupBy(row).agg(F.min(F.when(flat, F.least("x1", "x2")).otherwise(xi)).alias("_xa"),
-                                F.max(F.when(flat, F.greatest("x1", "x2")).otherwise(xi)).alias("_xb"))
+    upward = F.when(F.col("y1") <= F.col("y2"), F.struct("x1", "y1", "x2", "y2")).otherwise(
+        F.struct(F.col("x2").alias("x1"), F.col("y2").alias("y1"), F.col("x1").alias("x2"), F.col("y1").alias("y2")))
+    edges = hull.agg(F.collect_list(upward)).scalar()
+    rows = grid.groupBy(row).agg(F.min(py).alias("_y")).withColumn("_e", edges)
+    y = F.col("_y")
+
+    def reach(e: Column) -> Column:
+        flat = e["y2"] - e["y1"] <= HULL_SLACK
+        xi = e["x1"] + (y - e["y1"]) * (e["x2"] - e["x1"]) / F.when(~flat, e["y2"] - e["y1"])
+        return F.struct(F.when(flat, F.least(e["x1"], e["x2"])).otherwise(xi).alias("a"), F.when(flat, F.greatest(e["x1"], e["x2"])).otherwise(xi).alias("b"))
+
+    met = F.transform(F.filter("_e", lambda e: (e["y1"] - HULL_SLACK <= y) & (y <= e["y2"] + HULL_SLACK)), reach)
+    span = rows.withColumn("_met", met).select(row, F.array_min(F.transform("_met", lambda m: m["a"])).alias("_xa"),
+                                               F.array_max(F.transform("_met", lambda m: m["b"])).alias("_xb"))
     return grid.join(span, row).where((F.col(px) >= F.col("_xa") - HULL_SLACK) & (F.col(px) <= F.col("_xb") + HULL_SLACK)) \
         .drop("_xa", "_xb")
 
