@@ -8,15 +8,19 @@ from NOT STARTED into MISSED when time passes without a message.  The rows
 carry what the batch job derives per trip, and the same column expressions
 classify them, so both agree.
 
-State is one entry per trip and one per plate of a trip; it lives in RocksDB
-under the query's checkpoint, so a restarted query goes on where it stopped.
+State is kept for a group of trips (a trip's hash): the group's part of the
+timetable, and per driven trip its plates.  Nearly all trips wait for a
+message or for their end, so a group reads and announces its waiting trips in
+one call, with one timer for whichever ends next, instead of several calls to
+the state store for each.  It lives in RocksDB under the query's checkpoint, so
+a restarted query goes on where it stopped.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -33,7 +37,9 @@ _EXTREMES = (("first_ping", min, "obs_epoch"), ("last_ping", max, "obs_epoch"),
 _TYPES = ("long", "long", "double", "double", "long")
 _NAMES = [n for n, _, _ in _EXTREMES]
 _EXTREME_SCHEMA = ", ".join(f"{n} {t}" for n, t in zip(_NAMES, _TYPES))
-_TRIP = "start_time long, end_time long, sch_stops array<long>, version long"
+GROUPS = 4096            # groups that trips are dealt to: sizes state entries, changes no result; a checkpoint is bound to it
+_TIMETABLE = "trips array<long>, starts array<long>, ends array<long>, stops array<array<long>>"
+_DRIVEN = f"version long, plates array<struct<license_plate: string, {', '.join(f'{n}: {t}' for n, t in zip(_NAMES, _TYPES))}, stops: array<long>>>"
 PROGRESS = f"trip_id long, license_plate string, {_EXTREME_SCHEMA}, eta_stops array<long>, start_time long, end_time long, " \
            "sch_stops array<long>, as_of long, version long"
 _ROW = Row("trip_id", "license_plate", *_NAMES, "eta_stops", "start_time", "end_time", "sch_stops", "as_of", "version")
@@ -41,54 +47,62 @@ _ROW = Row("trip_id", "license_plate", *_NAMES, "eta_stops", "start_time", "end_
 
 class TripProgress(StatefulProcessor):
     """Rows of a trip, one per plate that attains an extreme (or one without plate before the first message);
-    a higher ``version`` replaces all earlier rows of the trip."""
+    a higher ``version`` replaces all earlier rows of the trip (waiting 1, its end passed 2, driven from 3 on)."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.trip = handle.getValueState("trip", _TRIP)
-        self.plates = handle.getMapState("plates", "plate string", f"license_plate string, {_EXTREME_SCHEMA}, stops array<long>")
+        self.timetable = handle.getValueState("timetable", _TIMETABLE)
+        self.told = handle.getValueState("told", "watermark long")       # up to where waiting trips are announced
+        self.driven = handle.getMapState("driven", "trip_id long", _DRIVEN)
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.trip.update((initialState.start_time, initialState.end_time, list(initialState.sch_stops), 0))
-        self.handle.registerTimer(1)                     # the first watermark tells whether the trip is due
+        self.timetable.update((*map(list, initialState[1:4]), [list(stops) for stops in initialState[4]]))
+        self.handle.registerTimer(1)                     # the first watermark tells which trips are due
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        if not self.trip.exists():                       # not in the timetable
-            return
-        seen: dict[str, list] = {}
+        known = self.timetable.get() if self.timetable.exists() else ((), (), (), ())
+        listed = {trip: (start, end, stops) for trip, start, end, stops in zip(*known)}
+        seen: dict[int, list] = {}                       # trip -> version, plates
         for row in rows:
-            plate = row.license_plate
-            at = "" if plate is None else "=" + plate
-            if at not in seen:
-                known = self.plates.getValue((at,)) if self.plates.containsKey((at,)) else None
-                seen[at] = [*known[:-1], set(known[-1])] if known else [plate, *[None] * len(_NAMES), set()]
-            held = seen[at]
+            trip, plate = row.trip_id, row.license_plate
+            if trip not in listed:                       # not in the timetable
+                continue
+            if trip not in seen:
+                version, plates = self.driven.getValue((trip,)) if self.driven.containsKey((trip,)) else (2, ())
+                seen[trip] = [version, {p[0]: [*p[:-1], set(p[-1])] for p in plates}]
+            held = seen[trip][1].setdefault(plate, [plate, *[None] * len(_NAMES), set()])
             for i, (_, pick, column) in enumerate(_EXTREMES, 1):
                 value = row[column]
                 if value is not None:
                     held[i] = value if held[i] is None else pick(held[i], value)
             if row.last_stop_id is not None:
                 held[-1].add(row.last_stop_id)
-        for at, held in seen.items():
-            self.plates.updateValue((at,), (*held[:-1], sorted(held[-1])))
-        yield from self._rows(key, timerValues)
+        as_of = timerValues.getCurrentWatermarkInMs() // 1000
+        for trip, (version, by_plate) in seen.items():
+            plates = [(*held[:-1], sorted(held[-1])) for held in by_plate.values()]
+            self.driven.updateValue((trip,), (version + 1, plates))
+            yield from self._driven_rows(trip, plates, listed[trip], as_of, version + 1)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if any(True for _ in self.plates.keys()):        # a driven trip changes by its messages only
-            return
-        end_time = self.trip.get()[1]
-        if timerValues.getCurrentWatermarkInMs() <= end_time * 1000:
-            self.handle.registerTimer(end_time * 1000 + 1)
-        yield from self._rows(key, timerValues)
-
-    def _rows(self, key, timerValues) -> Iterator[Row]:
-        start, end, stops, version = self.trip.get()
-        self.trip.update((start, end, stops, version + 1))
-        as_of = timerValues.getCurrentWatermarkInMs() // 1000
-        plates = [tuple(p) for _, p in self.plates.iterator()]
-        if not plates:
-            yield _ROW(key[0], None, *[None] * len(_NAMES), None, start, end, stops, as_of, version + 1)
-            return
+        """Rows of waiting trips (a driven trip changes by its messages only): all at first, later those whose end has passed."""
+        now = timerValues.getCurrentWatermarkInMs()
+        since = self.told.get()[0] if self.told.exists() else None
+        self.told.update((now,))
+        driven = {k[0] for k in self.driven.keys()}
+        due = None
+        for trip, start, end, stops in zip(*self.timetable.get()):
+            if trip in driven:
+                continue
+            ends = end * 1000
+            if now <= ends:
+                due = ends + 1 if due is None else min(due, ends + 1)
+            if since is None or since <= ends < now:
+                yield _ROW(trip, None, *[None] * len(_NAMES), None, start, end, list(stops), now // 1000, 1 if since is None else 2)
+        if due is not None:
+            self.handle.registerTimer(due)
+
+    def _driven_rows(self, trip, plates, listed, as_of, version) -> Iterator[Row]:
+        start, end, stops = listed
         extremes = []
         for i, (_, pick, _) in enumerate(_EXTREMES, 1):
             values = [p[i] for p in plates if p[i] is not None]
@@ -96,7 +110,11 @@ class TripProgress(StatefulProcessor):
         visited = sorted({s for p in plates for s in p[-1]})
         for p in plates:
             if any(x is not None and p[i] == x for i, x in enumerate(extremes, 1)):
-                yield _ROW(key[0], p[0], *extremes, visited, start, end, stops, as_of, version + 1)
+                yield _ROW(trip, p[0], *extremes, visited, start, end, list(stops), as_of, version)
+
+
+def _group(trip: str = "trip_id") -> Column:
+    return F.pmod(F.xxhash64(F.col(trip).cast("long")), F.lit(GROUPS)).alias("_group")
 
 
 def stream_trip_progress(pings: DataFrame, sch: DataFrame, watermark: str = "1 hour", ts: str = "obs_ts") -> DataFrame:
@@ -104,10 +122,14 @@ def stream_trip_progress(pings: DataFrame, sch: DataFrame, watermark: str = "1 h
 
     The query must start with ``STATE_STORE`` as the session's state store, as :func:`run_trip_status` does.
     """
-    envelope = timetable_envelope(drop_null_rows(sch)).groupBy("trip_id")
-    p = pings.where(F.col("trip_id").isNotNull()).select("trip_id", "license_plate", "last_stop_id", ts, *dict.fromkeys(c for _, _, c in _EXTREMES))
-    return p.withWatermark(ts, watermark).groupBy("trip_id").transformWithState(
-        TripProgress(), PROGRESS, "append", "eventtime", initialState=envelope)
+    envelope = timetable_envelope(drop_null_rows(sch)).select(_group(), F.struct(
+        F.col("trip_id").cast("long").alias("trip_id"), "start_time", "end_time", "sch_stops").alias("t"))
+    listed = envelope.groupBy("_group").agg(F.collect_list("t").alias("t")).select(
+        "_group", "t.trip_id", "t.start_time", "t.end_time", "t.sch_stops").groupBy("_group")
+    p = pings.where(F.col("trip_id").isNotNull()).select(
+        _group(), F.col("trip_id").cast("long").alias("trip_id"), "license_plate", "last_stop_id", ts, *dict.fromkeys(c for _, _, c in _EXTREMES))
+    return p.withWatermark(ts, watermark).groupBy("_group").transformWithState(
+        TripProgress(), PROGRESS, "append", "eventtime", initialState=listed)
 
 
 def run_trip_status(pings: DataFrame, sch: DataFrame, path: str | None = None, watermark: str = "1 hour") -> str:
