@@ -6,6 +6,7 @@ ids; nothing pairs every row with every other row.
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -382,35 +383,129 @@ def segment_cover(vertices: DataFrame, grid: H.HexGrid = H.FINE) -> DataFrame:
     return H.with_cell(steps, "latitude", "longitude", "cell", grid).select("cell", "segment_id").distinct()
 
 
+def _places(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per place (``keys``) with the smallest ``segment_id`` there (NULL if a row has none): of segments
+    at one place no other can be the nearest."""
+    whole = F.count("segment_id") == F.count(F.lit(1))
+    return rows.groupBy(*keys).agg(F.when(whole, F.min("segment_id")).alias("segment_id"))
+
+
 def segment_reach(vertices: DataFrame, max_ring: int = 4, grid: H.HexGrid = H.FINE) -> DataFrame:
-    """For every cell within ``max_ring`` of the road network: the segments
-    that pass nearest to it (smallest ring), with their vertices, as one array
-    per cell.  Built from the segment table only, so its size is bounded by
-    the network, not by the number of points snapped to it."""
-    near = H.explode_disk(segment_cover(vertices, grid), max_ring, "cell", "target", "ring")
-    near = near.groupBy("target", "segment_id").agg(F.min("ring").alias("ring"))
-    first = F.min("ring").over(Window.partitionBy("target"))          # segments near one cell only
-    near = near.withColumn("_r0", first).where(F.col("ring") == F.col("_r0")).select(F.col("target").alias("cell"), "segment_id")
-    lines = vertices.groupBy("segment_id").agg(F.collect_list(F.struct(F.col("longitude").alias("x"), F.col("latitude").alias("y"))).alias("line"))
-    return near.join(lines, "segment_id").groupBy("cell").agg(F.collect_list(F.struct("segment_id", "line")).alias("near"))
+    """For every cell within ``max_ring`` of the road network: the vertices of
+    the segments that pass nearest to it (smallest ring), as one array per cell
+    ``near`` of ``segment_id, x, y``, every place once.  Built from the segment
+    table only, so its size is bounded by the network, not by the number of
+    points snapped to it."""
+    cover = segment_cover(vertices, grid)
+    spots = vertices.select("segment_id", F.col("longitude").alias("x"), F.col("latitude").alias("y")).where("x is not null and y is not null")
+    held = _places(cover.join(spots, "segment_id"), ["cell", "x", "y"])
+    near = H.explode_disk(cover.select("cell").distinct(), max_ring, "cell", "target", "ring")
+    first = F.min("ring").over(Window.partitionBy("target"))          # the cells around one cell
+    near = near.withColumn("_r0", first).where(F.col("ring") == F.col("_r0")).select("target", "cell")
+    near = _places(near.join(held, "cell"), ["target", "x", "y"])
+    return near.groupBy(F.col("target").alias("cell")).agg(F.collect_list(F.struct("segment_id", "x", "y")).alias("near"))
+
+
+# Candidates of a cell from which it is cut into boxes, and how often it may be halved (boxes of 0.7 m in FINE cells).
+CROWDED = 16
+MOST_CUTS = 6
+# Slack of a box, as a part of its cell, for the rounding of coordinates.
+BOX_SLACK = 1e-6
+
+
+def _half_sides(grid: H.HexGrid) -> tuple[float, float]:
+    """Half the width and height, in degrees, of the box around a cell."""
+    return 0.5 * 3.0 ** 0.5 * grid.edge_m / grid.kx, grid.edge_m / grid.ky
+
+
+def _cut_cells(crowded: DataFrame, ends: list[str], scale: tuple[float, float], grid: H.HexGrid) -> DataFrame:
+    """Cells ``(cell, _cuts, cx, cy, near)`` cut into 2**cuts x 2**cuts boxes: ``(cell, box, near)`` with what can be nearest to a point of the box.
+
+    Box by box halved: with D the distance of a candidate from the box's centre
+    and r half the diagonal, a point of the box is between D - r and D + r away
+    from it, so candidates beyond the smallest D + 2 r drop out.
+    """
+    (sx, sy), (hx, hy) = scale, _half_sides(grid)
+    kind = crowded.schema["near"].dataType.elementType["segment_id"].dataType.simpleString()
+
+    def away(px, py, line):
+        x1, y1, x2, y2 = line
+        ax, ay, dx, dy = (x2 - x1) * sx, (y2 - y1) * sy, (px - x1) * sx, (py - y1) * sy
+        square = ax * ax + ay * ay
+        t = np.clip(np.divide(dx * ax + dy * ay, square, out=np.zeros_like(square), where=square > 0), 0.0, 1.0)
+        return np.hypot(dx - t * ax, dy - t * ay)
+
+    def run(batches):
+        for b in batches:
+            for at in range(b.num_rows):
+                cell, cuts, cx, cy = (b.column(c)[at].as_py() for c in ("cell", "_cuts", "cx", "cy"))
+                near = b.column("near").slice(at, 1).flatten()
+                parts = {n: near.field(n) for n in ["segment_id", *ends]}
+                line = [parts[n].to_numpy(zero_copy_only=False) for n in (ends * 2)[:4]]
+                pick = np.arange(len(near))
+                ix, iy = np.zeros((2, len(near)), dtype=np.int64)
+                for level in range(1, cuts + 1):
+                    n = 1 << level
+                    pick = np.repeat(pick, 4)
+                    ix, iy = (np.repeat(2 * i, 4) + np.tile(step, len(i)) for i, step in ((ix, [0, 1, 0, 1]), (iy, [0, 0, 1, 1])))
+                    far = away(cx + hx * ((2 * ix + 1) / n - 1), cy + hy * ((2 * iy + 1) / n - 1), [c[pick] for c in line])
+                    r = np.hypot(hx * sx, hy * sy) * (1 / n + BOX_SLACK)
+                    least = np.full(n * n, np.inf)
+                    np.minimum.at(least, iy * n + ix, far)
+                    stay = far <= (least[iy * n + ix] + 2 * r) * (1 + 1e-9)
+                    pick, ix, iy = pick[stay], ix[stay], iy[stay]
+                box = (iy << cuts) + ix
+                order = np.argsort(box, kind="stable")
+                boxes, starts = np.unique(box[order], return_index=True)
+                held = pa.StructArray.from_arrays([c.take(pa.array(pick[order])) for c in parts.values()], names=list(parts))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(boxes), cell)), pa.array(boxes), pa.ListArray.from_arrays(pa.array(np.r_[starts, len(pick)].astype(np.int32)), held)],
+                    names=["cell", "box", "near"])
+
+    inner = ", ".join([f"segment_id: {kind}", *[f"{c}: double" for c in ends]])
+    return crowded.mapInArrow(run, f"cell bigint, box bigint, near array<struct<{inner}>>")
+
+
+def _with_nearest(points: DataFrame, reach: DataFrame, ends: list[str], away, scale: tuple[float, float], grid: H.HexGrid) -> DataFrame:
+    """Points with ``_m``, the smallest ``away(candidate)`` of their cell in ``reach`` (``cell, near``).
+
+    Each point joins its own cell; where a cell has more than ``CROWDED``
+    candidates, it joins its box in the cell instead, so that what a point looks
+    at stays small however dense the network is.
+    """
+    n = F.size("near")
+    cuts = F.when(n <= CROWDED, F.lit(0)).otherwise(F.least(F.ceil(F.log(4.0, n / 4.0)).cast("int"), F.lit(MOST_CUTS)))
+    cells = reach.withColumn("_cuts", cuts)
+    few = cells.select("cell", "_cuts", F.when(F.col("_cuts") == 0, F.col("near")).alias("_few"))
+    cy, cx = H.cell_center("cell", grid)
+    boxes = _cut_cells(cells.where("_cuts > 0").select("cell", "_cuts", cx.alias("cx"), cy.alias("cy"), "near"), ends, scale, grid) \
+        .withColumnsRenamed({"near": "_many", "box": "_box"})
+    hx, hy = _half_sides(grid)
+    side = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_cuts"))        # boxes along each axis
+
+    def part(c: str, middle: Column, half: float) -> Column:
+        at = F.floor((F.col(c) - middle + F.lit(half)) / F.lit(2 * half) * side)
+        return F.greatest(F.lit(0), F.least(at, side - 1))
+
+    p = H.with_cell(points, "latitude", "longitude", "_cell", grid).withColumnRenamed("_cell", "cell").join(few, "cell", "left")
+    box = part("latitude", cy, hy) * side + part("longitude", cx, hx)
+    p = p.withColumn("_box", F.when(F.col("_cuts") > 0, box)).join(boxes, ["cell", "_box"], "left")
+    return p.withColumn("_m", F.array_min(F.transform(F.coalesce("_few", "_many"), away)))
 
 
 def snap_to_segment(points: DataFrame, vertices: DataFrame, max_ring: int = 4, grid: H.HexGrid = H.FINE) -> DataFrame:
     """Nearest road segment per point as ``segment`` and ``segment_dist``, NULL
     when none passes within ``max_ring`` cells (JN-8).
 
-    Each point joins :func:`segment_reach` once, on its own cell, with all its
-    columns; among the cell's segments the smallest (distance to a vertex,
-    segment id) is taken by higher-order functions in a projection.
+    Each point joins :func:`segment_reach` on its own cell (or its box in a
+    crowded one), with all its columns; of the segments there the smallest
+    (distance to a vertex, segment id) is taken by higher-order functions in a
+    projection.
     """
-    reach = segment_reach(vertices, max_ring, grid)
-    p = H.with_cell(points, "latitude", "longitude", "_cell", grid).withColumnRenamed("_cell", "cell")
-
     def nearest(s: Column) -> Column:
-        far = F.array_min(F.transform(s["line"], lambda v: S.euclid(v["x"], v["y"], F.col("longitude"), F.col("latitude"))))
-        return F.struct(far.alias("dist"), s["segment_id"].alias("segment_id"))
+        return F.struct(S.euclid(s["x"], s["y"], F.col("longitude"), F.col("latitude")).alias("dist"), s["segment_id"].alias("segment_id"))
 
-    best = p.join(reach, "cell", "left").withColumn("_m", F.array_min(F.transform("near", nearest)))
+    best = _with_nearest(points, segment_reach(vertices, max_ring, grid), ["x", "y"], nearest, (1.0, 1.0), grid)
     return best.select(*points.columns, F.col("_m.segment_id").alias("segment"), F.col("_m.dist").alias("segment_dist"))
 
 
@@ -425,7 +520,7 @@ def segment_stretches(vertices: DataFrame) -> DataFrame:
 
 
 def stretch_reach(vertices: DataFrame, max_m: float, grid: H.HexGrid = H.FINE) -> DataFrame:
-    """For every cell that holds a point within ``max_m`` metres of a stretch: the stretches in reach, as one array.
+    """For every cell that holds a point within ``max_m`` metres of a stretch: the stretches in reach, every place once, as one array.
 
     A stretch is walked in steps of at most half a cell edge along each axis
     and put into the cells around its steps, so a cell holds what runs by it
@@ -438,28 +533,26 @@ def stretch_reach(vertices: DataFrame, max_m: float, grid: H.HexGrid = H.FINE) -
     steps = st.withColumn("_n", n).withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_n"))))
     along = lambda a, b: F.col(a) + (F.col(b) - F.col(a)) * F.col("_k") / F.col("_n")
     steps = H.with_cell(steps.withColumns({"_y": along("y1", "y2"), "_x": along("x1", "x2")}), "_y", "_x", "cell", grid)
-    passed = steps.select("cell", "segment_id", "x1", "y1", "x2", "y2").distinct()
+    ends = ["x1", "y1", "x2", "y2"]
+    passed = _places(steps, ["cell", *ends])
     # centres of cells n rings apart are at least 1.5 n edges apart; point, step and stretch lie within 2.5 edges of theirs
     rings = int((max_m + 2.5 * grid.edge_m) / (1.5 * grid.edge_m))
-    near = H.explode_disk(passed, rings, "cell", "target", "ring").select(F.col("target").alias("cell"), "segment_id", "x1", "y1", "x2", "y2").distinct()
-    return near.groupBy("cell").agg(F.collect_list(F.struct("segment_id", "x1", "y1", "x2", "y2")).alias("near"))
+    near = _places(H.explode_disk(passed, rings, "cell", "target", "ring"), ["target", *ends])
+    return near.groupBy(F.col("target").alias("cell")).agg(F.collect_list(F.struct("segment_id", *ends)).alias("near"))
 
 
 def snap_to_stretch(points: DataFrame, vertices: DataFrame, max_m: float = 50.0, grid: H.HexGrid = H.FINE) -> DataFrame:
     """Nearest road segment per point by its distance in metres to the line itself, as ``segment`` and ``segment_m``;
     NULL when no segment runs within ``max_m`` (JN-8, for segments whose vertices lie far apart).
 
-    Each point joins :func:`stretch_reach` once, on its own cell; ties go to the smaller id.
+    Each point joins :func:`stretch_reach` on its own cell (or its box in a crowded one); ties go to the smaller id.
     """
-    reach = stretch_reach(vertices, max_m, grid)
-    p = H.with_cell(points, "latitude", "longitude", "_cell", grid).withColumnRenamed("_cell", "cell")
-
     def away(s: Column) -> Column:
         ax, ay = (s["x2"] - s["x1"]) * grid.kx, (s["y2"] - s["y1"]) * grid.ky
         px, py = (F.col("longitude") - s["x1"]) * grid.kx, (F.col("latitude") - s["y1"]) * grid.ky
         t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(F.try_divide(px * ax + py * ay, ax * ax + ay * ay), F.lit(0.0))))
         return F.struct(F.sqrt((px - t * ax) * (px - t * ax) + (py - t * ay) * (py - t * ay)).alias("m"), s["segment_id"].alias("segment_id"))
 
-    best = p.join(reach, "cell", "left").withColumn("_m", F.array_min(F.transform("near", away)))
+    best = _with_nearest(points, stretch_reach(vertices, max_m, grid), ["x1", "y1", "x2", "y2"], away, (grid.kx, grid.ky), grid)
     hit = F.col("_m.m") <= max_m
     return best.select(*points.columns, F.when(hit, F.col("_m.segment_id")).alias("segment"), F.when(hit, F.col("_m.m")).alias("segment_m"))
