@@ -4,21 +4,25 @@ A page is cut into lines, one per block, each with its place: inside an
 article, inside a main element, inside a container named as content, in the
 open body, or in boilerplate (menus, headers, footers, sidebars, notices,
 adverts, forms, comments, scripts, styles, told by element name, role, class or
-id).  Boilerplate lines go.  All lines inside the outermost such elements are a
-page's text (a title and lead beside the article in <main> belong to it); of
-articles, main elements and containers that stand apart, the kind with most of
-the page's text counts.
+id).  Boilerplate lines go.
 
-The rest, lines of pages with an open body only, is decided by differencing:
+The rest is decided by differencing, on every page:
 the pages with lines are ordered by host and URL path; neighbours that share at
 least ``NEAR_COPY`` of their characters are copies of each other and form a run;
-every open page is paired with the nearest page before its run in its host (in
-the first run of a host with the one after), be that open or with an article,
-the two line sequences are aligned by longest common subsequence and the shared
-lines are deleted.  So a line goes only if a page that says something else has
-it too, and copies do not wipe each other out.  Inside an article or container
-shared lines stay: neighbouring pages may carry copies of one article, which
-plain differencing would delete (README).
+every page is paired with the nearest page before its run in its host (in the
+first run of a host with the one after), and the two line sequences are aligned
+by longest common subsequence.  Of articles, main elements and content
+containers that stand apart, the kind with most text that the neighbour does not
+share is the page's text (of equal ones the kind with most text), so a container
+that repeats from page to page does not win by its size.  All lines inside the
+outermost such elements stay, shared ones too (a title and lead beside the
+article in <main> belong to it): neighbouring pages may carry copies of one
+article, which deleting shared lines would take (README).  Of a page with an
+open body only, the shared lines are deleted.  So a line goes only if a page
+that says something else has it too, and copies do not wipe each other out.
+
+Pages meet by hashes of their lines; texts are cut again at the end and move only to the decisions that a
+neighbour changed (not at all if those are few).
 
 The order is a range partitioning by (host, path, id), so a host with a third
 of all pages spreads over many tasks; global positions come from the rows'
@@ -221,13 +225,15 @@ def _lines(page: str | None) -> list[tuple[int, str, int]]:
     return out
 
 
-def _main_place(found: list[tuple[int, str, int]]) -> int:
-    """The kind of outermost content element that holds most of the page's text (of equal ones the closest), OPEN if there is none."""
-    held = Counter()
-    for _, line, outer in found:
-        if outer > OPEN:
-            held[outer] += len(line)
-    return max(held, key=lambda k: (held[k], k), default=OPEN)
+def _main_place(lines: list, places: list[int], gone: set[int]) -> int:
+    """The kind of outermost content element that holds most of the text that the neighbour does not share (of equal
+    ones most of the text, then the closest), OPEN if there is none."""
+    own, whole = Counter(), Counter()
+    for i, (line, place) in enumerate(zip(lines, places)):
+        if place > OPEN:
+            whole[place] += _size(line)
+            own[place] += 0 if i in gone else _size(line)
+    return max(whole, key=lambda k: (own[k], whole[k], k), default=OPEN)
 
 
 def shared(mine: list[str], other: list[str]) -> set[int]:
@@ -261,31 +267,45 @@ def shared(mine: list[str], other: list[str]) -> set[int]:
     return found
 
 
-def near_copies(mine: list[str] | None, other: list[str] | None) -> bool:
+def _size(line: str | tuple) -> int:
+    """Characters of a line, a text or its ``(hash, characters)``."""
+    return len(line) if isinstance(line, str) else line[1]
+
+
+def near_copies(mine: list | None, other: list | None) -> bool:
     """Whether a longest common subsequence holds ``NEAR_COPY`` of the characters of both."""
     if not mine or not other or mine == other:
         return bool(mine) and mine == other
-    least = NEAR_COPY * max(sum(map(len, mine)), sum(map(len, other)))
-    if sum(len(x) * n for x, n in (Counter(mine) & Counter(other)).items()) < least:
+    least = NEAR_COPY * max(sum(map(_size, mine)), sum(map(_size, other)))
+    if sum(_size(x) * n for x, n in (Counter(mine) & Counter(other)).items()) < least:
         return False
-    return sum(len(mine[i]) for i in shared(mine, other)) >= least
+    return sum(_size(mine[i]) for i in shared(mine, other)) >= least
+
+
+def _line_lists(column: pa.Array) -> list[list | None]:
+    """Rows of lines: texts, or ``(hash, characters)`` pairs."""
+    rows = column.to_pylist()
+    if not pa.types.is_struct(column.type.value_type):
+        return rows
+    return [None if row is None else [tuple(x.values()) for x in row] for row in rows]
 
 
 def _cut_blocks(pages: DataFrame) -> DataFrame:
-    """Add ``best`` (the place that holds the main text) and ``lines`` with their ``places`` (NULL of NULL html)."""
+    """Add ``best`` (the place that holds most text) and ``lines`` with their ``places`` (NULL of NULL html)."""
     kind = pages.schema["page_id"].dataType.simpleString()
+    kept = ["page_id", "url", "host", "path", "tie", "key"]
 
     def run(batches):
         for b in batches:
             found = [None if page is None else _lines(page) for page in b.column("html").to_pylist()]
-            best = [_main_place(x or []) for x in found]
             lines, places = ([None if x is None else [line[k] for line in x] for x in found] for k in (1, 2))
+            best = [_main_place(x or [], y or [], set()) for x, y in zip(lines, places)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(c) for c in ("page_id", "url", "host", "path", "tie")]
-                + [pa.array(best, pa.int32()), pa.array(lines, pa.list_(pa.string())), pa.array(places, pa.list_(pa.int32()))],
-                names=["page_id", "url", "host", "path", "tie", "best", "lines", "places"])
+                [b.column(c) for c in kept] + [pa.array(best, pa.int32()), pa.array(lines, pa.list_(pa.string())), pa.array(places, pa.list_(pa.int32()))],
+                names=[*kept, "best", "lines", "places"])
 
-    return pages.mapInArrow(run, f"page_id {kind}, url string, host string, path string, tie bigint, best int, lines array<string>, places array<int>")
+    return pages.mapInArrow(run, f"page_id {kind}, url string, host string, path string, tie bigint, key bigint, best int, "
+                                 "lines array<string>, places array<int>")
 
 
 def _with_positions(ordered: DataFrame) -> DataFrame:
@@ -306,7 +326,7 @@ def _with_runs(placed: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            columns = (b.column(c).to_pylist() for c in ("host", "up_host", "lines", "up_lines"))
+            columns = (*(b.column(c).to_pylist() for c in ("host", "up_host")), *(_line_lists(b.column(c)) for c in ("lines", "up_lines")))
             starts = [host != up_host or not near_copies(mine, other) for host, up_host, mine, other in zip(*columns)]
             yield pa.RecordBatch.from_arrays([b.column("at"), b.column("host"), b.column("key"), pa.array(starts, pa.bool_())],
                                              names=["at", "host", "key", "starts"])
@@ -322,20 +342,24 @@ def _with_runs(placed: DataFrame) -> DataFrame:
 
 
 def _difference(rows: DataFrame) -> DataFrame:
-    """Text of pages with an open body only: lines that the neighbour does not share."""
-    kind = rows.schema["page_id"].dataType.simpleString()
+    """``tie, key, stays`` (by line, whether it is main text) of pages whose neighbour changes that.  What it does not share
+    tells the kind of element that holds the main text, whose lines stay; on an open page the lines that it does not share stay."""
 
     def run(batches):
         for b in batches:
-            out = []
-            for mine, other in zip(b.column("lines").to_pylist(), b.column("other").to_pylist()):
-                mine = mine or []
-                gone = shared(mine, other) if other else set()
-                out.append("\n".join(x for i, x in enumerate(mine) if i not in gone))
-            yield pa.RecordBatch.from_arrays([b.column("page_id"), b.column("url"), pa.array(out, pa.string())],
-                                             names=["page_id", "url", "text"])
+            told = []
+            for tie, key, mine, places, other in zip(b.column("tie").to_pylist(), b.column("key").to_pylist(), _line_lists(b.column("lines")),
+                                                     b.column("places").to_pylist(), _line_lists(b.column("other"))):
+                gone = shared(mine, other) if mine and other else set()
+                best, alone = (_main_place(mine, places, x) for x in (gone, set()))
+                stays = [place == best if best > OPEN else i not in gone for i, place in enumerate(places)]
+                if best != alone or best == OPEN and gone:
+                    told.append((tie, key, stays))
+            ties, keys, stays = zip(*told) if told else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(ties, pa.int64()), pa.array(keys, pa.int64()), pa.array(stays, pa.list_(pa.bool_()))],
+                                             names=["tie", "key", "stays"])
 
-    return rows.select("page_id", "url", "lines", "other").mapInArrow(run, f"page_id {kind}, url string, text string")
+    return rows.select("tie", "key", "lines", "places", "other").mapInArrow(run, "tie bigint, key bigint, stays array<boolean>")
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -343,13 +367,13 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     url = F.col("url")
     slim = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")).select(
         "page_id", "url", host_of(url).alias("host"), path_of(url).alias("path"), F.xxhash64("html").alias("tie"), "html")
-    cut = materialise(_cut_blocks(slim), "html-blocks")
+    cut = _cut_blocks(slim.withColumn("key", F.xxhash64("page_id", "url", "tie")))
     parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    open_hosts = materialise(cut.where(F.col("best") == OPEN).select("host").distinct(), "html-open")    # the others need no order
-    with_lines = cut.where("lines is null or size(lines) > 0").select(
-        "page_id", "url", "host", "path", "tie", (F.col("best") == OPEN).alias("is_open"), "lines")
-    ordered = (with_lines.join(open_hosts, "host", "left_semi")
-               .repartitionByRange(parts, "host", "path", "page_id", "tie").sortWithinPartitions("host", "path", "page_id", "tie")
+    # pages meet by the hashes of their lines; the texts are cut again below
+    short = F.transform("lines", lambda x: F.struct(F.xxhash64(x).alias("hash"), F.length(x).alias("n")))
+    narrow = materialise(cut.where("lines is null or size(lines) > 0").select(
+        "page_id", "url", "host", "path", "tie", "key", short.alias("lines"), "places"), "html-lines")
+    ordered = (narrow.repartitionByRange(parts, "host", "path", "page_id", "tie").sortWithinPartitions("host", "path", "page_id", "tie")
                .withColumn("row_id", F.monotonically_increasing_id()))
     placed = materialise(_with_positions(materialise(ordered, "html-order")), "html-at")
     of_run = materialise(_with_runs(placed), "html-runs")
@@ -361,8 +385,12 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     partners = runs.join(up, "start", "left").join(down, "next", "left").select(
         "start", F.when(has_up, F.col("up_lines")).when(has_down, F.col("down_lines")).alias("partner"),
         (F.col("one_page") & ~has_up & ~has_down).alias("only_page"))
-    paired = (placed.where("is_open").join(of_run.select("at", "start"), "at").join(partners, "start")
+    paired = (placed.where("lines is not null").join(of_run.select("at", "start"), "at").join(partners, "start")
               .withColumn("other", F.when(F.col("only_page"), F.col("lines")).otherwise(F.col("partner"))))
-    inner = F.filter("lines", lambda _, i: F.col("places")[i] == F.col("best"))
-    done = cut.where((F.col("best") > OPEN) | (F.size("lines") == 0)).select("page_id", "url", F.array_join(inner, "\n").alias("text"))
-    return done.unionByName(_difference(paired)).withColumn("n_chars", F.length("text").cast("bigint"))
+    # rows of one page are copies in one run, so what is decided for one holds for all
+    decided = materialise(_difference(paired).dropDuplicates(["tie", "key"]), "html-decided")
+    alone = (F.col("best") == OPEN)
+    stays = F.filter("lines", lambda _, i: F.when(F.col("stays").isNotNull(), F.col("stays")[i]).otherwise(alone | (F.col("places")[i] == F.col("best"))))
+    out = cut.select("page_id", "url", "tie", "key", "best", "lines", "places").join(decided, ["tie", "key"], "left").select(
+        "page_id", "url", F.coalesce(F.array_join(stays, "\n"), F.lit("")).alias("text"))
+    return out.withColumn("n_chars", F.length("text").cast("bigint"))
